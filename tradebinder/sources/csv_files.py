@@ -22,6 +22,7 @@ IMPORT_HEADERS = {
     "storageLocation": "storage_location",
     "personalNote": "personal_note",
 }
+SECONDS = "yyyy-MM-dd HH:mm:ss"
 
 
 def read_text_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -40,9 +41,10 @@ def with_line_numbers(raw: DataFrame) -> DataFrame:
 
 def read_set_csv(spark: SparkSession, path: str) -> DataFrame:
     """Normalized set file for the set upsert; a malformed cell fails the read."""
-    return spark.read.csv(
+    reader = spark.read.option("timestampNTZFormat", SECONDS)
+    return reader.csv(
         path, header=True, multiLine=True, escape='"', mode="FAILFAST", schema=TCG_SET_FILE,
-        timestampNTZFormat="yyyy-MM-dd HH:mm:ss", dateFormat="yyyy-MM-dd",
+        dateFormat="yyyy-MM-dd",
     )
 
 
@@ -73,7 +75,9 @@ def read_collection_csv(spark: SparkSession, path: str, batch_id: str) -> DataFr
 def write_csv(df: DataFrame, path: str, columns: list[str] | None = None) -> None:
     """CSV with header; null and empty text are both written as an empty cell."""
     out = df.select(*columns) if columns else df
-    out.write.mode("overwrite").csv(path, header=True, nullValue="", emptyValue="", escape='"')
+    out.write.mode("overwrite").option("timestampNTZFormat", SECONDS).csv(
+        path, header=True, nullValue="", emptyValue="", escape='"'
+    )
 
 
 def write_quoted_csv(df: DataFrame, path: str) -> None:

@@ -1,4 +1,9 @@
-"""Stored tables: Parquet folders with the schemas of tradebinder.schemas."""
+"""Stored tables: Parquet folders with the schemas of tradebinder.schemas.
+
+Dated tables are partitioned by their date and replaced day by day.  All other tables are
+written whole under a new version folder; a one-row commit record appended afterwards
+makes the version current, so a run that dies half way leaves the old state in force.
+"""
 
 from __future__ import annotations
 
@@ -11,20 +16,42 @@ from pyspark.sql import functions as F
 from tradebinder.schemas import TABLES
 
 PARTITIONED = {"price_snapshots": "snapshot_date", "analytics_signals": "signal_date"}
+COMMITS = "name string, version string"
 
 
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _absent(problem: AnalysisException) -> bool:
+    return problem.getCondition() == "PATH_NOT_FOUND"
+
+
+def current_version(spark: SparkSession, root: str, name: str) -> str | None:
+    """Version of the last committed write, or None."""
+    try:
+        commits = spark.read.schema(COMMITS).parquet(table_path(root, "commits"))
+    except AnalysisException as problem:
+        if _absent(problem):
+            return None
+        raise
+    return commits.filter(F.col("name") == name).agg(F.max("version")).first()[0]
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A stored table; one that was never written is empty.  A date filter on a
     partitioned table prunes folders before any file is opened."""
     schema = TABLES[name]
+    path = table_path(root, name)
+    if name not in PARTITIONED:
+        version = current_version(spark, root, name)
+        if version is None:
+            return spark.createDataFrame([], schema)
+        path = f"{path}/version={version}"
     try:
-        stored = spark.read.schema(schema).parquet(table_path(root, name))
+        stored = spark.read.schema(schema).parquet(path)
     except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
+        if not _absent(problem):
             raise
         return spark.createDataFrame([], schema)
     return stored.select(*schema.fieldNames())
@@ -38,7 +65,8 @@ def write_partitions(df: DataFrame, root: str, name: str) -> None:
     """
     column = PARTITIONED[name]
     (
-        df.hint("rebalance", column)
+        df.select(*TABLES[name].fieldNames())
+        .hint("rebalance", column)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
@@ -46,19 +74,20 @@ def write_partitions(df: DataFrame, root: str, name: str) -> None:
     )
 
 
-def append_partitions(df: DataFrame, root: str, name: str) -> None:
-    column = PARTITIONED[name]
-    df.hint("rebalance", column).write.mode("append").partitionBy(column).parquet(
-        table_path(root, name)
-    )
-
-
-def write_version(df: DataFrame, root: str, name: str) -> None:
-    """Replace an unpartitioned table.  The caller must have cut the lineage to the old
-    files (checkpoint or another folder) before."""
-    df.write.mode("overwrite").parquet(table_path(root, name))
+def version_of(run_ts: datetime.datetime | str) -> str:
+    """Sortable version name of a run."""
+    if isinstance(run_ts, str):
+        run_ts = datetime.datetime.fromisoformat(run_ts)
+    if run_ts.tzinfo is not None:
+        run_ts = run_ts.astimezone(datetime.timezone.utc)
+    return run_ts.strftime("%Y%m%dT%H%M%S%f")
 
 
-def on_dates(df: DataFrame, dates: list[datetime.date] | None) -> DataFrame:
-    """Restrict to the given snapshot dates (partition pruning); None keeps all."""
-    return df if dates is None else df.filter(F.col("snapshot_date").isin(dates))
+def write_version(df: DataFrame, root: str, name: str, run_ts) -> None:
+    """Write a whole table as the version of this run, then commit it.  A frame that reads
+    the version of the same run (a rerun) must be checkpointed by the caller."""
+    version = version_of(run_ts)
+    path = f"{table_path(root, name)}/version={version}"
+    df.select(*TABLES[name].fieldNames()).write.mode("overwrite").parquet(path)
+    commit = df.sparkSession.createDataFrame([(name, version)], COMMITS)
+    commit.coalesce(1).write.mode("append").parquet(table_path(root, "commits"))
