@@ -539,3 +539,46 @@ def test_profile(spark):
     assert (rows["b"].occurrences, rows["b"].null_count, rows["b"].text_count) == (2, 1, 1)
     overview = profile.catalog_overview(products(spark, (1, "A"), (2, " ")).unionByName(products(spark, (1, "A")))).first()
     assert (overview.row_count, overview.missing_name, overview.duplicate_ids) == (3, 1, 1)
+
+
+# --- skew --------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_spread_join_equals_plain_join(spark, how):
+    """A third of the facts share a key and some have none."""
+    from tradebinder.operators.lookup import spread_join
+
+    facts = spark.range(3000).select(
+        F.col("id").alias("row"),
+        F.when(F.col("id") % 3 == 0, 7).when(F.col("id") % 7 == 0, None).otherwise(F.col("id") % 50).alias("key"),
+    )
+    table = spark.range(40).select(F.col("id").alias("key"), (F.col("id") * 10).alias("value"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plain = facts.join(table, "key", how)
+        spread = spread_join(facts, table, ["key"], how, ["row"]).select(*plain.columns)
+        assert sorted(map(str, plain.collect())) == sorted(map(str, spread.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_spread_join_spreads_the_hot_key(spark):
+    from tradebinder.operators.lookup import spread_join
+
+    facts = spark.range(6000).select(F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("key"))
+    table = facts.select("key").distinct()
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        joined = spread_join(facts, table, ["key"], "inner", ["row"])
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 6000 and max(sizes) < 2000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradebinder.functions.dates import archive_name
+from tradebinder.operators.lookup import spread_join
 from tradebinder.sources.archive import parse_archive_names
 
 
@@ -42,7 +43,7 @@ def superseded_files(listing: DataFrame, prefixes: list[str] | None = None) -> D
     chosen = canonical_files(listing, prefixes).select(
         "prefix", "snapshot_date", F.col("file_name").alias("canonical_file_name")
     )
-    return files.join(chosen, ["prefix", "snapshot_date"]).filter(
+    return spread_join(files, chosen, ["prefix", "snapshot_date"], "inner", ["file_name"]).filter(
         F.col("file_name") != F.col("canonical_file_name")
     )
 
@@ -65,7 +66,7 @@ def next_archive_names(listing: DataFrame, requested: DataFrame) -> DataFrame:
 
 def archive_gaps(listing: DataFrame, prefixes: list[str] | None = None) -> DataFrame:
     """Calendar days without a file between the first and the last day of each prefix."""
-    days = parse_archive_names(listing, prefixes).select("prefix", "snapshot_date")
+    days = parse_archive_names(listing, prefixes).select("prefix", "snapshot_date").distinct()
     expected = (
         days.groupBy("prefix")
         .agg(F.min("snapshot_date").alias("first"), F.max("snapshot_date").alias("last"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradebinder.functions.dates import as_date
 from tradebinder.functions.money import usable_price
 from tradebinder.functions.text import is_blank
+from tradebinder.operators.lookup import spread_join
 from tradebinder.schemas import DRIFT_PERCENT
 
 # Check names and severities in report order.
@@ -231,11 +232,11 @@ def missing_expansions(products: DataFrame, expansions: DataFrame) -> DataFrame:
 
 def products_without_expansion(products: DataFrame, expansions: DataFrame) -> DataFrame:
     """Products whose expansion id the reference lacks (products without an id excepted)."""
-    return (
-        products.filter("id_expansion IS NOT NULL")
-        .join(expansions.select("id_expansion"), "id_expansion", "left_anti")
-        .select("id_product", F.col("name").alias("product_name"), "id_expansion")
+    rows = products.filter("id_expansion IS NOT NULL").select(
+        "id_product", F.col("name").alias("product_name"), "id_expansion"
     )
+    known = expansions.select("id_expansion")
+    return spread_join(rows, known, ["id_expansion"], "left_anti", ["id_product"])
 
 
 def expansion_coverage(catalog_ids: DataFrame, reference_ids: DataFrame) -> DataFrame:

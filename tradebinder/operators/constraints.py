@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradebinder import schemas as S
+from tradebinder.operators.lookup import spread_join
 
 
 def _rows(df: DataFrame, name: str | Column, key: Column, value: Column) -> DataFrame:
@@ -46,7 +47,8 @@ def foreign_key_violations(
 ) -> DataFrame:
     """Child rows whose non-null reference does not exist in the parent."""
     rows = child.filter(F.col(column).isNotNull()).select(key, column)
-    orphans = rows.join(parent.select(F.col(parent_key).alias(column)), column, "left_anti")
+    known = parent.select(F.col(parent_key).alias(column))
+    orphans = spread_join(rows, known, [column], "left_anti", [key])
     return _rows(orphans, name, F.col(key), F.col(column))
 
 

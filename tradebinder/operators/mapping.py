@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tradebinder.functions.dates import as_instant
 from tradebinder.functions.text import blank_to_null, matching_name
+from tradebinder.operators.lookup import spread_join
 from tradebinder.schemas import CONFIDENCE, TRUSTED_CONFIDENCE
 
 # Methods from the most to the least certain, with their confidence.
@@ -40,48 +41,45 @@ def mapping_keys(sets: DataFrame) -> DataFrame:
         "slug": words,
         "date_name_combo": F.concat(_first_word(words), F.lit("|"), day),
     }
-    return _exploded(sets, keys, "tcg_set_id")
-
-
-def _exploded(df: DataFrame, keys: dict[str, Column], *kept: str) -> DataFrame:
     entries = F.array(
         *[F.struct(F.lit(m).alias("method"), k.alias("match_key")) for m, k in keys.items()]
     )
-    return df.select(*kept, F.inline(entries)).filter("match_key IS NOT NULL")
+    return sets.select("tcg_set_id", F.inline(entries)).filter("match_key IS NOT NULL").select(
+        "method", "match_key", "tcg_set_id"
+    )
+
+
+def _entry(method: str, key: Column, distance: Column) -> Column:
+    return F.struct(F.lit(method).alias("method"), key.alias("match_key"), distance.alias("distance"))
 
 
 def _expansion_keys(expansions: DataFrame, near_days: int) -> DataFrame:
-    """(id_expansion, priority, distance, method, match_key).  Date proximity is an equality
-    on each of the 2 * near_days + 1 neighbouring days, not a range join."""
+    """(id_expansion, method, match_key, distance), all keys of an expansion from one scan.
+    Date proximity is an equality on each of the 2 * near_days + 1 neighbouring days, not
+    a range join."""
     words = matching_name(F.col("name_en"), F.col("series_en"))
-    slug = matching_name(F.col("slug"))
     code = F.col("set_code") if "set_code" in expansions.columns else F.lit(None).cast("string")
-    direct = _exploded(
-        expansions,
-        {
-            "exact_name": blank_to_null(F.col("name_en")),
-            "normalized_name": words,
-            "code": F.upper(blank_to_null(code)),
-            "slug": slug,
-        },
+    keyed = expansions.select(
         "id_expansion",
-    ).withColumn("distance", F.lit(0))
-    offsets = F.array(*[F.lit(d) for d in range(-near_days, near_days + 1)])
-    near = (
-        expansions.filter("release_date IS NOT NULL")
-        .select("id_expansion", "release_date", words.alias("words"), F.explode(offsets).alias("offset"))
-        .select(
-            "id_expansion",
-            F.lit("date_name_combo").alias("method"),
-            F.concat(
-                _first_word(F.col("words")), F.lit("|"),
-                F.date_format(F.date_add("release_date", F.col("offset")), "yyyy-MM-dd"),
-            ).alias("match_key"),
-            F.abs("offset").alias("distance"),
-        )
-        .filter("match_key IS NOT NULL")
+        "release_date",
+        words.alias("words"),
+        F.array(
+            _entry("exact_name", blank_to_null(F.col("name_en")), F.lit(0)),
+            _entry("normalized_name", words, F.lit(0)),
+            _entry("code", F.upper(blank_to_null(code)), F.lit(0)),
+            _entry("slug", matching_name(F.col("slug")), F.lit(0)),
+        ).alias("direct"),
     )
-    return direct.unionByName(near)
+
+    def near(offset: Column) -> Column:
+        day = F.date_format(F.date_add("release_date", offset), "yyyy-MM-dd")
+        return _entry(
+            "date_name_combo", F.concat(_first_word(F.col("words")), F.lit("|"), day), F.abs(offset)
+        )
+
+    nearby = F.transform(F.sequence(F.lit(-near_days), F.lit(near_days)), near)
+    entries = keyed.select("id_expansion", F.inline(F.concat("direct", nearby)))
+    return entries.filter((F.col("match_key").isNotNull()) | (F.col("method") == "exact_name"))
 
 
 def mapping_candidates(
@@ -102,28 +100,27 @@ def mapping_candidates(
     )
     rank = F.create_map(*[F.lit(x) for pair in [(m, i) for i, (m, _) in enumerate(METHODS)] for x in pair])
     score = F.create_map(*[F.lit(x) for pair in METHODS for x in pair])
-    hits = _expansion_keys(expansions, near_days).join(index, ["method", "match_key"])
+    hits = spread_join(
+        _expansion_keys(expansions, near_days), index, ["method", "match_key"], "left", ["id_expansion"]
+    )
     order = F.struct(
         rank[F.col("method")].alias("rank"), F.col("distance"), F.col("tcg_set_id").alias("id")
     )
+    hit = F.when(F.col("tcg_set_id").isNotNull(), order)
     best = hits.groupBy("id_expansion").agg(
-        F.min_by(F.struct("method", "match_key", "tcg_set_id", "candidate_count"), order).alias("best")
+        F.min_by(F.struct("method", "match_key", "tcg_set_id", "candidate_count"), hit).alias("best")
     )
     confidence = F.when(
         F.col("best.candidate_count") > 1, F.least(score[F.col("best.method")], F.lit(0.70))
     ).otherwise(score[F.col("best.method")])
-    automatic = (
-        expansions.select("id_expansion")
-        .join(best, "id_expansion", "left")
-        .select(
-            "id_expansion",
-            F.col("best.tcg_set_id").alias("tcg_set_id"),
-            F.coalesce("best.method", F.lit("none")).alias("match_method"),
-            F.coalesce(confidence, F.lit(0.0)).cast(CONFIDENCE).alias("match_confidence"),
-            F.col("best.match_key").alias("match_key"),
-            F.coalesce("best.candidate_count", F.lit(0)).alias("candidate_count"),
-            F.lit(None).cast("string").alias("notes"),
-        )
+    automatic = best.select(
+        "id_expansion",
+        F.col("best.tcg_set_id").alias("tcg_set_id"),
+        F.coalesce("best.method", F.lit("none")).alias("match_method"),
+        F.coalesce(confidence, F.lit(0.0)).cast(CONFIDENCE).alias("match_confidence"),
+        F.col("best.match_key").alias("match_key"),
+        F.coalesce("best.candidate_count", F.lit(0)).alias("candidate_count"),
+        F.lit(None).cast("string").alias("notes"),
     )
     if manual is not None:
         decided = manual.select(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradebinder.functions.dates import as_instant
 from tradebinder.functions.text import blank_to_null, id_number, surrogate_id
+from tradebinder.operators.lookup import spread_join
 from tradebinder.schemas import (
     ACQUISITION_TYPES,
     COLLECTION_DEFAULTS,
@@ -104,7 +105,7 @@ def match_products(typed: DataFrame, products: DataFrame) -> DataFrame:
 
     known = products.select(F.col("id_product").alias("provided_id_product"), F.lit(True).alias("_known"))
     has = F.col("_known").isNotNull()
-    by_id = given.join(known, "provided_id_product", "left").select(
+    by_id = spread_join(given, known, ["provided_id_product"], "left", ["import_row_id"]).select(
         *columns,
         F.col("provided_id_product").alias("matched_id_product"),
         F.when(has, "ready_to_import").otherwise("waiting_for_product").alias("match_status"),
@@ -113,7 +114,9 @@ def match_products(typed: DataFrame, products: DataFrame) -> DataFrame:
     )
 
     one = F.col("hits") == 1
-    by_name = named.join(name_index(products), "raw_product_name", "left").select(
+    by_name = spread_join(
+        named, name_index(products), ["raw_product_name"], "left", ["import_row_id"]
+    ).select(
         *columns,
         F.when(one, F.col("named_id")).alias("matched_id_product"),
         F.when(one, "ready_to_import").otherwise("needs_review").alias("match_status"),
@@ -144,7 +147,9 @@ def duplicate_marks(staging: DataFrame, imported: DataFrame) -> DataFrame:
     first = rows.groupBy("import_batch_id", "external_id").agg(F.min("record_index").alias("first_index"))
     done = imported.filter("external_id IS NOT NULL").select("external_id").distinct()
     firsts = first.join(done.withColumn("_imported", F.lit(True)), "external_id", "left")
-    marked = rows.join(firsts, ["import_batch_id", "external_id"])
+    marked = spread_join(
+        rows, firsts, ["import_batch_id", "external_id"], "inner", ["import_row_id"]
+    )
     return marked.select(
         "import_row_id",
         F.when(F.col("_imported"), MSG_IMPORTED)
@@ -191,12 +196,21 @@ def possible_duplicates(staging: DataFrame, items: DataFrame) -> DataFrame:
     rows = staging.filter(
         (F.col("match_status") == "ready_to_import") & F.col("external_id").isNull()
     ).withColumn("id_product", F.col("matched_id_product"))
-    existing = items.select(*[F.col(c).alias(f"_{c}") for c in compared]).distinct()
-    same = F.lit(True)
-    for name in compared:
-        same = same & F.col(name).eqNullSafe(F.col(f"_{name}"))
-    return rows.join(existing, same, "left_semi").select(
-        "import_row_id", "import_batch_id", *compared
+    # A null becomes a value of its own next to the column, so that equal means equal.
+    keys = [*compared, *[f"_no_{c}" for c in compared]]
+
+    def comparable(df: DataFrame) -> DataFrame:
+        filler = {"purchase_price": F.lit(0), "purchase_date": F.lit("1970-01-01").cast("date")}
+        return df.withColumns({f"_no_{c}": F.col(c).isNull() for c in compared}).withColumns(
+            {c: F.coalesce(c, filler.get(c, F.lit("") if c != "id_product" else F.lit(0))) for c in compared}
+        )
+
+    owned = comparable(items.select(*compared)).select(*keys).distinct()
+    found = spread_join(comparable(rows), owned, keys, "left_semi", ["import_row_id"])
+    return found.select(
+        "import_row_id",
+        "import_batch_id",
+        *[F.when(~F.col(f"_no_{c}"), F.col(c)).alias(c) for c in compared],
     )
 
 

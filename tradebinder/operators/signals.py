@@ -24,6 +24,7 @@ from tradebinder.functions.money import (
     usable_price,
 )
 from tradebinder.functions.text import surrogate_id
+from tradebinder.operators.lookup import spread_join
 from tradebinder.schemas import (
     GROWTH_LOOKBACKS,
     MIN_GROWTH_HISTORY_DAYS,
@@ -160,11 +161,12 @@ def collection_gain_loss(items: DataFrame, latest: DataFrame, as_of, run_ts) ->
     """One signal per unsold item whose value differs from its known purchase price; the
     sign decides between gain and loss, and the amount is always positive."""
     value, price = F.col("estimated_market_value"), F.col("purchase_price")
-    rows = (
-        items.filter(~F.col("is_sold") & price.isNotNull())
-        .select("collection_item_id", "id_product", "purchase_price")
-        .join(latest.select("id_product", "estimated_market_value"), "id_product")
-        .filter(value != price)
+    bought = items.filter(~F.col("is_sold") & price.isNotNull()).select(
+        "collection_item_id", "id_product", "purchase_price"
+    )
+    valued = latest.select("id_product", "estimated_market_value")
+    rows = spread_join(bought, valued, ["id_product"], "inner", ["collection_item_id"]).filter(
+        value != price
     )
     gained = value > price
     amount = F.abs(value - price)
@@ -257,9 +259,9 @@ SIGNAL_VIEWS = {
 def signal_view(signals: DataFrame, products: DataFrame, kind: str) -> DataFrame:
     """Signals of one type with product name and group, largest value first."""
     names = products.select("id_product", "name", "product_group")
+    rows = signals.filter(F.col("signal_type") == kind)
     return (
-        signals.filter(F.col("signal_type") == kind)
-        .join(names, "id_product", "left")
+        spread_join(rows, names, ["id_product"], "left", ["signal_id"])
         .select(
             "signal_date", "id_product", "name", "product_group", "collection_item_id",
             "signal_value", "signal_strength", "lookback_days", "reference_value", "current_value",

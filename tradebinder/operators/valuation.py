@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradebinder.functions.money import percent_change
+from tradebinder.operators.lookup import spread_join
+
+
+def _with_product(items: DataFrame, table: DataFrame) -> DataFrame:
+    return spread_join(items, table, ["id_product"], "left", ["collection_item_id"])
 
 
 def valued_items(items: DataFrame, products: DataFrame, latest: DataFrame) -> DataFrame:
     """Unsold items with product data and the latest estimated value."""
     known = products.select("id_product", "name", "product_group", "id_expansion", "id_category")
     value = latest.select("id_product", "estimated_market_value")
+    facts = items.filter(~F.col("is_sold"))
     return (
-        items.filter(~F.col("is_sold"))
-        .join(known.join(value, "id_product", "full_outer"), "id_product", "left")
+        _with_product(facts, known.join(value, "id_product", "full_outer"))
         .withColumn("estimated_gain_loss", F.col("estimated_market_value") - F.col("purchase_price"))
     )
 
@@ -45,7 +50,7 @@ def collection_summary(items: DataFrame, products: DataFrame, latest: DataFrame)
     group_and_value = products.select("id_product", "product_group").join(
         latest.select("id_product", "estimated_market_value"), "id_product", "full_outer"
     )
-    rows = items.join(group_and_value, "id_product", "left")
+    rows = _with_product(items, group_and_value)
     unsold = ~F.col("is_sold")
     value = F.when(unsold, F.col("estimated_market_value"))
     rank = F.struct(

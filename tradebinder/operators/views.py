@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tradebinder.functions.dates import as_date, months_since
 from tradebinder.functions.money import estimated_market_value, percent_change
 from tradebinder.operators.keyed import newest_per_key
+from tradebinder.operators.lookup import spread_join
 from tradebinder.schemas import TRUSTED_CONFIDENCE
 
 
@@ -60,7 +61,7 @@ def products_enriched(products: DataFrame, expansions: DataFrame) -> DataFrame:
         F.col("release_date").alias("expansion_release_date"),
         F.col("card_count").alias("expansion_card_count"),
     )
-    return products.join(expansion, "id_expansion", "left").select(
+    return spread_join(products, expansion, ["id_expansion"], "left", ["id_product"]).select(
         "id_product",
         F.col("name").alias("product_name"),
         "id_expansion",
@@ -191,8 +192,8 @@ def price_report_chain(
 ) -> DataFrame:
     """Price rows with product, expansion and official set (primary mapping) attached.
 
-    The dimensions are joined among themselves first, so the large price side goes
-    through a single join.
+    The dimensions are joined among themselves first, from the smallest up, so the large
+    price side goes through a single join.
     """
     expansion = expansions.select(
         "id_expansion", F.col("name_en").alias("expansion_name_en"),
@@ -208,15 +209,17 @@ def price_report_chain(
         F.col("release_date").alias("_official_release"),
         "printed_total", "total_cards", "secret_card_count", "logo_url", "symbol_url",
     )
-    product = (
-        products.select("id_product", F.col("name").alias("product_name"), "product_group", "id_expansion")
-        .join(expansion, "id_expansion", "left")
-        .join(primary, "id_expansion", "left")
+    era = (
+        expansion.join(primary, "id_expansion", "left")
         .join(official, "tcg_set_id", "left")
         .withColumn("release_date", F.coalesce("_official_release", "_market_release"))
         .withColumn("months_since_release", months_since(F.col("release_date"), as_date(as_of)))
         .drop("_official_release", "_market_release")
     )
+    named = products.select(
+        "id_product", F.col("name").alias("product_name"), "product_group", "id_expansion"
+    )
+    product = spread_join(named, era, ["id_expansion"], "left", ["id_product"])
     facts = prices.select("id_product", "snapshot_date", "trend", "avg30")
     return facts.join(product, "id_product", "left").select(
         "snapshot_date", "id_product", "product_name", "product_group", "trend", "avg30",

@@ -31,6 +31,15 @@ def transform_prices(documents: DataFrame, snapshot_date, created_at=None) -> tu
     return normalize_prices(records, snapshot_date, created_at), price_violations(parsed, records)
 
 
+def latest_date_before(stored: DataFrame, day, recent_days: int = 31) -> datetime.date | None:
+    """Most recent stored date before the day.  The last weeks are looked at first; only if
+    they are empty are older partitions opened."""
+    earlier = stored.filter(F.col("snapshot_date") < day)
+    latest = F.max("snapshot_date")
+    recent = earlier.filter(F.col("snapshot_date") >= F.date_sub(day, recent_days)).agg(latest).first()[0]
+    return recent if recent is not None else earlier.agg(latest).first()[0]
+
+
 def load_day(
     spark: SparkSession, root: str, documents: DataFrame, snapshot_date, run_ts, created_at=None
 ) -> Row:
@@ -51,7 +60,8 @@ def load_day(
     before = stored.filter(F.col("snapshot_date") < day)
     state = before.unionByName(merged)
     products = read_table(spark, root, "products")
-    summary = daily_summary(daily_counts(state, products, snapshot_date)).first()
+    counts = daily_counts(state, products, snapshot_date, latest_date_before(stored, day))
+    summary = daily_summary(counts).first()
     if summary.status == "failed":
         raise LoadFailed(f"no rows for {snapshot_date}")
     write_partitions(merged, root, "price_snapshots")
@@ -78,7 +88,8 @@ def replay(
     if not chosen:
         return spark.createDataFrame([], REPLAY_REPORT)
     files = spark.createDataFrame(chosen, "snapshot_date date, file_name string")
-    parsed = price_documents(read_documents(spark, [f"{archive}/{row.file_name}" for row in chosen]))
+    documents = read_documents(spark, [f"{archive}/{row.file_name}" for row in chosen])
+    parsed = price_documents(parse_archive_names(documents, [PRICE_PREFIX]))
     records = explode_records(parsed)
     problems = (
         price_violations(parsed, records)
@@ -86,9 +97,7 @@ def replay(
         .agg(F.min("reason").alias("reason"))
         .checkpoint()
     )
-    good = parse_archive_names(records, [PRICE_PREFIX]).join(
-        problems.select("file_name"), "file_name", "left_anti"
-    )
+    good = records.join(problems.select("file_name"), "file_name", "left_anti")
     rows = normalize_prices(good, F.col("snapshot_date"))
     dates = [row.snapshot_date for row in chosen]
     stored = read_table(spark, root, "price_snapshots").filter(F.col("snapshot_date").isin(dates))

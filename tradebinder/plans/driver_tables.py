@@ -8,6 +8,8 @@ are in driver_sql.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +51,13 @@ class DriverTables:
             self.price_batch(), ["snapshot_date", "id_product"], "seq", self.PRICE_VALUES
         )
 
+    @cached_property
+    def _last_day(self) -> Column:
+        return self.given("events").select(F.max(F.to_date("ts"))).scalar()
+
     def signal_date(self) -> Column:
         """Latest snapshot date as a scalar subquery over one pruned column."""
-        return self.given("events").select(F.max(F.to_date("ts"))).scalar()
+        return self._last_day
 
     def products(self) -> DataFrame:
         group = F.when(F.col("p_type").isin("PROMO", "STANDARD", "ECONOMY"), "single").otherwise("non_single")

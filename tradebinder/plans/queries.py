@@ -30,7 +30,6 @@ from tradebinder.operators import (
 from tradebinder.plans.driver_tables import FIRST_RUN_TS, RUN_TS, DriverTables
 from tradebinder.session import configure
 from tradebinder.sources import json_files, pages
-from tradebinder.sources.archive import parse_archive_names
 
 _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {}
 CHECK_DATE = "2024-01-20"
@@ -100,8 +99,7 @@ def archive_replay(t: DriverTables) -> DataFrame:
     documents = t.documents()
     canonical = archive.canonical_files(documents.select("file_name")).select("file_name", "snapshot_date")
     parsed = json_files.price_documents(documents.join(canonical, "file_name"))
-    dated = parse_archive_names(json_files.explode_records(parsed))
-    rows = normalize.normalize_prices(dated, F.col("snapshot_date"))
+    rows = normalize.normalize_prices(json_files.explode_records(parsed), F.col("snapshot_date"))
     nothing = rows.filter(F.lit(False)).withColumn("created_at", F.lit(None).cast("timestamp"))
     state = merge.merge_price_snapshots(nothing, rows, RUN_TS)
     return _rounded(
@@ -118,10 +116,9 @@ def archive_replay(t: DriverTables) -> DataFrame:
 def replay_comparison(t: DriverTables) -> DataFrame:
     """Rows per day from replayed documents next to the rows stored for the day."""
     documents = t.documents()
-    canonical = archive.canonical_files(documents.select("file_name")).select("file_name")
+    canonical = archive.canonical_files(documents.select("file_name")).select("file_name", "snapshot_date")
     parsed = json_files.price_documents(documents.join(canonical, "file_name"))
-    dated = parse_archive_names(json_files.explode_records(parsed))
-    rows = normalize.normalize_prices(dated, F.col("snapshot_date"))
+    rows = normalize.normalize_prices(json_files.explode_records(parsed), F.col("snapshot_date"))
     return merge.replay_comparison(rows, t.prices())
 
 

@@ -49,30 +49,40 @@ def _is_list(content: Column) -> Column:
     return F.ltrim(F.regexp_replace(F.substring(content, 1, 64), r"\s+", " ")).startswith("[")
 
 
-def _parsed(documents: DataFrame, records: Column, *extra: Column) -> DataFrame:
-    """One row per document with its records, or the reason why there are none."""
+def _parsed(documents: DataFrame, root: Column, records: Column, **extra: Column) -> DataFrame:
+    """One row per document with its records, or the reason why there are none.
+
+    ``root`` is parsed once into a column of its own that ``records`` and the extra columns
+    pick from; other columns of the documents are kept.
+    """
+    listed = F.when(_is_list(F.col("content")), F.from_json("content", RECORDS))
     problem = (
         F.when(F.col("content").isNull() | F.try_parse_json("content").isNull(), "invalid json")
         .when(F.col("records").isNull(), "no record list")
-        .when(F.size("records") == 0, "zero records")
+        .otherwise("zero records")
+    )
+    others = [c for c in documents.columns if c != "content"]
+    rooted = documents.withColumns(
+        {"_listed": listed, "_root": F.when(~_is_list(F.col("content")), root)}
     )
-    return documents.withColumns(
-        {"records": records, **{f"_extra{i}": c for i, c in enumerate(extra)}}
-    ).withColumn(
-        "problem",
-        F.when(F.col("records").isNull() | (F.size("records") == 0), problem),
+    found = rooted.select(
+        *others,
+        "content",
+        *[column.alias(name) for name, column in extra.items()],
+        F.coalesce("_listed", records).alias("records"),
     )
+    unusable = F.coalesce(F.size("records"), F.lit(0)) < 1
+    return found.withColumn("problem", F.when(unusable, problem)).drop("content")
 
 
 def price_documents(documents: DataFrame) -> DataFrame:
     """(file_name, created_at_text, records, problem) of price-guide documents: a root
     object with ``priceGuides``, or a bare list."""
-    listed = _is_list(F.col("content"))
-    root = F.from_json("content", PRICE_ROOT)
-    records = F.when(listed, F.from_json("content", RECORDS)).otherwise(root["priceGuides"])
-    created = F.when(~listed, root["createdAt"])
-    return _parsed(documents, records, created).select(
-        "file_name", F.col("_extra0").alias("created_at_text"), "records", "problem"
+    return _parsed(
+        documents,
+        F.from_json("content", PRICE_ROOT),
+        F.col("_root.priceGuides"),
+        created_at_text=F.col("_root.createdAt"),
     )
 
 
@@ -80,10 +90,7 @@ def catalog_documents(documents: DataFrame) -> DataFrame:
     """(file_name, records, problem) of catalog documents: a list, or the first list found
     under the known keys."""
     root = F.from_json("content", ", ".join(f"{key} {RECORDS}" for key in CATALOG_KEYS))
-    records = F.when(_is_list(F.col("content")), F.from_json("content", RECORDS)).otherwise(
-        F.coalesce(*[root[key] for key in CATALOG_KEYS])
-    )
-    return _parsed(documents, records).select("file_name", "records", "problem")
+    return _parsed(documents, root, F.coalesce(*[F.col(f"_root.{key}") for key in CATALOG_KEYS]))
 
 
 def lenient_catalog_documents(documents: DataFrame) -> DataFrame:
@@ -93,14 +100,13 @@ def lenient_catalog_documents(documents: DataFrame) -> DataFrame:
     values = F.map_values(F.from_json("content", "map<string,string>"))
     object_lists = F.filter(values, lambda v: v.rlike(r"^\[\s*[{\]]"))
     last_resort = F.from_json(F.get(object_lists, F.lit(0)), RECORDS)
-    records = F.when(_is_list(F.col("content")), F.from_json("content", RECORDS)).otherwise(
-        F.coalesce(*[root[key] for key in LENIENT_KEYS], last_resort)
-    )
-    return _parsed(documents, records).select("file_name", "records", "problem")
+    known = [F.col(f"_root.{key}") for key in LENIENT_KEYS]
+    return _parsed(documents, root, F.coalesce(*known, last_resort))
 
 
 def explode_records(parsed: DataFrame) -> DataFrame:
-    """One row per record, in document order (record_index from 0)."""
+    """One row per record, in document order (record_index from 0).  Columns of the
+    document (for example its snapshot_date) are repeated on every record."""
     others = [c for c in parsed.columns if c not in ("records", "problem")]
     return parsed.select(*others, F.posexplode("records").alias("record_index", "record"))
 

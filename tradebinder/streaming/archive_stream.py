@@ -36,10 +36,11 @@ def load_arrived(documents: DataFrame, archive: str, root: str, run_ts) -> None:
     with violations, is left out."""
     spark = documents.sparkSession
     current = canonical_files(archive_listing(spark, archive), [PRICE_PREFIX]).select("file_name")
-    parsed = price_documents(documents.join(current, "file_name", "left_semi"))
+    named = parse_archive_names(documents, [PRICE_PREFIX])
+    parsed = price_documents(named.join(current, "file_name", "left_semi"))
     records = explode_records(parsed)
     bad = price_violations(parsed, records).select("file_name").distinct()
-    good = parse_archive_names(records, [PRICE_PREFIX]).join(bad, "file_name", "left_anti")
+    good = records.join(bad, "file_name", "left_anti")
     rows = normalize_prices(good, F.col("snapshot_date"))
     # One value per calendar day in the batch: it limits the target to these partitions.
     dates = [r.snapshot_date for r in rows.select("snapshot_date").distinct().collect()]
