@@ -84,7 +84,8 @@ def test_violation_names_record_and_keeps_it(spark):
 
 def test_one_bad_file_does_not_hide_the_others(spark):
     parsed = json_files.price_documents(documents(spark, [{"idProduct": 1}], "broken"))
-    outcomes = archive.file_outcomes(parsed, ["f0.json", "f1.json", "f2.json"])
+    expected = spark.createDataFrame([("f0.json",), ("f1.json",), ("f2.json",)], "file_name string")
+    outcomes = archive.file_outcomes(parsed, expected)
     assert {r.file_name: r.outcome for r in outcomes.collect()} == {
         "f0.json": "ok", "f1.json": "invalid json", "f2.json": "missing",
     }

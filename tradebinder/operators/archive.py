@@ -78,12 +78,10 @@ def archive_gaps(listing: DataFrame, prefixes: list[str] | None = None) -> DataF
     return expected.join(days, ["prefix", "snapshot_date"], "left_anti")
 
 
-def file_outcomes(parsed: DataFrame, expected: list[str]) -> DataFrame:
+def file_outcomes(parsed: DataFrame, expected: DataFrame) -> DataFrame:
     """(file_name, outcome) per expected file: ok, missing, or the reason it is unusable.
     Files are judged one by one; a bad one never hides the others."""
-    spark = parsed.sparkSession
-    wanted = spark.createDataFrame([(name,) for name in expected], "file_name string")
     found = parsed.select("file_name", F.coalesce("problem", F.lit("ok")).alias("outcome"))
-    return wanted.join(found, "file_name", "left").select(
+    return expected.select("file_name").join(found, "file_name", "left").select(
         "file_name", F.coalesce("outcome", F.lit("missing")).alias("outcome")
     )

@@ -83,7 +83,10 @@ SELECT c_custkey AS import_row_id, c_mktsegment AS import_batch_id, c_custkey AS
          CASE WHEN c_nationkey = 12 OR (c_nationkey <> 13 AND FLOOR(c_acctbal) < 0) THEN 'Invalid purchase price' END,
          CASE WHEN c_nationkey = 14 THEN 'Invalid purchase date' END,
          CASE WHEN c_nationkey = 6 THEN 'Unknown condition value' END,
-         CASE WHEN c_nationkey = 5 THEN 'Unknown language value' END) AS field_error
+         CASE WHEN c_nationkey = 5 THEN 'Unknown language value' END) AS field_error,
+       CONCAT_WS('; ',
+         CASE WHEN c_nationkey >= 8 AND (c_nationkey = 10 OR (c_nationkey <> 9 AND name IS NULL)) THEN 'Missing product name and product ID' END,
+         CASE WHEN c_nationkey = 12 OR (c_nationkey <> 13 AND FLOOR(c_acctbal) < 0) THEN 'Invalid purchase price' END) AS lasting_error
 FROM customer LEFT JOIN (SELECT id_product, name FROM products) p ON id_product = c_custkey""",
     "imported": """
 SELECT DISTINCT CONCAT('ext-', CAST(CAST(FLOOR(s_acctbal / 100) AS BIGINT) AS VARCHAR)) AS external_id FROM supplier""",
@@ -93,7 +96,7 @@ SELECT import_row_id, CASE WHEN i.external_id IS NOT NULL THEN 'External id alre
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY import_batch_id, external_id ORDER BY record_index) AS rn
       FROM staging WHERE external_id IS NOT NULL) s LEFT JOIN imported i ON i.external_id = s.external_id""",
     "matched": """
-SELECT s.*, CASE WHEN provided_id_product IS NOT NULL THEN provided_id_product WHEN hits = 1 THEN named_id END AS matched_id_product,
+SELECT s.*, duplicate_error, CASE WHEN provided_id_product IS NOT NULL THEN provided_id_product WHEN hits = 1 THEN named_id END AS matched_id_product,
        CASE WHEN provided_id_product IS NOT NULL THEN CASE WHEN k.id_product IS NOT NULL THEN 'ready_to_import' ELSE 'waiting_for_product' END
             WHEN hits = 1 THEN 'ready_to_import' ELSE 'needs_review' END AS found_status,
        CASE WHEN provided_id_product IS NOT NULL THEN CASE WHEN k.id_product IS NOT NULL THEN 1.0::DOUBLE END
@@ -412,10 +415,10 @@ def oracle() -> dict[str, str]:
             AND NOT EXISTS (SELECT 1 FROM expansions e WHERE e.id_expansion = p.id_expansion)""",
         "products_without_expansion": """SELECT id_product, name AS product_name, id_expansion FROM products p WHERE id_expansion IS NOT NULL
             AND NOT EXISTS (SELECT 1 FROM expansions e WHERE e.id_expansion = p.id_expansion)""",
-        "expansion_coverage": """SELECT DISTINCT id_expansion, 'catalog_only' AS side FROM products p WHERE product_group = 'single' AND id_expansion IS NOT NULL
+        "expansion_coverage": """SELECT DISTINCT id_expansion, 'catalog_only' AS side FROM products p WHERE id_expansion IS NOT NULL
             AND NOT EXISTS (SELECT 1 FROM expansions e WHERE e.id_expansion = p.id_expansion)
             UNION ALL SELECT id_expansion, 'reference_only' FROM expansions e
-            WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.id_expansion = e.id_expansion AND product_group = 'single')""",
+            WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.id_expansion = e.id_expansion)""",
         "expansion_seed": """SELECT id_expansion, n AS detected_product_count, id_product AS sample_id_product, name AS sample_product_name, source_file
             FROM (SELECT *, COUNT(*) OVER (PARTITION BY id_expansion) AS n,
                          ROW_NUMBER() OVER (PARTITION BY id_expansion ORDER BY source_file, id_product) AS rn
@@ -528,6 +531,11 @@ def oracle() -> dict[str, str]:
               WHERE NOT EXISTS (SELECT 1 FROM products p WHERE p.id_product = i.id_product)
             UNION ALL SELECT 'prices.key', CONCAT_WS('~', CAST(snapshot_date AS VARCHAR), CAST(id_product AS VARCHAR)), CAST(COUNT(*) AS VARCHAR)
               FROM price_batch GROUP BY snapshot_date, id_product HAVING COUNT(*) > 1
+            UNION ALL SELECT 'staging.match_status', CAST(c_custkey AS VARCHAR), LOWER(c_mktsegment) FROM customer
+            UNION ALL SELECT 'staging.match_confidence', CAST(import_row_id AS VARCHAR), CAST(purchase_price / 1000 AS VARCHAR) FROM staging
+              WHERE purchase_price < 0 OR purchase_price > 1000
+            UNION ALL SELECT 'items.key', CAST(collection_item_id AS VARCHAR), CAST(COUNT(*) AS VARCHAR) FROM items
+              GROUP BY collection_item_id HAVING COUNT(*) > 1
             UNION ALL SELECT 'watchlist.active', CAST(w AS VARCHAR), CAST(COUNT(*) AS VARCHAR) FROM (
               SELECT CAST(FLOOR(CAST(FLOOR(s_suppkey * 1.5::DOUBLE) AS BIGINT) * 14 / 28.0::DOUBLE) AS BIGINT) AS w FROM supplier WHERE s_acctbal > 0) x
               GROUP BY w HAVING COUNT(*) > 1""",
@@ -536,6 +544,7 @@ def oracle() -> dict[str, str]:
                          TRIM(regexp_replace(UNNEST(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 2)), '\\s+', ' ', 'g')) AS link_text
                   FROM pages) t GROUP BY href, link_text""",
     }
+    sql.update(_more())
     queries = {name: _sql(body) for name, body in sql.items()}
     queries["recheck_waiting"] = _sql(
         """SELECT import_row_id, matched_id_product,
@@ -545,3 +554,86 @@ def oracle() -> dict[str, str]:
         catalog="known_products",
     )
     return queries
+
+
+def _view(signal: str) -> str:
+    return f"""SELECT signal_date, s.id_product, name, product_group, collection_item_id, ROUND(signal_value, 4) AS signal_value, signal_strength,
+        lookback_days, ROUND(reference_value, 4) AS reference_value, ROUND(current_value, 4) AS current_value
+        FROM {signal} s LEFT JOIN products p ON p.id_product = s.id_product"""
+
+
+def _more() -> dict[str, str]:
+    """Twins of the source-format queries and of the remaining views."""
+    strict = "('STANDARD', 'PROMO', 'ECONOMY', 'SMALL')"
+    part_file = "CONCAT('products_', LOWER(p_type), '_6_', CAST(p_partkey AS VARCHAR))"
+    release = "(DATE '1999-01-01' + CAST(FLOOR(c_acctbal) AS INTEGER))"
+    return {
+        "card_links": """SELECT card_name, 'Whole site' AS set_name, set_code, '7/9' AS card_number, MIN(url) AS url FROM (
+            SELECT *, ROW_NUMBER() OVER (PARTITION BY page_id, url ORDER BY pos DESC) AS rn FROM (
+              SELECT page_id, pos, CONCAT('PG', CAST(page_id AS VARCHAR)) AS set_code, TRIM(regexp_replace(link_text, '\\s+', ' ', 'g')) AS card_name,
+                     CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+                          WHEN starts_with(href, '/') THEN CONCAT(regexp_extract(page_url, '^([a-zA-Z]+://[^/?#]+)', 1), href)
+                          ELSE CONCAT(regexp_extract(page_url, '^([a-zA-Z]+://[^?#]*/)', 1), href) END AS url
+              FROM (SELECT page_id, url AS page_url, UNNEST(generate_series(1, len(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 1)))) AS pos,
+                           UNNEST(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 1)) AS href,
+                           UNNEST(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 2)) AS link_text FROM pages) l
+              WHERE contains(href, '/')) u) r WHERE rn = 1 GROUP BY page_id, url, card_name, set_code""",
+        "catalog_rows": f"""SELECT p_partkey AS id_product, CASE WHEN p_size = 2 THEN '' WHEN p_size <> 1 THEN p_name END AS name, p_type AS category_name,
+            CASE WHEN p_size <> 3 THEN p_partkey END AS id_category, CAST(FLOOR(p_partkey / 19.0::DOUBLE) AS BIGINT) AS id_expansion,
+            CAST(p_size AS BIGINT) AS id_metacard, CASE WHEN p_size <> 4 THEN DATE '2024-01-02' END AS date_added,
+            'single' AS product_group, 'products_singles_6.json' AS source_file FROM part WHERE p_type IN {strict}""",
+        "catalog_violations": f"""SELECT {part_file} AS file_name, CASE WHEN p_type IN {strict} THEN CAST(0 AS BIGINT) END AS record_index,
+            CASE WHEN p_type IN {strict} THEN 'missing name' ELSE 'no record list' END AS reason
+            FROM part WHERE p_type NOT IN {strict} OR p_size IN (1, 2)""",
+        "date_added_warnings": f"SELECT {part_file} AS file_name FROM part WHERE p_type IN {strict} AND p_size = 4",
+        "lenient_expansion_seed": f"""SELECT id_expansion, n AS detected_product_count, CAST(p_partkey AS VARCHAR) AS sample_id_product,
+            CASE WHEN p_size = 2 THEN '' WHEN p_size <> 1 THEN p_name END AS sample_product_name, file_name AS source_file FROM (
+            SELECT *, COUNT(*) OVER (PARTITION BY id_expansion) AS n, ROW_NUMBER() OVER (PARTITION BY id_expansion ORDER BY file_name) AS rn
+            FROM (SELECT *, CAST(FLOOR(p_partkey / 19.0::DOUBLE) AS BIGINT) AS id_expansion, {part_file} AS file_name FROM part) f) t WHERE rn = 1""",
+        "set_rows": f"""SELECT CONCAT('set', CAST(c_custkey AS VARCHAR)) AS tcg_set_id, c_name AS name_en, c_mktsegment AS series_en,
+            CASE WHEN c_nationkey <> 2 THEN CONCAT('C', CAST(c_custkey AS VARCHAR)) END AS ptcgo_code,
+            CASE WHEN c_nationkey <> 3 THEN {release} END AS release_date, CASE WHEN c_nationkey <> 1 THEN printed END AS printed_total,
+            printed + c_nationkey - 4 AS total_cards, CASE WHEN c_nationkey <> 1 THEN CAST(GREATEST(c_nationkey - 4, 0) AS BIGINT) END AS secret_card_count,
+            CASE WHEN c_nationkey > 9 THEN '{{{{"standard":"Legal"}}}}' ELSE '{{{{}}}}' END AS legalities,
+            CASE WHEN c_nationkey <> 4 THEN 'sym' END AS symbol_url, CASE WHEN c_nationkey <> 4 THEN c_name END AS logo_url,
+            {release} + TIME '13:45:00' AS source_updated_at, TRUE AS is_active,
+            CASE WHEN c_nationkey < 4 AND c_nationkey <> 1
+                 THEN 'Source has total_cards lower than printed_total; secret_card_count was normalized to 0.' ELSE '' END AS notes
+            FROM (SELECT *, CAST(FLOOR(ABS(c_acctbal) / 50) AS BIGINT) AS printed FROM customer) c""".replace("{{", "{").replace("}}", "}"),
+        "expansion_rows": """SELECT s_suppkey AS id_expansion, s_name AS name_en, CASE WHEN s_nationkey <> 3 THEN s_name END AS name_de,
+            CASE WHEN s_nationkey <> 4 THEN CONCAT('V-', CAST(s_suppkey AS VARCHAR)) END AS slug,
+            CASE WHEN s_nationkey <> 5 THEN DATE '2020-01-01' + s_nationkey END AS release_date,
+            CASE WHEN s_nationkey <> 6 THEN CAST(FLOOR(ABS(s_acctbal)) AS BIGINT) END AS card_count, s_nationkey NOT IN (1, 2) AS is_active FROM supplier""",
+        "expansion_metadata_errors": """SELECT s_suppkey + 2 AS line_number, CAST(s_suppkey AS VARCHAR) AS id_expansion, 'name_de is empty' AS error
+            FROM supplier WHERE s_nationkey = 3""",
+        "expansion_file_integrity": """SELECT 'name_de filled' AS rule, CONCAT(' ', CAST(s_suppkey AS VARCHAR), ' ') AS value FROM supplier WHERE s_nationkey = 3
+            UNION ALL SELECT 'column present', UNNEST(['series_en', 'series_de', 'source_url_en', 'source_url_de'])""",
+        "staged_rows": """SELECT sha256(CONCAT_WS('~', 'upload-1', CAST(c_custkey AS VARCHAR))) AS import_row_id, 'upload-1' AS import_batch_id,
+            c_custkey AS record_index, CASE WHEN c_nationkey <> 1 THEN c_name END AS external_id,
+            CASE WHEN c_nationkey < 12 THEN CAST(c_custkey * 2 AS VARCHAR) END AS provided_id_product, c_mktsegment AS raw_product_name,
+            CASE WHEN c_nationkey IN (2, 3) THEN 'DE' ELSE 'FR' END AS language, 'Near Mint' AS condition, 'pulled' AS acquisition_type,
+            CASE WHEN c_nationkey <> 4 THEN CAST(CAST(FLOOR(c_acctbal) AS BIGINT) AS VARCHAR) END AS purchase_price FROM customer""",
+        "file_outcomes": """SELECT CAST(o_orderkey AS VARCHAR) AS file_name, CASE WHEN event_id IS NULL THEN 'missing' WHEN event_type = 'error' THEN 'invalid json'
+            WHEN event_type = 'click' THEN 'zero records' ELSE 'ok' END AS outcome FROM orders LEFT JOIN events ON event_id = o_orderkey""",
+        "archive_names": "SELECT file_name, prefix, snapshot_date, rerun, file_name AS rebuilt FROM listing",
+        "pipeline_dates": """SELECT o_orderkey, CAST((o_orderdate + to_hours(CAST(o_custkey % 24 AS INTEGER))) AT TIME ZONE 'UTC' AT TIME ZONE 'Europe/Vienna' AS DATE) AS local_date
+            FROM orders""",
+        "merge_sets_state": """SELECT tcg_set_id, CASE WHEN printed_total >= 60 THEN UPPER(name_en) ELSE name_en END AS name_en, release_date,
+            CASE WHEN printed_total >= 60 THEN TRUE ELSE is_active END AS is_active,
+            CASE WHEN printed_total <= 120 THEN DATE '2024-01-25' ELSE DATE '2024-02-01' END AS created,
+            CASE WHEN printed_total >= 60 THEN DATE '2024-02-01' ELSE DATE '2024-01-25' END AS updated FROM sets""",
+        "merge_expansions_state": """SELECT id_expansion, CASE WHEN card_count >= 3000 THEN UPPER(name_en) ELSE name_en END AS name_en, series_en, is_active,
+            CASE WHEN card_count <= 6000 THEN DATE '2024-01-25' ELSE DATE '2024-02-01' END AS created,
+            CASE WHEN card_count >= 3000 THEN DATE '2024-02-01' ELSE DATE '2024-01-25' END AS updated FROM expansions""",
+        "set_counts": """SELECT COUNT(*) AS total_sets, COUNT(*) FILTER (WHERE is_active) AS active_sets, COUNT(*) FILTER (WHERE NOT is_active) AS inactive_sets,
+            COUNT(*) FILTER (WHERE release_date IS NULL) AS rows_missing_created_at,
+            COUNT(*) FILTER (WHERE release_date IS NULL OR NOT is_active) AS rows_missing_updated_at FROM sets""",
+        "staging_re_evaluated": """SELECT import_row_id, 'FR' AS language, DATE '2024-02-29' AS purchase_date,
+            CASE WHEN left_over IS NOT NULL THEN 'error' ELSE found_status END AS match_status, COALESCE(left_over, found_message) AS error_message
+            FROM (SELECT *, NULLIF(CONCAT_WS('; ', NULLIF(lasting_error, ''), duplicate_error), '') AS left_over
+                  FROM judged WHERE match_status IN ('needs_review', 'error')) j""",
+        "recent_price_spikes": _view("spike_signal"),
+        "new_products": _view("new_signal"),
+        "collection_gains": _view("item_signal") + " WHERE signal_type = 'collection_gain'",
+        "collection_losses": _view("item_signal") + " WHERE signal_type = 'collection_loss'",
+    }

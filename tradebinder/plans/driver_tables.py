@@ -259,3 +259,92 @@ class DriverTables:
             rerun, F.lit(".json"),
         )
         return self.given("events").select(name.alias("file_name"), F.to_json(root).alias("content"))
+
+    def raw_expansions(self) -> DataFrame:
+        """Curated expansion file as text cells, with blanks and loose spellings."""
+        nation, number = F.col("s_nationkey"), F.col("s_suppkey").cast("string")
+        return self.given("supplier").select(
+            (F.col("s_suppkey") + 2).alias("line_number"),
+            F.concat(F.lit(" "), number, F.lit(" ")).alias("id_expansion"),
+            F.concat(F.lit("\t"), "s_name", F.lit(" ")).alias("name_en"),
+            F.when(nation == 3, "  ").otherwise(F.col("s_name")).alias("name_de"),
+            F.when(nation == 4, "").otherwise(F.concat(F.lit("V-"), number)).alias("slug"),
+            F.when(nation == 5, " ").otherwise(F.concat(F.lit("2020-01-"), F.lpad((nation + 1).cast("string"), 2, "0"))).alias(
+                "release_date"
+            ),
+            F.when(nation == 6, "")
+            .otherwise(F.concat(F.lit(" "), F.floor(F.abs("s_acctbal")).cast("string")))
+            .alias("card_count"),
+            F.when(nation == 0, "yes")
+            .when(nation == 1, "NO")
+            .when(nation == 2, " 0 ")
+            .when(nation == 3, "maybe")
+            .when(nation == 4, "")
+            .when(nation != 5, "true")
+            .alias("is_active"),
+        )
+
+    def catalog_files(self) -> DataFrame:
+        """Catalog documents, one per part; the root and the field names depend on its type."""
+        kind, size = F.col("p_type"), F.col("p_size")
+        name = F.when(size == 2, "").when(size != 1, F.col("p_name"))
+        category = F.when(size == 3, "").otherwise(F.col("p_partkey").cast("string"))
+        expansion = F.floor(F.col("p_partkey") / 19.0).cast("bigint")
+        usual = F.to_json(
+            F.struct(
+                F.col("p_partkey").alias("idProduct"), name.alias("name"), category.alias("idCategory"),
+                kind.alias("categoryName"), expansion.alias("idExpansion"), size.alias("idMetacard"),
+                F.when(size == 4, "soon").otherwise("2024-01-02 03:04:05").alias("dateAdded"),
+            )
+        )
+        other = F.to_json(
+            F.struct(F.col("p_partkey").alias("productId"), name.alias("Name"), expansion.alias("expansionId"))
+        )
+        content = (
+            F.when(kind == "STANDARD", F.concat(F.lit("["), usual, F.lit("]")))
+            .when(kind == "PROMO", F.concat(F.lit('{"products":['), usual, F.lit("]}")))
+            .when(kind == "ECONOMY", F.concat(F.lit('{"data":['), usual, F.lit("]}")))
+            .when(kind == "SMALL", F.concat(F.lit('{"products":"none","items":['), usual, F.lit("]}")))
+            .when(kind == "MEDIUM", F.concat(F.lit('{"productList":['), usual, F.lit("]}")))
+            .otherwise(F.concat(F.lit('{"meta":{"a":1},"stuff":['), other, F.lit("]}")))
+        )
+        name_of_file = F.concat(F.lit("products_"), F.lower("p_type"), F.lit("_6_"), F.col("p_partkey").cast("string"))
+        return self.given("part").select(name_of_file.alias("file_name"), content.alias("content"))
+
+    def set_files(self) -> DataFrame:
+        """Set documents, one per customer."""
+        nation = F.col("c_nationkey")
+        printed = F.floor(F.abs("c_acctbal") / 50).cast("int")
+        legal = F.when(nation > 9, F.create_map(F.lit("standard"), F.lit("Legal")))
+        record = F.struct(
+            F.concat(F.lit("set"), F.col("c_custkey").cast("string")).alias("id"),
+            F.col("c_name").alias("name"),
+            F.col("c_mktsegment").alias("series"),
+            F.when(nation != 1, printed).alias("printedTotal"),
+            (printed + nation - 4).alias("total"),
+            legal.alias("legalities"),
+            F.when(nation != 2, F.concat(F.lit("C"), F.col("c_custkey").cast("string"))).alias("ptcgoCode"),
+            F.when(nation == 3, "").otherwise(F.date_format(self._release("c_acctbal"), "yyyy/MM/dd")).alias("releaseDate"),
+            F.date_format(self._release("c_acctbal"), "yyyy/MM/dd 13:45:00").alias("updatedAt"),
+            F.when(nation != 4, F.struct(F.lit("sym").alias("symbol"), F.col("c_name").alias("logo"))).alias("images"),
+        )
+        return self.given("customer").select(
+            F.col("c_name").alias("file_name"), F.to_json(F.array(record)).alias("content")
+        )
+
+    def upload(self) -> DataFrame:
+        """An uploaded collection file: five of the known columns, as text."""
+        nation = F.col("c_nationkey")
+        return self.given("customer").select(
+            F.col("c_custkey").alias("record_index"),
+            F.when(nation == 1, " ").otherwise(F.col("c_name")).alias("externalId"),
+            F.when(nation < 12, (F.col("c_custkey") * 2).cast("string")).alias("providedIdProduct"),
+            F.col("c_mktsegment").alias("rawProductName"),
+            F.when(nation == 2, "").when(nation != 3, "FR").alias("language"),
+            F.when(nation != 4, F.floor("c_acctbal").cast("string")).alias("purchasePrice"),
+        )
+
+    def card_pages(self) -> DataFrame:
+        """The pages with a card suffix behind every link text."""
+        suffix = F.concat(F.lit(" (PG"), F.col("page_id").cast("string"), F.lit(" 7/9) new</a>"))
+        return self.given("pages").withColumn("html", F.replace("html", F.lit("</a>"), suffix))

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tradebinder.functions.dates import zone_date
+from tradebinder.functions.dates import archive_name, pipeline_date, zone_date
 from tradebinder.functions.text import matching_name
 from tradebinder.operators import (
     archive,
@@ -27,9 +27,11 @@ from tradebinder.operators import (
     valuation,
     views,
 )
+from tradebinder.plans.catalog import date_added_warnings as date_warnings
 from tradebinder.plans.driver_tables import FIRST_RUN_TS, RUN_TS, DriverTables
 from tradebinder.session import configure
-from tradebinder.sources import json_files, pages
+from tradebinder.sources import csv_files, json_files, pages
+from tradebinder.sources.archive import parse_archive_names
 
 _QUERIES: dict[str, Callable[[DriverTables], DataFrame]] = {}
 CHECK_DATE = "2024-01-20"
@@ -330,8 +332,7 @@ def products_without_expansion(t: DriverTables) -> DataFrame:
 
 @query
 def expansion_coverage(t: DriverTables) -> DataFrame:
-    singles = t.products().filter("product_group = 'single'")
-    return checks.expansion_coverage(singles, t.expansions())
+    return checks.expansion_coverage(t.products(), t.expansions())
 
 
 @query
@@ -556,9 +557,7 @@ def all_signals(t: DriverTables) -> DataFrame:
 
 @query
 def top_growth(t: DriverTables) -> DataFrame:
-    rows = signals.signal_view(_all_signals(t), t.products(), signals.SIGNAL_VIEWS["top_growth_products"])
-    money = _rounded(rows, "signal_value", "reference_value", "current_value")
-    return _longs(money, "lookback_days")
+    return _signal_view(t, "top_growth_products")
 
 
 # --- collection import -------------------------------------------------------------
@@ -672,6 +671,13 @@ def constraint_violations(t: DriverTables) -> DataFrame:
         constraints.unique_violations(
             t.price_batch(), "prices.key", ["snapshot_date", "id_product"]
         ),
+        constraints.rule_violations(
+            t.staging().withColumns(
+                {"match_status": F.lower("import_batch_id"), "match_confidence": F.col("purchase_price").try_cast("double") / 1000}
+            ),
+            "import_row_id", constraints.staging_rules(),
+        ),
+        constraints.unique_violations(t.items(), "items.key", ["collection_item_id"]),
         constraints.active_watch_violations(
             t.watchlist().withColumn("id_product", F.floor(F.col("id_product") / 28).cast("bigint"))
         ),
@@ -687,5 +693,188 @@ def page_links(t: DriverTables) -> DataFrame:
     return pages.distinct_links(pages.page_links(t.given("pages")))
 
 
+@query
+def card_links(t: DriverTables) -> DataFrame:
+    """Cards in links below the site root, over the pages with a card suffix."""
+    return pages.card_links(t.card_pages(), "/", "Whole site").drop("place")
+
+
+# --- source formats ----------------------------------------------------------------
+
+
+@query
+def catalog_rows(t: DriverTables) -> DataFrame:
+    records = json_files.explode_records(json_files.catalog_documents(t.catalog_files()))
+    rows = normalize.normalize_catalog(records, "products_singles_6.json")
+    return rows.withColumn("date_added", F.to_date("date_added")).drop("record_index")
+
+
+@query
+def catalog_violations(t: DriverTables) -> DataFrame:
+    parsed = json_files.catalog_documents(t.catalog_files())
+    found = validate.catalog_violations(
+        parsed, json_files.explode_records(parsed), "products_singles_6.json"
+    )
+    return found.select("file_name", F.col("record_index").cast("bigint").alias("record_index"), "reason")
+
+
+@query
+def date_added_warnings(t: DriverTables) -> DataFrame:
+    records = json_files.explode_records(json_files.catalog_documents(t.catalog_files()))
+    return date_warnings(records).select("file_name")
+
+
+@query
+def lenient_expansion_seed(t: DriverTables) -> DataFrame:
+    records = json_files.explode_records(json_files.lenient_catalog_documents(t.catalog_files()))
+    return checks.expansion_seed(normalize.lenient_products(records))
+
+
+@query
+def set_rows(t: DriverTables) -> DataFrame:
+    rows = normalize.normalize_sets(json_files.set_documents(t.set_files()))
+    return _longs(rows, "printed_total", "total_cards", "secret_card_count")
+
+
+@query
+def expansion_rows(t: DriverTables) -> DataFrame:
+    rows = normalize.normalize_expansions(t.raw_expansions())
+    kept = ["id_expansion", "name_en", "name_de", "slug", "release_date", "card_count", "is_active"]
+    return _longs(rows.select(*kept), "card_count")
+
+
+@query
+def expansion_metadata_errors(t: DriverTables) -> DataFrame:
+    return validate.expansion_metadata_errors(t.raw_expansions())
+
+
+@query
+def expansion_file_integrity(t: DriverTables) -> DataFrame:
+    return validate.expansion_file_integrity(t.raw_expansions())
+
+
+@query
+def staged_rows(t: DriverTables) -> DataFrame:
+    return csv_files.stage_collection(t.upload(), "upload-1").drop(
+        "purchase_date", "is_sealed", "storage_location", "personal_note"
+    )
+
+
+@query
+def file_outcomes(t: DriverTables) -> DataFrame:
+    """Payload files that are expected under the keys of the orders."""
+    documents = t.given("events").select(
+        F.col("event_id").cast("string").alias("file_name"),
+        F.when(F.col("event_type") == "error", F.lit("{"))
+        .when(F.col("event_type") == "click", F.lit('{"priceGuides": []}'))
+        .otherwise(F.concat(F.lit("["), "props", F.lit("]")))
+        .alias("content"),
+    )
+    expected = t.given("orders").select(F.col("o_orderkey").cast("string").alias("file_name"))
+    return archive.file_outcomes(json_files.price_documents(documents), expected)
+
+
+@query
+def archive_names(t: DriverTables) -> DataFrame:
+    """File names taken apart and built again."""
+    parsed = parse_archive_names(t.listing())
+    rebuilt = archive_name(F.col("prefix"), F.col("snapshot_date"), F.col("rerun"))
+    return _longs(parsed.withColumn("rebuilt", rebuilt), "rerun")
+
+
+@query
+def pipeline_dates(t: DriverTables) -> DataFrame:
+    """Local calendar date of order instants spread over the hours of the day."""
+    hours = F.make_dt_interval(F.lit(0), (F.col("o_custkey") % 24).cast("int"))
+    instants = t.given("orders").select(
+        "o_orderkey", (F.col("o_orderdate").cast("timestamp") + hours).alias("at")
+    )
+    return instants.select("o_orderkey", pipeline_date(instants, "at").alias("local_date"))
+
+
+@query
+def merge_sets_state(t: DriverTables) -> DataFrame:
+    """Sets up to 120 printed cards are known; the batch renames those from 60 cards on."""
+    text = F.lit(None).cast("string")
+    full = t.sets().withColumns(
+        {
+            "legalities": text, "notes": text, "source_updated_at": F.lit(None).cast("timestamp_ntz"),
+            "record_index": F.lit(0).cast("bigint"),
+        }
+    )
+    first = F.lit(FIRST_RUN_TS).cast("timestamp")
+    target = full.filter("printed_total <= 120").withColumns({"created_at": first, "updated_at": first})
+    batch = full.filter("printed_total >= 60").withColumns(
+        {"name_en": F.upper("name_en"), "is_active": F.nullif("is_active", F.lit(False))}
+    )
+    state = merge.merge_sets(target, batch, RUN_TS)
+    return state.select(
+        "tcg_set_id", "name_en", "release_date", "is_active",
+        F.to_date("created_at").alias("created"), F.to_date("updated_at").alias("updated"),
+    )
+
+
+@query
+def merge_expansions_state(t: DriverTables) -> DataFrame:
+    """Expansions up to 6000 cards are known; the batch renames those from 3000 cards on."""
+    text = F.lit(None).cast("string")
+    full = t.expansions().withColumns(
+        {"source_url_en": text, "source_url_de": text, "notes": text, "record_index": F.lit(0).cast("bigint")}
+    )
+    first = F.lit(FIRST_RUN_TS).cast("timestamp")
+    target = full.filter("card_count <= 6000").withColumns({"created_at": first, "updated_at": first})
+    batch = full.filter("card_count >= 3000").withColumn("name_en", F.upper("name_en"))
+    state = merge.merge_expansions(target, batch, RUN_TS)
+    return state.select(
+        "id_expansion", "name_en", "series_en", "is_active",
+        F.to_date("created_at").alias("created"), F.to_date("updated_at").alias("updated"),
+    )
+
+
+@query
+def set_counts(t: DriverTables) -> DataFrame:
+    stamped = t.sets().withColumns(
+        {"created_at": F.col("release_date"), "updated_at": F.when(F.col("is_active"), F.col("release_date"))}
+    )
+    return checks.set_counts(stamped)
+
+
+@query
+def staging_re_evaluated(t: DriverTables) -> DataFrame:
+    """Open rows after every condition, language and date was corrected."""
+    matched = matching.match_staging(t.staging(), t.products(), t.imported())
+    corrected = t.staging().join(matched.select("import_row_id", "match_status"), "import_row_id").withColumns(
+        {"condition": F.lit("Good"), "language": F.lit("FR"), "purchase_date": F.lit("2024-02-29")}
+    )
+    rows = matching.re_evaluate(corrected, t.products(), t.imported())
+    return rows.select("import_row_id", "language", "purchase_date", "match_status", "error_message")
+
+
+def _signal_view(t: DriverTables, view: str) -> DataFrame:
+    rows = signals.signal_view(_all_signals(t), t.products(), signals.SIGNAL_VIEWS[view])
+    money = _rounded(rows, "signal_value", "reference_value", "current_value")
+    return _longs(money, "lookback_days")
+
+
+@query
+def recent_price_spikes(t: DriverTables) -> DataFrame:
+    return _signal_view(t, "recent_price_spikes")
+
+
+@query
+def new_products(t: DriverTables) -> DataFrame:
+    return _signal_view(t, "new_products")
+
+
+@query
+def collection_gains(t: DriverTables) -> DataFrame:
+    return _signal_view(t, "collection_gains")
+
+
+@query
+def collection_losses(t: DriverTables) -> DataFrame:
+    return _signal_view(t, "collection_losses")
+
+
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return registered()["latest_prices"](spark, folder)
