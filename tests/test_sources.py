@@ -70,7 +70,7 @@ def test_bare_list_is_accepted(spark):
 )
 def test_price_violations(spark, content, reason):
     parsed = json_files.price_documents(documents(spark, content))
-    found = validate.price_violations(parsed, json_files.explode_records(parsed))
+    found = validate.violations(validate.judged_prices(parsed))
     assert [r.reason for r in found.collect()] == [reason]
     with pytest.raises(validate.ValidationError, match=reason):
         validate.raise_on_violations(found)
@@ -78,7 +78,7 @@ def test_price_violations(spark, content, reason):
 
 def test_violation_names_record_and_keeps_it(spark):
     parsed = json_files.price_documents(documents(spark, [{"idProduct": 0}, {"low": 2}]))
-    row = validate.price_violations(parsed, json_files.explode_records(parsed)).first()
+    row = validate.violations(validate.judged_prices(parsed)).first()
     assert row.record_index == 1 and json.loads(row.raw) == {"low": "2"}
 
 
@@ -110,12 +110,14 @@ def test_catalog_violations_and_unknown_file(spark):
     content = [{"idProduct": 1}, {"name": "x"}, {"idProduct": 2, "name": ""}, {"idProduct": 3, "name": "ok"}]
     parsed = json_files.catalog_documents(documents(spark, content))
     records = json_files.explode_records(parsed)
-    found = validate.catalog_violations(parsed, records, "products_singles_6.json")
+    judged = validate.judged_catalog(parsed, "products_singles_6.json")
+    found = validate.violations(judged)
+    assert [r.record_index for r in validate.good_rows(judged).collect()] == [3]
     assert sorted((r.record_index, r.reason) for r in found.collect()) == [
         (0, "missing name"), (1, "missing idProduct"), (2, "missing name"),
     ]
     with pytest.raises(ValueError):
-        validate.catalog_violations(parsed, records, "other.json")
+        validate.judged_catalog(parsed, "other.json")
     with pytest.raises(ValueError):
         normalize.normalize_catalog(records, "other.json")
 

@@ -39,6 +39,11 @@ SET_ANOMALY_NOTE = (
 )
 
 
+def _carried(records: DataFrame) -> list[str]:
+    """Columns of a record that survive normalization: its place and its judgement."""
+    return [c for c in ("file_name", "record_index", "reasons", "raw") if c in records.columns]
+
+
 def normalize_prices(records: DataFrame, snapshot_date, created_at=None) -> DataFrame:
     """Price records (record map, created_at_text, record_index) to snapshot rows.
 
@@ -50,9 +55,8 @@ def normalize_prices(records: DataFrame, snapshot_date, created_at=None) -> Data
     created = source_created_at(F.col("created_at_text"))
     if created_at is not None:
         created = F.coalesce(as_instant(created_at), created)
-    keep = [c for c in ("file_name", "record_index") if c in records.columns]
     return records.select(
-        *keep,
+        *_carried(records),
         as_date(snapshot_date).alias("snapshot_date"),
         created.alias("source_created_at"),
         id_number(record[PRICE_ID]).alias("id_product"),
@@ -74,7 +78,7 @@ def normalize_catalog(records: DataFrame, source_file: str) -> DataFrame:
     record = F.col("record")
     numbers = [id_number(record[field]).alias(name) for name, field in CATALOG_FIELDS.items()]
     return records.select(
-        "record_index",
+        *_carried(records),
         id_number(record["idProduct"]).alias("id_product"),
         record["name"].alias("name"),
         record["categoryName"].alias("category_name"),

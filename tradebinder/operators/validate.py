@@ -3,6 +3,8 @@ of them; raise_on_violations turns them into a failed run."""
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,43 +35,63 @@ def _not_whole(record: Column, field: str) -> Column:
     return ~_missing(record, field) & id_number(record[field]).isNull()
 
 
-def record_violations(
-    parsed: DataFrame, records: DataFrame, required: list[str], numbers: list[str]
-) -> DataFrame:
-    """(file_name, record_index, reason, raw): documents without usable records, records
-    without a required field, and ids that are no whole number."""
-    documents = parsed.filter(F.col("problem").isNotNull()).select(
-        "file_name",
-        F.lit(None).cast("int").alias("record_index"),
-        F.col("problem").alias("reason"),
-        F.lit(None).cast("string").alias("raw"),
+def judged_records(parsed: DataFrame, required: list[str], numbers: list[str]) -> DataFrame:
+    """One row per record with its position, the list of reasons against it (empty for a
+    good record) and, if there are any, its raw text.  A document without usable records
+    is one row that carries the problem of the document.
+
+    Parsing is the expensive part of a load; this frame is enough for both the violations
+    and the normalized rows, so a document is parsed once.
+    """
+    others = [c for c in parsed.columns if c not in ("records", "problem")]
+    rows = parsed.select(
+        *others, "problem", F.posexplode_outer("records").alias("record_index", "record")
     )
     record = F.col("record")
-    reasons = [F.when(_missing(record, f), f"missing {f}") for f in required]
-    reasons += [F.when(_not_whole(record, f), f"{f} is no whole number") for f in numbers]
-    broken = records.select(
-        "file_name",
-        "record_index",
-        F.explode(F.filter(F.array(*reasons), lambda r: r.isNotNull())).alias("reason"),
-        F.to_json("record").alias("raw"),
+    checks = [(_missing(record, f), f"missing {f}") for f in required]
+    checks += [(_not_whole(record, f), f"{f} is no whole number") for f in numbers]
+    clean = ~functools.reduce(lambda x, y: x | y, [broken for broken, _ in checks])
+    found = F.array_compact(F.array(*[F.when(broken, reason) for broken, reason in checks]))
+    reasons = (
+        F.when(F.col("problem").isNotNull(), F.array("problem"))
+        .when(clean, F.array().cast("array<string>"))
+        .otherwise(found)
     )
-    return documents.unionByName(broken)
+    return rows.withColumn("reasons", reasons).withColumn(
+        "raw", F.when(is_bad(), F.to_json("record"))
+    ).drop("problem")
+
 
+def is_bad() -> Column:
+    """Whether a judged row, raw or normalized, was found faulty."""
+    return F.size("reasons") > 0
 
-def price_violations(parsed: DataFrame, records: DataFrame) -> DataFrame:
+
+def judged_prices(parsed: DataFrame) -> DataFrame:
     """Prices themselves are nullable and never validated."""
-    return record_violations(parsed, records, ["idProduct"], PRICE_NUMBERS)
+    return judged_records(parsed, ["idProduct"], PRICE_NUMBERS)
 
 
-def catalog_violations(parsed: DataFrame, records: DataFrame, source_file: str) -> DataFrame:
+def judged_catalog(parsed: DataFrame, source_file: str) -> DataFrame:
     if source_file not in SOURCE_FILES:
         raise ValueError(f"unknown source file {source_file!r}")
-    return record_violations(parsed, records, ["idProduct", "name"], CATALOG_NUMBERS)
+    return judged_records(parsed, ["idProduct", "name"], CATALOG_NUMBERS)
+
+
+def violations(judged: DataFrame) -> DataFrame:
+    """(file_name, record_index, reason, raw) of the faulty rows."""
+    return judged.filter(is_bad()).select(
+        "file_name", "record_index", F.explode("reasons").alias("reason"), "raw"
+    )
+
+
+def good_rows(judged: DataFrame) -> DataFrame:
+    return judged.filter(~is_bad()).drop("reasons", "raw")
 
 
-def raise_on_violations(violations: DataFrame) -> None:
+def raise_on_violations(found: DataFrame) -> None:
     """Fail with the first problem by file and position (one row reaches the driver)."""
-    first = violations.orderBy("file_name", F.asc_nulls_first("record_index"), "reason").first()
+    first = found.orderBy("file_name", F.asc_nulls_first("record_index"), "reason").first()
     if first is not None:
         raise ValidationError(
             f"{first.file_name}, record {first.record_index}: {first.reason} {first.raw or ''}".strip()

@@ -13,20 +13,24 @@ from tradebinder.operators.merge import (
 )
 from tradebinder.operators.normalize import normalize_catalog
 from tradebinder.operators.profile import catalog_run_summary
-from tradebinder.operators.validate import ValidationError, catalog_violations, raise_on_violations
+from tradebinder.operators.validate import (
+    ValidationError,
+    good_rows,
+    judged_catalog,
+    raise_on_violations,
+    violations,
+)
 from tradebinder.schemas import SOURCE_FILES
 from tradebinder.session import configure, ensure_checkpoint_dir
-from tradebinder.sources.json_files import catalog_documents, explode_records
+from tradebinder.sources.json_files import catalog_documents
 from tradebinder.sources.tables import read_table, write_version
 
 SINGLES, NONSINGLES = SOURCE_FILES
 
 
-def transform_catalog(documents: DataFrame, source_file: str) -> tuple[DataFrame, DataFrame]:
-    """(rows, violations) of the documents of one catalog file."""
-    parsed = catalog_documents(documents)
-    records = explode_records(parsed)
-    return normalize_catalog(records, source_file), catalog_violations(parsed, records, source_file)
+def transform_catalog(documents: DataFrame, source_file: str) -> DataFrame:
+    """Judged and normalized rows of the documents of one catalog file."""
+    return normalize_catalog(judged_catalog(catalog_documents(documents), source_file), source_file)
 
 
 def date_added_warnings(records: DataFrame) -> DataFrame:
@@ -42,9 +46,12 @@ def run_catalog(
     waiting import rows, write.  Returns the run summary."""
     configure(spark)
     ensure_checkpoint_dir(spark)
-    single_rows, single_problems = transform_catalog(singles, SINGLES)
-    other_rows, other_problems = transform_catalog(nonsingles, NONSINGLES)
-    raise_on_violations(single_problems.unionByName(other_problems))
+    judged = [
+        transform_catalog(singles, SINGLES).persist(),
+        transform_catalog(nonsingles, NONSINGLES).persist(),
+    ]
+    raise_on_violations(violations(judged[0]).unionByName(violations(judged[1])))
+    single_rows, other_rows = (good_rows(frame).drop("file_name") for frame in judged)
     duplicates = cross_file_duplicates(single_rows, other_rows).agg(
         F.count("*").alias("duplicates"),
         F.count_if("conflicting").alias("conflicts"),
@@ -56,6 +63,8 @@ def run_catalog(
         )
     products = read_table(spark, root, "products")
     merged = merge_products(products, combine_catalogs(single_rows, other_rows), run_ts).checkpoint()
+    for frame in judged:
+        frame.unpersist()
     staging = read_table(spark, root, "collection_import_staging")
     rechecked = recheck_waiting(staging, merged).checkpoint()
     waiting = F.col("match_status") == "waiting_for_product"

@@ -12,11 +12,11 @@ from tradebinder.operators.archive import canonical_files
 from tradebinder.operators.checks import daily_counts, daily_summary
 from tradebinder.operators.merge import merge_price_snapshots, replay_comparison
 from tradebinder.operators.normalize import normalize_prices
-from tradebinder.operators.validate import price_violations, raise_on_violations
+from tradebinder.operators.validate import good_rows, judged_prices, raise_on_violations, violations
 from tradebinder.schemas import PRICE_PREFIX
 from tradebinder.session import configure, ensure_checkpoint_dir
 from tradebinder.sources.archive import archive_listing, parse_archive_names
-from tradebinder.sources.json_files import explode_records, price_documents, read_documents
+from tradebinder.sources.json_files import price_documents, read_documents
 from tradebinder.sources.tables import read_table, write_partitions
 
 
@@ -24,11 +24,9 @@ class LoadFailed(Exception):
     """A failure check was violated; nothing was written."""
 
 
-def transform_prices(documents: DataFrame, snapshot_date, created_at=None) -> tuple[DataFrame, DataFrame]:
-    """(rows, violations) of price documents of one day."""
-    parsed = price_documents(documents)
-    records = explode_records(parsed)
-    return normalize_prices(records, snapshot_date, created_at), price_violations(parsed, records)
+def transform_prices(documents: DataFrame, snapshot_date, created_at=None) -> DataFrame:
+    """Judged and normalized rows of price documents."""
+    return normalize_prices(judged_prices(price_documents(documents)), snapshot_date, created_at)
 
 
 def latest_date_before(stored: DataFrame, day, recent_days: int = 31) -> datetime.date | None:
@@ -51,12 +49,13 @@ def load_day(
     """
     configure(spark)
     ensure_checkpoint_dir(spark)
-    rows, violations = transform_prices(documents, snapshot_date, created_at)
-    raise_on_violations(violations)
+    judged = transform_prices(documents, snapshot_date, created_at).persist()
+    raise_on_violations(violations(judged))
     stored = read_table(spark, root, "price_snapshots")
     day = as_date(snapshot_date)
     today = stored.filter(F.col("snapshot_date") == day)
-    merged = merge_price_snapshots(today, rows, run_ts).checkpoint()
+    merged = merge_price_snapshots(today, good_rows(judged), run_ts).checkpoint()
+    judged.unpersist()
     before = stored.filter(F.col("snapshot_date") < day)
     state = before.unionByName(merged)
     products = read_table(spark, root, "products")
@@ -89,16 +88,12 @@ def replay(
         return spark.createDataFrame([], REPLAY_REPORT)
     files = spark.createDataFrame(chosen, "snapshot_date date, file_name string")
     documents = read_documents(spark, [f"{archive}/{row.file_name}" for row in chosen])
-    parsed = price_documents(parse_archive_names(documents, [PRICE_PREFIX]))
-    records = explode_records(parsed)
-    problems = (
-        price_violations(parsed, records)
-        .groupBy("file_name")
-        .agg(F.min("reason").alias("reason"))
-        .checkpoint()
-    )
-    good = records.join(problems.select("file_name"), "file_name", "left_anti")
-    rows = normalize_prices(good, F.col("snapshot_date"))
+    judged = transform_prices(
+        parse_archive_names(documents, [PRICE_PREFIX]), F.col("snapshot_date")
+    ).persist()
+    problems = violations(judged).groupBy("file_name").agg(F.min("reason").alias("reason"))
+    problems = problems.checkpoint()
+    rows = good_rows(judged).join(problems.select("file_name"), "file_name", "left_anti")
     dates = [row.snapshot_date for row in chosen]
     stored = read_table(spark, root, "price_snapshots").filter(F.col("snapshot_date").isin(dates))
     merged = merge_price_snapshots(stored, rows, run_ts).checkpoint()
@@ -114,6 +109,7 @@ def replay(
         )
         .checkpoint()
     )
+    judged.unpersist()
     write_partitions(merged, root, "price_snapshots")
     return report
 

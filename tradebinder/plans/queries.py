@@ -140,7 +140,7 @@ def price_guide_violations(t: DriverTables) -> DataFrame:
         .alias("content"),
     )
     parsed = json_files.price_documents(documents)
-    found = validate.price_violations(parsed, json_files.explode_records(parsed))
+    found = validate.violations(validate.judged_prices(parsed))
     return found.select("file_name", F.col("record_index").cast("bigint").alias("record_index"), "reason")
 
 
@@ -706,15 +706,13 @@ def card_links(t: DriverTables) -> DataFrame:
 def catalog_rows(t: DriverTables) -> DataFrame:
     records = json_files.explode_records(json_files.catalog_documents(t.catalog_files()))
     rows = normalize.normalize_catalog(records, "products_singles_6.json")
-    return rows.withColumn("date_added", F.to_date("date_added")).drop("record_index")
+    return rows.withColumn("date_added", F.to_date("date_added")).drop("file_name", "record_index")
 
 
 @query
 def catalog_violations(t: DriverTables) -> DataFrame:
     parsed = json_files.catalog_documents(t.catalog_files())
-    found = validate.catalog_violations(
-        parsed, json_files.explode_records(parsed), "products_singles_6.json"
-    )
+    found = validate.violations(validate.judged_catalog(parsed, "products_singles_6.json"))
     return found.select("file_name", F.col("record_index").cast("bigint").alias("record_index"), "reason")
 
 

@@ -13,11 +13,11 @@ from pyspark.sql.streaming import StreamingQuery
 from tradebinder.operators.archive import canonical_files
 from tradebinder.operators.merge import merge_price_snapshots
 from tradebinder.operators.normalize import normalize_prices
-from tradebinder.operators.validate import price_violations
+from tradebinder.operators.validate import good_rows, is_bad, judged_prices
 from tradebinder.schemas import PRICE_PREFIX
 from tradebinder.session import configure, ensure_checkpoint_dir
 from tradebinder.sources.archive import archive_listing, parse_archive_names
-from tradebinder.sources.json_files import explode_records, price_documents
+from tradebinder.sources.json_files import price_documents
 from tradebinder.sources.tables import read_table, write_partitions
 
 
@@ -38,17 +38,16 @@ def load_arrived(documents: DataFrame, archive: str, root: str, run_ts) -> None:
     current = canonical_files(archive_listing(spark, archive), [PRICE_PREFIX]).select("file_name")
     named = parse_archive_names(documents, [PRICE_PREFIX])
     parsed = price_documents(named.join(current, "file_name", "left_semi"))
-    records = explode_records(parsed)
-    bad = price_violations(parsed, records).select("file_name").distinct()
-    good = records.join(bad, "file_name", "left_anti")
-    rows = normalize_prices(good, F.col("snapshot_date"))
+    judged = normalize_prices(judged_prices(parsed), F.col("snapshot_date")).persist()
+    bad = judged.filter(is_bad()).select("file_name").distinct()
+    rows = good_rows(judged).join(bad, "file_name", "left_anti")
     # One value per calendar day in the batch: it limits the target to these partitions.
     dates = [r.snapshot_date for r in rows.select("snapshot_date").distinct().collect()]
-    if not dates:
-        return
-    stored = read_table(spark, root, "price_snapshots").filter(F.col("snapshot_date").isin(dates))
-    merged = merge_price_snapshots(stored, rows, run_ts).checkpoint()
-    write_partitions(merged, root, "price_snapshots")
+    if dates:
+        stored = read_table(spark, root, "price_snapshots").filter(F.col("snapshot_date").isin(dates))
+        merged = merge_price_snapshots(stored, rows, run_ts).checkpoint()
+        write_partitions(merged, root, "price_snapshots")
+    judged.unpersist()
 
 
 def follow_archive(
