@@ -61,9 +61,10 @@ def months_since(release_date: Column, as_of: Column) -> Column:
 
 def archive_name(prefix: Column, date: Column, rerun: Column) -> Column:
     """Base name for rerun null, suffixed name for rerun 1 and up; below 1 raises."""
-    day = F.date_format(date, "yyyy-MM-dd")
+    day = date.cast("string")
+    number = F.concat(F.when(rerun < 10, "0").otherwise(""), rerun.cast("string"))
     base = F.concat(prefix, F.lit("_"), day, F.lit(".json"))
-    again = F.concat(prefix, F.lit("_"), day, F.lit("_rerun-"), F.format_string("%02d", rerun), F.lit(".json"))
+    again = F.concat(prefix, F.lit("_"), day, F.lit("_rerun-"), number, F.lit(".json"))
     return (
         F.when(rerun.isNull(), base)
         .when(rerun >= 1, again)

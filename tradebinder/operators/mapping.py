@@ -33,7 +33,7 @@ def _first_word(name: Column) -> Column:
 def mapping_keys(sets: DataFrame) -> DataFrame:
     """(method, match_key, tcg_set_id): every key under which a set can be found."""
     words = matching_name(F.col("name_en"), F.col("series_en"))
-    day = F.date_format("release_date", "yyyy-MM-dd")
+    day = F.col("release_date").cast("string")
     keys = {
         "exact_name": blank_to_null(F.col("name_en")),
         "normalized_name": words,
@@ -72,7 +72,7 @@ def _expansion_keys(expansions: DataFrame, near_days: int) -> DataFrame:
     )
 
     def near(offset: Column) -> Column:
-        day = F.date_format(F.date_add("release_date", offset), "yyyy-MM-dd")
+        day = F.date_add("release_date", offset).cast("string")
         return _entry(
             "date_name_combo", F.concat(_first_word(F.col("words")), F.lit("|"), day), F.abs(offset)
         )

@@ -93,45 +93,38 @@ def match_products(typed: DataFrame, products: DataFrame) -> DataFrame:
     """Add matched_id_product, match_status, match_confidence, error_message.
 
     A given id is decisive: known means ready, unknown means waiting, and the name is not
-    tried.  Without id the exact name decides.  Rows take the branch they need, so no
-    join ever shuffles null keys, and the name side is unique, so a frequent name cannot
-    multiply rows.
+    tried.  Without id the exact name decides.  Both lookup tables are unique on their
+    key, so a frequent name cannot multiply rows, and rows without a key are spread like
+    all others.
     """
     columns = typed.columns
-    result = ["matched_id_product", "match_status", "match_confidence", "error_message"]
-    given = typed.filter("provided_id_product IS NOT NULL")
-    named = typed.filter("provided_id_product IS NULL AND raw_product_name IS NOT NULL")
-    neither = typed.filter("provided_id_product IS NULL AND raw_product_name IS NULL")
-
     known = products.select(F.col("id_product").alias("provided_id_product"), F.lit(True).alias("_known"))
-    has = F.col("_known").isNotNull()
-    by_id = spread_join(given, known, ["provided_id_product"], "left", ["import_row_id"]).select(
-        *columns,
-        F.col("provided_id_product").alias("matched_id_product"),
-        F.when(has, "ready_to_import").otherwise("waiting_for_product").alias("match_status"),
-        F.when(has, F.lit(EXACT_ID)).cast(CONFIDENCE).alias("match_confidence"),
-        F.when(~has, MSG_WAITING).alias("error_message"),
+    keyed = typed.withColumn(
+        "_name", F.when(F.col("provided_id_product").isNull(), F.col("raw_product_name"))
     )
+    names = name_index(products).withColumnRenamed("raw_product_name", "_name")
+    looked_up = spread_join(keyed, known, ["provided_id_product"], "left", ["import_row_id"])
+    looked_up = spread_join(looked_up, names, ["_name"], "left", ["import_row_id"])
 
+    given, has = F.col("provided_id_product").isNotNull(), F.col("_known").isNotNull()
     one = F.col("hits") == 1
-    by_name = spread_join(
-        named, name_index(products), ["raw_product_name"], "left", ["import_row_id"]
-    ).select(
-        *columns,
-        F.when(one, F.col("named_id")).alias("matched_id_product"),
-        F.when(one, "ready_to_import").otherwise("needs_review").alias("match_status"),
-        F.when(one, F.lit(EXACT_NAME)).otherwise(F.lit(NO_MATCH)).cast(CONFIDENCE).alias("match_confidence"),
-        F.when(F.col("hits") > 1, MSG_MANY).when(F.col("hits").isNull(), MSG_NO_MATCH).alias("error_message"),
-    )
-
-    unmatched = neither.select(
+    return looked_up.select(
         *columns,
-        F.lit(None).cast("bigint").alias("matched_id_product"),
-        F.lit("needs_review").alias("match_status"),
-        F.lit(NO_MATCH).cast(CONFIDENCE).alias("match_confidence"),
-        F.lit(MSG_NO_MATCH).alias("error_message"),
+        F.when(given, F.col("provided_id_product")).when(one, F.col("named_id")).alias("matched_id_product"),
+        F.when(has | one, "ready_to_import")
+        .when(given, "waiting_for_product")
+        .otherwise("needs_review")
+        .alias("match_status"),
+        F.when(has, F.lit(EXACT_ID))
+        .when(one, F.lit(EXACT_NAME))
+        .when(~given, F.lit(NO_MATCH))
+        .cast(CONFIDENCE)
+        .alias("match_confidence"),
+        F.when(given & ~has, MSG_WAITING)
+        .when(F.col("hits") > 1, MSG_MANY)
+        .when(~given & F.col("hits").isNull(), MSG_NO_MATCH)
+        .alias("error_message"),
     )
-    return by_id.unionByName(by_name).unionByName(unmatched).select(*columns, *result)
 
 
 def duplicate_marks(staging: DataFrame, imported: DataFrame) -> DataFrame:

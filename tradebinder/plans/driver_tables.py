@@ -8,27 +8,44 @@ are in driver_sql.
 
 from __future__ import annotations
 
-from functools import cached_property
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradebinder.functions.dates import archive_name
 from tradebinder.operators.keyed import newest_per_key
 
 RUN_TS = "2024-02-01 06:00:00"
 FIRST_RUN_TS = "2024-01-25 06:00:00"
 
 
+def once(method):
+    """Build a frame on first use and hand out the same analyzed frame afterwards."""
+
+    @functools.wraps(method)
+    def build(self, *args):
+        key = (method.__name__, *args)
+        if key not in self._built:
+            self._built[key] = method(self, *args)
+        return self._built[key]
+
+    return build
+
+
 class DriverTables:
     """Frames over one folder of given tables; each is built when asked for."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._built: dict[tuple, DataFrame | Column] = {}
 
+    @once
     def given(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    @once
     def price_batch(self) -> DataFrame:
         """Raw price records in record order (seq)."""
         kind, value = F.col("event_type"), F.col("value")
@@ -46,19 +63,18 @@ class DriverTables:
 
     PRICE_VALUES = ["id_category", "trend", "avg30", "low"]
 
+    @once
     def prices(self) -> DataFrame:
         return newest_per_key(
             self.price_batch(), ["snapshot_date", "id_product"], "seq", self.PRICE_VALUES
         )
 
-    @cached_property
-    def _last_day(self) -> Column:
-        return self.given("events").select(F.max(F.to_date("ts"))).scalar()
-
+    @once
     def signal_date(self) -> Column:
         """Latest snapshot date as a scalar subquery over one pruned column."""
-        return self._last_day
+        return self.given("events").select(F.max(F.to_date("ts"))).scalar()
 
+    @once
     def products(self) -> DataFrame:
         group = F.when(F.col("p_type").isin("PROMO", "STANDARD", "ECONOMY"), "single").otherwise("non_single")
         seen = F.date_add(F.lit("2023-12-10").cast("date"), F.col("p_size"))
@@ -84,6 +100,7 @@ class DriverTables:
             F.lit(FIRST_RUN_TS).cast("timestamp").alias("updated_at"),
         )
 
+    @once
     def expansions(self) -> DataFrame:
         return (
             self.given("supplier")
@@ -107,6 +124,7 @@ class DriverTables:
     def _release(balance: str) -> Column:
         return F.date_add(F.lit("1999-01-01").cast("date"), F.floor(balance).cast("int"))
 
+    @once
     def sets(self) -> DataFrame:
         """One set per customer; the market segment decides how it can be recognised."""
         digits = F.substring("c_name", 10, 9)
@@ -141,6 +159,7 @@ class DriverTables:
             )
         )
 
+    @once
     def items(self) -> DataFrame:
         priority, status, total = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_totalprice")
         sold = status == "F"
@@ -170,6 +189,7 @@ class DriverTables:
             F.when(sold & (total > 50000), F.date_add(F.to_date("o_orderdate"), 30)).alias("sold_date"),
         )
 
+    @once
     def staging(self) -> DataFrame:
         """Import rows as text columns, as read from an uploaded file."""
         nation, segment = F.col("c_nationkey"), F.col("c_mktsegment")
@@ -194,12 +214,14 @@ class DriverTables:
             F.lit(None).cast("string").alias("personal_note"),
         )
 
+    @once
     def imported(self) -> DataFrame:
         """External ids of earlier imports."""
         return self.given("supplier").select(
             F.concat(F.lit("ext-"), F.floor(F.col("s_acctbal") / 100).cast("string")).alias("external_id")
         )
 
+    @once
     def watchlist(self) -> DataFrame:
         return self.given("supplier").select(
             F.col("s_suppkey").alias("watchlist_item_id"),
@@ -209,21 +231,16 @@ class DriverTables:
             (F.col("s_acctbal") > 0).alias("is_active"),
         )
 
+    @once
     def listing(self) -> DataFrame:
         """Archive folder with one prefix per user: an upload per hour with events."""
         hour = F.hour("ts")
-        day = F.date_format("ts", "yyyy-MM-dd")
-        suffix = F.when(hour == 0, "").otherwise(F.format_string("_rerun-%02d", hour))
-        return (
-            self.given("events")
-            .select(
-                F.concat(F.lit("guide_"), F.col("user_id").cast("string"), F.lit("_"), day, suffix, F.lit(".json")).alias(
-                    "file_name"
-                )
-            )
-            .distinct()
+        name = archive_name(
+            F.concat(F.lit("guide_"), F.col("user_id").cast("string")), F.to_date("ts"), F.nullif(hour, F.lit(0))
         )
+        return self.given("events").select(name.alias("file_name")).distinct()
 
+    @once
     def catalog(self) -> DataFrame:
         """The current catalog run: every part of size 15 and up, with refreshed names."""
         return self.products().filter("id_metacard >= 15").select(
@@ -234,10 +251,12 @@ class DriverTables:
             F.col("id_product").alias("record_index"),
         )
 
+    @once
     def known_products(self) -> DataFrame:
         """The product table before the run: every part up to size 35."""
         return self.products().filter("id_metacard <= 35")
 
+    @once
     def documents(self) -> DataFrame:
         """Price-guide documents as JSON text, one per event."""
         value = F.col("value")
@@ -253,13 +272,12 @@ class DriverTables:
             F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'+0200'").alias("createdAt"),
             F.array(record).alias("priceGuides"),
         )
-        rerun = F.format_string("_rerun-%d", F.col("event_id") + 1)
-        name = F.concat(
-            F.lit("guide_"), F.col("user_id").cast("string"), F.lit("_"), F.date_format("ts", "yyyy-MM-dd"),
-            rerun, F.lit(".json"),
+        name = archive_name(
+            F.concat(F.lit("guide_"), F.col("user_id").cast("string")), F.to_date("ts"), F.col("event_id") + 1
         )
         return self.given("events").select(name.alias("file_name"), F.to_json(root).alias("content"))
 
+    @once
     def raw_expansions(self) -> DataFrame:
         """Curated expansion file as text cells, with blanks and loose spellings."""
         nation, number = F.col("s_nationkey"), F.col("s_suppkey").cast("string")
@@ -284,6 +302,7 @@ class DriverTables:
             .alias("is_active"),
         )
 
+    @once
     def catalog_files(self) -> DataFrame:
         """Catalog documents, one per part; the root and the field names depend on its type."""
         kind, size = F.col("p_type"), F.col("p_size")
@@ -311,6 +330,7 @@ class DriverTables:
         name_of_file = F.concat(F.lit("products_"), F.lower("p_type"), F.lit("_6_"), F.col("p_partkey").cast("string"))
         return self.given("part").select(name_of_file.alias("file_name"), content.alias("content"))
 
+    @once
     def set_files(self) -> DataFrame:
         """Set documents, one per customer."""
         nation = F.col("c_nationkey")
@@ -332,6 +352,7 @@ class DriverTables:
             F.col("c_name").alias("file_name"), F.to_json(F.array(record)).alias("content")
         )
 
+    @once
     def upload(self) -> DataFrame:
         """An uploaded collection file: five of the known columns, as text."""
         nation = F.col("c_nationkey")
@@ -344,6 +365,7 @@ class DriverTables:
             F.when(nation != 4, F.floor("c_acctbal").cast("string")).alias("purchasePrice"),
         )
 
+    @once
     def card_pages(self) -> DataFrame:
         """The pages with a card suffix behind every link text."""
         suffix = F.concat(F.lit(" (PG"), F.col("page_id").cast("string"), F.lit(" 7/9) new</a>"))

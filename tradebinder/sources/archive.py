@@ -30,13 +30,20 @@ def parse_archive_names(listing: DataFrame, prefixes: list[str] | None = None) -
     """Add prefix, snapshot_date and rerun (null for the base file) and drop files that do
     not follow the naming rule.  The date is anchored at the end of the name, so a prefix
     may itself contain underscores."""
-    parsed = listing.withColumns(
-        {
-            "prefix": F.regexp_extract("file_name", ARCHIVE_NAME, 1),
-            "snapshot_date": F.regexp_extract("file_name", ARCHIVE_NAME, 2).try_cast("date"),
-            "rerun": F.regexp_extract("file_name", ARCHIVE_NAME, 3).try_cast("int"),
-        }
-    ).filter((F.col("prefix") != "") & F.col("snapshot_date").isNotNull())
+    # One pattern match per name; a file name has no slash of its own.
+    parts = F.split(F.regexp_replace("file_name", ARCHIVE_NAME, "$1/$2/$3"), "/")
+    parsed = (
+        listing.withColumn("_parts", parts)
+        .withColumns(
+            {
+                "prefix": F.get("_parts", F.lit(0)),
+                "snapshot_date": F.get("_parts", F.lit(1)).try_cast("date"),
+                "rerun": F.get("_parts", F.lit(2)).try_cast("int"),
+            }
+        )
+        .filter(F.col("snapshot_date").isNotNull())
+        .drop("_parts")
+    )
     if prefixes is not None:
         parsed = parsed.filter(F.col("prefix").isin(prefixes))
     return parsed
