@@ -217,3 +217,38 @@ def test_failed_write_leaves_the_old_version(spark, tmp_path):
         tables.write_version(broken, root, "products", T2)
     assert stored(spark, root, "products").count() == 2
     assert tables.current_version(spark, root, "products") == tables.version_of(T1)
+
+
+def test_checks_prune_to_one_day_and_needed_columns(spark, tmp_path):
+    from tradebinder.operators import checks
+
+    root = str(tmp_path)
+    daily.load_day(spark, root, documents(spark, guide((1, 5, 5))), "2026-07-02", T1)
+    daily.load_day(spark, root, documents(spark, guide((1, 5, 5))), "2026-07-03", T1)
+    prices, products = stored(spark, root, "price_snapshots"), stored(spark, root, "products")
+    found = checks.missing_products_check(prices, products, "2026-07-03")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(snapshot_date" in plan and "ReadSchema: struct<id_product:bigint>" in plan
+    assert daily.latest_date_before(prices, F.lit("2026-07-03").cast("date")) == datetime.date(2026, 7, 2)
+    assert daily.latest_date_before(prices, F.lit("2026-12-03").cast("date")) == datetime.date(2026, 7, 3)
+    assert daily.latest_date_before(prices, F.lit("2026-07-02").cast("date")) is None
+
+
+def test_registered_queries_have_no_pairwise_or_python_operators(spark):
+    import __spark_entry__ as contract
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, run in contract.queries().items():
+            plan = run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+            for operator in ("NestedLoopJoin", "CartesianProduct", "EvalPython", "MapInPandas"):
+                assert operator not in plan, (name, operator)
+            assert "Window" not in plan or name == "check_drift", name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_every_query_has_a_sql_twin():
+    import __spark_entry__ as contract
+
+    assert set(contract.queries()) == set(contract.oracle_sql())
