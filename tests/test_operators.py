@@ -334,6 +334,13 @@ def test_growth_signal(spark):
     assert month.signal_description == "Product increased by 30.00% over the last 30 days."
 
 
+def test_exact_dates_accept_no_older_snapshot(spark):
+    rows = history(spark, (1, "2026-06-23", 10.0, None), (1, "2026-07-01", 13.0, None))
+    exact = signals.price_points(rows, "2026-07-01", (7, 8), exact_dates=True).first()
+    assert exact.trend_7_days_ago is None and exact.trend_8_days_ago == 10
+    assert signals.price_points(rows, "2026-07-01", (7,)).first().trend_7_days_ago == 10
+
+
 def test_new_products_have_no_growth_or_spike(spark):
     rows = history(spark, (1, "2026-06-20", 10.0, 5.0), (1, "2026-07-01", 13.0, 5.0))
     fresh = old_products(spark, 1, first="2026-06-20")
@@ -497,7 +504,12 @@ def test_mapping_methods(spark):
          ("s6", "Twins", "B", None, None), ("s7", "Twins", "C", None, None), ("s8", "Dated Else", "B", None, DAY - datetime.timedelta(days=6))],
         "tcg_set_id string, name_en string, series_en string, ptcgo_code string, release_date date",
     )
-    found = {r.id_expansion: r for r in mapping.mapping_candidates(expansions, sets, T1).collect()}
+    rows = mapping.mapping_candidates(expansions, sets, T1).collect()
+    others = [r for r in rows if r.tcg_set_id and not r.is_primary_mapping]
+    assert [(r.id_expansion, r.tcg_set_id, r.match_status, r.needs_review) for r in others] == [
+        (5, "s8", "manual_review", True)
+    ]
+    found = {r.id_expansion: r for r in rows if r not in others}
     facts = {k: (r.tcg_set_id, r.match_method, r.match_status, float(r.match_confidence), r.needs_review) for k, r in found.items()}
     assert facts == {
         1: ("s1", "exact_name", "matched", 1.0, False), 2: ("s2", "normalized_name", "matched", 0.95, False),
@@ -563,6 +575,35 @@ def test_spread_join_equals_plain_join(spark, how):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_adaptive_split_applies_on_top_of_the_salt(spark):
+    """A join with an aggregated lookup table is only split when it is salted."""
+    from tradebinder.operators.lookup import spread_join
+
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        facts = spark.range(0, 300000, 1, 8).select(
+            F.col("id").alias("row"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 5000).alias("key")
+        )
+        table = facts.groupBy("key").agg(F.max("row").alias("last"))
+        joined = spread_join(facts, table, ["key"], "left", ["row"], salts=4)
+        assert len(joined.collect()) == 300000
+        final = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert "skew=true" in final
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def test_spread_join_spreads_the_hot_key(spark):
     from tradebinder.operators.lookup import spread_join
 

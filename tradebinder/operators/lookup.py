@@ -13,12 +13,13 @@ def spread_join(
 ) -> DataFrame:
     """facts JOIN table, with every key of the facts spread over ``salts`` partitions.
 
-    One product, expansion or name may hold a third of the facts.  The runtime skew split
-    only works when both inputs are plain shuffles, which an aggregated lookup table is
-    not; so the facts get a salt from a hash of their row id (the same on every retry) and
-    the lookup table, unique on the keys, is repeated once per salt.  Null keys of an
-    outer join are spread the same way.  A lookup table below the broadcast limit is still
-    broadcast.
+    One product, expansion or name may hold a third of the facts.  The facts get a salt
+    from a hash of their row id (the same on every retry), and the lookup table, unique on
+    the keys, is repeated once per salt.  Null keys of an outer join are spread the same
+    way.  The salt is part of the join key, so both inputs are plain shuffles even when the
+    lookup table is an aggregate on the key; only then can adaptive execution split a
+    partition that is still too large, however large it is.  A lookup table below the
+    broadcast limit is broadcast as usual.
     """
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

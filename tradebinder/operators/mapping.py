@@ -86,11 +86,12 @@ def mapping_candidates(
     expansions: DataFrame, sets: DataFrame, run_ts, manual: DataFrame | None = None,
     near_days: int = NEAR_DAYS,
 ) -> DataFrame:
-    """One primary mapping row per expansion: the most certain method that finds a set.
+    """Candidate sets per expansion, at most one per key; the one found by the most certain
+    method is the primary mapping, the others always need review.
 
     candidate_count is the number of sets that share the key; more than one is never
-    trusted.  Expansions without any candidate are unmatched with confidence 0.  Rows of
-    ``manual`` (id_expansion, tcg_set_id, notes) win over every automatic result.
+    trusted.  Expansions without any candidate are one unmatched row with confidence 0.
+    Rows of ``manual`` (id_expansion, tcg_set_id, notes) replace every automatic result.
     """
     now = as_instant(run_ts)
     index = (
@@ -106,9 +107,19 @@ def mapping_candidates(
     order = F.struct(
         rank[F.col("method")].alias("rank"), F.col("distance"), F.col("tcg_set_id").alias("id")
     )
-    hit = F.when(F.col("tcg_set_id").isNotNull(), order)
-    best = hits.groupBy("id_expansion").agg(
-        F.min_by(F.struct("method", "match_key", "tcg_set_id", "candidate_count"), hit).alias("best")
+    candidate = F.struct(
+        order.alias("order"), "method", "match_key", "tcg_set_id", "candidate_count"
+    )
+    # At most one entry per key of the expansion, so the list is bounded by its keys.
+    found = F.array_sort(F.collect_list(F.when(F.col("tcg_set_id").isNotNull(), candidate)))
+    ranked = hits.groupBy("id_expansion").agg(found.alias("found"))
+
+    def is_first(entry: Column, position: Column) -> Column:
+        earlier = F.slice("found", F.lit(1), position)
+        return ~F.exists(earlier, lambda e: e.tcg_set_id == entry.tcg_set_id)
+
+    best = ranked.select(
+        "id_expansion", F.posexplode_outer(F.filter("found", is_first)).alias("position", "best")
     )
     confidence = F.when(
         F.col("best.candidate_count") > 1, F.least(score[F.col("best.method")], F.lit(0.70))
@@ -118,6 +129,7 @@ def mapping_candidates(
         F.col("best.tcg_set_id").alias("tcg_set_id"),
         F.coalesce("best.method", F.lit("none")).alias("match_method"),
         F.coalesce(confidence, F.lit(0.0)).cast(CONFIDENCE).alias("match_confidence"),
+        (F.col("position") == 0).alias("is_primary_mapping"),
         F.col("best.match_key").alias("match_key"),
         F.coalesce("best.candidate_count", F.lit(0)).alias("candidate_count"),
         F.lit(None).cast("string").alias("notes"),
@@ -128,13 +140,15 @@ def mapping_candidates(
             "tcg_set_id",
             F.lit("manual").alias("match_method"),
             F.lit(1.0).cast(CONFIDENCE).alias("match_confidence"),
+            F.lit(True).alias("is_primary_mapping"),
             F.lit(None).cast("string").alias("match_key"),
             F.lit(1).cast("long").alias("candidate_count"),
             "notes",
         )
         automatic = automatic.join(manual.select("id_expansion"), "id_expansion", "left_anti")
         automatic = automatic.unionByName(decided)
-    trusted = F.col("match_confidence") >= TRUSTED_CONFIDENCE
+    primary = F.coalesce("is_primary_mapping", F.lit(False))
+    trusted = primary & (F.col("match_confidence") >= TRUSTED_CONFIDENCE)
     status = (
         F.when(F.col("tcg_set_id").isNull(), "unmatched").when(trusted, "matched").otherwise("manual_review")
     )
@@ -144,7 +158,7 @@ def mapping_candidates(
         status.alias("match_status"),
         "match_method",
         "match_confidence",
-        F.col("tcg_set_id").isNotNull().alias("is_primary_mapping"),
+        primary.alias("is_primary_mapping"),
         (~trusted).alias("needs_review"),
         "notes",
         "match_key",

@@ -33,14 +33,21 @@ from tradebinder.schemas import (
 )
 
 
-def price_points(prices: DataFrame, as_of, lookbacks=GROWTH_LOOKBACKS) -> DataFrame:
+def price_points(
+    prices: DataFrame, as_of, lookbacks=GROWTH_LOOKBACKS, exact_dates: bool = False
+) -> DataFrame:
     """Per product, over snapshots up to the date: the latest row, the first and the last
-    usable date, and for every N the trend of the latest snapshot at least N days old."""
+    usable date, and for every N the trend of the latest snapshot at least N days old
+    (with exact_dates: of the snapshot exactly N days old)."""
     day = as_date(as_of)
     date = F.col("snapshot_date")
+
+    def old_enough(n: int) -> Column:
+        cutoff = F.date_sub(day, n)
+        return date == cutoff if exact_dates else date <= cutoff
+
     earlier = [
-        F.max_by("trend", F.when(date <= F.date_sub(day, n), date)).alias(f"trend_{n}_days_ago")
-        for n in lookbacks
+        F.max_by("trend", F.when(old_enough(n), date)).alias(f"trend_{n}_days_ago") for n in lookbacks
     ]
     return (
         prices.filter(date <= day)

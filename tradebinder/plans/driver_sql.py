@@ -206,16 +206,17 @@ UNION ALL SELECT id_expansion, 'date_name_combo', 5, 0.75, ABS(o.o), CONCAT('sup
           FROM expansions, range(-7, 8) o(o)""",
     "mappings": """
 SELECT e.id_expansion, b.tcg_set_id,
-       CASE WHEN b.tcg_set_id IS NULL THEN 'unmatched' WHEN b.conf >= 0.9 THEN 'matched' ELSE 'manual_review' END AS match_status,
+       CASE WHEN b.tcg_set_id IS NULL THEN 'unmatched' WHEN b.pos = 1 AND b.conf >= 0.9 THEN 'matched' ELSE 'manual_review' END AS match_status,
        COALESCE(b.method, 'none') AS match_method, CAST(COALESCE(b.conf, 0) AS DOUBLE) AS match_confidence,
-       b.tcg_set_id IS NOT NULL AS is_primary_mapping, COALESCE(b.conf, 0) < 0.9 AS needs_review,
+       COALESCE(b.pos = 1, FALSE) AS is_primary_mapping, NOT COALESCE(b.pos = 1 AND b.conf >= 0.9, FALSE) AS needs_review,
        COALESCE(b.n, 0) AS candidate_count
 FROM expansions e LEFT JOIN (
-  SELECT *, CASE WHEN n > 1 THEN LEAST(score, 0.7) ELSE score END AS conf FROM (
-    SELECT k.*, x.n, x.tcg_set_id, ROW_NUMBER() OVER (PARTITION BY id_expansion ORDER BY pri, distance, x.tcg_set_id) AS rn
+  SELECT *, CASE WHEN n > 1 THEN LEAST(score, 0.7) ELSE score END AS conf,
+         ROW_NUMBER() OVER (PARTITION BY id_expansion ORDER BY pri, distance, tcg_set_id) AS pos FROM (
+    SELECT k.*, x.n, x.tcg_set_id, ROW_NUMBER() OVER (PARTITION BY id_expansion, x.tcg_set_id ORDER BY pri, distance) AS dup
     FROM expansion_keys k JOIN (SELECT method, match_key, COUNT(*) AS n, MIN(tcg_set_id) AS tcg_set_id
                                 FROM set_keys GROUP BY method, match_key) x
-      ON x.method = k.method AND x.match_key = k.match_key) r WHERE rn = 1) b ON b.id_expansion = e.id_expansion""",
+      ON x.method = k.method AND x.match_key = k.match_key) r WHERE dup = 1) b ON b.id_expansion = e.id_expansion""",
     "known_products": "SELECT * FROM products WHERE id_metacard <= 35",
     "catalog": "SELECT * REPLACE (CONCAT(name, ' v2') AS name) FROM products WHERE id_metacard >= 15",
     "merged_products": """
