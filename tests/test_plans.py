@@ -5,9 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tradebinder.operators.validate import ValidationError
-from tradebinder.plans import analytics, catalog, collection, daily, reference
+from tradebinder.plans import analytics, catalog, collection, daily, quality, reference
 from tradebinder.sources import csv_files, tables
-from tradebinder.sources.json_files import read_documents
 from tradebinder.streaming import archive_stream
 
 T1, T2, T3 = "2026-07-01 06:00:00", "2026-07-08 06:00:00", "2026-07-15 06:00:00"
@@ -161,6 +160,9 @@ def test_collection_import_to_valuation(spark, tmp_path):
     assert stored(spark, root, "analytics_signals").select("signal_id").distinct().count() == sum(kinds.values())
     analytics.register_views(spark, root)
     assert spark.sql("SELECT name FROM vw_collection_losses").first().name == "Box"
+    assert spark.sql("SELECT count(*) AS n FROM collection_items WHERE is_sealed").first().n == 1
+    assert quality.stored_constraint_report(spark, root).isEmpty()
+    assert quality.stored_collection_issues(spark, root, "2026-07-20").isEmpty()
     analytics.export_view(spark, root, "vw_collection_summary", str(tmp_path / "out"))
     assert "most_valuable_item" in "".join(p.read_text() for p in (tmp_path / "out").glob("*.csv"))
 
@@ -252,3 +254,23 @@ def test_every_query_has_a_sql_twin():
     import __spark_entry__ as contract
 
     assert set(contract.queries()) == set(contract.oracle_sql())
+
+
+def test_constraint_report_finds_every_kind(spark, tmp_path):
+    root = str(tmp_path)
+    run_catalog(spark, root, [(1, "A")], [(2, "B")], T1)
+    frames = {name: stored(spark, root, name) for name in tables.TABLES}
+    products = frames["products"]
+    frames["products"] = products.unionByName(products.filter("id_product = 1")).withColumn(
+        "product_group", F.when(F.col("id_product") == 2, "box").otherwise(F.col("product_group"))
+    )
+    watch = "watchlist_item_id string, id_product long, reason string, target_price decimal(18,4), is_active boolean, created_at timestamp, updated_at timestamp"
+    now = datetime.datetime(2026, 7, 1)
+    frames["watchlist"] = spark.createDataFrame(
+        [("w1", 1, None, None, True, now, now), ("w2", 1, None, None, True, now, None), ("w3", 9, None, None, False, now, now)], watch
+    )
+    found = {(r.table_name, r.constraint_name, r.key) for r in quality.constraint_report(frames).collect()}
+    assert found == {
+        ("products", "products.key", "1"), ("products", "products.product_group", "2"), ("watchlist", "watchlist.active", "1"),
+        ("watchlist", "watchlist.updated_at", "w2"), ("watchlist", "watchlist.id_product_exists", "w3"),
+    }

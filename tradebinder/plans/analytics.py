@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradebinder.functions.dates import as_date
 from tradebinder.operators import signals, valuation, views
-from tradebinder.schemas import ANALYTICS_SIGNALS
+from tradebinder.schemas import ANALYTICS_SIGNALS, TABLES
 from tradebinder.session import configure
 from tradebinder.sources.csv_files import write_csv
 from tradebinder.sources.tables import read_table, write_partitions
@@ -57,7 +57,9 @@ def stored_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
 
 
 def register_views(spark: SparkSession, root: str) -> None:
-    """Make the views available to spark.sql."""
+    """Make the stored tables and the views available to spark.sql."""
+    for name in TABLES:
+        read_table(spark, root, name).createOrReplaceTempView(name)
     for name, frame in stored_views(spark, root).items():
         frame.createOrReplaceTempView(name)
 
