@@ -274,3 +274,20 @@ def test_constraint_report_finds_every_kind(spark, tmp_path):
         ("products", "products.key", "1"), ("products", "products.product_group", "2"), ("watchlist", "watchlist.active", "1"),
         ("watchlist", "watchlist.updated_at", "w2"), ("watchlist", "watchlist.id_product_exists", "w3"),
     }
+
+
+def test_runs_from_the_archive(spark, tmp_path):
+    root, folder = str(tmp_path / "tables"), tmp_path / "archive"
+    folder.mkdir()
+    (folder / "products_singles_6_2026-07-03.json").write_text(products_file((1, "A")))
+    with pytest.raises(daily.LoadFailed, match="products_nonsingles_6"):
+        catalog.run_archived_catalog(spark, root, str(folder), "2026-07-03", T1)
+    (folder / "products_nonsingles_6_2026-07-03.json").write_text(products_file((2, "Box")))
+    assert catalog.run_archived_catalog(spark, root, str(folder), "2026-07-03", T1).new_products == 2
+    (folder / "price_guide_6_2026-07-03.json").write_text(guide((1, 5, 5)))
+    (folder / "price_guide_6_2026-07-03_rerun-01.json").write_text(guide((1, 6, 5), (1, 7, 5), (2, 1, 1)))
+    summary = daily.load_archived_day(spark, root, str(folder), "2026-07-03", T1)
+    assert (summary.status, summary.records_read, summary.rows_loaded) == ("success", 3, 2)
+    assert stored(spark, root, "price_snapshots").filter("id_product = 1").first().trend == 7
+    with pytest.raises(daily.LoadFailed):
+        daily.load_archived_day(spark, root, str(folder), "2026-07-04", T1)

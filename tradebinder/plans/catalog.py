@@ -20,7 +20,8 @@ from tradebinder.operators.validate import (
     raise_on_violations,
     violations,
 )
-from tradebinder.schemas import SOURCE_FILES
+from tradebinder.plans.daily import archived_documents
+from tradebinder.schemas import CATALOG_PREFIX_TO_FILE, SOURCE_FILES
 from tradebinder.session import configure, ensure_checkpoint_dir
 from tradebinder.sources.json_files import catalog_documents
 from tradebinder.sources.tables import read_table, write_version
@@ -39,6 +40,14 @@ def date_added_warnings(records: DataFrame) -> DataFrame:
     return records.filter(text.isNotNull() & text.try_cast("timestamp").isNull())
 
 
+def run_archived_catalog(spark: SparkSession, root: str, archive: str, day, run_ts) -> Row:
+    """run_catalog with the canonical files of the day; one missing file fails the run."""
+    singles, nonsingles = (
+        archived_documents(spark, archive, prefix, day) for prefix in CATALOG_PREFIX_TO_FILE
+    )
+    return run_catalog(spark, root, singles, nonsingles, run_ts)
+
+
 def run_catalog(
     spark: SparkSession, root: str, singles: DataFrame, nonsingles: DataFrame, run_ts
 ) -> Row:

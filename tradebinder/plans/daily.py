@@ -51,6 +51,7 @@ def load_day(
     ensure_checkpoint_dir(spark)
     judged = transform_prices(documents, snapshot_date, created_at).persist()
     raise_on_violations(violations(judged))
+    records_read = judged.count()
     stored = read_table(spark, root, "price_snapshots")
     day = as_date(snapshot_date)
     today = stored.filter(F.col("snapshot_date") == day)
@@ -60,13 +61,28 @@ def load_day(
     state = before.unionByName(merged)
     products = read_table(spark, root, "products")
     counts = daily_counts(state, products, snapshot_date, latest_date_before(stored, day))
-    summary = daily_summary(counts).first()
+    summary = daily_summary(counts).withColumn("records_read", F.lit(records_read)).first()
     if summary.status == "failed":
         raise LoadFailed(f"no rows for {snapshot_date}")
     write_partitions(merged, root, "price_snapshots")
     return summary
 
 
+def archived_documents(spark: SparkSession, archive: str, prefix: str, day) -> DataFrame:
+    """The canonical archived document of a day; a day without one cannot be loaded."""
+    found = canonical_files(archive_listing(spark, archive), [prefix]).filter(
+        F.col("snapshot_date") == as_date(day)
+    ).first()
+    if found is None:
+        raise LoadFailed(f"no {prefix} file is archived for {day}")
+    return read_documents(spark, f"{archive}/{found.file_name}")
+
+
+def load_archived_day(spark: SparkSession, root: str, archive: str, day, run_ts) -> Row:
+    """load_day with the canonical price file of the day."""
+    return load_day(spark, root, archived_documents(spark, archive, PRICE_PREFIX, day), day, run_ts)
+
+
 def replay(
     spark: SparkSession, root: str, archive: str, first: datetime.date, last: datetime.date, run_ts
 ) -> DataFrame:
