@@ -326,7 +326,7 @@ def test_growth_signal(spark):
         spark, (1, "2026-06-01", 10.0, None), (1, "2026-07-01", 13.0, None), (2, "2026-06-01", 0.0, None),
         (2, "2026-07-01", 5.0, None), (3, "2026-06-28", 1.0, None), (3, "2026-07-01", 2.0, None),
     )
-    aged = signals.with_age(signals.price_points(rows, "2026-07-01"), old_products(spark, 1, 2, 3), "2026-07-01")
+    aged = signals.signal_base(old_products(spark, 1, 2, 3), signals.price_points(rows, "2026-07-01"), "2026-07-01")
     found = signals.growth(aged, "2026-07-01", T1).collect()
     assert {(r.id_product, r.lookback_days, r.signal_strength) for r in found} == {(1, 7, "high"), (1, 30, "high")}
     month = next(r for r in found if r.lookback_days == 30)
@@ -344,7 +344,7 @@ def test_exact_dates_accept_no_older_snapshot(spark):
 def test_new_products_have_no_growth_or_spike(spark):
     rows = history(spark, (1, "2026-06-20", 10.0, 5.0), (1, "2026-07-01", 13.0, 5.0))
     fresh = old_products(spark, 1, first="2026-06-20")
-    aged = signals.with_age(signals.price_points(rows, "2026-07-01"), fresh, "2026-07-01")
+    aged = signals.signal_base(fresh, signals.price_points(rows, "2026-07-01"), "2026-07-01")
     assert signals.growth(aged, "2026-07-01", T1).count() == 0
     assert signals.price_spike(aged, "2026-07-01", T1).count() == 0
     new = signals.new_product(fresh, "2026-07-01", T1).first()
@@ -353,7 +353,7 @@ def test_new_products_have_no_growth_or_spike(spark):
 
 def test_spike_signal(spark):
     rows = history(spark, (1, "2026-07-01", 20.0, 15.0), (2, "2026-07-01", 20.0, 0.0))
-    aged = signals.with_age(signals.price_points(rows, "2026-07-01"), old_products(spark, 1, 2), "2026-07-01")
+    aged = signals.signal_base(old_products(spark, 1, 2), signals.price_points(rows, "2026-07-01"), "2026-07-01")
     found = signals.price_spike(aged, "2026-07-01", T1).collect()
     assert len(found) == 1 and found[0].signal_strength == "medium" and found[0].lookback_days is None
     assert found[0].signal_description == "Current trend price is 33.33% above avg30."
@@ -379,21 +379,24 @@ def test_missing_price_signal(spark):
         (4, "2026-06-25", None, 1.0), (4, "2026-07-01", None, None),
     )
     known = old_products(spark, 1, 2, 3, 4).unionByName(old_products(spark, 5, first="2026-07-01"))
-    points = signals.price_points(rows, "2026-07-01")
-    found = signals.missing_price_data(known, points, "2026-07-01", T1).collect()
+    base = signals.signal_base(known, signals.price_points(rows, "2026-07-01"), "2026-07-01")
+    found = signals.missing_price_data(base, "2026-07-01", T1).collect()
     assert {r.id_product: r.signal_strength for r in found} == {1: "high", 3: "high", 4: "low"}
     assert all(r.signal_value is None for r in found)
+    later = signals.signal_base(known, signals.price_points(rows, "2026-07-03"), "2026-07-03")
+    gap_day = signals.missing_price_data(later, "2026-07-03", T1, latest_snapshot="2026-07-01")
+    assert {r.id_product for r in gap_day.collect()} == {1, 3, 4}
 
 
 def test_buy_opportunity(spark):
     rows = history(spark, (1, "2026-04-01", 8.0, None), (1, "2026-07-01", 10.0, 12.0), (2, "2026-04-10", 8.0, None), (2, "2026-07-01", 10.0, 12.0))
-    aged = signals.with_age(signals.price_points(rows, "2026-07-01"), old_products(spark, 1, 2), "2026-07-01")
+    aged = signals.signal_base(old_products(spark, 1, 2), signals.price_points(rows, "2026-07-01"), "2026-07-01")
     assert [r.id_product for r in signals.potential_buy_opportunity(aged, "2026-07-01", T1).collect()] == [1]
 
 
 def test_signal_ids_are_stable(spark):
     rows = history(spark, (1, "2026-07-01", 20.0, 15.0))
-    aged = signals.with_age(signals.price_points(rows, "2026-07-01"), old_products(spark, 1), "2026-07-01")
+    aged = signals.signal_base(old_products(spark, 1), signals.price_points(rows, "2026-07-01"), "2026-07-01")
     ids = {signals.price_spike(aged, "2026-07-01", ts).first().signal_id for ts in (T1, T2)}
     assert len(ids) == 1
 

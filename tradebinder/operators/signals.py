@@ -2,13 +2,17 @@
 
 Every price signal starts from one aggregate per product (price_points); all lookback
 windows are conditional picks inside that aggregate, so history is read and shuffled once
-whatever the number of windows.
+whatever the number of windows.  The signals of a product are entries of one array that is
+unfolded, so a further signal type costs no further pass.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tradebinder.functions.dates import as_date, as_instant, price_age_days
 from tradebinder.functions.money import (
@@ -16,6 +20,7 @@ from tradebinder.functions.money import (
     GROWTH_TIERS,
     SPIKE_TIERS,
     amount_text,
+    estimated_market_value,
     gap_tier,
     is_new_product,
     newness_tier,
@@ -28,6 +33,7 @@ from tradebinder.operators.lookup import spread_join
 from tradebinder.schemas import (
     GROWTH_LOOKBACKS,
     MIN_GROWTH_HISTORY_DAYS,
+    MONEY,
     PIPELINE_ZONE,
     SIGNAL_COLUMNS,
 )
@@ -63,105 +69,174 @@ def price_points(
     )
 
 
-def with_age(points: DataFrame, products: DataFrame, as_of, zone: str = PIPELINE_ZONE) -> DataFrame:
-    """Attach group, catalog flag, first_seen_at and age of known products."""
+def signal_base(
+    products: DataFrame, points: DataFrame | None, as_of, zone: str = PIPELINE_ZONE
+) -> DataFrame:
+    """One row per catalog product with its age and, if points are given, its prices.  Both
+    sides are unique by id.  Price rows of ids the catalog lacks give no signals."""
     known = products.select("id_product", "product_group", "is_active_in_catalog", "first_seen_at")
-    return points.join(known, "id_product").withColumn(
-        "age_days", price_age_days(F.col("first_seen_at"), as_date(as_of), zone)
-    )
+    aged = known.withColumn("age_days", price_age_days(F.col("first_seen_at"), as_date(as_of), zone))
+    return aged if points is None else aged.join(points, "id_product", "left")
+
+
+@dataclass(frozen=True)
+class Signal:
+    """One possible signal of a row: when it applies and what it says."""
+
+    kind: str | Column
+    applies: Column
+    value: Column | None
+    strength: Column
+    reference: Column | None
+    current: Column | None
+    description: Column
+    lookback: int | None = None
+
+    def entry(self, money: T.DataType) -> Column:
+        def amount(column: Column | None) -> Column:
+            return (F.lit(None) if column is None else column).cast(money)
+
+        kind = F.lit(self.kind) if isinstance(self.kind, str) else self.kind
+        return F.when(
+            self.applies,
+            F.struct(
+                kind.alias("signal_type"),
+                amount(self.value).alias("signal_value"),
+                self.strength.cast("string").alias("signal_strength"),
+                F.lit(self.lookback).cast("int").alias("lookback_days"),
+                amount(self.reference).alias("reference_value"),
+                amount(self.current).alias("current_value"),
+                self.description.alias("signal_description"),
+            ),
+        )
 
 
-def _signal(
-    rows: DataFrame, kind: Column | str, as_of, run_ts, *, value: Column, strength: Column,
-    reference: Column, current: Column, description: Column, lookback: Column | None = None,
-    item: Column | None = None,
+def emit(
+    rows: DataFrame, candidates: list[Signal], as_of, run_ts, item: Column | None = None,
+    money: T.DataType = T.DoubleType(),
 ) -> DataFrame:
-    """Rows in the common signal layout."""
+    """Every signal that applies to a row, in the common layout.  All signal types of a row
+    come out of one pass over it."""
     day = as_date(as_of)
-    kind = F.lit(kind) if isinstance(kind, str) else kind
-    lookback = F.lit(None).cast("int") if lookback is None else lookback
     item = F.lit(None).cast("string") if item is None else item.cast("string")
-    return rows.select(
-        surrogate_id(day, kind, F.col("id_product"), item, lookback).alias("signal_id"),
+    entries = F.array_compact(F.array(*[c.entry(money) for c in candidates]))
+    found = rows.select("id_product", item.alias("collection_item_id"), F.inline(entries))
+    return found.select(
+        surrogate_id(
+            day, *[F.col(c) for c in ("signal_type", "id_product", "collection_item_id", "lookback_days")]
+        ).alias("signal_id"),
         day.alias("signal_date"),
-        "id_product",
-        item.alias("collection_item_id"),
-        kind.alias("signal_type"),
-        value.alias("signal_value"),
-        strength.alias("signal_strength"),
-        lookback.alias("lookback_days"),
-        reference.alias("reference_value"),
-        current.alias("current_value"),
-        description.alias("signal_description"),
+        "*",
         as_instant(run_ts).alias("created_at"),
     ).select(*SIGNAL_COLUMNS)
 
 
-def _growth_rows(aged: DataFrame, lookbacks) -> DataFrame:
-    """One row per product and window with a defined change, unstable products left out."""
-    windows = F.array(
-        *[
-            F.struct(F.lit(n).alias("lookback"), F.col(f"trend_{n}_days_ago").alias("previous"))
-            for n in lookbacks
-        ]
-    )
-    return (
-        aged.filter(~is_new_product(F.col("age_days")))
-        .filter(F.datediff("latest_date", "first_date") >= MIN_GROWTH_HISTORY_DAYS)
-        .select("id_product", "product_group", "trend", F.inline(windows))
-        .withColumn("percent", percent_change(F.col("trend"), F.col("previous")))
-    )
+def money_type(rows: DataFrame, column: str) -> T.DataType:
+    """Amounts of signals are doubles for double prices and MONEY for decimal ones."""
+    return MONEY if isinstance(rows.schema[column].dataType, T.DecimalType) else T.DoubleType()
 
 
-def growth(aged: DataFrame, as_of, run_ts, lookbacks=GROWTH_LOOKBACKS, kind: str = "growth") -> DataFrame:
-    """Trend gained at least 5 percent against N days ago."""
-    rows = _growth_rows(aged, lookbacks).filter(F.col("percent") >= GROWTH_TIERS[0])
-    text = F.concat(
-        F.lit("Product increased by "), amount_text(F.col("percent")), F.lit("% over the last "),
-        F.col("lookback").cast("string"), F.lit(" days."),
+def growth_signals(lookbacks=GROWTH_LOOKBACKS, kind: str = "growth", only: Column | None = None) -> list[Signal]:
+    """Trend gained at least 5 percent against N days ago, for products that are no longer
+    new and have a week of history."""
+    stable = ~is_new_product(F.col("age_days")) & (
+        F.datediff("latest_date", "first_date") >= MIN_GROWTH_HISTORY_DAYS
     )
-    return _signal(
-        rows, kind, as_of, run_ts, value=F.col("percent"),
-        strength=tier(F.col("percent"), GROWTH_TIERS), reference=F.col("previous"),
-        current=F.col("trend"), description=text, lookback=F.col("lookback"),
+    found = []
+    for n in lookbacks:
+        previous = F.col(f"trend_{n}_days_ago")
+        percent = percent_change(F.col("trend"), previous)
+        applies = stable & (percent >= GROWTH_TIERS[0])
+        found.append(
+            Signal(
+                kind, applies if only is None else applies & only, percent, tier(percent, GROWTH_TIERS),
+                previous, F.col("trend"),
+                F.concat(
+                    F.lit("Product increased by "), amount_text(percent),
+                    F.lit(f"% over the last {n} days."),
+                ),
+                n,
+            )
+        )
+    return found
+
+
+def spike_signal() -> Signal:
+    """Latest trend at least 10 percent above the 30-day average; no lookback window."""
+    percent = percent_change(F.col("trend"), F.col("avg30"))
+    return Signal(
+        "price_spike", ~is_new_product(F.col("age_days")) & (percent >= SPIKE_TIERS[0]), percent,
+        tier(percent, SPIKE_TIERS), F.col("avg30"), F.col("trend"),
+        F.concat(F.lit("Current trend price is "), amount_text(percent), F.lit("% above avg30.")),
     )
 
 
-def sealed_growth(aged: DataFrame, as_of, run_ts, lookbacks=GROWTH_LOOKBACKS) -> DataFrame:
-    """Growth of non-single products."""
-    sealed = aged.filter(F.col("product_group") == "non_single")
-    return growth(sealed, as_of, run_ts, lookbacks, kind="sealed_growth")
+def new_product_signal() -> Signal:
+    """First seen at most 30 days ago, and not after the signal date."""
+    age = F.col("age_days")
+    return Signal(
+        "new_product", (age >= 0) & (age <= 30), age, newness_tier(age), None, None,
+        F.concat(F.lit("Product was first seen "), age.cast("string"), F.lit(" days ago.")),
+    )
 
 
-def price_spike(aged: DataFrame, as_of, run_ts) -> DataFrame:
-    """Latest trend at least 10 percent above the 30-day average; no lookback window."""
-    rows = (
-        aged.filter(~is_new_product(F.col("age_days")))
-        .withColumn("percent", percent_change(F.col("trend"), F.col("avg30")))
-        .filter(F.col("percent") >= SPIKE_TIERS[0])
+def missing_price_signal(as_of, latest_snapshot=None) -> Signal:
+    """Active products whose most recent price row has neither trend nor 30-day average, or
+    that have no price row at all, once a snapshot after their first day exists.  The
+    signal date counts as a snapshot date unless latest_snapshot says otherwise.  Strength
+    grows with the days since the last usable price."""
+    day = as_date(as_of)
+    cycle = day if latest_snapshot is None else as_date(latest_snapshot)
+    had_a_chance = F.date_sub(day, F.col("age_days")) < cycle
+    gap = F.coalesce(F.datediff(day, "last_usable_date"), F.col("age_days"))
+    unusable = ~usable_price(F.col("trend"), F.col("avg30"))
+    return Signal(
+        "missing_price_data", F.col("is_active_in_catalog") & unusable & had_a_chance,
+        None, gap_tier(gap), None, None,
+        F.lit("No trend or avg30 price available as of this date."),
     )
-    text = F.concat(
-        F.lit("Current trend price is "), amount_text(F.col("percent")), F.lit("% above avg30.")
+
+
+def buy_opportunity_signal(history_days: int = 90) -> Signal:
+    """Trend below its 30-day average although it grew over 90 days, with that much history."""
+    trend, average = F.col("trend"), F.col("avg30")
+    applies = (
+        (trend < average)
+        & (percent_change(trend, F.col(f"trend_{history_days}_days_ago")) > 0)
+        & (F.datediff("latest_date", "first_date") >= history_days)
+        & ~is_new_product(F.col("age_days"))
     )
-    return _signal(
-        rows, "price_spike", as_of, run_ts, value=F.col("percent"),
-        strength=tier(F.col("percent"), SPIKE_TIERS), reference=F.col("avg30"),
-        current=F.col("trend"), description=text,
+    return Signal(
+        "potential_buy_opportunity", applies, percent_change(trend, average), F.lit(None), average, trend,
+        F.lit("Current trend price is below avg30 while long-term growth is positive."), history_days,
     )
 
 
+def growth(base: DataFrame, as_of, run_ts, lookbacks=GROWTH_LOOKBACKS) -> DataFrame:
+    return emit(base, growth_signals(lookbacks), as_of, run_ts, money=money_type(base, "trend"))
+
+
+def sealed_growth(base: DataFrame, as_of, run_ts, lookbacks=GROWTH_LOOKBACKS) -> DataFrame:
+    """Growth of non-single products."""
+    sealed = growth_signals(lookbacks, "sealed_growth", F.col("product_group") == "non_single")
+    return emit(base, sealed, as_of, run_ts, money=money_type(base, "trend"))
+
+
+def price_spike(base: DataFrame, as_of, run_ts) -> DataFrame:
+    return emit(base, [spike_signal()], as_of, run_ts, money=money_type(base, "trend"))
+
+
 def new_product(products: DataFrame, as_of, run_ts, zone: str = PIPELINE_ZONE) -> DataFrame:
-    """Products first seen at most 30 days ago (and not after the signal date)."""
-    age = F.col("age_days")
-    rows = products.select(
-        "id_product", price_age_days(F.col("first_seen_at"), as_date(as_of), zone).alias("age_days")
-    ).filter((age >= 0) & (age <= 30))
-    nothing = F.lit(None).cast("double")
-    text = F.concat(F.lit("Product was first seen "), age.cast("string"), F.lit(" days ago."))
-    return _signal(
-        rows, "new_product", as_of, run_ts, value=age.cast("double"), strength=newness_tier(age),
-        reference=nothing, current=nothing, description=text,
-    )
+    return emit(signal_base(products, None, as_of, zone), [new_product_signal()], as_of, run_ts)
+
+
+def missing_price_data(base: DataFrame, as_of, run_ts, latest_snapshot=None) -> DataFrame:
+    return emit(base, [missing_price_signal(as_of, latest_snapshot)], as_of, run_ts)
+
+
+def potential_buy_opportunity(base: DataFrame, as_of, run_ts, history_days: int = 90) -> DataFrame:
+    candidates = [buy_opportunity_signal(history_days)]
+    return emit(base, candidates, as_of, run_ts, money=money_type(base, "trend"))
 
 
 def collection_gain_loss(items: DataFrame, latest: DataFrame, as_of, run_ts) -> DataFrame:
@@ -172,85 +247,42 @@ def collection_gain_loss(items: DataFrame, latest: DataFrame, as_of, run_ts) ->
         "collection_item_id", "id_product", "purchase_price"
     )
     valued = latest.select("id_product", "estimated_market_value")
-    rows = spread_join(bought, valued, ["id_product"], "inner", ["collection_item_id"]).filter(
-        value != price
-    )
-    gained = value > price
-    amount = F.abs(value - price)
-    percent = F.abs(percent_change(value, price))
-    text = F.concat(
-        F.lit("This collection item is currently estimated "), amount_text(amount), F.lit(" EUR "),
-        F.when(gained, "above").otherwise("below"), F.lit(" its purchase price."),
-    )
-    return _signal(
-        rows, F.when(gained, "collection_gain").otherwise("collection_loss"), as_of, run_ts,
-        value=amount, strength=tier(percent, GAIN_LOSS_TIERS), reference=price, current=value,
-        description=text, item=F.col("collection_item_id"),
-    )
-
-
-def missing_price_data(
-    products: DataFrame, points: DataFrame, as_of, run_ts, latest_snapshot=None,
-    zone: str = PIPELINE_ZONE,
-) -> DataFrame:
-    """Active products whose most recent price row has neither trend nor 30-day average, or
-    that have no price row at all.  Products without a snapshot after their first day are
-    left out.  Strength grows with the days since the last usable price."""
-    day = as_date(as_of)
-    cycle = day if latest_snapshot is None else as_date(latest_snapshot)
-    age = price_age_days(F.col("first_seen_at"), day, zone)
-    seen = F.date_sub(day, age)
-    rows = (
-        products.filter("is_active_in_catalog")
-        .select("id_product", "first_seen_at")
-        .join(points.select("id_product", "trend", "avg30", "last_usable_date"), "id_product", "left")
-        .filter(~usable_price(F.col("trend"), F.col("avg30")) & (seen < cycle))
-        .withColumn("gap_days", F.datediff(day, F.coalesce(F.col("last_usable_date"), seen)))
-    )
-    nothing = F.lit(None).cast("double")
-    return _signal(
-        rows, "missing_price_data", as_of, run_ts, value=nothing,
-        strength=gap_tier(F.col("gap_days")), reference=nothing, current=nothing,
-        description=F.lit("No trend or avg30 price available as of this date."),
-    )
-
-
-def potential_buy_opportunity(aged: DataFrame, as_of, run_ts, history_days: int = 90) -> DataFrame:
-    """Trend below its 30-day average although it grew over 90 days, with that much history."""
-    previous = F.col(f"trend_{history_days}_days_ago")
-    rows = aged.filter(
-        (F.col("trend") < F.col("avg30"))
-        & (percent_change(F.col("trend"), previous) > 0)
-        & (F.datediff("latest_date", "first_date") >= history_days)
-        & ~is_new_product(F.col("age_days"))
+    rows = spread_join(bought, valued, ["id_product"], "inner", ["collection_item_id"])
+    gained, amount = value > price, F.abs(value - price)
+    candidate = Signal(
+        F.when(gained, "collection_gain").otherwise("collection_loss"), value != price, amount,
+        tier(F.abs(percent_change(value, price)), GAIN_LOSS_TIERS), price, value,
+        F.concat(
+            F.lit("This collection item is currently estimated "), amount_text(amount), F.lit(" EUR "),
+            F.when(gained, "above").otherwise("below"), F.lit(" its purchase price."),
+        ),
     )
-    return _signal(
-        rows, "potential_buy_opportunity", as_of, run_ts,
-        value=percent_change(F.col("trend"), F.col("avg30")), strength=F.lit(None).cast("string"),
-        reference=F.col("avg30"), current=F.col("trend"),
-        description=F.lit("Current trend price is below avg30 while long-term growth is positive."),
-        lookback=F.lit(history_days),
+    return emit(
+        rows.filter(value != price), [candidate], as_of, run_ts, F.col("collection_item_id"),
+        money_type(rows, "purchase_price"),
     )
 
 
 def all_signals(
-    prices: DataFrame, products: DataFrame, items: DataFrame, latest: DataFrame, as_of, run_ts,
-    lookbacks=GROWTH_LOOKBACKS,
+    points: DataFrame, products: DataFrame, items: DataFrame, as_of, run_ts,
+    lookbacks=GROWTH_LOOKBACKS, latest_snapshot=None,
 ) -> DataFrame:
-    """The six signal types of a date in one table."""
-    points = price_points(prices, as_of, lookbacks)
-    aged = with_age(points, products, as_of)
-    parts = [
-        growth(aged, as_of, run_ts, lookbacks),
-        price_spike(aged, as_of, run_ts),
-        new_product(products, as_of, run_ts),
-        collection_gain_loss(items, latest, as_of, run_ts),
-        missing_price_data(products, points, as_of, run_ts),
+    """The six signal types of a date in one table, from price_points of that date.
+
+    All product signals come from one join of catalog and points; the items are valued with
+    the same points.
+    """
+    base = signal_base(products, points, as_of)
+    candidates = [
+        *growth_signals(lookbacks),
+        spike_signal(),
+        new_product_signal(),
+        missing_price_signal(as_of, latest_snapshot),
     ]
-    union = parts[0]
-    for part in parts[1:]:
-        union = union.unionByName(part)
-    return union
+    of_products = emit(base, candidates, as_of, run_ts, money=money_type(base, "trend"))
+    value = estimated_market_value(F.col("trend"), F.col("avg30"))
+    latest = points.select("id_product", value.alias("estimated_market_value"))
+    return of_products.unionByName(collection_gain_loss(items, latest, as_of, run_ts))
 
 
 # Signal types behind each signal view.

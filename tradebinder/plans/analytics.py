@@ -8,20 +8,24 @@ from pyspark.sql import functions as F
 from tradebinder.functions.dates import as_date
 from tradebinder.operators import signals, valuation, views
 from tradebinder.schemas import ANALYTICS_SIGNALS, TABLES
-from tradebinder.session import configure
+from tradebinder.session import configure, ensure_checkpoint_dir
 from tradebinder.sources.csv_files import write_csv
 from tradebinder.sources.tables import read_table, write_partitions
 
 
 def record_signals(spark: SparkSession, root: str, as_of, run_ts) -> None:
     """Compute all signals of a date and replace that date's partition, so a rerun of the
-    date does not add rows."""
+    date does not add rows.  The price history is read once: its points, one row per
+    product, are checkpointed and feed product and item signals."""
     configure(spark)
+    ensure_checkpoint_dir(spark)
     prices = read_table(spark, root, "price_snapshots").filter(F.col("snapshot_date") <= as_date(as_of))
+    points = signals.price_points(prices, as_of).checkpoint()
     products = read_table(spark, root, "products")
     items = read_table(spark, root, "collection_items")
+    newest = points.agg(F.max("latest_date")).first()[0]
     found = signals.all_signals(
-        prices, products, items, views.latest_prices(prices, products), as_of, run_ts
+        points, products, items, as_of, run_ts, latest_snapshot=F.lit(newest).cast("date")
     )
     typed = found.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ANALYTICS_SIGNALS.fields]

@@ -498,24 +498,24 @@ def _signal_rows(rows: DataFrame) -> DataFrame:
     return _longs(money, "lookback_days").drop("created_at", "signal_description")
 
 
-def _aged(t: DriverTables) -> DataFrame:
+def _base(t: DriverTables) -> DataFrame:
     points = signals.price_points(t.prices(), t.signal_date(), LOOKBACKS)
-    return signals.with_age(points, t.products(), t.signal_date())
+    return signals.signal_base(t.products(), points, t.signal_date())
 
 
 @query
 def signal_growth(t: DriverTables) -> DataFrame:
-    return _signal_rows(signals.growth(_aged(t), t.signal_date(), RUN_TS, LOOKBACKS))
+    return _signal_rows(signals.growth(_base(t), t.signal_date(), RUN_TS, LOOKBACKS))
 
 
 @query
 def signal_sealed_growth(t: DriverTables) -> DataFrame:
-    return _signal_rows(signals.sealed_growth(_aged(t), t.signal_date(), RUN_TS, LOOKBACKS))
+    return _signal_rows(signals.sealed_growth(_base(t), t.signal_date(), RUN_TS, LOOKBACKS))
 
 
 @query
 def signal_price_spike(t: DriverTables) -> DataFrame:
-    return _signal_rows(signals.price_spike(_aged(t), t.signal_date(), RUN_TS))
+    return _signal_rows(signals.price_spike(_base(t), t.signal_date(), RUN_TS))
 
 
 @query
@@ -532,22 +532,19 @@ def signal_gain_loss(t: DriverTables) -> DataFrame:
 
 @query
 def signal_missing_price(t: DriverTables) -> DataFrame:
-    points = signals.price_points(t.prices(), t.signal_date(), ())
-    return _signal_rows(signals.missing_price_data(t.products(), points, t.signal_date(), RUN_TS))
+    return _signal_rows(signals.missing_price_data(_base(t), t.signal_date(), RUN_TS))
 
 
 @query
 def signal_buy_opportunity(t: DriverTables) -> DataFrame:
     """The 90-day rule on a 28-day window, as the given history is 30 days long."""
-    rows = signals.potential_buy_opportunity(_aged(t), t.signal_date(), RUN_TS, history_days=28)
+    rows = signals.potential_buy_opportunity(_base(t), t.signal_date(), RUN_TS, history_days=28)
     return _signal_rows(rows)
 
 
 def _all_signals(t: DriverTables) -> DataFrame:
-    items, products, latest = _valuation(t)
-    return signals.all_signals(
-        t.prices(), products, items, latest, t.signal_date(), RUN_TS, LOOKBACKS
-    )
+    points = signals.price_points(t.prices(), t.signal_date(), LOOKBACKS)
+    return signals.all_signals(points, t.products(), t.items(), t.signal_date(), RUN_TS, LOOKBACKS)
 
 
 @query
