@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 # One CTE per derived table (see driver_tables), in dependency order.
 _TABLES = {
     "price_batch": """
@@ -29,6 +31,20 @@ SELECT p_partkey AS id_product,
        p_size <= 45 AS is_active_in_catalog, DATE '2023-12-10' + p_size AS first_seen,
        DATE '2024-01-25' AS last_seen
 FROM part""",
+    "known_products": "SELECT * FROM products WHERE id_metacard <= 35",
+    "catalog": "SELECT * REPLACE (CONCAT(name, ' v2') AS name) FROM products WHERE id_metacard >= 15",
+    "merged_products": """
+SELECT COALESCE(c.id_product, k.id_product) AS id_product, COALESCE(c.name, k.name) AS name,
+       CASE WHEN c.id_product IS NOT NULL THEN c.id_category ELSE k.id_category END AS id_category,
+       CASE WHEN c.id_product IS NOT NULL THEN c.id_expansion ELSE k.id_expansion END AS id_expansion,
+       COALESCE(c.product_group, k.product_group) AS product_group, COALESCE(c.source_file, k.source_file) AS source_file,
+       c.id_product IS NOT NULL AS is_active_in_catalog,
+       COALESCE(k.first_seen, DATE '2024-02-01') AS first_seen,
+       CASE WHEN c.id_product IS NOT NULL THEN DATE '2024-02-01' ELSE k.last_seen END AS last_seen,
+       CASE WHEN c.id_product IS NOT NULL OR k.is_active_in_catalog THEN DATE '2024-02-01' ELSE k.last_seen END AS updated,
+       CASE WHEN k.id_product IS NULL THEN 'inserted' WHEN c.id_product IS NOT NULL THEN 'updated'
+            WHEN k.is_active_in_catalog THEN 'deactivated' ELSE 'unchanged' END AS catalog_change
+FROM known_products k FULL OUTER JOIN catalog c ON c.id_product = k.id_product""",
     "expansions": """
 SELECT s_suppkey AS id_expansion, s_name AS name_en, CONCAT('DE ', s_name) AS name_de,
        CONCAT('Vendor-', SUBSTR(s_name, 10, 9)) AS slug, r_name AS series_en, n_name AS series_de,
@@ -217,20 +233,6 @@ FROM expansions e LEFT JOIN (
     FROM expansion_keys k JOIN (SELECT method, match_key, COUNT(*) AS n, MIN(tcg_set_id) AS tcg_set_id
                                 FROM set_keys GROUP BY method, match_key) x
       ON x.method = k.method AND x.match_key = k.match_key) r WHERE dup = 1) b ON b.id_expansion = e.id_expansion""",
-    "known_products": "SELECT * FROM products WHERE id_metacard <= 35",
-    "catalog": "SELECT * REPLACE (CONCAT(name, ' v2') AS name) FROM products WHERE id_metacard >= 15",
-    "merged_products": """
-SELECT COALESCE(c.id_product, k.id_product) AS id_product, COALESCE(c.name, k.name) AS name,
-       CASE WHEN c.id_product IS NOT NULL THEN c.id_category ELSE k.id_category END AS id_category,
-       CASE WHEN c.id_product IS NOT NULL THEN c.id_expansion ELSE k.id_expansion END AS id_expansion,
-       COALESCE(c.product_group, k.product_group) AS product_group, COALESCE(c.source_file, k.source_file) AS source_file,
-       c.id_product IS NOT NULL AS is_active_in_catalog,
-       COALESCE(k.first_seen, DATE '2024-02-01') AS first_seen,
-       CASE WHEN c.id_product IS NOT NULL THEN DATE '2024-02-01' ELSE k.last_seen END AS last_seen,
-       CASE WHEN c.id_product IS NOT NULL OR k.is_active_in_catalog THEN DATE '2024-02-01' ELSE k.last_seen END AS updated,
-       CASE WHEN k.id_product IS NULL THEN 'inserted' WHEN c.id_product IS NOT NULL THEN 'updated'
-            WHEN k.is_active_in_catalog THEN 'deactivated' ELSE 'unchanged' END AS catalog_change
-FROM known_products k FULL OUTER JOIN catalog c ON c.id_product = k.id_product""",
     "counts": """
 SELECT DATE '2024-01-20' AS snapshot_date,
   (SELECT COUNT(*) FROM prices WHERE snapshot_date = DATE '2024-01-20') AS rows_loaded,
@@ -252,39 +254,19 @@ UNION ALL SELECT snapshot_date, 'record_count_drift', 'warning',
 }
 
 
-def _sql(body: str, *tables: str, catalog: str = "products") -> str:
-    """Body with the CTEs it names and everything these read."""
-    needed: set[str] = set()
-
-    def need(text: str) -> None:
-        for name in _TABLES:
-            if name not in needed and _mentions(text, name):
-                needed.add(name)
-                need(_TABLES[name].format(catalog=catalog) if "{" in _TABLES[name] else _TABLES[name])
-
-    need(body)
-    parts = [
-        f"{name} AS ({(_TABLES[name].format(catalog=catalog) if '{' in _TABLES[name] else _TABLES[name]).strip()})"
-        for name in _TABLES
-        if name in needed
-    ]
-    ordered = sorted(parts, key=lambda p: _ORDER.index(p.split(" ", 1)[0]))
-    return f"WITH {', '.join(ordered)}\n{body.strip()}" if ordered else body.strip()
-
-
-def _mentions(text: str, name: str) -> bool:
-    import re
-
-    return re.search(rf"\b(?:FROM|JOIN)\s+{name}\b", text) is not None
-
+def _sql(body: str, catalog: str = "products") -> str:
+    """The statement with the derived tables it reads, directly or through others.
+    ``catalog`` names the product table that import rows are matched against."""
+    texts = {name: text.format(catalog=catalog) if "{" in text else text for name, text in _TABLES.items()}
+    needed: list[str] = []
+    text = body
+    # A table only reads tables above it, so one walk from the bottom up finds them all.
+    for name in reversed(texts):
+        if re.search(rf"\b(FROM|JOIN) {name}\b", text):
+            needed.insert(0, f"{name} AS ({texts[name].strip()})")
+            text += texts[name]
+    return f"WITH {', '.join(needed)}\n{body.strip()}" if needed else body.strip()
 
-_ORDER = [
-    "price_batch", "prices", "day", "products", "known_products", "catalog", "merged_products",
-    "expansions", "sets", "items", "staging", "imported", "marks", "matched", "judged", "listing",
-    "latest", "valued", "points", "aged", "growth", "growth_signal", "spike_signal", "new_signal",
-    "item_signal", "missing_signal", "signals", "set_words", "set_keys", "expansion_keys",
-    "mappings", "counts", "check_rows",
-]
 
 _R = "ROUND({0}, 4) AS {1}"
 _SIGNAL = (
