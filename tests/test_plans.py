@@ -291,3 +291,18 @@ def test_runs_from_the_archive(spark, tmp_path):
     assert stored(spark, root, "price_snapshots").filter("id_product = 1").first().trend == 7
     with pytest.raises(daily.LoadFailed):
         daily.load_archived_day(spark, root, str(folder), "2026-07-04", T1)
+
+
+def test_large_day_is_loaded_like_any_other(spark, tmp_path):
+    root, path = str(tmp_path / "tables"), tmp_path / "large.json"
+    for name, row in (("singles", (1, "A")), ("others", (2, "B"))):
+        (tmp_path / name).write_text(products_file(row))
+    loaded = catalog.run_large_catalog(spark, root, str(tmp_path / "singles"), str(tmp_path / "others"), T1)
+    assert (loaded.singles_loaded, loaded.non_singles_loaded, loaded.new_products) == (1, 1, 2)
+    path.write_text(guide((1, 5, 5), (2, 1, 1), (1, 6, 5)))
+    summary = daily.load_large_day(spark, root, str(path), "2026-07-03", T1)
+    assert (summary.status, summary.records_read, summary.rows_loaded) == ("success", 3, 2)
+    assert stored(spark, root, "price_snapshots").filter("id_product = 1").first().trend == 6
+    path.write_text(guide((1, 5, 5))[:-3])
+    with pytest.raises(ValidationError):
+        daily.load_large_day(spark, root, str(path), "2026-07-04", T1)

@@ -294,3 +294,54 @@ def test_absolute_urls(spark, one):
     assert full("b") == "https://h.example/de/b"
     assert full("//cdn.example/c") == "https://cdn.example/c"
     assert full("http://o.example/d") == "http://o.example/d"
+
+
+def split_rows(spark, path):
+    rows = validate.judged_split_prices(json_files.read_split_records(spark, str(path)))
+    return normalize.normalize_prices(rows, DAY)
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+@pytest.mark.parametrize("bare", [False, True])
+def test_split_reading_equals_whole_reading(spark, tmp_path, indent, bare):
+    """A document of several hundred records read by many tasks, in splits of 4 KB."""
+    records = [{"idProduct": i % 90, "idCategory": 5, "trend": i / 4, "avg-holo": None} for i in range(700)]
+    content = records if bare else {**SAMPLE, "priceGuides": records}
+    path = tmp_path / "large.json"
+    path.write_text(json.dumps(content, indent=indent) + "\n")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        split = json_files.read_split_records(spark, str(path))
+        assert spark.read.option("lineSep", "}").text(str(path)).rdd.getNumPartitions() > 4
+        assert split.filter("problem IS NOT NULL").isEmpty()
+        whole = prices(spark, path.read_text()).collect()
+        got = split_rows(spark, path).orderBy("record_index").collect()
+        kept = ["source_created_at", "id_product", "id_category", "trend", "avg_holo"]
+        assert [[r[c] for c in kept] for r in got] == [[r[c] for c in kept] for r in whole]
+        assert len({r.record_index for r in got}) == 700
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize(
+    "content",
+    [
+        '{"priceGuides": [{"idProduct": 1}, {"idProduct": 2, "avg": 1',
+        '{"priceGuides": [{"idProduct": 1}, {"idProduct": 2}',
+        '{"priceGuides": [{"idProduct": 1, "x": {"y": 2}}]}',
+        '{"priceGuides": [{"idProduct": 1, "note": "a } b"}]}',
+        '{"priceGuides": [{"idProduct": 1}, 5, {"idProduct": 2}]}',
+        '{"priceGuides": []}',
+        "{}",
+    ],
+)
+def test_split_reading_refuses_other_layouts(spark, tmp_path, content):
+    path = tmp_path / "odd.json"
+    path.write_text(content)
+    found = validate.violations(split_rows(spark, path))
+    assert not found.isEmpty()
+    with pytest.raises(validate.ValidationError):
+        validate.raise_on_violations(found)

@@ -47,6 +47,11 @@ def judged_records(parsed: DataFrame, required: list[str], numbers: list[str]) -
     rows = parsed.select(
         *others, "problem", F.posexplode_outer("records").alias("record_index", "record")
     )
+    return judge(rows, required, numbers)
+
+
+def judge(rows: DataFrame, required: list[str], numbers: list[str]) -> DataFrame:
+    """Add reasons and raw to rows of (record_index, record, problem of the document)."""
     record = F.col("record")
     checks = [(_missing(record, f), f"missing {f}") for f in required]
     checks += [(_not_whole(record, f), f"{f} is no whole number") for f in numbers]
@@ -72,9 +77,23 @@ def judged_prices(parsed: DataFrame) -> DataFrame:
     return judged_records(parsed, ["idProduct"], PRICE_NUMBERS)
 
 
-def judged_catalog(parsed: DataFrame, source_file: str) -> DataFrame:
+def judged_split_prices(rows: DataFrame) -> DataFrame:
+    """The same for records of sources.json_files.read_split_records."""
+    return judge(rows, ["idProduct"], PRICE_NUMBERS)
+
+
+def judged_split_catalog(rows: DataFrame, source_file: str) -> DataFrame:
+    _known(source_file)
+    return judge(rows, ["idProduct", "name"], CATALOG_NUMBERS)
+
+
+def _known(source_file: str) -> None:
     if source_file not in SOURCE_FILES:
         raise ValueError(f"unknown source file {source_file!r}")
+
+
+def judged_catalog(parsed: DataFrame, source_file: str) -> DataFrame:
+    _known(source_file)
     return judged_records(parsed, ["idProduct", "name"], CATALOG_NUMBERS)
 
 

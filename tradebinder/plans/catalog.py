@@ -17,13 +17,14 @@ from tradebinder.operators.validate import (
     ValidationError,
     good_rows,
     judged_catalog,
+    judged_split_catalog,
     raise_on_violations,
     violations,
 )
 from tradebinder.plans.daily import archived_documents
 from tradebinder.schemas import CATALOG_PREFIX_TO_FILE, SOURCE_FILES
 from tradebinder.session import configure, ensure_checkpoint_dir
-from tradebinder.sources.json_files import catalog_documents
+from tradebinder.sources.json_files import catalog_documents, read_split_records
 from tradebinder.sources.tables import read_table, write_version
 
 SINGLES, NONSINGLES = SOURCE_FILES
@@ -50,15 +51,31 @@ def run_archived_catalog(spark: SparkSession, root: str, archive: str, day, run_
 
 def run_catalog(
     spark: SparkSession, root: str, singles: DataFrame, nonsingles: DataFrame, run_ts
+) -> Row:
+    """Load the documents of both catalog files (see load_catalog)."""
+    configure(spark)
+    return load_catalog(
+        spark, root, transform_catalog(singles, SINGLES), transform_catalog(nonsingles, NONSINGLES), run_ts
+    )
+
+
+def run_large_catalog(spark: SparkSession, root: str, singles: str, nonsingles: str, run_ts) -> Row:
+    """run_catalog for two paths whose documents are too large for one task."""
+    configure(spark)
+    rows = [
+        normalize_catalog(judged_split_catalog(read_split_records(spark, path), source), source)
+        for path, source in ((singles, SINGLES), (nonsingles, NONSINGLES))
+    ]
+    return load_catalog(spark, root, *rows, run_ts)
+
+
+def load_catalog(
+    spark: SparkSession, root: str, singles: DataFrame, nonsingles: DataFrame, run_ts
 ) -> Row:
     """Both files or nothing: validate, gate on conflicting duplicates, merge, recheck the
     waiting import rows, write.  Returns the run summary."""
-    configure(spark)
     ensure_checkpoint_dir(spark)
-    judged = [
-        transform_catalog(singles, SINGLES).persist(),
-        transform_catalog(nonsingles, NONSINGLES).persist(),
-    ]
+    judged = [singles.persist(), nonsingles.persist()]
     raise_on_violations(violations(judged[0]).unionByName(violations(judged[1])))
     single_rows, other_rows = (good_rows(frame).drop("file_name") for frame in judged)
     duplicates = cross_file_duplicates(single_rows, other_rows).agg(

@@ -12,11 +12,21 @@ from tradebinder.operators.archive import canonical_files
 from tradebinder.operators.checks import daily_counts, daily_summary
 from tradebinder.operators.merge import merge_price_snapshots, replay_comparison
 from tradebinder.operators.normalize import normalize_prices
-from tradebinder.operators.validate import good_rows, judged_prices, raise_on_violations, violations
+from tradebinder.operators.validate import (
+    good_rows,
+    judged_prices,
+    judged_split_prices,
+    raise_on_violations,
+    violations,
+)
 from tradebinder.schemas import PRICE_PREFIX
 from tradebinder.session import configure, ensure_checkpoint_dir
 from tradebinder.sources.archive import archive_listing, parse_archive_names
-from tradebinder.sources.json_files import price_documents, read_documents
+from tradebinder.sources.json_files import (
+    price_documents,
+    read_documents,
+    read_split_records,
+)
 from tradebinder.sources.tables import read_table, write_partitions
 
 
@@ -41,15 +51,32 @@ def latest_date_before(stored: DataFrame, day, recent_days: int = 31) -> datetim
 def load_day(
     spark: SparkSession, root: str, documents: DataFrame, snapshot_date, run_ts, created_at=None
 ) -> Row:
+    """Load the price document of one day, all or nothing (see load_rows)."""
+    configure(spark)
+    rows = transform_prices(documents, snapshot_date, created_at)
+    return load_rows(spark, root, rows, snapshot_date, run_ts)
+
+
+def load_large_day(
+    spark: SparkSession, root: str, path: str, snapshot_date, run_ts, created_at=None
+) -> Row:
+    """load_day for a document that is too large for one task; it is read in splits."""
+    configure(spark)
+    rows = normalize_prices(
+        judged_split_prices(read_split_records(spark, path)), snapshot_date, created_at
+    )
+    return load_rows(spark, root, rows, snapshot_date, run_ts)
+
+
+def load_rows(spark: SparkSession, root: str, judged: DataFrame, snapshot_date, run_ts) -> Row:
     """Validate, merge, check, write: all or nothing for one day.
 
     The merged day is checkpointed to the shared folder before it is checked.  What is
     written is exactly what was checked, and the write no longer depends on the files it
     replaces.  Returns the run summary; a failed check raises and writes nothing.
     """
-    configure(spark)
     ensure_checkpoint_dir(spark)
-    judged = transform_prices(documents, snapshot_date, created_at).persist()
+    judged = judged.persist()
     raise_on_violations(violations(judged))
     records_read = judged.count()
     stored = read_table(spark, root, "price_snapshots")

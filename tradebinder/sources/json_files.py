@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tradebinder.operators.lookup import spread_join
+
 RECORDS = "array<map<string,string>>"
 PRICE_ROOT = f"createdAt string, priceGuides {RECORDS}"
 
@@ -119,3 +121,60 @@ def set_documents(documents: DataFrame) -> DataFrame:
     return documents.select(
         "file_name", F.inline(F.from_json(content, SET_RECORDS))
     )
+
+
+# Text around the flat records of a document.
+LIST_OPENS = r"^\s*(\[|\{[^{}\[\]]*\[)\s*$"
+BETWEEN_RECORDS = r"^\s*,\s*$"
+LIST_CLOSES = r"^\s*\][^\[\]{]*$"
+CREATED_AT = r'"createdAt"\s*:\s*"([^"]*)"'
+
+
+def read_split_records(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """Records of documents too large for one task, as (file_name, created_at_text,
+    record_index, record, problem).
+
+    The records are flat objects, so the closing brace ends a line of a text file that
+    Spark can split anywhere: a single document is read by as many tasks as it has blocks.
+    What stands between the records is checked piece by piece; a document that is not a
+    plain list of flat records, or is cut off, has the problem on every row and must be
+    read as whole text instead.  record_index grows in document order but has gaps.
+    """
+    reader = spark.read.option("lineSep", "}")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    # Offset of the split plus position in the task: a task reads at most one split size of
+    # bytes and every line has several, so positions never reach the next split.
+    position = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    pieces = reader.text(path).select(
+        F.col("_metadata.file_name").alias("file_name"),
+        (F.col("_metadata.file_block_start") + position).alias("record_index"),
+        F.substring_index("value", "{", -1).alias("fields"),
+        "value",
+    )
+    has_record = F.contains(F.col("value"), F.lit("{"))
+    before = F.substring(
+        "value", F.lit(1), F.length("value") - F.length("fields") - F.when(has_record, 1).otherwise(0)
+    )
+    pieces = pieces.withColumn("before", before)
+    opens = has_record & F.col("before").rlike(LIST_OPENS)
+    between = has_record & F.col("before").rlike(BETWEEN_RECORDS)
+    closes = ~has_record & F.col("value").rlike(LIST_CLOSES)
+    empty = ~has_record & (F.trim(F.regexp_replace("value", r"\s+", "")) == "")
+    created = F.when(opens | closes, F.nullif(F.regexp_extract("value", CREATED_AT, 1), F.lit("")))
+    files = pieces.groupBy("file_name").agg(
+        F.max(created).alias("created_at_text"),
+        F.count_if(opens).alias("_opened"),
+        F.count_if(closes).alias("_closed"),
+        F.count_if(~(opens | between | closes | empty)).alias("_other"),
+    )
+    plain = (F.col("_opened") == 1) & (F.col("_closed") == 1) & (F.col("_other") == 0)
+    judged_files = files.select(
+        "file_name", "created_at_text", F.when(~plain, "not a list of flat records").alias("problem")
+    )
+    records = pieces.filter(has_record).select(
+        "file_name",
+        "record_index",
+        F.from_json(F.concat(F.lit("{"), "fields", F.lit("}")), "map<string,string>").alias("record"),
+    )
+    return spread_join(records, judged_files, ["file_name"], "left", ["record_index"])
