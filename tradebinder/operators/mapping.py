@@ -78,7 +78,7 @@ def _expansion_keys(expansions: DataFrame, near_days: int) -> DataFrame:
         )
 
     nearby = F.transform(F.sequence(F.lit(-near_days), F.lit(near_days)), near)
-    entries = keyed.select("id_expansion", F.inline(F.concat("direct", nearby)))
+    entries = keyed.select("id_expansion", F.inline_outer(F.concat("direct", nearby)))
     return entries.filter((F.col("match_key").isNotNull()) | (F.col("method") == "exact_name"))
 
 

@@ -24,7 +24,7 @@ def value_kind(value: Column) -> Column:
 def profile_records(records: DataFrame, column: str = "record") -> DataFrame:
     """Per field of a map column: occurrences, nulls, kinds, distinct values and the
     smallest and largest value as samples.  Samples are bounded whatever the input size."""
-    fields = records.select(F.explode(column).alias("field", "value"))
+    fields = records.select(F.explode_outer(column).alias("field", "value")).filter("field IS NOT NULL")
     kind = value_kind(F.col("value"))
 
     def of(name):

@@ -108,9 +108,14 @@ def lenient_catalog_documents(documents: DataFrame) -> DataFrame:
 
 def explode_records(parsed: DataFrame) -> DataFrame:
     """One row per record, in document order (record_index from 0).  Columns of the
-    document (for example its snapshot_date) are repeated on every record."""
+    document (for example its snapshot_date) are repeated on every record.
+
+    The outer form keeps the optimizer from testing the size of the list first, for which
+    it would parse every document a second time.
+    """
     others = [c for c in parsed.columns if c not in ("records", "problem")]
-    return parsed.select(*others, F.posexplode("records").alias("record_index", "record"))
+    exploded = parsed.select(*others, F.posexplode_outer("records").alias("record_index", "record"))
+    return exploded.filter("record_index IS NOT NULL")
 
 
 def set_documents(documents: DataFrame) -> DataFrame:
@@ -118,9 +123,10 @@ def set_documents(documents: DataFrame) -> DataFrame:
     content = F.when(_is_list(F.col("content")), F.col("content")).otherwise(
         F.raise_error(F.lit("the source must contain a list of sets"))
     )
-    return documents.select(
-        "file_name", F.inline(F.from_json(content, SET_RECORDS))
+    parsed = documents.select(
+        "file_name", F.posexplode_outer(F.from_json(content, SET_RECORDS)).alias("position", "set")
     )
+    return parsed.filter("position IS NOT NULL").select("file_name", "set.*")
 
 
 # Text around the flat records of a document.

@@ -15,11 +15,14 @@ def page_links(pages: DataFrame) -> DataFrame:
     are collapsed."""
     hrefs = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1))
     texts = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2))
+    # Outer, so that the patterns are not matched once more just to test for links.
     links = pages.select(
         "page_id",
         F.col("url").alias("page_url"),
-        F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text"))).alias("position", "link"),
-    )
+        F.posexplode_outer(F.arrays_zip(hrefs.alias("href"), texts.alias("text"))).alias(
+            "position", "link"
+        ),
+    ).filter("position IS NOT NULL")
     return links.select(
         "page_id",
         "page_url",
