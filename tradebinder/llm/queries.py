@@ -80,8 +80,8 @@ d AS (SELECT *, CAST(from_hex(sha1(html)) AS BIT)::VARCHAR AS bits,
              row_number() OVER (PARTITION BY html ORDER BY page_id NULLS LAST, rid) AS place,
              first_value(page_id) OVER (PARTITION BY html ORDER BY page_id NULLS LAST, rid) AS head FROM p)
 SELECT page_id, octet_length(encode(html)) AS payload_bytes,
-       array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
-           1 + CAST(list_sum(list_transform(range(5), k -> CAST(substr(bits, 5 * i + k + 1, 1) AS INT) * (1 << (4 - k)))) AS INT), 1)), '')
+       array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           1 + CAST(list_sum(list_transform(range(5), lambda k: CAST(substr(bits, 5 * i + k + 1, 1) AS INT) * (1 << (4 - k)))) AS INT), 1)), '')
            AS payload_digest,
        CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN place > 1 THEN head END AS refers_to
@@ -90,7 +90,7 @@ FROM d
 
 QUALITY_RULES = r"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS t, text FROM documents),
-w AS (SELECT rid, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS w FROM d),
+w AS (SELECT rid, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
 g AS (SELECT rid, i, w[i] || chr(9) || w[i + 1] || chr(9) || w[i + 2] AS g
       FROM (SELECT rid, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
 r AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM g) WHERE n > 1),
