@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tradebinder.llm.blocks import CELL, Groups, cells, iterate_cells
+from tradebinder.llm.blocks import CELL, Groups, cells, iterate_cells, masks
 from tradebinder.llm.common import SPACE, free_name, let, partitions, stored
 from tradebinder.llm.components import connected_components
 from tradebinder.operators.lookup import spread_join
@@ -18,6 +18,7 @@ from tradebinder.operators.lookup import spread_join
 RADIUS = 3
 BLOCKS = 5
 CHUNK = 2048
+MASKS = [np.uint64(m % (1 << 64)) for m in masks(RADIUS, BLOCKS)]
 
 
 def normalized_line(line: Column) -> Column:
@@ -26,12 +27,14 @@ def normalized_line(line: Column) -> Column:
 
 
 def line_fingerprint(line: bytes) -> int:
-    """Signed SimHash over the words of a normalised line and their neighbours."""
+    """Signed SimHash over the different words of a normalised line and their different neighbours.
+
+    Each counts once: a mark that stands between all words must not outvote them.
+    """
     words = line.split()
     digest = xxhash.xxh64_intdigest
-    hashes = np.fromiter(
-        (digest(x, 7) for x in (*words, *map(b" ".join, zip(words, words[1:], strict=False)))), np.uint64, max(0, 2 * len(words) - 1)
-    )
+    parts = {*words, *map(b" ".join, zip(words, words[1:], strict=False))}
+    hashes = np.fromiter((digest(x, 7) for x in parts), np.uint64, len(parts))
     if not len(hashes):
         return 0
     ones = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
@@ -91,14 +94,24 @@ def similar(a: str, b: str, similarity: float) -> bool:
     return edit_distance(a, b, most) <= most
 
 
+def _close(cell: pd.DataFrame, start: int, stop: int) -> np.ndarray:
+    """Which rows (start to stop, against all) are near and meet here first of all their cells."""
+    fp = cell["fp"].to_numpy().astype(np.uint64)
+    own, across = cell["own"].to_numpy(), cell["i"].iat[0] != cell["j"].iat[0]
+    differ = fp[start:stop, None] ^ fp[None, :]
+    near = np.bitwise_count(differ) <= RADIUS
+    for mask in MASKS[: cell["choice"].iat[0]]:
+        near &= (differ & mask) != 0
+    if across:
+        near &= own[start:stop, None] != own[None, :]
+    near[np.arange(stop - start), np.arange(start, stop)] = False
+    return near
+
+
 def _active(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of each cell that have another line within the radius in the cell."""
+    """The rows of each cell that have a near line to be compared with in the cell."""
     for cell in iterate_cells(batches):
-        fp = cell["fp"].to_numpy().astype(np.uint64)
-        near = np.zeros(len(fp), bool)
-        for at in range(0, len(fp), 512):
-            close = np.bitwise_count(fp[at : at + 512, None] ^ fp[None, :]) <= RADIUS
-            near[at : at + 512] = close.sum(axis=1) > 1
+        near = np.concatenate([_close(cell, at, min(at + 512, len(cell))).any(axis=1) for at in range(0, len(cell), 512)])
         if near.any():
             yield cell.loc[near, [*CELL, "own", "node", "fp"]]
 
@@ -107,16 +120,12 @@ def _verified(similarity: float):
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A spanning forest of each cell's links; pairs already connected are not compared."""
         for cell in iterate_cells(batches):
-            fp = cell["fp"].to_numpy().astype(np.uint64)
-            nodes, texts, own = cell["node"].to_numpy(), cell["line"].to_list(), cell["own"].to_numpy()
-            across = cell["i"].iat[0] != cell["j"].iat[0]
+            nodes, texts = cell["node"].to_numpy(), cell["line"].to_list()
             groups, links = Groups(len(cell)), []
-            for n in range(len(fp) - 1):
-                close = np.flatnonzero(np.bitwise_count(fp[n + 1 :] ^ fp[n]) <= RADIUS) + n + 1
-                for m in close.tolist():
-                    if across and own[n] == own[m]:
-                        continue
-                    if groups.root(n) != groups.root(m) and similar(texts[n], texts[m], similarity):
+            for at in range(0, len(cell), 512):
+                for n, m in np.argwhere(_close(cell, at, min(at + 512, len(cell)))).tolist():
+                    n += at
+                    if n < m and groups.root(n) != groups.root(m) and similar(texts[n], texts[m], similarity):
                         groups.join(n, m)
                         links.append((nodes[n], nodes[m]))
             if links:
