@@ -2,13 +2,15 @@
 
 Every window of every document is a query.  Scores are divided by the score an item gives
 itself, so one threshold means the same share of an item's weight for all items.  Retrieval is
-exact: a window is left out only if the largest impacts of its words cannot reach the
-threshold, and inside a window block-max WAND skips only items that cannot reach it.
+exact: a window is left out only if the words it shares with an item's rarest ones cannot
+carry the item to the threshold, and inside a window block-max WAND skips only items that
+cannot reach it.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from itertools import repeat
 from math import log
 
 import numpy as np
@@ -85,6 +87,53 @@ class Index:
         self.impacts = [np.array([x for _, x in p]) for p in postings.values()]
         self.block_max = [np.maximum.reduceat(x, np.arange(0, len(x), BLOCK)) for x in self.impacts]
         self.largest = np.array([x.max() for x in self.impacts] + [0.0])
+        self._essential(threshold)
+
+    def _essential(self, threshold: float) -> None:
+        """Of each item the rarest terms, until all others together weigh half the threshold at most.
+
+        A window that reaches the threshold thus holds essential terms of the item with at
+        least the rest of it; ``rest`` is what the others can add.
+        """
+        own: list[list[tuple[int, int, float]]] = [[] for _ in self.ids]
+        for t, (items, impacts) in enumerate(zip(self.items, self.impacts, strict=True)):
+            for n, x in zip(items.tolist(), impacts.tolist(), strict=True):
+                own[n].append((len(items), t, x))
+        self.rest = np.zeros(len(own))
+        kept: list[list[tuple[int, float]]] = [[] for _ in self.items]
+        for n, terms in enumerate(own):
+            left = sum(x for _, _, x in terms)
+            for _, t, x in sorted(terms):
+                if left <= threshold / 2:
+                    break
+                kept[t].append((n, x))
+                left -= x
+            self.rest[n] = left
+        self.count = np.array([len(k) for k in kept] + [0])
+        self.start = np.r_[0, np.cumsum(self.count)]
+        self.of_item = np.array([n for k in kept for n, _ in k], np.int64)
+        self.weight = np.array([x for k in kept for _, x in k], float)
+
+    def windows(self, places: np.ndarray, terms: np.ndarray, step: int) -> list[int]:
+        """Windows in which the essential terms let some item reach the threshold.
+
+        ``terms`` are the known terms of a text, at ``places``; window k starts at word k x step
+        and is two steps long.
+        """
+        n = self.count[terms]
+        total = int(n.sum())
+        if not total:
+            return []
+        ends = np.cumsum(n)
+        at = np.arange(total) + np.repeat(self.start[terms] - (ends - n), n)
+        window, item, weight = np.repeat(places // step, n), self.of_item[at], self.weight[at]
+        # Each word lies in two windows.
+        size = len(self.ids)
+        key = np.r_[window * size + item, (window - 1) * size + item]
+        key, which = np.unique(key, return_inverse=True)
+        reach = np.bincount(which, np.r_[weight, weight]) + self.rest[key % size]
+        found = np.unique(key[reach >= self.threshold - 1e-9] // size)
+        return found[found >= 0].tolist()
 
     def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
         """Items and scores at or above the threshold, by block-max WAND."""
@@ -144,20 +193,13 @@ def passages_found(text: str | None, indexes: list[Index], verify: float) -> lis
     words = plain_words(text)
     best: dict[int, dict] = {}
     for index in indexes:
-        terms = np.fromiter(map(index.term.get, words, [-1] * len(words)), np.int64, len(words)) if words else []
-        if not len(words):
-            break
+        terms = np.fromiter(map(index.term.get, words, repeat(-1)), np.int64, len(words))
+        places = np.flatnonzero(terms >= 0)
         step = index.longest
-        starts = np.arange(0, max(1, len(words) - step), step)
-        ends = np.minimum(starts + 2 * step, len(words))
-        sums = np.r_[0.0, np.cumsum(index.largest[terms])]
-        for k in np.flatnonzero(sums[ends] - sums[starts] >= index.threshold - 1e-9):
-            own = np.unique(terms[starts[k] : ends[k]])
-            own = own[own >= 0]
-            if index.largest[own].sum() < index.threshold - 1e-9:
-                continue
-            window = words[starts[k] : ends[k]]
-            for n, score in index.retrieve(own.tolist()):
+        for k in index.windows(places, terms[places], step):
+            window = words[k * step : (k + 2) * step]
+            own = np.unique(terms[k * step : (k + 2) * step])
+            for n, score in index.retrieve(own[own >= 0].tolist()):
                 question, answer = (overlap(p, window) for p in index.parts[n])
                 if question >= verify and answer >= verify and score > best.get(index.ids[n], {"score": -1})["score"]:
                     best[index.ids[n]] = {
