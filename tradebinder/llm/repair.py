@@ -171,8 +171,9 @@ def _write(path: str, base: int, shard_ids: int):
             return pd.DataFrame({"value": [pack_frame(doc_ids, counts, ids, base, task)]})
 
         for batch in batches:
-            for doc_id, body in zip(batch["doc_id"], batch["body"], strict=True):
-                encoded = encoder.ids([body or b""])[0] + end
+            bodies = [body or b"" for body in batch["body"]]
+            for doc_id, encoded in zip(batch["doc_id"], encoder.ids(bodies), strict=True):
+                encoded += end
                 doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
                 counts.append(len(encoded) // 4)
                 parts.append(encoded)

@@ -3,16 +3,29 @@
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Sequence
 
 import numpy as np
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 1_200_000
+# Texts whose new words are encoded together, in bytes.
+GROUP_BYTES = 1 << 20
 _TAIL = b".,;:!?#$%&*|<>()"
 _LETTERS = frozenset(range(ord("a"), ord("z") + 1))
 _encoders: dict[str, Encoder] = {}
 
 
+def _byte_characters() -> dict[int, str]:
+    """The printable character that byte-level tokenizers write for each byte."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_BYTES = _byte_characters()
+
+
 def encoder(path: str) -> Encoder:
     """The process's encoder for a file, with the words it has met so far."""
     if path not in _encoders:
@@ -20,6 +33,17 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def _gaps(values: list) -> list[int]:
+    """Places of None."""
+    out, at = [], -1
+    try:
+        while True:
+            at = values.index(None, at + 1)
+            out.append(at)
+    except ValueError:
+        return out
+
+
 class Encoder:
     """ids(texts) as the library's encode_batch gives them, without special tokens added.
 
@@ -45,18 +69,45 @@ class Encoder:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
         if not self.by_word:
             return self._encode([t.decode() for t in texts])
-        out = []
-        for text in texts:
+        out, at = [], 0
+        while at < len(texts):
             # The tokenizer lower-cases too; names of special tokens must stay as they are.
-            words = (text if b"<|" in text else text.lower()).split()
+            words, size = [], 0
+            while at < len(texts) and size < GROUP_BYTES:
+                text = texts[at]
+                words.append((text if b"<|" in text else text.lower()).split())
+                size += len(text)
+                at += 1
+            if len(self.known) > CACHED_WORDS:
+                self.known = {}
             known = self.known
-            if len(known) > CACHED_WORDS:
-                known = self.known = {}
-            try:
-                out.append(b"".join([known[w] for w in words]))
-            except KeyError:
-                self._learn({w for w in words if w not in known})
-                out.append(b"".join([known[w] for w in words]))
+            found = [list(map(known.get, own)) for own in words]
+            gaps = [_gaps(ids) for ids in found]
+            self._learn({own[n] for own, missing in zip(words, gaps, strict=True) for n in missing})
+            for own, ids, missing in zip(words, found, gaps, strict=True):
+                for n in missing:
+                    ids[n] = known[own[n]]
+                out.append(b"".join(ids))
+        return out
+
+    def _pieces(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; for letters up to U+00FF the merges alone are left to do.
+
+        Such letters have one normal form and one lower-case letter each, and a run of them is
+        one piece for the tokenizer.
+        """
+        out, others = [], []
+        tokenize = self.tokenizer.model.tokenize
+        for n, w in enumerate(words):
+            text = w.decode()
+            if text.isalpha() and (text.isascii() or max(text) <= "\xff"):
+                spelled = text if text.isascii() else text.lower().encode().decode("latin-1").translate(_BYTES)
+                out.append(array("I", [t.id for t in tokenize(spelled)]).tobytes())
+            else:
+                others.append(n)
+                out.append(b"")
+        for n, ids in zip(others, self._encode([words[n].decode() for n in others]), strict=True):
+            out[n] = ids
         return out
 
     def _learn(self, new: set[bytes]) -> None:
@@ -68,7 +119,7 @@ class Encoder:
             else:
                 parts[w] = (w,)
         missing = [p for p in dict.fromkeys(p for own in parts.values() for p in own) if p not in known]
-        known.update(zip(missing, self._encode([p.decode() for p in missing]), strict=True))
+        known.update(zip(missing, self._pieces(missing), strict=True))
         known.update((w, b"".join([known[p] for p in own])) for w, own in parts.items() if len(own) > 1)
 
 
@@ -84,4 +135,5 @@ def drops_blanks(spec: dict) -> bool:
     plain = all(not t["lstrip"] and not t["rstrip"] and not t["single_word"] for t in spec.get("added_tokens", []))
     # Every alternative of the pattern but the last is letters, digits or an apostrophe form.
     local = pattern.endswith(kept) and "\\s" not in pattern[: -len(kept)]
-    return removed and local and plain and kinds <= {"NFC", "Replace", "Lowercase"}
+    merges = spec.get("model", {}).get("type") == "BPE" and parts.get("pretokenizers", [{}])[-1].get("type") == "ByteLevel"
+    return removed and local and plain and merges and kinds <= {"NFC", "Replace", "Lowercase"}
