@@ -38,17 +38,21 @@ def cells(rows: DataFrame, radius: int, blocks: int, chunk: int) -> DataFrame:
     """Rows (with columns node and fp) dealt to cells, sorted by cell inside each partition.
 
     Adds choice, part (the masked bits), i, j (the two chunks that meet) and own (the chunk of
-    the row).  Keys with a single row are dropped: nothing can be linked there.
+    the row).  Rows that meet nobody are left out where a list of the shared keys is small
+    enough to be sent to all tasks; otherwise they pass, and link to nothing.
     """
     spark = rows.sparkSession
     keys = F.array(*[F.struct(F.lit(n).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for n, m in enumerate(masks(radius, blocks))])
     dealt = rows.select("*", F.explode(keys).alias("_key")).select(*rows.columns, "_key.choice", "_key.part")
     shared = stored(dealt.groupBy("choice", "part").agg(F.count("*").alias("n")).where("n > 1"))
-    chunks = F.ceil(F.col("n") / F.lit(chunk)).cast("int")
+    hot = shared.where(F.col("n") > chunk)
     if shared.count() <= BROADCAST_ROWS:
         met = dealt.join(F.broadcast(shared), ["choice", "part"])
+    elif hot.count() <= BROADCAST_ROWS:
+        met = dealt.join(F.broadcast(hot), ["choice", "part"], "left")
     else:
-        met = spread_join(dealt, shared, ["choice", "part"], "inner", ["node"])
+        met = spread_join(dealt, hot, ["choice", "part"], "left", ["node"])
+    chunks = F.ceil(F.coalesce("n", F.lit(1)) / F.lit(chunk)).cast("int")
     met = met.withColumn("own", F.pmod(F.xxhash64("node"), chunks).cast("int"))
     met = met.withColumn("_other", F.explode(F.sequence(F.lit(0), chunks - 1)))
     met = met.withColumn("i", F.least("own", "_other")).withColumn("j", F.greatest("own", "_other"))
@@ -56,24 +60,61 @@ def cells(rows: DataFrame, radius: int, blocks: int, chunk: int) -> DataFrame:
     return met.repartition(partitions(spark), *CELL).sortWithinPartitions(*CELL, "node")
 
 
-def iterate_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of one cell at a time, cells with several rows only."""
+def whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches that hold whole cells only, each with the row at which every cell starts."""
     rest = None
     for batch in batches:
         if rest is not None:
             batch = pd.concat([rest, batch], ignore_index=True)
-        rest = None
         if not len(batch):
             continue
-        keys = batch[CELL].to_numpy()
-        starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
-        ends = np.r_[starts[1:], len(batch)]
-        for a, b in zip(starts[:-1], ends[:-1], strict=True):
-            if b - a > 1:
-                yield batch.iloc[a:b]
+        starts = _starts(batch)
         rest = batch.iloc[starts[-1] :]
-    if rest is not None and len(rest) > 1:
-        yield rest
+        if len(starts) > 1:
+            yield batch.iloc[: starts[-1]].reset_index(drop=True), starts[:-1]
+    if rest is not None and len(rest):
+        yield rest.reset_index(drop=True), np.zeros(1, np.int64)
+
+
+def _starts(batch: pd.DataFrame) -> np.ndarray:
+    change = np.zeros(len(batch), bool)
+    change[0] = True
+    for column in CELL:
+        values = batch[column].to_numpy()
+        change[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(change)
+
+
+def iterate_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of one cell at a time, cells with several rows only."""
+    for batch, starts in whole_cells(batches):
+        ends = np.r_[starts[1:], len(batch)]
+        for k in np.flatnonzero(ends - starts > 1):
+            yield batch.iloc[starts[k] : ends[k]]
+
+
+def near_pairs(batch: pd.DataFrame, starts: np.ndarray, radius: int, blocks: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows n < m of one cell within the radius, in portions: all that are 1 apart, 2 apart, ...
+
+    A pair that meets in several cells is returned in the first of them only.
+    """
+    fp, choice, own = batch["fp"].to_numpy().astype(np.uint64), batch["choice"].to_numpy(), batch["own"].to_numpy()
+    across = batch["i"].to_numpy() != batch["j"].to_numpy()
+    bits = [np.uint64(m % (1 << 64)) for m in masks(radius, blocks)]
+    ends = np.repeat(np.r_[starts[1:], len(batch)], np.diff(np.r_[starts, len(batch)]))
+    rows = np.arange(len(batch))
+    apart = 1
+    while len(rows := rows[rows + apart < ends[rows]]):
+        other = rows + apart
+        differ = fp[rows] ^ fp[other]
+        near = np.flatnonzero(np.bitwise_count(differ) <= radius)
+        n, m, differ = rows[near], other[near], differ[near]
+        first = ~across[n] | (own[n] != own[m])
+        for k, mask in enumerate(bits):
+            first &= ((differ & mask) != 0) | (choice[n] <= k)
+        if first.any():
+            yield n[first], m[first]
+        apart += 1
 
 
 class Groups:

@@ -7,42 +7,57 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradebinder.llm.blocks import CELL, Groups, cells, iterate_cells, masks
-from tradebinder.llm.common import SPACE, free_name, let, partitions, stored
+from tradebinder.llm.blocks import CELL, Groups, cells, near_pairs, whole_cells
+from tradebinder.llm.common import BROADCAST_ROWS, free_name, partitions, stored
 from tradebinder.llm.components import connected_components
 from tradebinder.operators.lookup import spread_join
 
 RADIUS = 3
-BLOCKS = 5
 CHUNK = 2048
-MASKS = [np.uint64(m % (1 << 64)) for m in masks(RADIUS, BLOCKS)]
 
 
-def normalized_line(line: Column) -> Column:
-    """Lower case, words separated by one space, nothing around."""
-    return F.lower(F.trim(F.regexp_replace(line, SPACE, " ")))
+def normalized_words(line: str) -> list[str]:
+    """Lower-cased words between the six ASCII blanks."""
+    return [w.decode() for w in line.lower().encode().split()]
 
 
-def line_fingerprint(line: bytes) -> int:
-    """Signed SimHash over the different words of a normalised line and their different neighbours.
+def line_fingerprint(words: list[bytes]) -> int:
+    """Signed SimHash over the different words of a line.
 
     Each counts once: a mark that stands between all words must not outvote them.
     """
-    words = line.split()
     digest = xxhash.xxh64_intdigest
-    parts = {*words, *map(b" ".join, zip(words, words[1:], strict=False))}
+    parts = set(words)
     hashes = np.fromiter((digest(x, 7) for x in parts), np.uint64, len(parts))
     if not len(hashes):
         return 0
-    ones = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
 
 
-def _simhash(lines: pd.Series) -> pd.Series:
-    return pd.Series([line_fingerprint(x) for x in lines], dtype="int64")
+def _lines(least_words: int):
+    """doc_id, tie, position, node (hash of the words) and fp of every line with enough words."""
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            doc, position, node, fp = [], [], [], []
+            for k, text in enumerate(batch["text"]):
+                for at, line in enumerate(text.lower().encode().split(b"\n")):
+                    words = line.split()
+                    if len(words) >= least_words:
+                        doc.append(k)
+                        position.append(at)
+                        node.append(xxhash.xxh64_intdigest(b" ".join(words)))
+                        fp.append(line_fingerprint(words))
+            rows = batch[["doc_id", "tie"]].iloc[doc].reset_index(drop=True)
+            rows["position"] = np.array(position, np.int32)
+            rows["node"], rows["fp"] = np.array(node, np.uint64).astype(np.int64), np.array(fp, np.int64)
+            yield rows
+
+    return split
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -94,38 +109,28 @@ def similar(a: str, b: str, similarity: float) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _close(cell: pd.DataFrame, start: int, stop: int) -> np.ndarray:
-    """Which rows (start to stop, against all) are near and meet here first of all their cells."""
-    fp = cell["fp"].to_numpy().astype(np.uint64)
-    own, across = cell["own"].to_numpy(), cell["i"].iat[0] != cell["j"].iat[0]
-    differ = fp[start:stop, None] ^ fp[None, :]
-    near = np.bitwise_count(differ) <= RADIUS
-    for mask in MASKS[: cell["choice"].iat[0]]:
-        near &= (differ & mask) != 0
-    if across:
-        near &= own[start:stop, None] != own[None, :]
-    near[np.arange(stop - start), np.arange(start, stop)] = False
-    return near
+def _active(blocks: int):
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The rows that have a near line to be compared with in their cell."""
+        for batch, starts in whole_cells(batches):
+            near = np.zeros(len(batch), bool)
+            for n, m in near_pairs(batch, starts, RADIUS, blocks):
+                near[n] = near[m] = True
+            if near.any():
+                yield batch.loc[near, [*CELL, "own", "node", "fp"]]
 
+    return search
 
-def _active(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The rows of each cell that have a near line to be compared with in the cell."""
-    for cell in iterate_cells(batches):
-        near = np.concatenate([_close(cell, at, min(at + 512, len(cell))).any(axis=1) for at in range(0, len(cell), 512)])
-        if near.any():
-            yield cell.loc[near, [*CELL, "own", "node", "fp"]]
 
-
-def _verified(similarity: float):
+def _verified(similarity: float, blocks: int):
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A spanning forest of each cell's links; pairs already connected are not compared."""
-        for cell in iterate_cells(batches):
-            nodes, texts = cell["node"].to_numpy(), cell["line"].to_list()
-            groups, links = Groups(len(cell)), []
-            for at in range(0, len(cell), 512):
-                for n, m in np.argwhere(_close(cell, at, min(at + 512, len(cell)))).tolist():
-                    n += at
-                    if n < m and groups.root(n) != groups.root(m) and similar(texts[n], texts[m], similarity):
+        """A spanning forest of each cell's links; rows already connected are not compared."""
+        for batch, starts in whole_cells(batches):
+            nodes, texts = batch["node"].to_numpy(), [" ".join(normalized_words(x)) for x in batch["line"]]
+            groups, links = Groups(len(batch)), []
+            for pairs in near_pairs(batch, starts, RADIUS, blocks):
+                for n, m in zip(*(p.tolist() for p in pairs), strict=True):
+                    if groups.root(n) != groups.root(m) and similar(texts[n], texts[m], similarity):
                         groups.join(n, m)
                         links.append((nodes[n], nodes[m]))
             if links:
@@ -134,61 +139,62 @@ def _verified(similarity: float):
     return verify
 
 
-def lines_of(documents: DataFrame, least_words: int) -> DataFrame:
-    """doc_id, position, node (hash of the normalised line) and line, of lines with enough words."""
-    rows = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("long"), "text")
-    rows = rows.select("doc_id", F.posexplode(F.split("text", "\n")).alias("position", "raw"))
-    rows = rows.withColumn("line", normalized_line(F.col("raw"))).drop("raw")
-    enough = F.length("line") - F.length(F.translate("line", " ", "")) >= least_words - 1
-    return rows.where((F.col("line") != "") & enough).withColumn("node", F.xxhash64("line"))
+def block_count(lines: int) -> int:
+    """Blocks of the 64 bits such that unrelated lines seldom share a key.
+
+    The pairs that are found do not depend on it: 4 blocks give keys of 16 bits, 5 of 25, 6 of 32.
+    """
+    return 4 if lines < 1 << 22 else 5 if lines < 1 << 31 else 6
 
 
 def surplus_lines(documents: DataFrame, similarity: float = 0.8, least_words: int = 5) -> DataFrame:
-    """doc_id, position, node of every line that repeats another, exactly or nearly.
+    """doc_id, tie (hash of the text) and position of every line that repeats another, exactly or nearly.
 
-    Lines are linked if they are equal when normalised, or if their SimHashes differ in at
-    most three bits and their edit similarity is at least ``similarity``.  Of each connected
-    group the line with the smallest (doc_id, position) is not returned.
+    Lines are linked if their words are equal, or if their SimHashes differ in at most three
+    bits and their edit similarity is at least ``similarity``.  Of each connected group the
+    line with the smallest (doc_id, tie, position) is not returned.
     """
-    every = lines_of(documents, least_words).withColumn("fp", F.pandas_udf(_simhash, "long")(F.col("line").cast("binary")))
-    place = F.struct("doc_id", "position")
-    own = stored(every.select("doc_id", "position", "node", "fp"))
-    found = own.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.first("fp").alias("fp"))
-    found = stored(found)
-    firsts = found.select("node", F.col("first.doc_id").alias("doc_id"), F.col("first.position").alias("position"), "fp")
-    dealt = cells(firsts.select("node", "fp"), RADIUS, BLOCKS, CHUNK)
-    active = stored(dealt.mapInPandas(_active, "choice int, part long, i int, j int, own int, node long, fp long"))
-    wanted = active.select("node").distinct().join(firsts.select("node", "doc_id", "position"), "node")
-    # Only lines with a neighbour within the radius meet their texts again.
-    texts = lines_of(documents, least_words)
-    lines = stored(texts.join(wanted, ["node", "doc_id", "position"], "left_semi").dropDuplicates(["node"]).select("node", "line"))
-    met = active.join(lines, "node").repartition(partitions(documents.sparkSession), *CELL).sortWithinPartitions(*CELL, "node")
-    roots = connected_components(met.mapInPandas(_verified(similarity), "a long, b long"))
+    spark = documents.sparkSession
+    docs = documents.where("doc_id is not null and text is not null")
+    docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
+    own = stored(docs.mapInPandas(_lines(least_words), "doc_id long, tie long, position int, node long, fp long"))
+    place = F.struct("doc_id", "tie", "position")
+    found = stored(own.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.min("fp").alias("fp")))
+    blocks = block_count(found.count())
+    cell = "choice int, part long, i int, j int, own int, node long, fp long"
+    active = stored(cells(found.select("node", "fp"), RADIUS, blocks, CHUNK).mapInPandas(_active(blocks), cell))
+    # Only lines with a near one meet their texts again, each from one document.
+    wanted = active.select("node").distinct().join(found, "node").select("node", "first.*")
+    wanted = wanted.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("position", "node")).alias("at"))
+    wanted = stored(wanted)
+    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
+    lines = docs.join(side, ["doc_id", "tie"]).select(F.explode("at").alias("at"), F.split("text", "\n").alias("lines"))
+    lines = lines.select("at.node", F.get("lines", F.col("at.position")).alias("line")).dropDuplicates(["node"])
+    met = active.join(lines, "node").repartition(partitions(spark), *CELL).sortWithinPartitions(*CELL, "node")
+    roots = connected_components(met.mapInPandas(_verified(similarity, blocks), "a long, b long"))
     placed = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = placed.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("n")).where("n > 1")
     heads = stored(placed.select("node", "root").join(heads, "root").select("node", "head"))
-    repeated = spread_join(own, heads, ["node"], "inner", ["doc_id", "position"])
-    kept = (F.col("doc_id") == F.col("head.doc_id")) & (F.col("position") == F.col("head.position"))
-    return repeated.where(~kept).select("doc_id", "position", "node")
+    repeated = spread_join(own.drop("fp"), heads, ["node"], "inner", ["doc_id", "tie", "position"])
+    return repeated.where(place != F.col("head")).select("doc_id", "tie", "position")
 
 
 def dedup_lines(documents: DataFrame, similarity: float = 0.8, least_words: int = 5) -> DataFrame:
     """The documents, all columns as given, without surplus lines; n_chars follows the text.
 
     Lines with fewer than ``least_words`` words, documents without an id, and null or empty
-    texts stay as they are.  Rows that share a doc_id are one document: lines at the same
-    place with the same words go or stay together.  A document all of whose lines go keeps an
-    empty text.  Empty input gives no rows.
+    texts stay as they are.  Rows that repeat a doc_id and its text are one document and keep
+    or lose the same lines.  A document all of whose lines go keeps an empty text.  Empty input
+    gives no rows.
     """
     gone = surplus_lines(documents.select("doc_id", "text"), similarity, least_words)
-    key, lost = free_name(documents, "lost_of"), free_name(documents, "lost")
-    gone = gone.groupBy("doc_id").agg(F.collect_set(F.struct("position", "node")).alias(lost)).withColumnRenamed("doc_id", key)
-    met = documents.join(gone, documents["doc_id"] == gone[key], "left").drop(key)
-
-    def stays(line: Column, position: Column) -> Column:
-        return ~F.array_contains(F.col(lost), F.struct(position.alias("position"), F.xxhash64(normalized_line(line)).alias("node")))
-
-    text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(F.filter(F.split("text", "\n"), stays), "\n"))
+    key, tie, lost = (free_name(documents, n) for n in ("lost_of", "lost_tie", "lost"))
+    gone = gone.groupBy("doc_id", "tie").agg(F.collect_set("position").alias(lost))
+    gone = gone.withColumnRenamed("doc_id", key).withColumnRenamed("tie", tie)
+    same = (documents["doc_id"] == gone[key]) & (F.xxhash64(documents["text"]) == gone[tie])
+    met = documents.join(gone, same, "left").drop(key, tie)
+    stay = F.filter(F.split("text", "\n"), lambda line, n: ~F.array_contains(F.col(lost), n))
+    text = F.when(F.col(lost).isNull(), F.col("text")).otherwise(F.array_join(stay, "\n"))
     new = {"text": text}
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
