@@ -9,7 +9,7 @@ rule decides for its own matches is the label: a match that passes its check (oc
 digit, number of digits) is positive, one that fails is negative.  Trees learn from format and
 context features, all of few values, of every candidate of the corpus, as counts per feature
 combination.  A looser span is added where its calibrated probability reaches the threshold of
-its kind, unless a rule match overlaps it.
+its kind, unless it overlaps a rule match that passed, or one of its own kind that failed.
 """
 
 from __future__ import annotations
@@ -166,32 +166,24 @@ _CANDIDATE = "array<struct<kind: int, start: bigint, end: bigint, base: boolean,
 
 
 def fit_trees(found: DataFrame) -> tuple[Forest, list[float]]:
-    """Trees, and per kind the least probability that is right in 95 of 100 rule matches.
+    """Trees, and per kind the least probability down to which 95 of 100 rule matches pass.
 
-    The rows the driver gets are feature combinations; there are at most as many as the
-    product of the ceilings and in practice a few thousand.  A hash of the combination splits
-    them into four fifths for the trees and one for the thresholds.
+    The rows the driver gets are feature combinations with their counts; there are at most as
+    many as the product of the ceilings and in practice a few hundred.  A kind of which no
+    such limit exists accepts nothing; no kind accepts less than 0.9.
     """
     each = found.select(F.explode("found").alias("c")).where("c.base")
     rows = each.groupBy("c.features").agg(F.count_if("c.passed").alias("yes"), F.count("*").alias("n")).collect()
     rows.sort(key=lambda r: r.features)
     matrix = np.array([r.features for r in rows], float).reshape(len(rows), len(FEATURES))
     yes, n = np.array([r.yes for r in rows], float), np.array([r.n for r in rows], float)
-    fold = np.arange(len(rows)) % 5 == 4
-    own = ~fold if len(rows) >= 50 else np.ones(len(rows), bool)
-    twice = np.r_[matrix[own], matrix[own]]
-    label = np.r_[np.ones(own.sum()), np.zeros(own.sum())]
-    weight = np.r_[yes[own], n[own] - yes[own]]
-    forest = fit_forest(twice[weight > 0], label[weight > 0], weight[weight > 0], trees=24, depth=3, rate=0.3, bins=24, least_weight=2)
-    thresholds = []
-    score = forest.probability(matrix)
+    label, weight = np.r_[np.ones(len(rows)), np.zeros(len(rows))], np.r_[yes, n - yes]
+    own = weight > 0
+    forest = fit_forest(np.r_[matrix, matrix][own], label[own], weight[own], trees=24, depth=3, rate=0.3, bins=24, least_weight=2)
+    score, thresholds = forest.probability(matrix), []
     for kind in range(len(KINDS)):
-        mine = np.flatnonzero((matrix[:, 0] == kind) & fold) if len(rows) else []
-        if not len(mine):
-            mine = np.flatnonzero(matrix[:, 0] == kind) if len(rows) else []
-        order = sorted(mine, key=lambda r: -score[r])
         limit, good, total = 1.01, 0.0, 0.0
-        for r in order:
+        for r in sorted(np.flatnonzero(matrix[:, 0] == kind), key=lambda r: -score[r]):
             good, total = good + yes[r], total + n[r]
             if good >= 0.95 * total:
                 limit = float(score[r])
@@ -218,7 +210,7 @@ def detect(documents: DataFrame) -> DataFrame:
 
     The candidates of each whole text are found once and kept in the shared folder.  Spans are
     sorted by start, then kind; rule matches always stay, looser spans must reach the threshold
-    of their kind and overlap no rule match and no earlier accepted span of their kind.
+    of their kind and overlap no rule match that passed and none of their own kind that failed.
 
     Null or empty text has no spans; a null doc_id stays null; repeated rows are returned each;
     empty input gives no rows; other columns are ignored.
@@ -229,18 +221,21 @@ def detect(documents: DataFrame) -> DataFrame:
     limits = F.array(*[F.lit(t) for t in thresholds])
 
     def chosen(every: Column) -> Column:
-        base = F.filter(every, lambda c: c["base"] & c["passed"])
-        loose = F.filter(every, lambda c: ~c["base"])
+        rules, loose = F.filter(every, lambda c: c["base"]), F.filter(every, lambda c: ~c["base"])
 
         def pick(both: Column) -> Column:
             def accepted(c: Column) -> Column:
-                apart = F.forall(both["b"], lambda b: (b["end"] <= c["start"]) | (b["start"] >= c["end"]))
-                return apart & (probability(forest, c["features"]) >= F.get(limits, c["kind"]))
+                def apart(b: Column) -> Column:
+                    counts = b["passed"] | (b["kind"] == c["kind"])
+                    return ~counts | (b["end"] <= c["start"]) | (b["start"] >= c["end"])
 
+                return F.forall(both["b"], apart) & (probability(forest, c["features"]) >= F.get(limits, c["kind"]))
+
+            passed = F.filter(both["b"], lambda b: b["passed"])
             slim = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["base"].alias("base"))
-            return F.array_sort(F.concat(F.transform(both["b"], slim), F.transform(F.filter(both["l"], accepted), slim)))
+            return F.array_sort(F.concat(F.transform(passed, slim), F.transform(F.filter(both["l"], accepted), slim)))
 
-        return let(F.struct(base.alias("b"), loose.alias("l")), pick)
+        return let(F.struct(rules.alias("b"), loose.alias("l")), pick)
 
     none = F.array().cast("array<struct<start: bigint, kind: int, end: bigint, base: boolean>>")
     return found.select("doc_id", F.when(F.size("found") > 0, let(F.col("found"), chosen)).otherwise(none).alias("spans"))

@@ -12,6 +12,7 @@ from tradebinder.llm.common import SPACE, free_name, let, stored, words_of
 from tradebinder.operators.lookup import spread_join
 
 SYMBOLS = "#*$%&|<>"
+COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 BLANKS = " \t\n\x0b\x0c\r"
 # Lists of frequent lines of all hosts that may be broadcast, in lines.
 BROADCAST_LINES = 200_000
@@ -117,8 +118,8 @@ def judge_documents(
 ) -> DataFrame:
     """Every row and column of ``documents`` (doc_id, text, source) with its counts and verdict.
 
-    Adds, under names that do not clash, a struct ``counts`` (see ``document_counts``), the text
-    without its frequent lines, ``base_failed`` (fewer than ``least_words`` words, or more than
+    Adds, under names that do not clash, the text without its frequent lines and a struct
+    ``verdict``: the counts (see ``document_counts``), ``base_failed`` (fewer than ``least_words`` words, or more than
     ``most_repeated`` of them in repeated three-word runs) and ``kept``: not base_failed, and
     at least ``least_left`` of the characters of its words stay when the lines that are
     frequent in its source go.  Returned with the names as a tuple.
@@ -126,7 +127,7 @@ def judge_documents(
     Null or empty text has zero words and fails.  A null source is a source.  A null doc_id
     and repeated rows are judged each by their own text.  Empty input gives no rows.
     """
-    names = {n: free_name(documents, n) for n in ("counts", "cleaned", "base_failed", "kept", "host", "lines")}
+    names = {n: free_name(documents, n) for n in ("verdict", "cleaned", "host", "lines")}
     # A short hash stands for the source, null included.
     host = F.xxhash64(F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("")))
     light = documents.select(host.alias("source"), "text")
@@ -144,20 +145,23 @@ def judge_documents(
         return F.filter(F.split(text, "\n"), lambda x, i: ~F.coalesce(F.array_contains(bad, F.get(hashes, i)), F.lit(False)))
 
     cleaned = F.when(bad.isNull(), F.col("text")).otherwise(F.array_join(let(line_hashes(text), stays), "\n"))
-    met = met.withColumn(names["cleaned"], cleaned).withColumn(names["counts"], document_counts(F.col("text")))
-    c = F.col(names["counts"])
-    failed = (c["n_words"] < least_words) | (c["n_repeat_words"] > most_repeated * c["n_words"])
-    left = F.length(F.translate(F.coalesce(F.col(names["cleaned"]), F.lit("")), BLANKS, ""))
-    depleted = left < c["word_chars"] * least_left
-    met = met.withColumn(names["base_failed"], failed).withColumn(names["kept"], ~failed & ~depleted)
+    left = F.length(F.translate(F.coalesce(cleaned, F.lit("")), BLANKS, ""))
+
+    def judge(c: Column) -> Column:
+        failed = (c["n_words"] < least_words) | (c["n_repeat_words"] > most_repeated * c["n_words"])
+        kept = ~failed & (left >= c["word_chars"] * least_left)
+        return F.struct(*[c[n].alias(n) for n in COUNTS], failed.alias("base_failed"), kept.alias("kept"))
+
+    # One expression, so that a filter on the verdict does not count twice.
+    met = met.withColumn(names["cleaned"], cleaned).withColumn(names["verdict"], let(document_counts(F.col("text")), judge))
     return met.drop(names["host"], names["lines"]), names
 
 
 def quality_report(documents: DataFrame, **rules) -> DataFrame:
     """doc_id, the five counts, base_failed and kept of every row (see ``judge_documents``)."""
     judged, names = judge_documents(documents.select("doc_id", "text", "source"), **rules)
-    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    return judged.select("doc_id", *[F.col(names["counts"])[c].alias(c) for c in counts], *[F.col(names[n]).alias(n) for n in ("base_failed", "kept")])
+    verdict = F.col(names["verdict"])
+    return judged.select("doc_id", *[verdict[n].alias(n) for n in (*COUNTS, "base_failed", "kept")])
 
 
 def keep_good(documents: DataFrame, **rules) -> DataFrame:
@@ -171,4 +175,4 @@ def keep_good(documents: DataFrame, **rules) -> DataFrame:
     if "n_chars" in documents.columns:
         changed = ~text.eqNullSafe(F.col("text"))
         new["n_chars"] = F.when(changed, F.length(text)).otherwise(F.col("n_chars")).cast(documents.schema["n_chars"].dataType)
-    return judged.where(F.col(names["kept"])).select(*[new[c].alias(c) if c in new else F.col(c) for c in documents.columns])
+    return judged.where(F.col(names["verdict"])["kept"]).select(*[new[c].alias(c) if c in new else F.col(c) for c in documents.columns])

@@ -33,10 +33,10 @@ HEAD = struct.Struct("<7I")
 SHARD_IDS = 1 << 20
 SYMBOLS = 1 << 16
 END_ID = 1
-ROUNDS = 4
+ROUNDS = 3
 LEAST = 16
 TASK_BYTES = 32 << 20
-_BUCKETS = 1 << 20
+_BUCKETS = 1 << 18
 
 
 def replace_frequent(seq: np.ndarray, symbol: int, most: int) -> tuple[np.ndarray, np.ndarray]:
@@ -48,7 +48,7 @@ def replace_frequent(seq: np.ndarray, symbol: int, most: int) -> tuple[np.ndarra
     round.  Where occurrences overlap, every other one of a run is taken, from the left.
     """
     pair = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
-    bucket = (pair * np.uint32(0x9E3779B1)) >> np.uint32(12)
+    bucket = (pair * np.uint32(0x9E3779B1)) >> np.uint32(14)
     owner = np.zeros(_BUCKETS, np.uint32)
     owner[bucket] = pair
     owned = owner[bucket] == pair
