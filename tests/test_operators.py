@@ -508,9 +508,9 @@ def test_mapping_methods(spark):
         "tcg_set_id string, name_en string, series_en string, ptcgo_code string, release_date date",
     )
     rows = mapping.mapping_candidates(expansions, sets, T1).collect()
-    others = [r for r in rows if r.tcg_set_id and not r.is_primary_mapping]
+    others = sorted((r for r in rows if r.tcg_set_id and not r.is_primary_mapping), key=lambda r: r.id_expansion)
     assert [(r.id_expansion, r.tcg_set_id, r.match_status, r.needs_review) for r in others] == [
-        (5, "s8", "manual_review", True)
+        (5, "s8", "manual_review", True), (6, "s7", "manual_review", True)
     ]
     found = {r.id_expansion: r for r in rows if r not in others}
     facts = {k: (r.tcg_set_id, r.match_method, r.match_status, float(r.match_confidence), r.needs_review) for k, r in found.items()}

@@ -55,8 +55,8 @@ def price_age_days(first_seen_at: Column, as_of: Column, zone: str = PIPELINE_ZO
 
 
 def months_since(release_date: Column, as_of: Column) -> Column:
-    """Completed months; negative for a release still to come."""
-    return F.months_between(as_of, release_date).cast("int")
+    """Whole months, rounded down; negative for a release still to come."""
+    return F.floor(F.months_between(as_of, release_date)).cast("int")
 
 
 def archive_name(prefix: Column, date: Column, rerun: Column) -> Column:

@@ -11,8 +11,8 @@ FALSE_WORDS = ["false", "0", "no", "n"]
 
 
 def strip(value: Column) -> Column:
-    """Remove all leading and trailing whitespace, tabs and line breaks included."""
-    return F.regexp_replace(value, r"^\s+|\s+$", "")
+    """Remove all leading and trailing whitespace: tabs, line breaks, no-break spaces."""
+    return F.regexp_replace(value, r"(?U)^\s+|\s+$", "")
 
 
 def blank_to_null(value: Column) -> Column:

@@ -1,8 +1,7 @@
 """Candidate mapping between market expansions and official sets.
 
-Sets are indexed by one key per method.  An index has one row per key, so joining the
-expansions to it never multiplies rows however many sets share a key: the row carries the
-number of sets and the lowest id.  mapping_keys lists all sets behind a key.
+Sets are indexed by one key per method.  Every set behind a key is a candidate, with the
+number of sets that share it; so the result has as many rows as there are pairs to review.
 """
 
 from __future__ import annotations
@@ -86,19 +85,17 @@ def mapping_candidates(
     expansions: DataFrame, sets: DataFrame, run_ts, manual: DataFrame | None = None,
     near_days: int = NEAR_DAYS,
 ) -> DataFrame:
-    """Candidate sets per expansion, at most one per key; the one found by the most certain
-    method is the primary mapping, the others always need review.
+    """Every candidate set of an expansion, once, by its most certain method; the first of them
+    (method, distance, id) is the primary mapping, the others always need review.
 
     candidate_count is the number of sets that share the key; more than one is never
     trusted.  Expansions without any candidate are one unmatched row with confidence 0.
     Rows of ``manual`` (id_expansion, tcg_set_id, notes) replace every automatic result.
     """
     now = as_instant(run_ts)
-    index = (
-        mapping_keys(sets)
-        .groupBy("method", "match_key")
-        .agg(F.count("*").alias("candidate_count"), F.min("tcg_set_id").alias("tcg_set_id"))
-    )
+    keys = mapping_keys(sets)
+    shared = keys.groupBy("method", "match_key").agg(F.count("*").alias("candidate_count"))
+    index = keys.join(shared, ["method", "match_key"])
     rank = F.create_map(*[F.lit(x) for pair in [(m, i) for i, (m, _) in enumerate(METHODS)] for x in pair])
     score = F.create_map(*[F.lit(x) for pair in METHODS for x in pair])
     hits = spread_join(
@@ -110,16 +107,11 @@ def mapping_candidates(
     candidate = F.struct(
         order.alias("order"), "method", "match_key", "tcg_set_id", "candidate_count"
     )
-    # At most one entry per key of the expansion, so the list is bounded by its keys.
-    found = F.array_sort(F.collect_list(F.when(F.col("tcg_set_id").isNotNull(), candidate)))
-    ranked = hits.groupBy("id_expansion").agg(found.alias("found"))
-
-    def is_first(entry: Column, position: Column) -> Column:
-        earlier = F.slice("found", F.lit(1), position)
-        return ~F.exists(earlier, lambda e: e.tcg_set_id == entry.tcg_set_id)
-
-    best = ranked.select(
-        "id_expansion", F.posexplode_outer(F.filter("found", is_first)).alias("position", "best")
+    found = hits.filter("tcg_set_id IS NOT NULL")
+    per_set = found.groupBy("id_expansion", "tcg_set_id").agg(F.min(candidate).alias("best")).drop("tcg_set_id")
+    first = found.groupBy("id_expansion").agg(F.min(order).alias("first"))
+    best = (
+        hits.select("id_expansion").distinct().join(per_set, "id_expansion", "left").join(first, "id_expansion", "left")
     )
     confidence = F.when(
         F.col("best.candidate_count") > 1, F.least(score[F.col("best.method")], F.lit(0.70))
@@ -129,7 +121,7 @@ def mapping_candidates(
         F.col("best.tcg_set_id").alias("tcg_set_id"),
         F.coalesce("best.method", F.lit("none")).alias("match_method"),
         F.coalesce(confidence, F.lit(0.0)).cast(CONFIDENCE).alias("match_confidence"),
-        (F.col("position") == 0).alias("is_primary_mapping"),
+        (F.col("best.order") == F.col("first")).alias("is_primary_mapping"),
         F.col("best.match_key").alias("match_key"),
         F.coalesce("best.candidate_count", F.lit(0)).alias("candidate_count"),
         F.lit(None).cast("string").alias("notes"),

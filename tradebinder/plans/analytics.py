@@ -10,12 +10,12 @@ from tradebinder.operators import signals, valuation, views
 from tradebinder.schemas import ANALYTICS_SIGNALS, TABLES
 from tradebinder.session import configure, ensure_checkpoint_dir
 from tradebinder.sources.csv_files import write_csv
-from tradebinder.sources.tables import read_table, write_partitions
+from tradebinder.sources.tables import clear_partition, read_table, write_partitions
 
 
 def record_signals(spark: SparkSession, root: str, as_of, run_ts) -> None:
     """Compute all signals of a date and replace that date's partition, so a rerun of the
-    date does not add rows.  The price history is read once: its points, one row per
+    date neither adds rows nor leaves any that no longer hold.  The price history is read once: its points, one row per
     product, are checkpointed and feed product and item signals."""
     configure(spark)
     ensure_checkpoint_dir(spark)
@@ -30,7 +30,11 @@ def record_signals(spark: SparkSession, root: str, as_of, run_ts) -> None:
     typed = found.select(
         *[F.col(f.name).cast(f.dataType).alias(f.name) for f in ANALYTICS_SIGNALS.fields]
     )
-    write_partitions(typed, root, "analytics_signals")
+    typed = typed.checkpoint()
+    if typed.isEmpty():
+        clear_partition(spark, root, "analytics_signals", spark.range(1).select(as_date(as_of).cast("string")).first()[0])
+    else:
+        write_partitions(typed, root, "analytics_signals")
 
 
 def stored_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:

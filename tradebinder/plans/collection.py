@@ -15,11 +15,13 @@ from tradebinder.sources.tables import read_table, write_version
 
 def import_collection(spark: SparkSession, root: str, staged: DataFrame, run_ts) -> DataFrame:
     """Match freshly staged rows (see sources.csv_files) and add them to staging.  Returns
-    the number of rows per status and possible duplicates of owned items."""
+    the number of rows per status and possible duplicates of owned items.  Rows that staging
+    already holds, from an earlier attempt, are not added again."""
     configure(spark)
     ensure_checkpoint_dir(spark)
     products = read_table(spark, root, "products")
     before = read_table(spark, root, "collection_import_staging")
+    staged = staged.join(before.select("import_row_id"), "import_row_id", "left_anti").select(*staged.columns)
     imported = before.filter("match_status = 'imported'")
     matched = match_staging(staged, products, imported).withColumns(
         {"created_at": as_instant(run_ts), "imported_at": F.lit(None).cast("timestamp")}
@@ -44,6 +46,7 @@ def promote_ready(spark: SparkSession, root: str, run_ts) -> DataFrame:
     items = read_table(spark, root, "collection_items")
     fresh, after = promote(staging, run_ts)
     fresh = fresh.join(items.select("collection_item_id"), "collection_item_id", "left_anti")
+    fresh = fresh.dropDuplicates(["collection_item_id"])
     all_items = items.unionByName(fresh).checkpoint()
     after = after.checkpoint()
     write_version(all_items, root, "collection_items", run_ts)

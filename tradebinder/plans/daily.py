@@ -97,12 +97,18 @@ def load_rows(spark: SparkSession, root: str, judged: DataFrame, snapshot_date,
 
 def archived_documents(spark: SparkSession, archive: str, prefix: str, day) -> DataFrame:
     """The canonical archived document of a day; a day without one cannot be loaded."""
-    found = canonical_files(archive_listing(spark, archive), [prefix]).filter(
-        F.col("snapshot_date") == as_date(day)
-    ).first()
+    listing = archive_listing(spark, archive)
+    found = canonical_files(listing, [prefix]).filter(F.col("snapshot_date") == as_date(day))
+    found = _with_paths(found, listing).first()
     if found is None:
         raise LoadFailed(f"no {prefix} file is archived for {day}")
-    return read_documents(spark, f"{archive}/{found.file_name}")
+    return read_documents(spark, found.path)
+
+
+def _with_paths(files: DataFrame, listing: DataFrame) -> DataFrame:
+    """Add the full path of each file; of files with one name the first path counts."""
+    paths = listing.groupBy("file_name").agg(F.min("path").alias("path"))
+    return files.join(paths, "file_name")
 
 
 def load_archived_day(spark: SparkSession, root: str, archive: str, day, run_ts) -> Row:
@@ -121,16 +127,15 @@ def replay(
     """
     configure(spark)
     ensure_checkpoint_dir(spark)
-    chosen = (
-        canonical_files(archive_listing(spark, archive), [PRICE_PREFIX])
-        .filter(F.col("snapshot_date").between(as_date(first), as_date(last)))
-        .select("snapshot_date", "file_name")
-        .collect()
+    listing = archive_listing(spark, archive)
+    in_range = canonical_files(listing, [PRICE_PREFIX]).filter(
+        F.col("snapshot_date").between(as_date(first), as_date(last))
     )
+    chosen = _with_paths(in_range, listing).select("snapshot_date", "file_name", "path").collect()
     if not chosen:
         return spark.createDataFrame([], REPLAY_REPORT)
-    files = spark.createDataFrame(chosen, "snapshot_date date, file_name string")
-    documents = read_documents(spark, [f"{archive}/{row.file_name}" for row in chosen])
+    files = spark.createDataFrame(chosen, "snapshot_date date, file_name string, path string").drop("path")
+    documents = read_documents(spark, [row.path for row in chosen])
     judged = transform_prices(
         parse_archive_names(documents, [PRICE_PREFIX]), F.col("snapshot_date")
     ).persist()

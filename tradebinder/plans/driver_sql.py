@@ -230,8 +230,7 @@ FROM expansions e LEFT JOIN (
   SELECT *, CASE WHEN n > 1 THEN LEAST(score, 0.7) ELSE score END AS conf,
          ROW_NUMBER() OVER (PARTITION BY id_expansion ORDER BY pri, distance, tcg_set_id) AS pos FROM (
     SELECT k.*, x.n, x.tcg_set_id, ROW_NUMBER() OVER (PARTITION BY id_expansion, x.tcg_set_id ORDER BY pri, distance) AS dup
-    FROM expansion_keys k JOIN (SELECT method, match_key, COUNT(*) AS n, MIN(tcg_set_id) AS tcg_set_id
-                                FROM set_keys GROUP BY method, match_key) x
+    FROM expansion_keys k JOIN (SELECT method, match_key, tcg_set_id, COUNT(*) OVER (PARTITION BY method, match_key) AS n FROM set_keys) x
       ON x.method = k.method AND x.match_key = k.match_key) r WHERE dup = 1) b ON b.id_expansion = e.id_expansion""",
     "counts": """
 SELECT DATE '2024-01-20' AS snapshot_date,
@@ -423,7 +422,7 @@ def oracle() -> dict[str, str]:
         "price_report_chain": f"""SELECT x.snapshot_date, x.id_product, p.name AS product_name, p.product_group, {_R.format('trend', 'trend')}, {_R.format('avg30', 'avg30')},
             ROUND(COALESCE((trend + avg30) / 2, trend, avg30), 4) AS estimated_market_value, p.id_expansion, e.name_en AS expansion_name_en,
             m.tcg_set_id, s.name_en AS official_set_name, s.series_en AS series, COALESCE(s.release_date, e.release_date) AS release_date,
-            CAST(datesub('month', COALESCE(s.release_date, e.release_date), d.d) AS BIGINT) AS months_since_release,
+            CAST(CASE WHEN COALESCE(s.release_date, e.release_date) <= d.d THEN datesub('month', COALESCE(s.release_date, e.release_date), d.d) ELSE -datesub('month', d.d, COALESCE(s.release_date, e.release_date)) - CASE WHEN day(d.d) = day(COALESCE(s.release_date, e.release_date)) THEN 0 ELSE 1 END END AS BIGINT) AS months_since_release,
             s.printed_total, s.total_cards, s.secret_card_count, m.match_confidence AS mapping_confidence
             FROM prices x CROSS JOIN day d LEFT JOIN products p ON p.id_product = x.id_product LEFT JOIN expansions e ON e.id_expansion = p.id_expansion
             LEFT JOIN mappings m ON m.id_expansion = p.id_expansion AND m.is_primary_mapping LEFT JOIN sets s ON s.tcg_set_id = m.tcg_set_id""",

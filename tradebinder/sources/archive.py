@@ -9,18 +9,21 @@ from pyspark.sql import functions as F
 # Fixed value: prefix, calendar date, optional rerun number.
 ARCHIVE_NAME = r"^(.+)_(\d{4}-\d{2}-\d{2})(?:_rerun-(\d+))?\.json$"
 
-LISTING = "file_name string, length bigint, modified_at timestamp"
+LISTING = "file_name string, path string, length bigint, modified_at timestamp"
 
 
 def archive_listing(spark: SparkSession, path: str) -> DataFrame:
-    """Files below a folder as (file_name, length, modified_at); contents are not read.
-    A folder that cannot be listed gives an empty listing."""
+    """Files below a folder, nested ones included, as (file_name, path, length, modified_at);
+    contents are not read.  A folder that does not exist is empty; any other failure is raised."""
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    except AnalysisException:
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LISTING)
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        "path",
         "length",
         F.col("modificationTime").alias("modified_at"),
     )
@@ -38,7 +41,7 @@ def parse_archive_names(listing: DataFrame, prefixes: list[str] | None = None) -
             {
                 "prefix": F.get("_parts", F.lit(0)),
                 "snapshot_date": F.get("_parts", F.lit(1)).try_cast("date"),
-                "rerun": F.get("_parts", F.lit(2)).try_cast("int"),
+                "rerun": F.get("_parts", F.lit(2)).try_cast("decimal(38,0)"),
             }
         )
         .filter(F.col("snapshot_date").isNotNull())

@@ -48,7 +48,7 @@ def read_catalog_documents(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _is_list(content: Column) -> Column:
-    return F.ltrim(F.regexp_replace(F.substring(content, 1, 64), r"\s+", " ")).startswith("[")
+    return content.rlike(r"^\s*\[")
 
 
 def _parsed(documents: DataFrame, root: Column, records: Column, **extra: Column) -> DataFrame:

@@ -2,33 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Anchor pattern and the "name (CODE number)" text of a card link.
-ANCHOR = r'<a href="([^"]*)"[^>]*>([^<]*)</a>'
+from tradebinder.functions.text import strip
+
+# Fixed value: the "name (CODE number)" text of a card link.
 CARD_TEXT = r"^(.*?)\s*\(([A-Za-z0-9]+)\s+([^)]+)\)"
 
+# An anchor with an address: any attribute order, quotes, case and nested tags.
+ANCHOR = r"""(?is)<a\s(?:[^>]*?\s)??href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>(.*?)</a\s*>"""
+# The named characters that occur in links; the ampersand comes last.
+ENTITIES = [("&nbsp;", "\u00a0"), ("&#160;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")]
+
+
+def decoded(text: Column) -> Column:
+    for name, character in ENTITIES:
+        text = F.replace(text, F.lit(name), F.lit(character))
+    return text
+
 
 def page_links(pages: DataFrame) -> DataFrame:
-    """Every link as (page_id, page_url, position, href, link_text); blank runs in the text
-    are collapsed."""
-    hrefs = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(1))
-    texts = F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(2))
+    """Every link as (page_id, page_url, position, href, link_text) the way a browser shows it:
+    nested tags count for nothing, entities are decoded, blank runs in the text are collapsed."""
+    groups = [F.regexp_extract_all("html", F.lit(ANCHOR), F.lit(n)) for n in (1, 2, 3, 4)]
+    names = ("double", "single", "bare", "text")
     # Outer, so that the patterns are not matched once more just to test for links.
     links = pages.select(
         "page_id",
         F.col("url").alias("page_url"),
-        F.posexplode_outer(F.arrays_zip(hrefs.alias("href"), texts.alias("text"))).alias(
+        F.posexplode_outer(F.arrays_zip(*[g.alias(n) for g, n in zip(groups, names, strict=True)])).alias(
             "position", "link"
         ),
     ).filter("position IS NOT NULL")
+    text = decoded(F.regexp_replace("link.text", r"<[^>]*>", ""))
     return links.select(
         "page_id",
         "page_url",
         "position",
-        F.col("link.href").alias("href"),
-        F.trim(F.regexp_replace("link.text", r"\s+", " ")).alias("link_text"),
+        decoded(F.concat("link.double", "link.single", "link.bare")).alias("href"),
+        strip(F.regexp_replace(text, r"(?U)\s+", " ")).alias("link_text"),
     )
 
 

@@ -1,22 +1,25 @@
 """Stored tables: Parquet folders with the schemas of tradebinder.schemas.
 
 Dated tables are partitioned by their date and replaced day by day.  All other tables are
-written whole under a new version folder; a one-row commit record appended afterwards
-makes the version current, so a run that dies half way leaves the old state in force.
+written whole to a folder that no other attempt uses; a one-row commit record appended
+afterwards makes it the current version.  A run that dies half way leaves the old state in
+force, and the last commit counts, whatever run time it carries.
 """
 
 from __future__ import annotations
 
 import datetime
+import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tradebinder.schemas import TABLES
 
 PARTITIONED = {"price_snapshots": "snapshot_date", "analytics_signals": "signal_date"}
-COMMITS = "name string, version string"
+COMMITS = "name string, version string, sequence long"
 
 
 def table_path(root: str, name: str) -> str:
@@ -27,15 +30,22 @@ def _absent(problem: AnalysisException) -> bool:
     return problem.getCondition() == "PATH_NOT_FOUND"
 
 
-def current_version(spark: SparkSession, root: str, name: str) -> str | None:
-    """Version of the last committed write, or None."""
+def _last_commit(spark: SparkSession, root: str, name: str) -> Row | None:
+    """(sequence, version) of the last committed write, or None."""
     try:
         commits = spark.read.schema(COMMITS).parquet(table_path(root, "commits"))
     except AnalysisException as problem:
         if _absent(problem):
             return None
         raise
-    return commits.filter(F.col("name") == name).agg(F.max("version")).first()[0]
+    order = F.struct(F.coalesce("sequence", F.lit(0)).alias("sequence"), "version")
+    return commits.filter(F.col("name") == name).agg(F.max(order)).first()[0]
+
+
+def current_version(spark: SparkSession, root: str, name: str) -> str | None:
+    """Version of the last committed write, or None."""
+    last = _last_commit(spark, root, name)
+    return last.version if last else None
 
 
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
@@ -57,6 +67,14 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
     return stored.select(*schema.fieldNames())
 
 
+def clear_partition(spark: SparkSession, root: str, name: str, day) -> None:
+    """Leave a date without rows; a date that was never written stays so."""
+    column = PARTITIONED[name]
+    fields = [f for f in TABLES[name].fields if f.name != column]
+    path = f"{table_path(root, name)}/{column}={day}"
+    spark.createDataFrame([], StructType(fields)).write.mode("overwrite").parquet(path)
+
+
 def write_partitions(df: DataFrame, root: str, name: str) -> None:
     """Replace exactly the date partitions present in df and leave all others alone.
 
@@ -84,10 +102,10 @@ def version_of(run_ts: datetime.datetime | str) -> str:
 
 
 def write_version(df: DataFrame, root: str, name: str, run_ts) -> None:
-    """Write a whole table as the version of this run, then commit it.  A frame that reads
-    the version of the same run (a rerun) must be checkpointed by the caller."""
-    version = version_of(run_ts)
+    """Write a whole table to a new folder, then commit it as the current version."""
+    version = f"{version_of(run_ts)}-{uuid.uuid4().hex[:12]}"
     path = f"{table_path(root, name)}/version={version}"
-    df.select(*TABLES[name].fieldNames()).write.mode("overwrite").parquet(path)
-    commit = df.sparkSession.createDataFrame([(name, version)], COMMITS)
+    df.select(*TABLES[name].fieldNames()).write.parquet(path)
+    last = _last_commit(df.sparkSession, root, name)
+    commit = df.sparkSession.createDataFrame([(name, version, last.sequence + 1 if last else 1)], COMMITS)
     commit.coalesce(1).write.mode("append").parquet(table_path(root, "commits"))
