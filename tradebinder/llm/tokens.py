@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 import numpy as np
 
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 # Texts whose new words are encoded together, in bytes.
 GROUP_BYTES = 1 << 20
 _TAIL = b".,;:!?#$%&*|<>()"
