@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import json
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 CACHED_WORDS = 400_000
-# Texts whose new words are encoded together, in bytes.
-GROUP_BYTES = 1 << 20
+# Texts whose words are looked up together, in bytes.
+GROUP_BYTES = 4 << 20
 _TAIL = b".,;:!?#$%&*|<>()"
 _LETTERS = frozenset(range(ord("a"), ord("z") + 1))
 _encoders: dict[str, Encoder] = {}
@@ -33,23 +35,13 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def _gaps(values: list) -> list[int]:
-    """Places of None."""
-    out, at = [], -1
-    try:
-        while True:
-            at = values.index(None, at + 1)
-            out.append(at)
-    except ValueError:
-        return out
-
-
 class Encoder:
     """ids(texts) as the library's encode_batch gives them, without special tokens added.
 
-    A tokenizer that drops white space treats each run between blanks alone, so such runs are
-    encoded once and remembered; any other tokenizer gets whole texts.  Only the six ASCII
-    blanks separate runs.  A run that ends in symbols after a letter a-z is looked up in two
+    A tokenizer that drops white space treats each run between blanks alone, so the different
+    runs of a group of texts are encoded once and remembered, and the ids are put together
+    by number of run; any other tokenizer gets whole texts.  Only the six ASCII blanks
+    separate runs.  A run that ends in symbols after a letter a-z is looked up in two
     parts, as such a tokenizer always cuts there.  All else is left to the library.
     """
 
@@ -59,35 +51,60 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
             self.by_word = drops_blanks(json.load(f))
-        self.known: dict[bytes, bytes] = {}
+        self.known: dict[bytes, bytes] = {b"": b""}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in found]
 
-    def ids(self, texts: Sequence[bytes]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each UTF-8 text."""
-        if not self.by_word:
-            return self._encode([t.decode() for t in texts])
-        out, at = [], 0
+    def _groups(self, texts: Sequence[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+        """Per group of texts: where the runs of each text end, the number of each run, ids by number."""
+        at = 0
         while at < len(texts):
-            # The tokenizer lower-cases too; names of special tokens must stay as they are.
-            words, size = [], 0
+            own, size = [], 0
             while at < len(texts) and size < GROUP_BYTES:
                 text = texts[at]
-                words.append((text if b"<|" in text else text.lower()).split())
+                # The tokenizer lower-cases too; names of special tokens must stay as they are.
+                own.append(text if b"<|" in text else text.lower())
                 size += len(text)
                 at += 1
+            runs = pc.ascii_split_whitespace(pa.array(own, pa.large_string()))
+            numbered = runs.values.dictionary_encode()
+            words = numbered.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
             if len(self.known) > CACHED_WORDS:
-                self.known = {}
-            known = self.known
-            found = [list(map(known.get, own)) for own in words]
-            gaps = [_gaps(ids) for ids in found]
-            self._learn({own[n] for own, missing in zip(words, gaps, strict=True) for n in missing})
-            for own, ids, missing in zip(words, found, gaps, strict=True):
-                for n in missing:
-                    ids[n] = known[own[n]]
-                out.append(b"".join(ids))
+                self.known = {b"": b""}
+            ids = list(map(self.known.get, words))
+            missing = [n for n, found in enumerate(ids) if found is None]
+            self._learn([words[n] for n in missing])
+            for n in missing:
+                ids[n] = self.known[words[n]]
+            yield runs.offsets.to_numpy()[1:], numbered.indices.to_numpy(), ids
+
+    def counts(self, texts: Sequence[bytes]) -> np.ndarray:
+        """Number of ids of each UTF-8 text."""
+        if not self.by_word:
+            return np.array([len(x) // 4 for x in self._encode([t.decode() for t in texts])], np.int64)
+        out = [np.zeros(0, np.int64)]
+        for ends, runs, ids in self._groups(texts):
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            out.append(np.diff(np.r_[0, np.cumsum(size[runs])][np.r_[0, ends]]))
+        return np.concatenate(out)
+
+    def ids(self, texts: Sequence[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each UTF-8 text."""
+        if not self.by_word:
+            return self._encode([t.decode() for t in texts])
+        out = []
+        for ends, runs, ids in self._groups(texts):
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            first = np.cumsum(size) - size
+            size, first = size[runs], first[runs]
+            stop = np.cumsum(size)
+            total = int(stop[-1]) if len(stop) else 0
+            places = np.arange(total) + np.repeat(first - (stop - size), size)
+            data = np.frombuffer(b"".join(ids), "<u4")[places].tobytes()
+            cuts = (4 * np.r_[0, stop][np.r_[0, ends]]).tolist()
+            out += [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         return out
 
     def _pieces(self, words: list[bytes]) -> list[bytes]:
@@ -110,17 +127,21 @@ class Encoder:
             out[n] = ids
         return out
 
-    def _learn(self, new: set[bytes]) -> None:
-        known, parts = self.known, {}
+    def _learn(self, new: list[bytes]) -> None:
+        known, whole, cut = self.known, set(), []
         for w in new:
-            stem = w.rstrip(_TAIL)
+            stem = w.rstrip(_TAIL) if w[-1] in _TAIL else w
             if 0 < len(stem) < len(w) and stem[-1] in _LETTERS and b"<|" not in w:
-                parts[w] = (stem, w[len(stem) :])
+                tail = w[len(stem) :]
+                cut.append((w, stem, tail))
+                whole.add(stem)
+                whole.add(tail)
             else:
-                parts[w] = (w,)
-        missing = [p for p in dict.fromkeys(p for own in parts.values() for p in own) if p not in known]
+                whole.add(w)
+        missing = [w for w in whole if w not in known]
         known.update(zip(missing, self._pieces(missing), strict=True))
-        known.update((w, b"".join([known[p] for p in own])) for w, own in parts.items() if len(own) > 1)
+        for w, stem, tail in cut:
+            known[w] = known[stem] + known[tail]
 
 
 def drops_blanks(spec: dict) -> bool:
