@@ -46,8 +46,7 @@ def token_counts(documents: DataFrame, tokenizer: str) -> DataFrame:
 
     @F.pandas_udf("long")
     def count(texts: pd.Series) -> pd.Series:
-        ids = encoder(tokenizer).ids([t or b"" for t in texts])
-        return pd.Series([len(x) // 4 + 1 for x in ids], dtype="int64")
+        return pd.Series(encoder(tokenizer).counts([t or b"" for t in texts]) + 1)
 
     body = F.col("text").cast("binary")
     return documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), count(body).alias("n_tokens"))
