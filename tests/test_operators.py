@@ -147,12 +147,13 @@ def test_cross_file_duplicates(spark):
 def test_recheck_waiting(spark):
     staging = spark.createDataFrame(
         [(1, 10, "waiting_for_product", "m"), (2, 99, "waiting_for_product", "m"), (3, 10, "error", "e"),
-         (4, None, "needs_review", "n")],
+         (4, None, "needs_review", "n"), (5, 10, None, "s")],
         "import_row_id long, matched_id_product long, match_status string, error_message string",
     )
     rows = merge.recheck_waiting(staging, products(spark, (10, "A"))).collect()
     assert {r.import_row_id: (r.match_status, r.error_message) for r in rows} == {
         1: ("ready_to_import", None), 2: ("waiting_for_product", "m"), 3: ("error", "e"), 4: ("needs_review", "n"),
+        5: (None, "s"),
     }
 
 
@@ -401,6 +402,24 @@ def test_signal_ids_are_stable(spark):
     assert len(ids) == 1
 
 
+def test_signals_of_one_type_are_those_of_all(spark):
+    rows = history(
+        spark, (1, "2026-05-01", 10.0, None), (1, "2026-07-01", 20.0, 15.0), (2, "2026-06-20", 4.0, 9.0),
+        (2, "2026-07-01", None, None), (4, "2026-07-01", 3.0, 2.0),
+    )
+    known = old_products(spark, 1, 2, 3).unionByName(old_products(spark, 4, first="2026-06-28"))
+    items = item_rows(spark, item("x", 1, 5.0), item("w", 1, 30.0), item("v", 4, 3.0), item("u", 3, 1.0))
+    points = signals.price_points(rows, "2026-07-01")
+    everything = signals.all_signals(points, known, items, "2026-07-01", T1)
+    assert {r.signal_type for r in everything.select("signal_type").distinct().collect()} == {
+        "growth", "price_spike", "new_product", "missing_price_data", "collection_gain", "collection_loss",
+    }
+    for kind in ("growth", "price_spike", "new_product", "missing_price_data", "collection_gain", "collection_loss"):
+        own = signals.signals_of(kind, points, known, items, "2026-07-01", T1)
+        wanted = everything.filter(everything.signal_type == kind)
+        assert sorted(map(str, own.collect())) == sorted(map(str, wanted.collect()))
+
+
 # --- matching ----------------------------------------------------------------------
 
 STAGED = (

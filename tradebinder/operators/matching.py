@@ -139,7 +139,9 @@ def duplicate_marks(staging: DataFrame, imported: DataFrame) -> DataFrame:
     )
     first = rows.groupBy("import_batch_id", "external_id").agg(F.min("record_index").alias("first_index"))
     done = imported.filter("external_id IS NOT NULL").select("external_id").distinct()
-    firsts = first.join(done.withColumn("_imported", F.lit(True)), "external_id", "left")
+    # An id such as "1" is in every batch, so the batches of an id are spread as well.
+    known = done.withColumn("_imported", F.lit(True))
+    firsts = spread_join(first, known, ["external_id"], "left", ["import_batch_id"])
     marked = spread_join(
         rows, firsts, ["import_batch_id", "external_id"], "inner", ["import_row_id"]
     )

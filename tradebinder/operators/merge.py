@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tradebinder.functions.dates import as_instant
 from tradebinder.operators.keyed import keyed_upsert, newest_per_key
+from tradebinder.operators.lookup import spread_join
 from tradebinder.schemas import (
     CATALOG_VALUES,
     EXPANSION_VALUES,
@@ -159,23 +160,20 @@ def cross_file_duplicates(singles: DataFrame, nonsingles: DataFrame, order: str
 def recheck_waiting(staging: DataFrame, products: DataFrame) -> DataFrame:
     """Waiting rows whose matched product exists by now become ready; others stay.
 
-    Only waiting rows take part in the join, so the rest is not shuffled and its null
-    ids cannot pile up in one partition.
+    One pass: the key is null unless a row waits, and rows without a key are spread like all
+    others.
     """
-    waiting = staging.filter(F.col("match_status") == "waiting_for_product")
-    rest = staging.filter(F.col("match_status") != "waiting_for_product")
-    known = products.select(F.col("id_product").alias("matched_id_product"), F.lit(True).alias("_known"))
-    rechecked = (
-        waiting.join(known, "matched_id_product", "left")
-        .withColumns(
-            {
-                "match_status": F.when(F.col("_known"), "ready_to_import").otherwise(F.col("match_status")),
-                "error_message": F.when(F.col("_known").isNull(), F.col("error_message")),
-            }
-        )
-        .select(*staging.columns)
-    )
-    return rest.unionByName(rechecked)
+    waits = F.col("match_status") == "waiting_for_product"
+    keyed = staging.withColumn("_awaited", F.when(waits, F.col("matched_id_product")))
+    known = products.select(F.col("id_product").alias("_awaited"), F.lit(True).alias("_known"))
+    looked_up = spread_join(keyed, known, ["_awaited"], "left", ["import_row_id"])
+    ready = F.col("_known").isNotNull()
+    return looked_up.withColumns(
+        {
+            "match_status": F.when(ready, "ready_to_import").otherwise(F.col("match_status")),
+            "error_message": F.when(~ready, F.col("error_message")),
+        }
+    ).select(*staging.columns)
 
 
 def last_record_per_key(batch: DataFrame, keys: list[str], order: str = "record_index") -> DataFrame:

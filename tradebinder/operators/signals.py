@@ -285,6 +285,26 @@ def all_signals(
     return of_products.unionByName(collection_gain_loss(items, latest, as_of, run_ts))
 
 
+def signals_of(
+    kind: str, points: DataFrame, products: DataFrame, items: DataFrame, as_of, run_ts,
+    lookbacks=GROWTH_LOOKBACKS, latest_snapshot=None,
+) -> DataFrame:
+    """The rows of all_signals that have one type, without building the others."""
+    if kind in ("collection_gain", "collection_loss"):
+        value = estimated_market_value(F.col("trend"), F.col("avg30"))
+        latest = points.select("id_product", value.alias("estimated_market_value"))
+        return collection_gain_loss(items, latest, as_of, run_ts).filter(F.col("signal_type") == kind)
+    money = money_type(points, "trend")
+    if kind == "new_product":
+        return emit(signal_base(products, None, as_of), [new_product_signal()], as_of, run_ts, money=money)
+    candidates = {
+        "growth": lambda: growth_signals(lookbacks),
+        "price_spike": lambda: [spike_signal()],
+        "missing_price_data": lambda: [missing_price_signal(as_of, latest_snapshot)],
+    }
+    return emit(signal_base(products, points, as_of), candidates[kind](), as_of, run_ts, money=money)
+
+
 # Signal types behind each signal view.
 SIGNAL_VIEWS = {
     "top_growth_products": "growth",

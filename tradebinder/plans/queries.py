@@ -846,7 +846,10 @@ def staging_re_evaluated(t: DriverTables) -> DataFrame:
 
 
 def _signal_view(t: DriverTables, view: str) -> DataFrame:
-    rows = signals.signal_view(_all_signals(t), t.products(), signals.SIGNAL_VIEWS[view])
+    kind, date = signals.SIGNAL_VIEWS[view], t.signal_date()
+    points = signals.price_points(t.prices(), date, LOOKBACKS)
+    rows = signals.signals_of(kind, points, t.products(), t.items(), date, RUN_TS, LOOKBACKS)
+    rows = signals.signal_view(rows, t.products(), kind)
     money = _rounded(rows, "signal_value", "reference_value", "current_value")
     return _longs(money, "lookback_days")
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tradebinder.operators.archive import canonical_files
+from tradebinder.operators.lookup import spread_join
 from tradebinder.operators.merge import merge_price_snapshots
 from tradebinder.operators.normalize import normalize_prices
 from tradebinder.operators.validate import good_rows, is_bad, judged_prices
@@ -40,7 +41,7 @@ def load_arrived(documents: DataFrame, archive: str, root: str, run_ts) -> None:
     parsed = price_documents(named.join(current, "file_name", "left_semi"))
     judged = normalize_prices(judged_prices(parsed), F.col("snapshot_date")).persist()
     bad = judged.filter(is_bad()).select("file_name").distinct()
-    rows = good_rows(judged).join(bad, "file_name", "left_anti")
+    rows = spread_join(good_rows(judged), bad, ["file_name"], "left_anti", ["record_index"])
     # One value per calendar day in the batch: it limits the target to these partitions.
     dates = [r.snapshot_date for r in rows.select("snapshot_date").distinct().collect()]
     if dates:
