@@ -13,7 +13,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tradebinder.llm.common import BROADCAST_ROWS, partitions, stored
@@ -35,14 +35,19 @@ def masks(radius: int, blocks: int) -> list[int]:
 
 
 def cells(rows: DataFrame, radius: int, blocks: int, chunk: int) -> DataFrame:
-    """Rows (with columns node and fp) dealt to cells, sorted by cell inside each partition.
+    """Rows (with columns node and fp) dealt to the cells of their masked fingerprints."""
+    keys = F.array(*[F.struct(F.lit(n).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for n, m in enumerate(masks(radius, blocks))])
+    return dealt_cells(rows, keys, chunk)
+
 
-    Adds choice, part (the masked bits), i, j (the two chunks that meet) and own (the chunk of
-    the row).  Rows that meet nobody are left out where a list of the shared keys is small
-    enough to be sent to all tasks; otherwise they pass, and link to nothing.
+def dealt_cells(rows: DataFrame, keys: Column, chunk: int) -> DataFrame:
+    """Rows (with a column node) dealt to cells by an array of (choice, part), sorted by cell inside each partition.
+
+    Adds choice, part (the key of the choice), i, j (the two chunks that meet) and own (the
+    chunk of the row).  Rows that meet nobody are left out where a list of the shared keys is
+    small enough to be sent to all tasks; otherwise they pass, and link to nothing.
     """
     spark = rows.sparkSession
-    keys = F.array(*[F.struct(F.lit(n).alias("choice"), F.col("fp").bitwiseAND(F.lit(m)).alias("part")) for n, m in enumerate(masks(radius, blocks))])
     dealt = rows.select("*", F.explode(keys).alias("_key")).select(*rows.columns, "_key.choice", "_key.part")
     shared = stored(dealt.groupBy("choice", "part").agg(F.count("*").alias("n")).where("n > 1"))
     hot = shared.where(F.col("n") > chunk)

@@ -1,4 +1,10 @@
-"""Near-duplicate lines across documents: SimHash, pigeonhole blocks, edit similarity."""
+"""Near-duplicate lines across documents: shared keys, edit similarity.
+
+Two lines are compared if they share a key.  ``search="grams"`` takes the keys from the bytes
+of the line: each is a pair of smallest hashes of its byte n-grams, so that short lines and
+lines without blanks are met like others.  ``search="blocks"`` takes blocks of a 64-bit SimHash
+of the words (at most three bits apart), which misses most lines that differ in a whole word.
+"""
 
 from __future__ import annotations
 
@@ -10,13 +16,22 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradebinder.llm.blocks import CELL, Groups, cells, near_pairs, whole_cells
+from tradebinder.llm.blocks import CELL, Groups, cells, dealt_cells, near_pairs, whole_cells
 from tradebinder.llm.common import BROADCAST_ROWS, free_name, partitions, stored
 from tradebinder.llm.components import connected_components
 from tradebinder.operators.lookup import spread_join
 
 RADIUS = 3
 CHUNK = 2048
+# Keys of a line, in two sets: lines from so many bytes on are cut into long grams, shorter ones
+# into short grams.  The limits are so far apart that lines similar to 0.8 agree in one of them.
+BANDS = ((32, 5), (50, 3))
+LONG_GRAM, SHORT_GRAM = 8, 3
+KEYS = [f"k{n}" for n in range(sum(n for _, n in BANDS))]
+LETTERS = ["low_letters", "high_letters"]
+# Bytes of lines whose grams are hashed at a time.
+GRAM_BYTES = 1 << 20
+_ODD = [xxhash.xxh64_intdigest(b"gram", n) | 1 for n in range(2 * len(KEYS))]
 
 
 def normalized_words(line: str) -> list[str]:
@@ -60,6 +75,78 @@ def _lines(least_words: int):
     return split
 
 
+def gram_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of normalised lines, none of them empty: 32-bit keys (one row per key), characters, letters.
+
+    Letters are the counts, up to 255, of the characters' first bytes in 16 classes, as two 64-bit numbers.
+    """
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    # Blanks behind each line fill the grams of a line that is shorter than a gram.
+    data = np.frombuffer(b"".join(line + bytes(LONG_GRAM) for line in lines), np.uint8)
+    starts = np.r_[0, np.cumsum(size + LONG_GRAM)[:-1]]
+    chars = np.add.reduceat((data & 0xC0) != 0x80, starts, dtype=np.int64) - LONG_GRAM
+    line = np.repeat(np.arange(len(lines)), size + LONG_GRAM)
+    counted = ((data & 0xC0) != 0x80) & (data > 0)
+    letters = np.bincount(line[counted] * 16 + (data[counted] & 15), minlength=16 * len(lines))
+    letters = np.minimum(letters, 255).astype(np.uint8).view("<i8").reshape(-1, 2)
+    data = np.r_[data, np.zeros(LONG_GRAM, np.uint8)].astype(np.uint64)
+    two = data[:-1] | data[1:] << np.uint64(8)
+    three = two[:-1] | data[2:] << np.uint64(16)
+    four = two[:-2] | two[2:] << np.uint64(16)
+    eight = four[:-4] | four[4:] << np.uint64(32)
+    at = np.arange(len(line)) - starts[line]
+    out = []
+    for limit, bands in BANDS:
+        long = size >= limit
+        gram = np.where(long[line], eight[: len(line)], three[: len(line)])
+        n = np.maximum(size - np.where(long, LONG_GRAM, SHORT_GRAM) + 1, 1)
+        gram = gram[at < n[line]]
+        gram = (gram ^ gram >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        gram = (gram ^ gram >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        gram ^= gram >> np.uint64(31)
+        first = np.r_[0, np.cumsum(n)[:-1]]
+        for _ in range(bands):
+            least = [np.minimum.reduceat(gram * np.uint64(_ODD[2 * len(out) + k]), first) for k in (0, 1)]
+            # Short and long grams never share a key.
+            key = (least[0] ^ least[1] >> np.uint64(32) ^ long.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+            out.append((key >> np.uint64(32) ^ least[1]).astype(np.uint32))
+    return np.stack(out).view(np.int32), chars, letters
+
+
+def _gram_lines(least_words: int):
+    """doc_id, tie, position, node, size (characters), letters and keys of every line with enough words."""
+
+    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            doc, position, node, lines, held = [], [], [], [], 0
+
+            def part() -> pd.DataFrame:
+                rows = batch[["doc_id", "tie"]].iloc[doc].reset_index(drop=True)  # noqa: B023
+                keys, chars, letters = gram_keys(lines)  # noqa: B023
+                rows["position"], rows["node"] = np.array(position, np.int32), np.array(node, np.uint64).astype(np.int64)  # noqa: B023
+                rows["size"] = chars.astype(np.int32)
+                rows[LETTERS] = letters
+                return pd.concat([rows, pd.DataFrame(dict(zip(KEYS, keys, strict=True)))], axis=1)
+
+            for k, text in enumerate(batch["text"]):
+                for at, line in enumerate(text.lower().encode().split(b"\n")):
+                    words = line.split()
+                    if len(words) >= max(1, least_words):
+                        line = b" ".join(words)
+                        doc.append(k)
+                        position.append(at)
+                        node.append(xxhash.xxh64_intdigest(line))
+                        lines.append(line)
+                        held += len(line)
+                        if held >= GRAM_BYTES:
+                            yield part()
+                            doc, position, node, lines, held = [], [], [], [], 0
+            if lines:
+                yield part()
+
+    return split
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance, or most + 1 if it is larger (Myers' bit vectors in one integer)."""
     if a == b:
@@ -109,36 +196,93 @@ def similar(a: str, b: str, similarity: float) -> bool:
     return edit_distance(a, b, most) <= most
 
 
-def _active(blocks: int):
+def sharing_pairs(batch: pd.DataFrame, starts: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows n < m of one cell whose lengths allow the similarity, in portions: all that are 1 apart, 2 apart, ..."""
+    size, own = batch["size"].to_numpy(), batch["own"].to_numpy()
+    letters = np.ascontiguousarray(batch[LETTERS].to_numpy(np.int64)).view(np.uint8).astype(np.int16)
+    across = batch["i"].to_numpy() != batch["j"].to_numpy()
+    ends = np.repeat(np.r_[starts[1:], len(batch)], np.diff(np.r_[starts, len(batch)]))
+    rows = np.arange(len(batch))
+    apart = 1
+    while len(rows := rows[rows + apart < ends[rows]]):
+        n, m = rows, rows + apart
+        longer = np.maximum(size[n], size[m])
+        near = np.abs(size[n] - size[m]) <= (1 - similarity) * longer + 1e-9
+        near &= ~across[n] | (own[n] != own[m])
+        n, m = n[near], m[near]
+        may = may_be_similar(letters, n, m, (1 - similarity) * longer[near])
+        if may.any():
+            yield n[may], m[may]
+        apart += 1
+
+
+def _pairs(similarity: float, blocks: int | None):
+    """Blocks of SimHash bits, or without them shared keys."""
+    if blocks is None:
+        return lambda batch, starts: sharing_pairs(batch, starts, similarity)
+    return lambda batch, starts: near_pairs(batch, starts, RADIUS, blocks)
+
+
+def _active(similarity: float, blocks: int | None):
+    pairs_of = _pairs(similarity, blocks)
+
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """The rows that have a near line to be compared with in their cell."""
         for batch, starts in whole_cells(batches):
             near = np.zeros(len(batch), bool)
-            for n, m in near_pairs(batch, starts, RADIUS, blocks):
+            for n, m in pairs_of(batch, starts):
                 near[n] = near[m] = True
             if near.any():
-                yield batch.loc[near, [*CELL, "own", "node", "fp"]]
+                yield batch.loc[near, [*CELL, "own", "node", *(["size", *LETTERS] if blocks is None else ["fp"])]]
 
     return search
 
 
-def _verified(similarity: float, blocks: int):
+def letter_counts(texts: list[str]) -> np.ndarray:
+    """Counts of the characters of each text, in 64 classes."""
+    out = np.zeros((len(texts), 64), np.int32)
+    for k, text in enumerate(texts):
+        out[k] = np.bincount(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") & 63, minlength=64)
+    return out
+
+
+def may_be_similar(counts: np.ndarray, n: np.ndarray, m: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """False only where the letters alone need more than ``most`` edits."""
+    out = np.zeros(len(n), bool)
+    for at in range(0, len(n), 1 << 14):
+        part = slice(at, at + (1 << 14))
+        differ = counts[n[part]] - counts[m[part]]
+        more = np.maximum(differ, 0).sum(axis=1)
+        out[part] = np.maximum(more, more - differ.sum(axis=1)) <= most[part] + 1e-9
+    return out
+
+
+def _verified(similarity: float, blocks: int | None):
+    pairs_of = _pairs(similarity, blocks)
+
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A spanning forest of each cell's links; rows already connected are not compared."""
         for batch, starts in whole_cells(batches):
             nodes, texts = batch["node"].to_numpy(), [" ".join(normalized_words(x)) for x in batch["line"]]
+            counts, sizes = letter_counts(texts), np.fromiter(map(len, texts), np.int64, len(texts))
             groups, links = Groups(len(batch)), []
-            for pairs in near_pairs(batch, starts, RADIUS, blocks):
-                for n, m in zip(*(p.tolist() for p in pairs), strict=True):
-                    if groups.root(n) != groups.root(m) and similar(texts[n], texts[m], similarity):
-                        groups.join(n, m)
-                        links.append((nodes[n], nodes[m]))
+            for n, m in pairs_of(batch, starts):
+                may = may_be_similar(counts, n, m, (1 - similarity) * np.maximum(sizes[n], sizes[m]))
+                for x, y in zip(n[may].tolist(), m[may].tolist(), strict=True):
+                    if groups.root(x) != groups.root(y) and similar(texts[x], texts[y], similarity):
+                        groups.join(x, y)
+                        links.append((nodes[x], nodes[y]))
             if links:
                 yield pd.DataFrame(links, columns=["a", "b"])
 
     return verify
 
 
+def distinct_lines(documents: DataFrame) -> DataFrame:
+    """``dedup_lines``, near lines found by byte n-grams."""
+    return dedup_lines(documents, search="grams")
+
+
 def block_count(lines: int) -> int:
     """Blocks of the 64 bits such that unrelated lines seldom share a key.
 
@@ -147,22 +291,36 @@ def block_count(lines: int) -> int:
     return 4 if lines < 1 << 22 else 5 if lines < 1 << 31 else 6
 
 
-def surplus_lines(documents: DataFrame, similarity: float = 0.8, least_words: int = 5) -> DataFrame:
+def surplus_lines(documents: DataFrame, similarity: float = 0.8, least_words: int = 5, search: str = "blocks") -> DataFrame:
     """doc_id, tie (hash of the text) and position of every line that repeats another, exactly or nearly.
 
-    Lines are linked if their words are equal, or if their SimHashes differ in at most three
-    bits and their edit similarity is at least ``similarity``.  Of each connected group the
-    line with the smallest (doc_id, tie, position) is not returned.
+    Lines are linked if their words are equal, or if they share a key (``search="grams"``) or
+    their SimHashes differ in at most three bits (``"blocks"``) and their edit similarity is at
+    least ``similarity``.  Of each connected group the line with the smallest
+    (doc_id, tie, position) is not returned.
     """
+    if search not in ("grams", "blocks"):
+        raise ValueError("search must be grams or blocks")
+    grams = search == "grams"
     spark = documents.sparkSession
     docs = documents.where("doc_id is not null and text is not null")
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
-    own = stored(docs.mapInPandas(_lines(least_words), "doc_id long, tie long, position int, node long, fp long"))
+    marks = {"size": "int", **dict.fromkeys(LETTERS, "long"), **dict.fromkeys(KEYS, "int")} if grams else {"fp": "long"}
+    split = _gram_lines(least_words) if grams else _lines(least_words)
+    typed = ", ".join(f"{c} {t}" for c, t in marks.items())
+    own = stored(docs.mapInPandas(split, f"doc_id long, tie long, position int, node long, {typed}"))
     place = F.struct("doc_id", "tie", "position")
-    found = stored(own.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), F.min("fp").alias("fp")))
-    blocks = block_count(found.count())
-    cell = "choice int, part long, i int, j int, own int, node long, fp long"
-    active = stored(cells(found.select("node", "fp"), RADIUS, blocks, CHUNK).mapInPandas(_active(blocks), cell))
+    found = own.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), *[F.min(c).alias(c) for c in marks])
+    found = stored(found)
+    if grams:
+        blocks, kept = None, "size int, low_letters long, high_letters long"
+        keys = F.array(*[F.struct(F.lit(n).alias("choice"), F.col(c).cast("long").alias("part")) for n, c in enumerate(KEYS)])
+        dealt = dealt_cells(found.select("node", "size", *LETTERS, *KEYS), keys, CHUNK).drop(*KEYS)
+    else:
+        blocks, kept = block_count(found.count()), "fp long"
+        dealt = cells(found.select("node", "fp"), RADIUS, blocks, CHUNK)
+    cell = f"choice int, part long, i int, j int, own int, node long, {kept}"
+    active = stored(dealt.mapInPandas(_active(similarity, blocks), cell))
     # Only lines with a near one meet their texts again, each from one document.
     wanted = active.select("node").distinct().join(found, "node").select("node", "first.*")
     wanted = wanted.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("position", "node")).alias("at"))
@@ -175,11 +333,11 @@ def surplus_lines(documents: DataFrame, similarity: float = 0.8, least_words: in
     placed = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = placed.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("n")).where("n > 1")
     heads = stored(placed.select("node", "root").join(heads, "root").select("node", "head"))
-    repeated = spread_join(own.drop("fp"), heads, ["node"], "inner", ["doc_id", "tie", "position"])
+    repeated = spread_join(own.drop(*marks), heads, ["node"], "inner", ["doc_id", "tie", "position"])
     return repeated.where(place != F.col("head")).select("doc_id", "tie", "position")
 
 
-def dedup_lines(documents: DataFrame, similarity: float = 0.8, least_words: int = 5) -> DataFrame:
+def dedup_lines(documents: DataFrame, similarity: float = 0.8, least_words: int = 5, search: str = "blocks") -> DataFrame:
     """The documents, all columns as given, without surplus lines; n_chars follows the text.
 
     Lines with fewer than ``least_words`` words, documents without an id, and null or empty
@@ -187,7 +345,7 @@ def dedup_lines(documents: DataFrame, similarity: float = 0.8, least_words: int
     or lose the same lines.  A document all of whose lines go keeps an empty text.  Empty input
     gives no rows.
     """
-    gone = surplus_lines(documents.select("doc_id", "text"), similarity, least_words)
+    gone = surplus_lines(documents.select("doc_id", "text"), similarity, least_words, search)
     key, tie, lost = (free_name(documents, n) for n in ("lost_of", "lost_tie", "lost"))
     gone = gone.groupBy("doc_id", "tie").agg(F.collect_set("position").alias(lost))
     gone = gone.withColumnRenamed("doc_id", key).withColumnRenamed("tie", tie)

@@ -50,7 +50,7 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document after the removal of repeated lines, with the number of lines that are left."""
-    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_dedup.distinct_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", F.size(F.split("text", "\n")).alias("n_lines"), F.length("text").alias("n_chars"), "text")
 
 
