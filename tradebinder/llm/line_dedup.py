@@ -279,8 +279,8 @@ def _verified(similarity: float, blocks: int | None):
 
 
 def distinct_lines(documents: DataFrame) -> DataFrame:
-    """``dedup_lines``, near lines found by byte n-grams."""
-    return dedup_lines(documents, search="grams")
+    """``dedup_lines`` of every line that is not blank, near lines found by byte n-grams."""
+    return dedup_lines(documents, least_words=1, search="grams")
 
 
 def block_count(lines: int) -> int:
