@@ -33,55 +33,60 @@ HEAD = struct.Struct("<7I")
 SHARD_IDS = 1 << 20
 SYMBOLS = 1 << 16
 END_ID = 1
-ROUNDS = 3
 LEAST = 16
 TASK_BYTES = 32 << 20
-_BUCKETS = 1 << 18
+_PLACES = 18
+# Pairs a round replaces: a share of the numbers that are left, and no fewer than this.
+SHARE, ROUND_PAIRS = 4, 256
 
 
 def replace_frequent(seq: np.ndarray, symbol: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """One round: the ``most`` most frequent pairs become symbol, symbol + 1, ...
 
     Returns the new sequence and the pairs (first << 16 | second) in the order of their
-    symbols.  Pairs are counted in hash buckets, of which each counts the pair that was written
-    to it last, exactly; a frequent pair that lost its bucket to another waits for the next
-    round.  Where occurrences overlap, every other one of a run is taken, from the left.
+    symbols.  All pairs are counted exactly.  Where occurrences overlap, every other one of a
+    run is taken, from the left.
     """
     pair = seq[:-1].astype(np.uint32) << np.uint32(16) | seq[1:]
-    bucket = (pair * np.uint32(0x9E3779B1)) >> np.uint32(14)
-    owner = np.zeros(_BUCKETS, np.uint32)
-    owner[bucket] = pair
-    owned = owner[bucket] == pair
-    n = np.bincount(bucket[owned], minlength=_BUCKETS)
+    each, n = np.unique(pair, return_counts=True)
     often = np.flatnonzero(n >= LEAST)
-    often = often[np.lexsort((owner[often], -n[often]))][:most]
-    chosen = np.full(_BUCKETS, -1, np.int32)
-    chosen[often] = np.arange(len(often))
-    k = np.where(owned, chosen[bucket], -1)
-    at = np.flatnonzero(k >= 0)
-    if not len(at):
+    often = often[np.argsort(-n[often], kind="stable")][:most]
+    chosen = each[np.sort(often)]
+    if not len(chosen):
         return seq, np.zeros(0, np.uint32)
+
+    def place_of(x: np.ndarray) -> np.ndarray:
+        return (x * np.uint32(0x9E3779B1)) >> np.uint32(32 - _PLACES)
+
+    # Positions that share a place with a chosen pair are looked up among the chosen ones.
+    marked = np.zeros(1 << _PLACES, bool)
+    marked[place_of(chosen)] = True
+    at = np.flatnonzero(marked[place_of(pair)])
+    k = np.searchsorted(chosen, pair[at])
+    same = chosen[np.minimum(k, len(chosen) - 1)] == pair[at]
+    at, k = at[same], k[same]
     place = np.arange(len(at))
     place -= np.maximum.accumulate(np.where(np.r_[True, np.diff(at) > 1], place, 0))
-    at = at[place % 2 == 0]
-    used, rank = np.unique(k[at], return_inverse=True)
+    at, k = at[place % 2 == 0], k[place % 2 == 0]
+    taken = np.bincount(k, minlength=len(chosen)) > 0
+    used, rank = np.flatnonzero(taken), (np.cumsum(taken) - 1)[k]
     out = seq.copy()
     out[at] = (symbol + rank).astype(np.uint16)
     keep = np.ones(len(seq), bool)
     keep[at + 1] = False
-    return out[keep], owner[often[used]]
+    return out[keep], chosen[used]
+
 
+def compress(ids: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray]:
+    """rules (n x 2) and symbols; ids and rules share the numbers below 65,536.
 
-def compress(ids: np.ndarray, base: int, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
-    """rules (n x 2) and symbols; ids and rules share the numbers below 65,536."""
+    Ends when no pair occurs ``LEAST`` times or the numbers are used up.
+    """
     if len(ids) and int(ids.max()) >= base:
         raise ValueError("id beyond the vocabulary")
     seq, rules = ids.astype(np.uint16), np.zeros((0, 2), np.uint16)
-    for left in range(rounds, 0, -1):
-        room = SYMBOLS - base - len(rules)
-        if room <= 0 or len(seq) < 2:
-            break
-        seq, pairs = replace_frequent(seq, base + len(rules), max(1, room // left))
+    while (room := SYMBOLS - base - len(rules)) > 0 and len(seq) > 1:
+        seq, pairs = replace_frequent(seq, base + len(rules), min(room, max(ROUND_PAIRS, room // SHARE)))
         if not len(pairs):
             break
         new = np.stack([pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)], axis=1).astype(np.uint16)
