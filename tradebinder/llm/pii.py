@@ -3,13 +3,14 @@
 Built-in Spark expressions only; the driver sees counts per feature combination, never text.
 
 Candidates of a kind come from two generators, the rule itself and a looser pattern that also
-takes other notations (an e-mail with " at " and " dot ", a phone number without plus, a card
-number with dots, an address with blanks around its dots); their spans may overlap.  What the
+takes other notations (an e-mail with " at " and " dot ", a phone number without plus, with or
+without brackets, a card number grouped by other marks, an address with blanks around its dots); their spans may overlap.  What the
 rule decides for its own matches is the label: a match that passes its check (octets, check
 digit, number of digits) is positive, one that fails is negative.  Trees learn from format and
-context features, all of few values, of every candidate of the corpus, as counts per feature
+context features and from the check itself, all of few values, of every candidate of the corpus, as counts per feature
 combination.  A looser span is added where its calibrated probability reaches the threshold of
-its kind, unless it overlaps a rule match that passed, or one of its own kind that failed.
+its kind, unless it overlaps a rule match that passed, or one of its own kind that failed and
+is more than a part of it.
 """
 
 from __future__ import annotations
@@ -35,14 +36,17 @@ RULES = {
 }
 # What a text must contain for a kind to be looked for.
 HINTS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
+_AT, _DOT, _LABEL = r"(?:\x20?@\x20?|\x20?[\[(](?i:at)[\])]\x20?)", r"(?:\x20?[\[(](?i:dot)[\])]\x20?|\x20(?i:dot)\x20)", "[A-Za-z0-9-]{1,63}+"
 LOOSE = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:\x20?@\x20?|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9-]{1,63}+(?:(?:\.|\x20?[\[(]dot[\])]\x20?)[A-Za-z0-9-]{1,63}+){1,8}+",
+    # A bare "at" must be followed by a name with a written dot.
+    "email": rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+(?:{_AT}{_LABEL}(?:\.|{_DOT})|\x20(?i:at)\x20{_LABEL}{_DOT}){_LABEL}(?:(?:\.|{_DOT}){_LABEL}){{0,7}}+",
     "ip": r"(?<![0-9.])[0-9]{1,3}+(?:\x20?\.\x20?[0-9]{1,3}+){3}+(?![0-9])",
-    "card": r"(?<![0-9])[0-9]{4}+(?:[.\x20/-]{1,2}+[0-9]{4}+){3}+(?![0-9])",
-    "phone": r"(?<![0-9+])(?:00\x20?[0-9]{1,3}+[\x20.-]?)?\([0-9]{2,4}+\)\x20?[0-9]{3,4}+[\x20.-][0-9]{3,4}+(?![0-9])",
+    "card": r"(?<![0-9])(?<![0-9][.\x20/-]{1,2})[0-9](?:[.\x20/-]{0,2}+[0-9]){11,18}+(?![.\x20/-]{0,2}[0-9])",
+    "phone": r"(?<![0-9+])(?<![0-9+][\x20.-])(?:00\x20?[0-9]{1,3}+[\x20.-]?|[0-9]{1,3}[\x20.-])?(?:\([0-9]{2,4}+\)\x20?|[0-9]{2,4}+[\x20.-])[0-9]{3,4}+[\x20.-][0-9]{3,4}+(?![\x20.-]?[0-9])",
 }
-FEATURES = ["kind", "digits", "breaks", "before", "after", "plus", "dots", "spaced", "length"]
-CEILING = [4, 21, 8, 5, 5, 2, 6, 2, 6]
+FEATURES = ["kind", "digits", "breaks", "before", "after", "plus", "dots", "spaced", "length", "checks"]
+CEILING = [4, 21, 8, 5, 5, 2, 6, 2, 6, 2]
+FOLDS = 5
 
 
 def prefix_sums(values: Column, part: int = 256) -> Column:
@@ -112,7 +116,7 @@ def rule_holds(kind: str, match: Column) -> Column:
         return F.lit(True)
     if kind == "ip":
         # Leading zeros do not count, so a part over 255 has four digits or is a number over 255.
-        parts = F.transform(F.split(match, r"\."), lambda p: F.regexp_replace(p, "^0+(?=[0-9])", ""))
+        parts = F.transform(F.split(F.regexp_replace(match, "[^0-9.]", ""), r"\."), lambda p: F.regexp_replace(p, "^0+(?=[0-9])", ""))
         return F.forall(parts, lambda p: (F.length(p) <= 3) & (F.left(p, F.lit(3)).cast("int") <= 255))
     if kind == "card":
         return let(digits_of(match), lambda d: F.length(d).between(12, 19) & passes_luhn(F.left(d, F.lit(19))))
@@ -134,7 +138,7 @@ def features(kind: int, s: Column) -> Column:
         F.lit(kind), F.least(count("[0-9]"), F.lit(20)), F.least(count(r"[\x20()/-]"), F.lit(7)),
         _around(s["before"]), _around(s["after"]), F.when(m.startswith("+"), 1).otherwise(0),
         F.least(count(r"\."), F.lit(5)), F.when(m.rlike(r"[\x20\[(]"), 1).otherwise(0),
-        F.least(F.floor(F.length(m) / 6), F.lit(5)),
+        F.least(F.floor(F.length(m) / 6), F.lit(5)), F.when(rule_holds(KINDS[kind], m), 1).otherwise(0),
     ]
     return F.array(*[v.cast("int") for v in values])
 
@@ -170,7 +174,8 @@ def fit_trees(found: DataFrame) -> tuple[Forest, list[float]]:
 
     The rows the driver gets are feature combinations with their counts; there are at most as
     many as the product of the ceilings and in practice a few hundred.  A kind of which no
-    such limit exists accepts nothing; no kind accepts less than 0.9.
+    such limit exists accepts nothing; no kind accepts less than 0.9.  The probabilities behind
+    the limits come from trees that were fitted without the combination.
     """
     each = found.select(F.explode("found").alias("c")).where("c.base")
     rows = each.groupBy("c.features").agg(F.count_if("c.passed").alias("yes"), F.count("*").alias("n")).collect()
@@ -179,8 +184,16 @@ def fit_trees(found: DataFrame) -> tuple[Forest, list[float]]:
     yes, n = np.array([r.yes for r in rows], float), np.array([r.n for r in rows], float)
     label, weight = np.r_[np.ones(len(rows)), np.zeros(len(rows))], np.r_[yes, n - yes]
     own = weight > 0
-    forest = fit_forest(np.r_[matrix, matrix][own], label[own], weight[own], trees=24, depth=3, rate=0.3, bins=24, least_weight=2)
-    score, thresholds = forest.probability(matrix), []
+    both = np.r_[matrix, matrix]
+
+    def fitted(chosen: np.ndarray) -> Forest:
+        return fit_forest(both[chosen], label[chosen], weight[chosen], trees=24, depth=3, rate=0.3, bins=24, least_weight=2)
+
+    fold, score, thresholds = np.arange(len(rows)) % FOLDS, np.zeros(len(rows)), []
+    for k in range(FOLDS):
+        if (fold == k).any():
+            score[fold == k] = fitted(own & (np.r_[fold, fold] != k)).probability(matrix[fold == k])
+    forest = fitted(own)
     for kind in range(len(KINDS)):
         limit, good, total = 1.01, 0.0, 0.0
         for r in sorted(np.flatnonzero(matrix[:, 0] == kind), key=lambda r: -score[r]):
@@ -210,7 +223,7 @@ def detect(documents: DataFrame) -> DataFrame:
 
     The candidates of each whole text are found once and kept in the shared folder.  Spans are
     sorted by start, then kind; rule matches always stay, looser spans must reach the threshold
-    of their kind and overlap no rule match that passed and none of their own kind that failed.
+    of their kind and overlap no rule match that passed and none of their own kind that failed, parts of them aside.
 
     Null or empty text has no spans; a null doc_id stays null; repeated rows are returned each;
     empty input gives no rows; other columns are ignored.
@@ -226,7 +239,8 @@ def detect(documents: DataFrame) -> DataFrame:
         def pick(both: Column) -> Column:
             def accepted(c: Column) -> Column:
                 def apart(b: Column) -> Column:
-                    counts = b["passed"] | (b["kind"] == c["kind"])
+                    part = (b["start"] >= c["start"]) & (b["end"] <= c["end"]) & (b["end"] - b["start"] < c["end"] - c["start"])
+                    counts = b["passed"] | ((b["kind"] == c["kind"]) & ~part)
                     return ~counts | (b["end"] <= c["start"]) | (b["start"] >= c["end"])
 
                 return F.forall(both["b"], apart) & (probability(forest, c["features"]) >= F.get(limits, c["kind"]))
