@@ -152,7 +152,7 @@ def score_toxicity(
     """doc_id, held_out, score, predicted for every row of ``documents`` (doc_id, text).
 
     Outside the held-out fold four fifths of the labelled rows train the models; at most
-    ``calibration_rows`` of the last fifth calibrate: small boosted trees turn the
+    ``calibration_rows`` ids and different rows of the last fifth calibrate: small boosted trees turn the
     length-normalised log ratios (whole text and worst windows) into a probability.
 
     Null or empty text has ratios of zero and gets a score like any other; a null doc_id is
@@ -174,9 +174,12 @@ def score_toxicity(
 
     chosen = known.where("calibrates").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(calibration_rows)
     sample = docs.join(F.broadcast(chosen.select("doc_id", "label")), "doc_id")
-    sample = sample.select(measure("text").alias("m"), "label").select("m.*", "label").toArrow().to_pandas()
+    # Equal rows count by weight, so that the rows the driver gets are bounded, not only their ids.
+    sample = sample.groupBy("doc_id", "text", "label").agg(F.count("*").alias("weight"))
+    sample = sample.orderBy(F.xxhash64("doc_id", "text", F.lit(1)), "doc_id").limit(calibration_rows)
+    sample = sample.select(measure("text").alias("m"), "label", "weight").select("m.*", "label", "weight").toArrow().to_pandas()
     curve = fit_forest(
-        sample[MEASURES].to_numpy(float), sample["label"].to_numpy(float), trees=40, depth=2, rate=0.2, bins=32
+        sample[MEASURES].to_numpy(float), sample["label"].to_numpy(float), sample["weight"].to_numpy(float), trees=40, depth=2, rate=0.2, bins=32
     )
     curve = spark.sparkContext.broadcast(curve)
 
