@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tradebinder.llm import decontaminate, line_dedup, pii, quality_rules, quality_trees, repair, simhash_dedup, toxicity, warc
+from tradebinder.llm import alignment, decontaminate, language, line_dedup, phrases, pii, quality_rules, quality_trees, repair, simhash_dedup, toxicity, warc
 from tradebinder.llm.packing import pack
 
 TOKENIZER = "word_bpe_49k.json"
@@ -62,6 +62,19 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.align_documents(table(spark, sf_dir, "documents"), *paths)
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predict_language(table(spark, sf_dir, "documents"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -69,7 +82,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     operators = (
         op1_quality_trees, op2_simhash_dedup, op3_arc_to_warc, op4_toxicity, op5_quality_rules,
-        op6_decontamination, op7_token_files, op8_line_dedup, op9_packing, op10_pii, pipeline,
+        op6_decontamination, op7_token_files, op8_line_dedup, op9_packing, op10_pii,
+        op11_alignment, op12_language, op13_phrases, pipeline,
     )
     return {f.__name__: f for f in operators}
 
@@ -113,7 +127,33 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM c
 """
 
+PHRASES = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+starts AS (SELECT lang, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, w[i + 3] AS d FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w)),
+grams AS (SELECT lang, 1 AS k, a AS g, count(*) AS f FROM starts GROUP BY ALL HAVING f >= 30
+          UNION ALL SELECT lang, 2, a || ' ' || b, count(*) AS f FROM starts WHERE b IS NOT NULL GROUP BY ALL HAVING f >= 30
+          UNION ALL SELECT lang, 3, a || ' ' || b || ' ' || c, count(*) AS f FROM starts WHERE c IS NOT NULL GROUP BY ALL HAVING f >= 30
+          UNION ALL SELECT lang, 4, a || ' ' || b || ' ' || c || ' ' || d, count(*) AS f FROM starts WHERE d IS NOT NULL GROUP BY ALL HAVING f >= 30),
+parts AS (SELECT lang, k, g, f, j, array_to_string(string_split(g, ' ')[1:j], ' ') AS x, array_to_string(string_split(g, ' ')[j + 1:k], ' ') AS y
+          FROM (SELECT *, unnest(range(1, k)) AS j FROM grams)),
+cuts AS (SELECT p.lang, p.g, p.f AS a, x.f AS l, y.f AS r, p.j, CAST(2000000 AS HUGEINT) * p.f // (x.f + y.f) AS score
+         FROM parts p JOIN grams x ON x.lang = p.lang AND x.g = p.x JOIN grams y ON y.lang = p.lang AND y.g = p.y),
+best AS (SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, j) AS place FROM cuts),
+inside AS (SELECT lang, array_to_string(string_split(g, ' ')[i:i + m - 1], ' ') AS g, max(f) AS longer
+           FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS m FROM grams)) GROUP BY ALL),
+free AS (SELECT b.lang, b.g AS phrase, b.a, b.l, b.r, b.score
+         FROM best b LEFT JOIN inside i ON b.lang = i.lang AND b.g = i.g
+         WHERE b.place = 1 AND (i.longer IS NULL OR 100 * i.longer < 80 * b.a)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM free)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle() -> dict[str, str]:
     """SQL twins where SQL can express the query; tests/llm holds the others against brute force."""
-    return {"op3_arc_to_warc": ARC_TO_WARC, "op5_quality_rules": QUALITY_RULES}
+    return {"op3_arc_to_warc": ARC_TO_WARC, "op5_quality_rules": QUALITY_RULES, "op13_phrases": PHRASES}

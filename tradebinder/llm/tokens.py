@@ -18,14 +18,14 @@ _LETTERS = frozenset(range(ord("a"), ord("z") + 1))
 _encoders: dict[str, Encoder] = {}
 
 
-def _byte_characters() -> dict[int, str]:
+def byte_characters() -> dict[int, str]:
     """The printable character that byte-level tokenizers write for each byte."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     others = (b for b in range(256) if b not in plain)
     return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
 
 
-_BYTES = _byte_characters()
+_BYTES = byte_characters()
 
 
 def encoder(path: str) -> Encoder:
