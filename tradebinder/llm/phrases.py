@@ -34,7 +34,7 @@ from tradebinder.operators.lookup import spread_join
 DEPTH = 4
 W = [f"w{k}" for k in range(1, DEPTH + 1)]
 # Bytes of text of one language whose words are numbered together.
-PORTION = 4 << 20
+PORTION = 2 << 20
 # Bits of a bitmap, 16 MB; Spark's bitmap functions cut it into buckets.
 BITS = 1 << 27
 BUCKET = 1 << 15
@@ -242,12 +242,14 @@ def counted_phrases(documents: DataFrame, least: int, budget: int) -> tuple[Data
     frequent = send(bitmap(common.select("id")))
     total = common.agg(F.sum("f")).first()[0] or 0
     heavy = [send(bitmap(common.where(F.col("f") > budget).select("id")))]
+    # Words stay behind: as Python strings they would fill the workers' memory.
+    paths = cut.select("ids", "codes")
     none = [F.lit(0).cast("long").alias(c) for c in W]
     phrases = common.select(F.col("id").alias("w1"), *none[1:], "f")
     # A prefix of all words is a leaf: its rows are summed, it needs no longer one.
     for level in range(2, DEPTH):
         columns = ", ".join(f"{c} long" for c in [*W[:level], "id", "n"])
-        longer = cut.mapInPandas(_extended(level, frequent, heavy), columns)
+        longer = paths.mapInPandas(_extended(level, frequent, heavy), columns)
         longer = stored(longer.groupBy(*W[:level], "id").agg(F.sum("n").alias("f")).where(F.col("f") >= min(least, budget + 1)))
         above = longer.where(F.col("f") > budget)
         if above.isEmpty():
@@ -257,7 +259,7 @@ def counted_phrases(documents: DataFrame, least: int, budget: int) -> tuple[Data
         known = _in_bitmap(heavy[-1])
         phrases = phrases.unionByName(longer.where((F.col("f") >= least) & known("id")).select(*W[:level], *none[level:], "f"))
     groups = max(partitions(spark), -(-2 * total // budget))
-    dealt = cut.mapInPandas(_dealt(groups, frequent, heavy), ", ".join(f"{c} long" for c in W) + ", prefix byte, n long, grp long")
+    dealt = paths.mapInPandas(_dealt(groups, frequent, heavy), ", ".join(f"{c} long" for c in W) + ", prefix byte, n long, grp long")
     columns = ", ".join(f"{c} long" for c in [*W, "f"])
     found = dealt.groupBy("grp").applyInPandas(_nodes(least), columns)
     return common, sizes, stored(phrases.unionByName(found))
