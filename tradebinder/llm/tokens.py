@@ -118,7 +118,9 @@ class Encoder:
         for n, w in enumerate(words):
             text = w.decode()
             if text.isalpha() and (text.isascii() or max(text) <= "\xff"):
-                spelled = text if text.isascii() else text.lower().encode().decode("latin-1").translate(_BYTES)
+                # Texts with names of special tokens come as they are.
+                text = text.lower()
+                spelled = text if text.isascii() else text.encode().decode("latin-1").translate(_BYTES)
                 out.append(array("I", [t.id for t in tokenize(spelled)]).tobytes())
             else:
                 others.append(n)
