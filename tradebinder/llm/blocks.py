@@ -98,30 +98,6 @@ def iterate_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield batch.iloc[starts[k] : ends[k]]
 
 
-def near_pairs(batch: pd.DataFrame, starts: np.ndarray, radius: int, blocks: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows n < m of one cell within the radius, in portions: all that are 1 apart, 2 apart, ...
-
-    A pair that meets in several cells is returned in the first of them only.
-    """
-    fp, choice, own = batch["fp"].to_numpy().astype(np.uint64), batch["choice"].to_numpy(), batch["own"].to_numpy()
-    across = batch["i"].to_numpy() != batch["j"].to_numpy()
-    bits = [np.uint64(m % (1 << 64)) for m in masks(radius, blocks)]
-    ends = np.repeat(np.r_[starts[1:], len(batch)], np.diff(np.r_[starts, len(batch)]))
-    rows = np.arange(len(batch))
-    apart = 1
-    while len(rows := rows[rows + apart < ends[rows]]):
-        other = rows + apart
-        differ = fp[rows] ^ fp[other]
-        near = np.flatnonzero(np.bitwise_count(differ) <= radius)
-        n, m, differ = rows[near], other[near], differ[near]
-        first = ~across[n] | (own[n] != own[m])
-        for k, mask in enumerate(bits):
-            first &= ((differ & mask) != 0) | (choice[n] <= k)
-        if first.any():
-            yield n[first], m[first]
-        apart += 1
-
-
 class Groups:
     """Union-find over the rows of one cell."""
 

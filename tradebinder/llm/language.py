@@ -188,13 +188,17 @@ def fit_network(rows: DataFrame, train_rows: int, windows_per_text: int, most_la
     Each of the ``most_languages`` most frequent languages gives the same number of rows, chosen
     by hash, ``train_rows`` together; what reaches the driver is bounded by these parameters.
     """
-    spoken = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
-    languages = sorted(r.lang for r in spoken.collect())
+    spoken = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()}
+    languages = sorted(spoken)
     if not languages:
         return Network(*[np.zeros((0, 0), np.float32)] * 5, [])
     share = max(1, train_rows // len(languages))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", "text"), "doc_id")
-    chosen = rows.where(F.col("lang").isin(languages)).withColumn("place", F.row_number().over(order)).where(F.col("place") <= share)
+    # About twice the rows that are needed, by hash, so that no task has to sort a whole language.
+    pick = F.xxhash64("doc_id", "text")
+    rate = F.create_map(*[F.lit(x) for lang in languages for x in (lang, min(1.0, (2 * share + 20) / spoken[lang]))])
+    some = rows.where(F.pmod(pick, F.lit(1 << 20)) < F.try_element_at(rate, F.col("lang")) * (1 << 20))
+    order = Window.partitionBy("lang").orderBy(pick, "doc_id")
+    chosen = some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= share)
     table = chosen.select("lang", "text").mapInPandas(_training_windows(windows_per_text), "lang string, bytes binary").toArrow()
     # The order that rows arrive in depends on the cluster; the sample's own order does not.
     pairs = sorted(zip(table["lang"].to_pylist(), table["bytes"].to_pylist(), strict=True))

@@ -1,13 +1,19 @@
-"""Near-duplicate lines across documents: shared keys, edit similarity.
+"""Near-duplicate lines across documents: shared keys, SimHash, edit similarity.
 
-Two lines are compared if they share a key.  ``search="grams"`` takes the keys from the bytes
-of the line: each is a pair of smallest hashes of its byte n-grams, so that short lines and
-lines without blanks are met like others.  ``search="blocks"`` takes blocks of a 64-bit SimHash
-of the words (at most three bits apart), which misses most lines that differ in a whole word.
+A normalised line has a 128-bit SimHash of its byte 8-grams (3-grams where it is short) and
+eight keys, each made of two smallest hashes of such grams (one where it is very short).  Lines that share a key meet in a cell; of these, lines of
+fitting length whose SimHashes are at most ``RADIUS`` bits apart (any, where they are short) are
+compared by edit distance, under the first key they share only.  In a cell, lines that are connected already are not
+compared again, and edit distances are computed for many pairs at a time.
+
+The keys stand where blocks of the SimHash would: of the pairs with edit similarity 0.8, 90 %
+are within 30 and 99 % within 40 of the 128 bits, but a pigeonhole over 40 bits leaves blocks of
+three bits, which nearly all lines share.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,135 +22,135 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradebinder.llm.blocks import CELL, Groups, cells, dealt_cells, near_pairs, whole_cells
+from tradebinder.llm.blocks import Groups
 from tradebinder.llm.common import BROADCAST_ROWS, free_name, partitions, stored
 from tradebinder.llm.components import connected_components
 from tradebinder.operators.lookup import spread_join
 
-RADIUS = 3
+# SimHash bits (of 128) that similar lines may differ in; 99.7 % of them differ in 43 or fewer.
+# Lines below so many characters have too few grams for it, and are cheap to compare.
+RADIUS, PRINTED = 45, 64
 CHUNK = 2048
-# Keys of a line, in two sets: lines from so many bytes on are cut into long grams, shorter ones
-# into short grams.  The limits are so far apart that lines similar to 0.8 agree in one of them.
-BANDS = ((32, 5), (50, 3))
-LONG_GRAM, SHORT_GRAM = 8, 3
-KEYS = [f"k{n}" for n in range(sum(n for _, n in BANDS))]
-LETTERS = ["low_letters", "high_letters"]
+CELL = ["part", "i", "j"]
+# Keys of a line, in two sets: below so many bytes a key is one smallest hash, from there on two;
+# from the second limit on the grams are long.  The limits of the sets are so far apart that
+# lines similar to 0.8 agree in the kind of one of them.
+BANDS = ((16, 32, 5), (24, 50, 3))
+# Bytes of a gram, and whether one hash is a key.
+KINDS = ((3, True), (3, False), (8, False))
+KEYS = [f"k{n}" for n in range(sum(n for *_, n in BANDS))]
+MARKS = {"size": "int", "low": "long", "high": "long", **dict.fromkeys(KEYS, "int")}
 # Bytes of lines whose grams are hashed at a time.
-GRAM_BYTES = 1 << 20
-_ODD = [xxhash.xxh64_intdigest(b"gram", n) | 1 for n in range(2 * len(KEYS))]
-
-
-def normalized_words(line: str) -> list[str]:
-    """Lower-cased words between the six ASCII blanks."""
-    return [w.decode() for w in line.lower().encode().split()]
-
-
-def line_fingerprint(words: list[bytes]) -> int:
-    """Signed SimHash over the different words of a line.
-
-    Each counts once: a mark that stands between all words must not outvote them.
-    """
-    digest = xxhash.xxh64_intdigest
-    parts = set(words)
-    hashes = np.fromiter((digest(x, 7) for x in parts), np.uint64, len(parts))
-    if not len(hashes):
-        return 0
-    ones = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int32)
-    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<i8")[0])
-
-
-def _lines(least_words: int):
-    """doc_id, tie, position, node (hash of the words) and fp of every line with enough words."""
-
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            doc, position, node, fp = [], [], [], []
-            for k, text in enumerate(batch["text"]):
-                for at, line in enumerate(text.lower().encode().split(b"\n")):
-                    words = line.split()
-                    if len(words) >= least_words:
-                        doc.append(k)
-                        position.append(at)
-                        node.append(xxhash.xxh64_intdigest(b" ".join(words)))
-                        fp.append(line_fingerprint(words))
-            rows = batch[["doc_id", "tie"]].iloc[doc].reset_index(drop=True)
-            rows["position"] = np.array(position, np.int32)
-            rows["node"], rows["fp"] = np.array(node, np.uint64).astype(np.int64), np.array(fp, np.int64)
-            yield rows
+GRAM_BYTES = 1 << 17
+# Lines of up to so many characters are compared many at a time; from LONG on, anchors come first.
+SHORT_LINE, LONG_LINE = 1024, 8192
+# Pairs that are compared at a time, and how many it takes to be quicker than one by one.
+TOGETHER, FEW = 1024, 256
+_ODD = [np.uint32(xxhash.xxh32_intdigest(b"gram", n) | 1) for n in range(2 * len(KEYS))]
+# The lowest bit of each of eight counters of a byte.
+_ONES = np.uint64(0x0101010101010101)
 
-    return split
 
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
 
-def gram_keys(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of normalised lines, none of them empty: 32-bit keys (one row per key), characters, letters.
 
-    Letters are the counts, up to 255, of the characters' first bytes in 16 classes, as two 64-bit numbers.
-    """
+def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of normalised lines, none of them empty: 32-bit keys (one row per key), characters, SimHashes (two 64-bit columns)."""
+    size = np.fromiter(map(len, lines), np.int64, len(lines))
+    data = np.frombuffer(b"".join(lines), np.uint8)
+    chars = np.add.reduceat((data & 0xC0) != 0x80, np.cumsum(size) - size, dtype=np.int64)
+    keys, prints = np.zeros((len(KEYS), len(lines)), np.uint32), np.zeros((len(lines), 2), np.int64)
+    at, before = 0, np.full(len(lines), -1)
+    for *limits, bands in BANDS:
+        kind = sum((size >= limit).astype(int) for limit in limits)
+        own = slice(at, at + bands) if at else slice(None)
+        for number in range(len(limits) + 1):
+            # In the second set only the lines between the limits differ from the first.
+            rows = np.flatnonzero((kind == number) & (before != number))
+            if len(rows):
+                found, own_prints = _marks([lines[k] for k in rows], *KINDS[number])
+                keys[own, rows] = found[own]
+                if not at:
+                    prints[rows] = own_prints
+        at, before = at + bands, kind
+    return keys.view(np.int32), chars, prints
+
+
+def _marks(lines: list[bytes], gram: int, single: bool) -> tuple[np.ndarray, np.ndarray]:
+    """All keys and both SimHashes from grams of one size; zeros fill a line that is shorter."""
+    lines = [line.ljust(gram, b"\0") for line in lines]
     size = np.fromiter(map(len, lines), np.int64, len(lines))
-    # Blanks behind each line fill the grams of a line that is shorter than a gram.
-    data = np.frombuffer(b"".join(line + bytes(LONG_GRAM) for line in lines), np.uint8)
-    starts = np.r_[0, np.cumsum(size + LONG_GRAM)[:-1]]
-    chars = np.add.reduceat((data & 0xC0) != 0x80, starts, dtype=np.int64) - LONG_GRAM
-    line = np.repeat(np.arange(len(lines)), size + LONG_GRAM)
-    counted = ((data & 0xC0) != 0x80) & (data > 0)
-    letters = np.bincount(line[counted] * 16 + (data[counted] & 15), minlength=16 * len(lines))
-    letters = np.minimum(letters, 255).astype(np.uint8).view("<i8").reshape(-1, 2)
-    data = np.r_[data, np.zeros(LONG_GRAM, np.uint8)].astype(np.uint64)
-    two = data[:-1] | data[1:] << np.uint64(8)
-    three = two[:-1] | data[2:] << np.uint64(16)
-    four = two[:-2] | two[2:] << np.uint64(16)
-    eight = four[:-4] | four[4:] << np.uint64(32)
-    at = np.arange(len(line)) - starts[line]
-    out = []
-    for limit, bands in BANDS:
-        long = size >= limit
-        gram = np.where(long[line], eight[: len(line)], three[: len(line)])
-        n = np.maximum(size - np.where(long, LONG_GRAM, SHORT_GRAM) + 1, 1)
-        gram = gram[at < n[line]]
-        gram = (gram ^ gram >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-        gram = (gram ^ gram >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-        gram ^= gram >> np.uint64(31)
-        first = np.r_[0, np.cumsum(n)[:-1]]
-        for _ in range(bands):
-            least = [np.minimum.reduceat(gram * np.uint64(_ODD[2 * len(out) + k]), first) for k in (0, 1)]
-            # Short and long grams never share a key.
-            key = (least[0] ^ least[1] >> np.uint64(32) ^ long.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-            out.append((key >> np.uint64(32) ^ least[1]).astype(np.uint32))
-    return np.stack(out).view(np.int32), chars, letters
-
-
-def _gram_lines(least_words: int):
-    """doc_id, tie, position, node, size (characters), letters and keys of every line with enough words."""
-
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            doc, position, node, lines, held = [], [], [], [], 0
-
-            def part() -> pd.DataFrame:
-                rows = batch[["doc_id", "tie"]].iloc[doc].reset_index(drop=True)  # noqa: B023
-                keys, chars, letters = gram_keys(lines)  # noqa: B023
-                rows["position"], rows["node"] = np.array(position, np.int32), np.array(node, np.uint64).astype(np.int64)  # noqa: B023
-                rows["size"] = chars.astype(np.int32)
-                rows[LETTERS] = letters
-                return pd.concat([rows, pd.DataFrame(dict(zip(KEYS, keys, strict=True)))], axis=1)
-
-            for k, text in enumerate(batch["text"]):
-                for at, line in enumerate(text.lower().encode().split(b"\n")):
-                    words = line.split()
-                    if len(words) >= max(1, least_words):
-                        line = b" ".join(words)
-                        doc.append(k)
-                        position.append(at)
-                        node.append(xxhash.xxh64_intdigest(line))
-                        lines.append(line)
-                        held += len(line)
-                        if held >= GRAM_BYTES:
-                            yield part()
-                            doc, position, node, lines, held = [], [], [], [], 0
-            if lines:
-                yield part()
-
-    return split
+    data = b"".join(lines) + bytes(8)
+    n = int(size.sum()) - gram + 1
+    hashes = np.ndarray((n,), "<u8", data, strides=(1,)) & np.uint64((1 << 8 * gram) - 1)
+    hashes = _mixed(hashes)
+    first = np.cumsum(size) - size
+    # Every second run is the grams that reach into the next line.
+    runs = np.stack([first, first + size - gram + 1], axis=1).reshape(-1)[:-1]
+    half = (hashes >> np.uint64(32)).astype(np.uint32)
+    keys = []
+    for k in range(0, len(_ODD), 2):
+        # Products with an odd number are permutations of the 32-bit hashes.
+        a, b = (np.minimum.reduceat(half * odd, runs)[::2].astype(np.uint64) for odd in _ODD[k : k + 2])
+        b = np.zeros_like(b) if single else b
+        # Lines of different kinds never share a key.
+        keys.append((_mixed((a << np.uint64(32) | b) ^ np.uint64(2 * gram + single)) >> np.uint64(32)).astype(np.uint32))
+    second = (hashes ^ hashes >> np.uint64(29)) * np.uint64(0x9E3779B97F4A7C15)
+    return np.stack(keys), np.stack([_majority(h, first, size - gram + 1) for h in (hashes, second)], axis=1)
+
+
+def _majority(hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Signed 64-bit SimHash of each run of n hashes from ``first`` on: the bits set in over half of them.
+
+    The last run ends with the hashes.
+    """
+    # A counter of one byte holds 255; longer runs are added up in blocks.
+    blocks = -(-n // 255)
+    head = np.cumsum(blocks) - blocks
+    begin = np.repeat(first, blocks) + 255 * (np.arange(blocks.sum()) - np.repeat(head, blocks))
+    runs = np.stack([begin, np.minimum(begin + 255, np.repeat(first + n, blocks))], axis=1).reshape(-1)[:-1]
+    # Counter b of lane k counts bit 8 * b + k.
+    lanes = [np.add.reduceat(hashes >> np.uint64(k) & _ONES, runs)[::2] for k in range(8)]
+    ones = np.stack(lanes, axis=1).view(np.uint8).reshape(-1, 8, 8).transpose(0, 2, 1).reshape(-1, 64)
+    ones = np.add.reduceat(ones, head, axis=0, dtype=np.int32)
+    return np.packbits(2 * ones > n[:, None], axis=1, bitorder="little").view("<i8").reshape(-1)
+
+
+def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """doc_id, tie, position, node (hash of the normalised line) and marks of every line that is not blank."""
+    for batch in batches:
+        doc, position, node, lines, held = [], [], [], [], 0
+
+        def part() -> pd.DataFrame:
+            rows = batch[["doc_id", "tie"]].iloc[doc].reset_index(drop=True)  # noqa: B023
+            keys, chars, prints = sketches(lines)  # noqa: B023
+            rows["position"], rows["node"] = np.array(position, np.int32), np.array(node, np.uint64).astype(np.int64)  # noqa: B023
+            rows["size"], rows["low"], rows["high"] = chars.astype(np.int32), prints[:, 0], prints[:, 1]
+            return pd.concat([rows, pd.DataFrame(dict(zip(KEYS, keys, strict=True)))], axis=1)
+
+        for k, text in enumerate(batch["text"]):
+            for at, line in enumerate(text.lower().encode().split(b"\n")):
+                words = line.split()
+                if words:
+                    line = b" ".join(words)
+                    doc.append(k)
+                    position.append(at)
+                    node.append(xxhash.xxh64_intdigest(line))
+                    lines.append(line)
+                    held += len(line)
+                    if held >= GRAM_BYTES:
+                        yield part()
+                        doc, position, node, lines, held = [], [], [], [], 0
+        if lines:
+            yield part()
+
+
+def normalized(line: str) -> str:
+    """Lower-cased words between the six ASCII blanks, one blank apart."""
+    return b" ".join(line.lower().encode().split()).decode()
 
 
 def edit_distance(a: str, b: str, most: int) -> int:
@@ -189,165 +195,280 @@ def edit_distance(a: str, b: str, most: int) -> int:
     return min(distance, most + 1)
 
 
+def edit_distances(pairs: list[tuple[str, str]]) -> np.ndarray:
+    """Levenshtein distances of many pairs of similar size, column by column over all of them.
+
+    The bit vectors of ``edit_distance`` in words of 64 bits; what a word carries over goes to
+    the next.
+    """
+    rows = np.arange(len(pairs))
+    shorter, longer = zip(*(sorted(p, key=len) for p in pairs), strict=True)
+    sizes = [np.array([len(t) for t in side]) for side in (shorter, longer)]
+    points = [np.frombuffer("".join(side).encode("utf-32-le", "surrogatepass"), "<u4") for side in (shorter, longer)]
+    number = np.zeros(int(max(p.max(initial=0) for p in points)) + 1, np.int64)
+    for p in points:
+        number[p] = 1
+    alphabet = int(number.sum()) + 1
+    number = np.cumsum(number) * number
+    table = []
+    for p, size in zip(points, sizes, strict=True):
+        cells = np.zeros((len(pairs), int(size.max(initial=0))), np.int64)
+        cells[np.arange(cells.shape[1]) < size[:, None]] = number[p]
+        table.append(cells)
+    pattern, text = table
+    words = max(1, -(-pattern.shape[1] // 64))
+    equal = np.zeros((len(pairs), alphabet, words), np.uint64)
+    for i in range(pattern.shape[1]):
+        equal[rows, pattern[:, i], i >> 6] |= np.uint64(1 << (i & 63))
+    equal[:, 0] = 0
+    distance = sizes[0].copy()
+    up = np.full((words, len(pairs)), ~np.uint64(0))
+    down = np.zeros((words, len(pairs)), np.uint64)
+    last_word, last_bit = np.maximum(sizes[0] - 1, 0) >> 6, (np.maximum(sizes[0] - 1, 0) & 63).astype(np.uint64)
+    in_last = [np.flatnonzero(last_word == w) for w in range(words)]
+    one, top = np.uint64(1), np.uint64(63)
+    for j in range(text.shape[1]):
+        eq_all = equal[rows, text[:, j]]
+        plus_in, minus_in = np.full(len(pairs), one), np.zeros(len(pairs), np.uint64)
+        active = j < sizes[1]
+        for w in range(words):
+            pv, mv = up[w], down[w]
+            eq = eq_all[:, w]
+            either = eq | mv
+            eq = eq | minus_in
+            across = (((eq & pv) + pv) ^ pv) | eq
+            plus, minus = mv | ~(across | pv), pv & across
+            own = in_last[w]
+            if len(own):
+                bit = last_bit[own]
+                step = (plus[own] >> bit & one).astype(np.int64) - (minus[own] >> bit & one).astype(np.int64)
+                distance[own] += step * active[own]
+            plus_out, minus_out = plus >> top, minus >> top
+            plus, minus = plus << one | plus_in, minus << one | minus_in
+            up[w], down[w] = minus | ~(either | plus), plus & either
+            plus_in, minus_in = plus_out, minus_out
+    return np.where(sizes[0] == 0, sizes[1], distance)
+
+
+def anchored_distance(a: str, b: str, gram: int = 32) -> int:
+    """No less than the edit distance: the parts between common rare grams, taken in order, are edited one by one."""
+    place = {}
+    for k in range(len(b) - gram + 1):
+        g = b[k : k + gram]
+        place[g] = -1 if g in place else k
+    seen: dict[str, int] = {}
+    for k in range(len(a) - gram + 1):
+        g = a[k : k + gram]
+        if place.get(g, -1) >= 0:
+            seen[g] = -1 if g in seen else k
+    met = [(k, place[g]) for g, k in seen.items() if k >= 0]
+    # The longest run of anchors that rise in both.
+    ends, at, before = [], [], []
+    for n, (_, y) in enumerate(met):
+        k = bisect_left(ends, y)
+        ends[k:], at[k:] = [y], [*at[k : k], n]
+        before.append(at[k - 1] if k else -1)
+    chain, n = [], at[-1] if at else -1
+    while n >= 0:
+        chain.append(met[n])
+        n = before[n]
+    total = x = y = 0
+    for i, j in [*reversed(chain), (len(a), len(b))]:
+        if i >= x and j >= y:
+            left, right = a[x:i], b[y:j]
+            small = max(len(left), len(right)) <= SHORT_LINE
+            total += edit_distance(left, right, len(left) + len(right)) if small else max(len(left), len(right))
+            x, y = min(i + gram, len(a)), min(j + gram, len(b))
+    return total
+
+
 def similar(a: str, b: str, similarity: float) -> bool:
     """Whether 1 - distance / longer length reaches the similarity."""
     longer = max(len(a), len(b))
-    most = int((1 - similarity) * longer + 1e-9)
+    most = allowed(longer, similarity)
+    if longer >= LONG_LINE and anchored_distance(a, b) <= most:
+        return True
     return edit_distance(a, b, most) <= most
 
 
+def allowed(longer: int, similarity: float) -> int:
+    """Edits that leave a line of this length similar."""
+    return int((1 - similarity) * longer + 1e-9)
+
+
+def similar_pairs(pairs: list[tuple[str, str]], similarity: float) -> np.ndarray:
+    """``similar`` of many pairs."""
+    out = np.zeros(len(pairs), bool)
+    longer = np.array([max(len(a), len(b)) for a, b in pairs], np.int64)
+    order = np.argsort(longer, kind="stable")
+    short = order[longer[order] <= SHORT_LINE]
+    for at in range(0, len(short), TOGETHER):
+        part = short[at : at + TOGETHER]
+        if len(part) < FEW:
+            out[part] = [similar(*pairs[k], similarity) for k in part]
+            continue
+        most = np.array([allowed(n, similarity) for n in longer[part].tolist()])
+        out[part] = edit_distances([pairs[k] for k in part]) <= most
+    for k in order[len(short) :]:
+        out[k] = similar(*pairs[k], similarity)
+    return out
+
+
+def whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, np.ndarray]]:
+    """Batches that hold whole cells only, each with the row at which every cell starts."""
+    rest = None
+    for batch in batches:
+        if rest is not None:
+            batch = pd.concat([rest, batch], ignore_index=True)
+        if not len(batch):
+            continue
+        change = np.zeros(len(batch), bool)
+        change[0] = True
+        for column in CELL:
+            values = batch[column].to_numpy()
+            change[1:] |= values[1:] != values[:-1]
+        starts = np.flatnonzero(change)
+        rest = batch.iloc[starts[-1] :]
+        if len(starts) > 1:
+            yield batch.iloc[: starts[-1]].reset_index(drop=True), starts[:-1]
+    if rest is not None and len(rest):
+        yield rest.reset_index(drop=True), np.zeros(1, np.int64)
+
+
 def sharing_pairs(batch: pd.DataFrame, starts: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Rows n < m of one cell whose lengths allow the similarity, in portions: all that are 1 apart, 2 apart, ..."""
+    """Rows n < m of one cell that may be similar, in portions: all that are 1 apart, 2 apart, ...
+
+    Their lengths and SimHashes allow it, and the cell's key is the first they share.
+    """
     size, own = batch["size"].to_numpy(), batch["own"].to_numpy()
-    letters = np.ascontiguousarray(batch[LETTERS].to_numpy(np.int64)).view(np.uint8).astype(np.int16)
+    prints = [batch[c].to_numpy().view(np.uint64) for c in ("low", "high")]
+    keys = batch[KEYS].to_numpy()
+    choice = batch["part"].to_numpy() >> 32
     across = batch["i"].to_numpy() != batch["j"].to_numpy()
     ends = np.repeat(np.r_[starts[1:], len(batch)], np.diff(np.r_[starts, len(batch)]))
     rows = np.arange(len(batch))
     apart = 1
     while len(rows := rows[rows + apart < ends[rows]]):
         n, m = rows, rows + apart
-        longer = np.maximum(size[n], size[m])
-        near = np.abs(size[n] - size[m]) <= (1 - similarity) * longer + 1e-9
+        near = np.abs(size[n] - size[m]) <= (1 - similarity) * np.maximum(size[n], size[m]) + 1e-9
         near &= ~across[n] | (own[n] != own[m])
         n, m = n[near], m[near]
-        may = may_be_similar(letters, n, m, (1 - similarity) * longer[near])
-        if may.any():
-            yield n[may], m[may]
+        differ = sum(np.bitwise_count(p[n] ^ p[m]).astype(np.int16) for p in prints)
+        near = (differ <= RADIUS) | (np.maximum(size[n], size[m]) < PRINTED)
+        n, m = n[near], m[near]
+        if len(n):
+            first = (keys[n] == keys[m]).argmax(axis=1) == choice[n]
+            if first.any():
+                yield n[first], m[first]
         apart += 1
 
 
-def _pairs(similarity: float, blocks: int | None):
-    """Blocks of SimHash bits, or without them shared keys."""
-    if blocks is None:
-        return lambda batch, starts: sharing_pairs(batch, starts, similarity)
-    return lambda batch, starts: near_pairs(batch, starts, RADIUS, blocks)
-
-
-def _active(similarity: float, blocks: int | None):
-    pairs_of = _pairs(similarity, blocks)
-
+def _active(similarity: float):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The rows that have a near line to be compared with in their cell."""
+        """The rows that have a line to be compared with in their cell."""
         for batch, starts in whole_cells(batches):
             near = np.zeros(len(batch), bool)
-            for n, m in pairs_of(batch, starts):
+            for n, m in sharing_pairs(batch, starts, similarity):
                 near[n] = near[m] = True
             if near.any():
-                yield batch.loc[near, [*CELL, "own", "node", *(["size", *LETTERS] if blocks is None else ["fp"])]]
+                yield batch.loc[near]
 
     return search
 
 
-def letter_counts(texts: list[str]) -> np.ndarray:
-    """Counts of the characters of each text, in 64 classes."""
-    out = np.zeros((len(texts), 64), np.int32)
-    for k, text in enumerate(texts):
-        out[k] = np.bincount(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4") & 63, minlength=64)
-    return out
-
-
-def may_be_similar(counts: np.ndarray, n: np.ndarray, m: np.ndarray, most: np.ndarray) -> np.ndarray:
-    """False only where the letters alone need more than ``most`` edits."""
-    out = np.zeros(len(n), bool)
-    for at in range(0, len(n), 1 << 14):
-        part = slice(at, at + (1 << 14))
-        differ = counts[n[part]] - counts[m[part]]
-        more = np.maximum(differ, 0).sum(axis=1)
-        out[part] = np.maximum(more, more - differ.sum(axis=1)) <= most[part] + 1e-9
-    return out
-
-
-def _verified(similarity: float, blocks: int | None):
-    pairs_of = _pairs(similarity, blocks)
-
+def _verified(similarity: float):
     def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A spanning forest of each cell's links; rows already connected are not compared."""
         for batch, starts in whole_cells(batches):
-            nodes, texts = batch["node"].to_numpy(), [" ".join(normalized_words(x)) for x in batch["line"]]
-            counts, sizes = letter_counts(texts), np.fromiter(map(len, texts), np.int64, len(texts))
+            nodes, texts = batch["node"].to_numpy(), [normalized(x) for x in batch["line"]]
             groups, links = Groups(len(batch)), []
-            for n, m in pairs_of(batch, starts):
-                may = may_be_similar(counts, n, m, (1 - similarity) * np.maximum(sizes[n], sizes[m]))
-                for x, y in zip(n[may].tolist(), m[may].tolist(), strict=True):
-                    if groups.root(x) != groups.root(y) and similar(texts[x], texts[y], similarity):
-                        groups.join(x, y)
-                        links.append((nodes[x], nodes[y]))
+            waiting: list[tuple[int, int]] = []
+
+            def compare() -> None:
+                apart = [(x, y) for x, y in waiting if groups.root(x) != groups.root(y)]  # noqa: B023
+                waiting.clear()  # noqa: B023
+                found = similar_pairs([(texts[x], texts[y]) for x, y in apart], similarity)  # noqa: B023
+                for (x, y), same in zip(apart, found.tolist(), strict=True):
+                    if same and groups.join(x, y):  # noqa: B023
+                        links.append((nodes[x], nodes[y]))  # noqa: B023
+
+            for n, m in sharing_pairs(batch, starts, similarity):
+                waiting += zip(n.tolist(), m.tolist(), strict=True)
+                if len(waiting) >= TOGETHER:
+                    compare()
+            compare()
             if links:
                 yield pd.DataFrame(links, columns=["a", "b"])
 
     return verify
 
 
-def distinct_lines(documents: DataFrame) -> DataFrame:
-    """``dedup_lines`` of every line that is not blank, near lines found by byte n-grams."""
-    return dedup_lines(documents, least_words=1, search="grams")
-
+def cells(found: DataFrame) -> DataFrame:
+    """node, part (number and value of a shared key), own, i, j of every line and key that it shares.
 
-def block_count(lines: int) -> int:
-    """Blocks of the 64 bits such that unrelated lines seldom share a key.
-
-    The pairs that are found do not depend on it: 4 blocks give keys of 16 bits, 5 of 25, 6 of 32.
+    Keys of one line go in the same join that looks up how many lines have a key.  A key of more
+    than ``CHUNK`` lines is dealt over chunks, every two of which meet in a cell of their own.
     """
-    return 4 if lines < 1 << 22 else 5 if lines < 1 << 31 else 6
+    key = F.array(*[F.lit(n << 32) + F.col(c).cast("long").bitwiseAND(F.lit(0xFFFFFFFF)) for n, c in enumerate(KEYS)])
+    dealt = found.select("node", F.explode(key).alias("part"))
+    shared = stored(dealt.groupBy("part").agg(F.count("*").alias("n")).where("n > 1"))
+    if shared.count() <= BROADCAST_ROWS:
+        met = dealt.join(F.broadcast(shared), "part")
+    else:
+        met = spread_join(dealt, shared, ["part"], "inner", ["node"])
+    chunks = F.ceil(F.col("n") / F.lit(CHUNK)).cast("int")
+    met = met.withColumn("own", F.pmod(F.xxhash64("node"), chunks).cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), chunks - 1)))
+    return met.select("node", "part", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
 
 
-def surplus_lines(documents: DataFrame, similarity: float = 0.8, least_words: int = 5, search: str = "blocks") -> DataFrame:
+def surplus_lines(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
     """doc_id, tie (hash of the text) and position of every line that repeats another, exactly or nearly.
 
-    Lines are linked if their words are equal, or if they share a key (``search="grams"``) or
-    their SimHashes differ in at most three bits (``"blocks"``) and their edit similarity is at
-    least ``similarity``.  Of each connected group the line with the smallest
-    (doc_id, tie, position) is not returned.
+    Lines are linked if they are equal when normalised, or share a key, have SimHashes within
+    the radius and an edit similarity of at least ``similarity``.  Of each connected group the
+    line with the smallest (doc_id, tie, position) is not returned.
     """
-    if search not in ("grams", "blocks"):
-        raise ValueError("search must be grams or blocks")
-    grams = search == "grams"
     spark = documents.sparkSession
     docs = documents.where("doc_id is not null and text is not null")
     docs = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
-    marks = {"size": "int", **dict.fromkeys(LETTERS, "long"), **dict.fromkeys(KEYS, "int")} if grams else {"fp": "long"}
-    split = _gram_lines(least_words) if grams else _lines(least_words)
-    typed = ", ".join(f"{c} {t}" for c, t in marks.items())
-    own = stored(docs.mapInPandas(split, f"doc_id long, tie long, position int, node long, {typed}"))
+    typed = ", ".join(f"{c} {t}" for c, t in MARKS.items())
+    own = stored(docs.mapInPandas(_lines, f"doc_id long, tie long, position int, node long, {typed}"))
     place = F.struct("doc_id", "tie", "position")
-    found = own.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), *[F.min(c).alias(c) for c in marks])
+    found = own.groupBy("node").agg(F.min(place).alias("first"), F.count("*").alias("n"), *[F.min(c).alias(c) for c in MARKS])
     found = stored(found)
-    if grams:
-        blocks, kept = None, "size int, low_letters long, high_letters long"
-        keys = F.array(*[F.struct(F.lit(n).alias("choice"), F.col(c).cast("long").alias("part")) for n, c in enumerate(KEYS)])
-        dealt = dealt_cells(found.select("node", "size", *LETTERS, *KEYS), keys, CHUNK).drop(*KEYS)
-    else:
-        blocks, kept = block_count(found.count()), "fp long"
-        dealt = cells(found.select("node", "fp"), RADIUS, blocks, CHUNK)
-    cell = f"choice int, part long, i int, j int, own int, node long, {kept}"
-    active = stored(dealt.mapInPandas(_active(similarity, blocks), cell))
-    # Only lines with a near one meet their texts again, each from one document.
-    wanted = active.select("node").distinct().join(found, "node").select("node", "first.*")
-    wanted = wanted.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("position", "node")).alias("at"))
-    wanted = stored(wanted)
-    side = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-    lines = docs.join(side, ["doc_id", "tie"]).select(F.explode("at").alias("at"), F.split("text", "\n").alias("lines"))
+
+    def gathered(rows: DataFrame) -> DataFrame:
+        return rows.repartition(partitions(spark), *CELL).sortWithinPartitions(*CELL, "node")
+
+    met = cells(found.select("node", *KEYS)).join(found.select("node", *MARKS), "node")
+    cell = f"node long, part long, own int, i int, j int, {typed}"
+    active = stored(gathered(met).select("node", "part", "own", "i", "j", *MARKS).mapInPandas(_active(similarity), cell))
+    # Only lines that have to be compared meet their texts again, each from one document.
+    wanted = active.select("node").distinct().join(found.select("node", "first.*"), "node")
+    wanted = stored(wanted.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("position", "node")).alias("at")))
+    lines = docs.join(wanted, ["doc_id", "tie"]).select(F.explode("at").alias("at"), F.split("text", "\n").alias("lines"))
     lines = lines.select("at.node", F.get("lines", F.col("at.position")).alias("line")).dropDuplicates(["node"])
-    met = active.join(lines, "node").repartition(partitions(spark), *CELL).sortWithinPartitions(*CELL, "node")
-    roots = connected_components(met.mapInPandas(_verified(similarity, blocks), "a long, b long"))
-    placed = found.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = connected_components(gathered(active.join(lines, "node")).mapInPandas(_verified(similarity), "a long, b long"))
+    placed = found.select("node", "first", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = placed.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("n")).where("n > 1")
     heads = stored(placed.select("node", "root").join(heads, "root").select("node", "head"))
-    repeated = spread_join(own.drop(*marks), heads, ["node"], "inner", ["doc_id", "tie", "position"])
+    repeated = spread_join(own.drop(*MARKS), heads, ["node"], "inner", ["doc_id", "tie", "position"])
     return repeated.where(place != F.col("head")).select("doc_id", "tie", "position")
 
 
-def dedup_lines(documents: DataFrame, similarity: float = 0.8, least_words: int = 5, search: str = "blocks") -> DataFrame:
+def distinct_lines(documents: DataFrame, similarity: float = 0.8, emptied: bool = True) -> DataFrame:
     """The documents, all columns as given, without surplus lines; n_chars follows the text.
 
-    Lines with fewer than ``least_words`` words, documents without an id, and null or empty
-    texts stay as they are.  Rows that repeat a doc_id and its text are one document and keep
-    or lose the same lines.  A document all of whose lines go keeps an empty text.  Empty input
-    gives no rows.
+    Blank lines, documents without an id, and null or empty texts stay as they are.  Rows that
+    repeat a doc_id and its text are one document and keep or lose the same lines.  A document
+    of which only blank lines are left stays with them if ``emptied``, else it goes.  A line of
+    any length is compared whole.  Empty input gives no rows.
     """
-    gone = surplus_lines(documents.select("doc_id", "text"), similarity, least_words, search)
+    gone = surplus_lines(documents.select("doc_id", "text"), similarity)
     key, tie, lost = (free_name(documents, n) for n in ("lost_of", "lost_tie", "lost"))
-    gone = gone.groupBy("doc_id", "tie").agg(F.collect_set("position").alias(lost))
+    # Written, so that the join below is one of plain tables and a hot document can be split.
+    gone = stored(gone.groupBy("doc_id", "tie").agg(F.collect_set("position").alias(lost)))
     gone = gone.withColumnRenamed("doc_id", key).withColumnRenamed("tie", tie)
     same = (documents["doc_id"] == gone[key]) & (F.xxhash64(documents["text"]) == gone[tie])
     met = documents.join(gone, same, "left").drop(key, tie)
@@ -357,4 +478,7 @@ def dedup_lines(documents: DataFrame, similarity: float = 0.8, least_words: int
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
         new["n_chars"] = F.when(F.col(lost).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(kind)
-    return met.select(*[new[c].alias(c) if c in new else F.col(c) for c in documents.columns])
+    out = met.select(*[new[c].alias(c) if c in new else F.col(c) for c in documents.columns], lost)
+    if not emptied:
+        out = out.where(F.col(lost).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return out.drop(lost)
