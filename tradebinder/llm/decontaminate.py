@@ -10,6 +10,8 @@ cannot reach it.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 from math import log
 
@@ -18,6 +20,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tradebinder.llm.common import stored
+from tradebinder.operators.lookup import spread_join
+
 K1, B = 1.2, 0.75
 BLOCK = 32
 SHINGLE = 5
@@ -61,22 +66,39 @@ def overlap(part: list[bytes], words: list[bytes]) -> float:
     return len(wanted & there) / len(wanted)
 
 
+@dataclass
+class Statistics:
+    """Of all items: their number, their mean length, and in how many each word is (the words of an index at least)."""
+
+    items: int
+    mean: float
+    df: dict[bytes, int]
+
+
+def statistics(items: list[tuple[int, str]]) -> Statistics:
+    """Statistics of items that are all at hand."""
+    words = [w for w in (plain_words(t) for _, t in items) if w]
+    return Statistics(len(words), sum(map(len, words)) / max(1, len(words)), Counter(t for w in words for t in set(w)))
+
+
 class Index:
-    """Postings of one class of items of similar length, in item order, in blocks with their maxima."""
+    """Postings of one class of items of similar length, in item order, in blocks with their maxima.
+
+    Weights come from the statistics of all items, so an item scores the same in any index.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], threshold: float) -> None:
+    def __init__(self, items: list[tuple[int, str]], threshold: float, known: Statistics) -> None:
         self.threshold = threshold
         self.ids = [i for i, _ in items]
         self.parts = [question_and_answer(t) for _, t in items]
         words = [plain_words(t) for _, t in items]
         self.longest = max(map(len, words))
-        mean = sum(map(len, words)) / len(words)
-        df = Counter(t for w in words for t in set(w))
+        df = known.df
         postings: dict[bytes, list[tuple[int, float]]] = {}
         for n, w in enumerate(words):
-            norm = K1 * (1 - B + B * len(w) / mean)
+            norm = K1 * (1 - B + B * len(w) / known.mean)
             impact = {
-                t: log(1 + (len(words) - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + norm)
+                t: log(1 + (known.items - df[t] + 0.5) / (df[t] + 0.5)) * c * (K1 + 1) / (c + norm)
                 for t, c in Counter(w).items()
             }
             total = sum(impact.values())
@@ -174,14 +196,15 @@ class Index:
                 found.append((item, score))
 
 
-def length_classes(items: list[tuple[int, str]], threshold: float) -> list[Index]:
+def length_classes(items: list[tuple[int, str]], threshold: float, known: Statistics | None = None) -> list[Index]:
     """One index per power of two of item length, so that windows suit the items."""
+    known = known or statistics(items)
     classes: dict[int, list[tuple[int, str]]] = {}
     for item_id, text in items:
         n = len(plain_words(text))
         if n:
             classes.setdefault((n - 1).bit_length(), []).append((item_id, text))
-    return [Index(sorted(own, key=lambda x: x[0]), threshold) for _, own in sorted(classes.items())]
+    return [Index(sorted(own, key=lambda x: x[0]), threshold, known) for _, own in sorted(classes.items())]
 
 
 def passages_found(text: str | None, indexes: list[Index], verify: float) -> list[dict]:
@@ -216,16 +239,33 @@ def _finder(indexes, verify: float):
     return find
 
 
+def _terms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Every item with its length and its different words."""
+    for batch in batches:
+        words = [plain_words(t) for t in batch["text"]]
+        yield batch.assign(size=[len(w) for w in words], terms=[sorted(set(w)) for w in words])
+
+
 def _finders(benchmark: DataFrame, threshold: float, verify: float):
-    """A column function per share of the items; a share fits one index."""
+    """A column function per share of the items; a share fits one index.
+
+    How many items there are, how long, and how many hold each word is counted over all of them
+    in Spark; a share comes with the counts of its own words.
+    """
     spark = benchmark.sparkSession
     items = benchmark.where("item_id is not null and text is not null")
     items = items.select(F.col("item_id").cast("long"), "text").distinct()
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    shares = max(1, -(-int(total) // INDEX_BYTES))
+    items = stored(items.mapInPandas(_terms, "item_id long, text string, size int, terms array<binary>").where("size > 0"))
+    total = items.agg(F.sum(F.octet_length("text")), F.count("*"), F.avg("size")).first()
+    shares = max(1, -(-int(total[0] or 0) // INDEX_BYTES))
+    single = items.select("item_id", "text", F.explode("terms").alias("term"))
+    df = stored(single.groupBy("term").agg(F.count("*").alias("df")))
+    met = spread_join(single, df, ["term"], "inner", ["item_id", "text"]).groupBy("item_id", "text")
+    items = stored(met.agg(F.collect_list(F.struct("term", "df")).alias("terms")))
     for share in range(shares):
-        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shares)) == share)
-        indexes = spark.sparkContext.broadcast(length_classes([(r.item_id, r.text) for r in own.collect()], threshold))
+        own = items.where(F.pmod(F.xxhash64("item_id"), F.lit(shares)) == share).collect()
+        known = Statistics(total[1], total[2] or 1.0, {bytes(t.term): t.df for r in own for t in r.terms})
+        indexes = spark.sparkContext.broadcast(length_classes([(r.item_id, r.text) for r in own], threshold, known))
         yield _finder(indexes, verify)
 
 
@@ -238,8 +278,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float =
     its answer.
 
     Null or empty texts and items without a word match nothing; items without an id are
-    ignored, items that share an id are one item if their texts agree; a null doc_id stays
-    null; repeated rows are reported each; other columns are ignored.
+    ignored, items that share an id are one item if their texts agree, otherwise each is looked
+    for and the best score counts; a null doc_id stays null; repeated rows are reported each;
+    other columns are ignored.
     """
     docs, out = documents.select(F.col("doc_id").cast("long"), "text"), None
     for find in _finders(benchmark, threshold, verify):
@@ -249,7 +290,10 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, threshold: float =
 
 
 def keep_clean(documents: DataFrame, benchmark: DataFrame, threshold: float = 0.6, verify: float = 0.8) -> DataFrame:
-    """The documents, all columns as given, that hold no item."""
+    """The documents, all columns as given, that hold no item.
+
+    Null and empty texts hold none; a null doc_id, repeated rows and other columns stay as they are.
+    """
     for find in _finders(benchmark, threshold, verify):
         documents = documents.where(F.size(find("text")) == 0)
     return documents

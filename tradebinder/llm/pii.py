@@ -4,13 +4,16 @@ Built-in Spark expressions only; the driver sees counts per feature combination,
 
 Candidates of a kind come from two generators, the rule itself and a looser pattern that also
 takes other notations (an e-mail with " at " and " dot ", a phone number without plus, with or
-without brackets, a card number grouped by other marks, an address with blanks around its dots); their spans may overlap.  What the
-rule decides for its own matches is the label: a match that passes its check (octets, check
-digit, number of digits) is positive, one that fails is negative.  Trees learn from format and
-context features and from the check itself, all of few values, of every candidate of the corpus, as counts per feature
-combination.  A looser span is added where its calibrated probability reaches the threshold of
-its kind, unless it overlaps a rule match that passed, or one of its own kind that failed and
-is more than a part of it.
+without brackets, a card number grouped by other marks, an address with blanks around its
+dots); their spans may overlap.  The check of a kind (octets, check digit, number of digits, a
+top domain of letters) labels the rule's own matches.  It is no feature: trees learn from format
+and context (marks, lengths, the characters around, the word before) how often what looks like
+this passes.  Looser candidates inside a match of another kind are negatives, too.
+
+A looser span is added if it passes its check, its probability reaches the threshold of its kind,
+and it overlaps no rule match that passed, nor one of its own kind that failed and is more than
+a part of it.  The threshold is calibrated on feature combinations that the trees did not see:
+what fails tells how much passes by chance.
 """
 
 from __future__ import annotations
@@ -44,8 +47,17 @@ LOOSE = {
     "card": r"(?<![0-9])(?<![0-9][.\x20/-]{1,2})[0-9](?:[.\x20/-]{0,2}+[0-9]){11,18}+(?![.\x20/-]{0,2}[0-9])",
     "phone": r"(?<![0-9+])(?<![0-9+][\x20.-])(?:00\x20?[0-9]{1,3}+[\x20.-]?|[0-9]{1,3}[\x20.-])?(?:\([0-9]{2,4}+\)\x20?|[0-9]{2,4}+[\x20.-])[0-9]{3,4}+[\x20.-][0-9]{3,4}+(?![\x20.-]?[0-9])",
 }
-FEATURES = ["kind", "digits", "breaks", "before", "after", "plus", "dots", "spaced", "length", "checks"]
-CEILING = [4, 21, 8, 5, 5, 2, 6, 2, 6, 2]
+# Words that announce a kind, and words that announce other numbers (fixed values).
+CUES = {
+    "email": "mail email contact write reply", "ip": "ip host server address node", "card": "card visa mastercard pay paid payment credit",
+    "phone": "call phone tel telephone fax mobile dial",
+}
+OTHER_CUES = "ref reference order id no nr number invoice isbn version item part code serial"
+FEATURES = ["kind", "digits", "breaks", "before", "after", "plus", "dots", "spaced", "length", "cue"]
+CEILING = [4, 21, 8, 5, 5, 2, 6, 2, 6, 4]
+# What passes a check by chance, to what fails it: one check digit in ten fits, one part of three
+# digits in four is at most 255; where nothing is known, as much.
+CHANCE = {"email": 1.0, "ip": 1 / 3, "card": 1 / 9, "phone": 1.0}
 FOLDS = 5
 
 
@@ -70,7 +82,7 @@ def prefix_sums(values: Column, part: int = 256) -> Column:
 
 
 def spans(text: Column, pattern: str) -> Column:
-    """Array of (start, end, match, before, after) of all matches, in code points.
+    """Array of (start, end, match, before, after, word) of all matches, in code points; word is the one before.
 
     The pieces between the matches and the matches add up to the text, so their lengths give
     the places.
@@ -87,6 +99,7 @@ def spans(text: Column, pattern: str) -> Column:
                 return F.struct(
                     start.alias("start"), (start + F.length(x)).alias("end"), x.alias("match"),
                     F.right(F.get(p, i), F.lit(1)).alias("before"), F.left(F.get(p, i + 1), F.lit(1)).alias("after"),
+                    F.lower(F.regexp_extract(F.right(F.get(p, i), F.lit(24)), r"(\p{L}+)[^\p{L}]{0,3}$", 1)).alias("word"),
                 )
 
             return F.transform(m, one)
@@ -123,6 +136,11 @@ def rule_holds(kind: str, match: Column) -> Column:
     return F.length(digits_of(match)).between(9, 15)
 
 
+def looks_genuine(kind: str, match: Column) -> Column:
+    """The check; of an e-mail, which the rule takes as it is, whether it ends in letters."""
+    return match.rlike("[A-Za-z]{2}$") if kind == "email" else rule_holds(kind, match)
+
+
 def _around(c: Column) -> Column:
     """0 nothing, 1 blank, 2 letter, 3 digit, 4 anything else."""
     return (
@@ -135,16 +153,24 @@ def features(kind: int, s: Column) -> Column:
     m = s["match"]
     count = lambda cls: F.length(m) - F.length(F.regexp_replace(m, cls, ""))
     values = [
-        F.lit(kind), F.least(count("[0-9]"), F.lit(20)), F.least(count(r"[\x20()/-]"), F.lit(7)),
+        F.lit(kind), F.least(count("[0-9]"), F.lit(20)), F.least(count(r"[\x20()/.-]"), F.lit(7)),
         _around(s["before"]), _around(s["after"]), F.when(m.startswith("+"), 1).otherwise(0),
         F.least(count(r"\."), F.lit(5)), F.when(m.rlike(r"[\x20\[(]"), 1).otherwise(0),
-        F.least(F.floor(F.length(m) / 6), F.lit(5)), F.when(rule_holds(KINDS[kind], m), 1).otherwise(0),
+        F.least(F.floor(F.length(m) / 6), F.lit(5)), _cue(KINDS[kind], s["word"]),
     ]
     return F.array(*[v.cast("int") for v in values])
 
 
+def _cue(kind: str, word: Column) -> Column:
+    """0 a word that announces other numbers, 1 no word, 2 any other, 3 one that announces the kind."""
+    return F.when(word.isin(OTHER_CUES.split()), 0).when(word == "", 1).when(word.isin(CUES[kind].split()), 3).otherwise(2)
+
+
 def candidates(text: Column) -> Column:
-    """Array of (kind, start, end, base, passed, features): rule matches, then looser ones."""
+    """Array of (kind, start, end, base, passed, genuine, features): rule matches, then looser ones.
+
+    passed is the rule's verdict on its own matches, genuine the check of either.
+    """
     found = [_candidates(text, n, base) for n in range(len(KINDS)) for base in (True, False)]
     return F.concat(*found)
 
@@ -157,7 +183,7 @@ def _candidates(text: Column, number: int, base: bool) -> Column:
         passed = rule_holds(kind, s["match"]) if base else F.lit(None).cast("boolean")
         return F.struct(
             F.lit(number).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), F.lit(base).alias("base"),
-            passed.alias("passed"), features(number, s).alias("features"),
+            passed.alias("passed"), looks_genuine(kind, s["match"]).alias("genuine"), features(number, s).alias("features"),
         )
 
     # Texts without the rule's mark, or without any match, are not cut into pieces.
@@ -166,22 +192,34 @@ def _candidates(text: Column, number: int, base: bool) -> Column:
     return F.coalesce(F.when(there, F.transform(spans(text, pattern), one)), F.array().cast(_CANDIDATE))
 
 
-_CANDIDATE = "array<struct<kind: int, start: bigint, end: bigint, base: boolean, passed: boolean, features: array<int>>>"
+_CANDIDATE = "array<struct<kind: int, start: bigint, end: bigint, base: boolean, passed: boolean, genuine: boolean, features: array<int>>>"
+
+
+def labelled(found: Column) -> Column:
+    """Array of (features, label): rule matches by their check, looser candidates that touch a match of another kind as negatives."""
 
+    def lone(c: Column) -> Column:
+        touches = lambda b: b["passed"] & (b["kind"] != c["kind"]) & (b["end"] > c["start"]) & (b["start"] < c["end"])
+        return ~c["base"] & F.exists(found, lambda b: b["base"] & touches(b))
 
-def fit_trees(found: DataFrame) -> tuple[Forest, list[float]]:
-    """Trees, and per kind the least probability down to which 95 of 100 rule matches pass.
+    row = lambda c, label: F.struct(c["features"].alias("features"), label.alias("label"))
+    own = F.transform(F.filter(found, lambda c: c["base"]), lambda c: row(c, c["genuine"]))
+    return F.concat(own, F.transform(F.filter(found, lone), lambda c: row(c, F.lit(False))))
 
-    The rows the driver gets are feature combinations with their counts; there are at most as
-    many as the product of the ceilings and in practice a few hundred.  A kind of which no
-    such limit exists accepts nothing; no kind accepts less than 0.9.  The probabilities behind
-    the limits come from trees that were fitted without the combination.
+
+def fit_trees(found: DataFrame) -> tuple[list[Forest], list[float]]:
+    """Trees of each kind, and per kind the least probability down to which 95 of 100 that pass do so not by chance.
+
+    The rows the driver gets are feature combinations with their counts in each of a few folds
+    of the documents; there are at most as many as the product of the ceilings and in practice
+    a few hundred.  The probabilities behind the limits come from trees that were fitted without
+    the fold.  A kind of which no such limit exists accepts nothing.
     """
-    each = found.select(F.explode("found").alias("c")).where("c.base")
-    rows = each.groupBy("c.features").agg(F.count_if("c.passed").alias("yes"), F.count("*").alias("n")).collect()
-    rows.sort(key=lambda r: r.features)
+    each = found.select(F.pmod(F.xxhash64("doc_id"), F.lit(FOLDS)).alias("fold"), F.explode(labelled(F.col("found"))).alias("c"))
+    rows = each.groupBy("c.features", "fold").agg(F.count_if("c.label").alias("yes"), F.count("*").alias("n")).collect()
+    rows.sort(key=lambda r: (r.features, r.fold))
     matrix = np.array([r.features for r in rows], float).reshape(len(rows), len(FEATURES))
-    yes, n = np.array([r.yes for r in rows], float), np.array([r.n for r in rows], float)
+    yes, n, fold = (np.array([r[c] for r in rows], float) for c in ("yes", "n", "fold"))
     label, weight = np.r_[np.ones(len(rows)), np.zeros(len(rows))], np.r_[yes, n - yes]
     own = weight > 0
     both = np.r_[matrix, matrix]
@@ -189,23 +227,28 @@ def fit_trees(found: DataFrame) -> tuple[Forest, list[float]]:
     def fitted(chosen: np.ndarray) -> Forest:
         return fit_forest(both[chosen], label[chosen], weight[chosen], trees=24, depth=3, rate=0.3, bins=24, least_weight=2)
 
-    fold, score, thresholds = np.arange(len(rows)) % FOLDS, np.zeros(len(rows)), []
-    for k in range(FOLDS):
-        if (fold == k).any():
-            score[fold == k] = fitted(own & (np.r_[fold, fold] != k)).probability(matrix[fold == k])
-    forest = fitted(own)
-    for kind in range(len(KINDS)):
+    score, forests, thresholds = np.zeros(len(rows)), [], []
+    for number, kind in enumerate(KINDS):
+        mine = matrix[:, 0] == number
+        train = own & np.r_[mine, mine]
+        for k in range(FOLDS):
+            if (held := mine & (fold == k)).any():
+                score[held] = fitted(train & (np.r_[fold, fold] != k)).probability(matrix[held])
+        forests.append(fitted(train))
+        order = sorted(np.flatnonzero(matrix[:, 0] == number), key=lambda r: -score[r])
         limit, good, total = 1.01, 0.0, 0.0
-        for r in sorted(np.flatnonzero(matrix[:, 0] == kind), key=lambda r: -score[r]):
-            good, total = good + yes[r], total + n[r]
-            if good >= 0.95 * total:
-                limit = float(score[r])
-        thresholds.append(max(limit, 0.9))
-    return forest, thresholds
+        for r, below in zip(order, [*order[1:], None], strict=False):
+            good, total = good + yes[r] - CHANCE[kind] * (n[r] - yes[r]), total + yes[r]
+            if total and good >= 0.95 * total:
+                # Half way to what no longer passes.
+                limit = float(score[r] + (score[below] if below is not None else 0)) / 2
+        # Never so low that what passes there is as likely chance as not.
+        thresholds.append(max(limit, 2 * CHANCE[kind] / (1 + 2 * CHANCE[kind])))
+    return forests, thresholds
 
 
 def probability(forest: Forest, f: Column) -> Column:
-    """The forest as one expression: a sum of nested conditions."""
+    """A forest as one expression: a sum of nested conditions."""
 
     def node(at: int) -> Column:
         k = int(forest.feature[at])
@@ -230,9 +273,12 @@ def detect(documents: DataFrame) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     found = stored(documents.select(F.col("doc_id").cast("long"), let(text, candidates).alias("found")))
-    forest, thresholds = fit_trees(found)
+    forests, thresholds = fit_trees(found)
     limits = F.array(*[F.lit(t) for t in thresholds])
 
+    def of_kind(c: Column) -> Column:
+        return F.coalesce(*[F.when(c["kind"] == n, probability(f, c["features"])) for n, f in enumerate(forests)])
+
     def chosen(every: Column) -> Column:
         rules, loose = F.filter(every, lambda c: c["base"]), F.filter(every, lambda c: ~c["base"])
 
@@ -243,7 +289,7 @@ def detect(documents: DataFrame) -> DataFrame:
                     counts = b["passed"] | ((b["kind"] == c["kind"]) & ~part)
                     return ~counts | (b["end"] <= c["start"]) | (b["start"] >= c["end"])
 
-                return F.forall(both["b"], apart) & (probability(forest, c["features"]) >= F.get(limits, c["kind"]))
+                return c["genuine"] & F.forall(both["b"], apart) & (of_kind(c) >= F.get(limits, c["kind"]))
 
             passed = F.filter(both["b"], lambda b: b["passed"])
             slim = lambda c: F.struct(c["start"].alias("start"), c["kind"].alias("kind"), c["end"].alias("end"), c["base"].alias("base"))
