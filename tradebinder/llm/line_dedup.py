@@ -1,10 +1,11 @@
 """Near-duplicate lines across documents: shared keys, SimHash, edit similarity.
 
 A normalised line has a 128-bit SimHash of its byte 8-grams (3-grams where it is short) and
-eight keys, each made of two smallest hashes of such grams (one where it is very short).  Lines that share a key meet in a cell; of these, lines of
-fitting length whose SimHashes are at most ``RADIUS`` bits apart (any, where they are short) are
-compared by edit distance, under the first key they share only.  In a cell, lines that are connected already are not
-compared again, and edit distances are computed for many pairs at a time.
+eight keys, each made of two smallest hashes of such grams (one where it is very short).  Lines
+that share a key meet in a cell; of these, lines of fitting length whose SimHashes are close may
+be similar, under the first key they share only.  In a cell a spanning forest of such pairs is
+compared by edit distance first; only where one of its pairs is not similar, all pairs that are
+not connected by then are compared, too.  So a group of n copies costs about n comparisons.
 
 The keys stand where blocks of the SimHash would: of the pairs with edit similarity 0.8, 90 %
 are within 30 and 99 % within 40 of the 128 bits, but a pigeonhole over 40 bits leaves blocks of
@@ -27,9 +28,11 @@ from tradebinder.llm.common import BROADCAST_ROWS, free_name, partitions, stored
 from tradebinder.llm.components import connected_components
 from tradebinder.operators.lookup import spread_join
 
-# SimHash bits (of 128) that similar lines may differ in; 99.7 % of them differ in 43 or fewer.
-# Lines below so many characters have too few grams for it, and are cheap to compare.
-RADIUS, PRINTED = 45, 64
+# SimHash bits (of 128) that lines from so many characters on may differ in and be compared: 99 %
+# of the similar ones differ in fewer, 95 % of the others in more.
+RADIUS = ((0, 128), (32, 54), (64, 45))
+# Pairs that are so many bits closer are the first to connect a group.
+CLOSER = 16
 CHUNK = 2048
 CELL = ["part", "i", "j"]
 # Keys of a line, in two sets: below so many bytes a key is one smallest hash, from there on two;
@@ -41,11 +44,11 @@ KINDS = ((3, True), (3, False), (8, False))
 KEYS = [f"k{n}" for n in range(sum(n for *_, n in BANDS))]
 MARKS = {"size": "int", "low": "long", "high": "long", **dict.fromkeys(KEYS, "int")}
 # Bytes of lines whose grams are hashed at a time.
-GRAM_BYTES = 1 << 17
-# Lines of up to so many characters are compared many at a time; from LONG on, anchors come first.
-SHORT_LINE, LONG_LINE = 1024, 8192
+GRAM_BYTES = 1 << 18
+# From so many characters on, the parts between anchors are compared first.
+LONG_LINE = 640
 # Pairs that are compared at a time, and how many it takes to be quicker than one by one.
-TOGETHER, FEW = 1024, 256
+TOGETHER, FEW = 512, 256
 _ODD = [np.uint32(xxhash.xxh32_intdigest(b"gram", n) | 1) for n in range(2 * len(KEYS))]
 # The lowest bit of each of eight counters of a byte.
 _ONES = np.uint64(0x0101010101010101)
@@ -58,7 +61,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of normalised lines, none of them empty: 32-bit keys (one row per key), characters, SimHashes (two 64-bit columns)."""
+    """Of normalised lines, none of them empty: 32-bit keys (one row per key), characters, SimHashes (two rows of 64 bits)."""
     size = np.fromiter(map(len, lines), np.int64, len(lines))
     data = np.frombuffer(b"".join(lines), np.uint8)
     chars = np.add.reduceat((data & 0xC0) != 0x80, np.cumsum(size) - size, dtype=np.int64)
@@ -76,7 +79,7 @@ def sketches(lines: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 if not at:
                     prints[rows] = own_prints
         at, before = at + bands, kind
-    return keys.view(np.int32), chars, prints
+    return keys.view(np.int32), chars, prints.T
 
 
 def _marks(lines: list[bytes], gram: int, single: bool) -> tuple[np.ndarray, np.ndarray]:
@@ -122,29 +125,40 @@ def _majority(hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarra
 def _lines(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """doc_id, tie, position, node (hash of the normalised line) and marks of every line that is not blank."""
     for batch in batches:
-        doc, position, node, lines, held = [], [], [], [], 0
+        doc, position, lines, found, held = [], [], [], [], 0
+
+        def sketched() -> None:
+            nodes = np.fromiter((xxhash.xxh64_intdigest(x) for x in lines), np.uint64, len(lines))  # noqa: B023
+            found.append((nodes, *sketches(lines)))  # noqa: B023
+            lines.clear()  # noqa: B023
 
         def part() -> pd.DataFrame:
-            rows = batch[["doc_id", "tie"]].iloc[doc].reset_index(drop=True)  # noqa: B023
-            keys, chars, prints = sketches(lines)  # noqa: B023
-            rows["position"], rows["node"] = np.array(position, np.int32), np.array(node, np.uint64).astype(np.int64)  # noqa: B023
-            rows["size"], rows["low"], rows["high"] = chars.astype(np.int32), prints[:, 0], prints[:, 1]
-            return pd.concat([rows, pd.DataFrame(dict(zip(KEYS, keys, strict=True)))], axis=1)
+            nodes, keys, chars, prints = (np.concatenate(x, axis=-1) for x in zip(*found, strict=True))  # noqa: B023
+            marks = {"size": chars.astype(np.int32), "low": prints[0], "high": prints[1], **dict(zip(KEYS, keys, strict=True))}
+            own = np.array(doc)  # noqa: B023
+            out = {c: batch[c].to_numpy()[own] for c in ("doc_id", "tie")}  # noqa: B023
+            return pd.DataFrame({**out, "position": np.array(position, np.int32), "node": nodes.view(np.int64), **marks})  # noqa: B023
 
         for k, text in enumerate(batch["text"]):
             for at, line in enumerate(text.lower().encode().split(b"\n")):
-                words = line.split()
-                if words:
-                    line = b" ".join(words)
+                line = b" ".join(line.split())
+                if line:
                     doc.append(k)
                     position.append(at)
-                    node.append(xxhash.xxh64_intdigest(line))
                     lines.append(line)
                     held += len(line)
                     if held >= GRAM_BYTES:
-                        yield part()
-                        doc, position, node, lines, held = [], [], [], [], 0
+                        sketched()
+                        held = 0
+            if len(found) >= 32:
+                if lines:
+                    sketched()
+                    held = 0
+                yield part()
+                doc, position, found = [], [], []
         if lines:
+            sketched()
+        if found:
             yield part()
 
 
@@ -153,24 +167,27 @@ def normalized(line: str) -> str:
     return b" ".join(line.lower().encode().split()).decode()
 
 
+def trimmed(a: str, b: str) -> tuple[str, str]:
+    """Both without their common start and end, which no edit needs to touch."""
+    for _ in range(2):
+        low, high = 0, min(len(a), len(b))
+        while low < high:
+            middle = (low + high + 1) // 2
+            if a[low:middle] == b[low:middle]:
+                low = middle
+            else:
+                high = middle - 1
+        a, b = a[low:][::-1], b[low:][::-1]
+    return a, b
+
+
 def edit_distance(a: str, b: str, most: int) -> int:
     """Levenshtein distance, or most + 1 if it is larger (Myers' bit vectors in one integer)."""
     if a == b:
         return 0
     if abs(len(a) - len(b)) > most:
         return most + 1
-    # A common start and end change nothing.
-    n = 0
-    shorter = min(len(a), len(b))
-    while n < shorter and a[n] == b[n]:
-        n += 1
-    a, b = a[n:], b[n:]
-    n = 0
-    shorter = min(len(a), len(b))
-    while n < shorter and a[-1 - n] == b[-1 - n]:
-        n += 1
-    if n:
-        a, b = a[:-n], b[:-n]
+    a, b = trimmed(a, b)
     if not a or not b:
         return min(len(a) + len(b), most + 1)
     if len(a) < len(b):
@@ -276,7 +293,7 @@ def anchored_distance(a: str, b: str, gram: int = 32) -> int:
     for i, j in [*reversed(chain), (len(a), len(b))]:
         if i >= x and j >= y:
             left, right = a[x:i], b[y:j]
-            small = max(len(left), len(right)) <= SHORT_LINE
+            small = max(len(left), len(right)) <= 2 * LONG_LINE
             total += edit_distance(left, right, len(left) + len(right)) if small else max(len(left), len(right))
             x, y = min(i + gram, len(a)), min(j + gram, len(b))
     return total
@@ -284,9 +301,11 @@ def anchored_distance(a: str, b: str, gram: int = 32) -> int:
 
 def similar(a: str, b: str, similarity: float) -> bool:
     """Whether 1 - distance / longer length reaches the similarity."""
-    longer = max(len(a), len(b))
-    most = allowed(longer, similarity)
-    if longer >= LONG_LINE and anchored_distance(a, b) <= most:
+    most = allowed(max(len(a), len(b)), similarity)
+    if abs(len(a) - len(b)) > most:
+        return False
+    a, b = trimmed(a, b)
+    if max(len(a), len(b)) <= most or max(len(a), len(b)) >= LONG_LINE and anchored_distance(a, b) <= most:
         return True
     return edit_distance(a, b, most) <= most
 
@@ -299,18 +318,21 @@ def allowed(longer: int, similarity: float) -> int:
 def similar_pairs(pairs: list[tuple[str, str]], similarity: float) -> np.ndarray:
     """``similar`` of many pairs."""
     out = np.zeros(len(pairs), bool)
-    longer = np.array([max(len(a), len(b)) for a, b in pairs], np.int64)
+    most = np.array([allowed(max(len(a), len(b)), similarity) for a, b in pairs], np.int64)
+    cores = [trimmed(a, b) for a, b in pairs]
+    longer = np.array([max(len(a), len(b)) for a, b in cores], np.int64)
+    out[longer <= most] = True
     order = np.argsort(longer, kind="stable")
-    short = order[longer[order] <= SHORT_LINE]
+    order = order[~out[order]]
+    short = order[longer[order] < LONG_LINE]
     for at in range(0, len(short), TOGETHER):
         part = short[at : at + TOGETHER]
-        if len(part) < FEW:
-            out[part] = [similar(*pairs[k], similarity) for k in part]
-            continue
-        most = np.array([allowed(n, similarity) for n in longer[part].tolist()])
-        out[part] = edit_distances([pairs[k] for k in part]) <= most
+        if len(part) >= FEW:
+            out[part] = edit_distances([cores[k] for k in part]) <= most[part]
+        else:
+            out[part] = [edit_distance(*cores[k], most[k]) <= most[k] for k in part]
     for k in order[len(short) :]:
-        out[k] = similar(*pairs[k], similarity)
+        out[k] = anchored_distance(*cores[k]) <= most[k] or edit_distance(*cores[k], most[k]) <= most[k]
     return out
 
 
@@ -335,7 +357,7 @@ def whole_cells(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame,
         yield rest.reset_index(drop=True), np.zeros(1, np.int64)
 
 
-def sharing_pairs(batch: pd.DataFrame, starts: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def sharing_pairs(batch: pd.DataFrame, starts: np.ndarray, similarity: float, closer: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Rows n < m of one cell that may be similar, in portions: all that are 1 apart, 2 apart, ...
 
     Their lengths and SimHashes allow it, and the cell's key is the first they share.
@@ -346,15 +368,17 @@ def sharing_pairs(batch: pd.DataFrame, starts: np.ndarray, similarity: float) ->
     choice = batch["part"].to_numpy() >> 32
     across = batch["i"].to_numpy() != batch["j"].to_numpy()
     ends = np.repeat(np.r_[starts[1:], len(batch)], np.diff(np.r_[starts, len(batch)]))
+    limits = np.array([limit for _, limit in RADIUS]) - closer
     rows = np.arange(len(batch))
     apart = 1
     while len(rows := rows[rows + apart < ends[rows]]):
         n, m = rows, rows + apart
-        near = np.abs(size[n] - size[m]) <= (1 - similarity) * np.maximum(size[n], size[m]) + 1e-9
+        longer = np.maximum(size[n], size[m])
+        near = np.abs(size[n] - size[m]) <= (1 - similarity) * longer + 1e-9
         near &= ~across[n] | (own[n] != own[m])
-        n, m = n[near], m[near]
+        n, m, longer = n[near], m[near], longer[near]
         differ = sum(np.bitwise_count(p[n] ^ p[m]).astype(np.int16) for p in prints)
-        near = (differ <= RADIUS) | (np.maximum(size[n], size[m]) < PRINTED)
+        near = differ <= limits[np.searchsorted([least for least, _ in RADIUS], longer, "right") - 1]
         n, m = n[near], m[near]
         if len(n):
             first = (keys[n] == keys[m]).argmax(axis=1) == choice[n]
@@ -363,44 +387,42 @@ def sharing_pairs(batch: pd.DataFrame, starts: np.ndarray, similarity: float) ->
         apart += 1
 
 
-def _active(similarity: float):
+def _forest(similarity: float):
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The rows that have a line to be compared with in their cell."""
+        """Per cell a spanning forest of the pairs that may be similar, the closer ones first."""
         for batch, starts in whole_cells(batches):
-            near = np.zeros(len(batch), bool)
-            for n, m in sharing_pairs(batch, starts, similarity):
-                near[n] = near[m] = True
-            if near.any():
-                yield batch.loc[near]
+            nodes, groups, links = batch["node"].to_numpy(), Groups(len(batch)), []
+            for closer in (CLOSER, 0):
+                for n, m in sharing_pairs(batch, starts, similarity, closer):
+                    links += [(x, y) for x, y in zip(n.tolist(), m.tolist(), strict=True) if groups.join(x, y)]
+            if links:
+                left, right = np.array(links).T
+                yield batch[CELL].iloc[left].assign(a=nodes[left], b=nodes[right])
 
     return search
 
 
-def _verified(similarity: float):
-    def verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """A spanning forest of each cell's links; rows already connected are not compared."""
+def _remaining(similarity: float):
+    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The pairs that may be similar and are not connected yet."""
         for batch, starts in whole_cells(batches):
-            nodes, texts = batch["node"].to_numpy(), [normalized(x) for x in batch["line"]]
-            groups, links = Groups(len(batch)), []
-            waiting: list[tuple[int, int]] = []
-
-            def compare() -> None:
-                apart = [(x, y) for x, y in waiting if groups.root(x) != groups.root(y)]  # noqa: B023
-                waiting.clear()  # noqa: B023
-                found = similar_pairs([(texts[x], texts[y]) for x, y in apart], similarity)  # noqa: B023
-                for (x, y), same in zip(apart, found.tolist(), strict=True):
-                    if same and groups.join(x, y):  # noqa: B023
-                        links.append((nodes[x], nodes[y]))  # noqa: B023
-
+            nodes, root = batch["node"].to_numpy(), batch["root"].to_numpy()
             for n, m in sharing_pairs(batch, starts, similarity):
-                waiting += zip(n.tolist(), m.tolist(), strict=True)
-                if len(waiting) >= TOGETHER:
-                    compare()
-            compare()
-            if links:
-                yield pd.DataFrame(links, columns=["a", "b"])
+                apart = root[n] != root[m]
+                if apart.any():
+                    yield pd.DataFrame({"a": nodes[n[apart]], "b": nodes[m[apart]]})
+
+    return search
+
+
+def _checked(similarity: float):
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The pairs whose edit similarity is high enough."""
+        for batch in batches:
+            texts = zip(map(normalized, batch["left"]), map(normalized, batch["right"]), strict=True)
+            yield batch.loc[similar_pairs(list(texts), similarity), ["a", "b"]]
 
-    return verify
+    return check
 
 
 def cells(found: DataFrame) -> DataFrame:
@@ -442,14 +464,26 @@ def surplus_lines(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
         return rows.repartition(partitions(spark), *CELL).sortWithinPartitions(*CELL, "node")
 
     met = cells(found.select("node", *KEYS)).join(found.select("node", *MARKS), "node")
-    cell = f"node long, part long, own int, i int, j int, {typed}"
-    active = stored(gathered(met).select("node", "part", "own", "i", "j", *MARKS).mapInPandas(_active(similarity), cell))
-    # Only lines that have to be compared meet their texts again, each from one document.
-    wanted = active.select("node").distinct().join(found.select("node", "first.*"), "node")
+    cell = ["node", "part", "own", "i", "j", *MARKS]
+    met = stored(met.select(cell))
+    maybe = stored(gathered(met).mapInPandas(_forest(similarity), "a long, b long, part long, i int, j int"))
+    # Only lines that may be similar to another meet their texts again, each from one document.
+    wanted = maybe.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(found.select("node", "first.*"), "node")
     wanted = stored(wanted.groupBy("doc_id", "tie").agg(F.collect_list(F.struct("position", "node")).alias("at")))
     lines = docs.join(wanted, ["doc_id", "tie"]).select(F.explode("at").alias("at"), F.split("text", "\n").alias("lines"))
-    lines = lines.select("at.node", F.get("lines", F.col("at.position")).alias("line")).dropDuplicates(["node"])
-    roots = connected_components(gathered(active.join(lines, "node")).mapInPandas(_verified(similarity), "a long, b long"))
+    lines = stored(lines.select("at.node", F.get("lines", F.col("at.position")).alias("line")).dropDuplicates(["node"]))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        left, right = (lines.select(F.col("node").alias(n), F.col("line").alias(side)) for n, side in (("a", "left"), ("b", "right")))
+        return stored(pairs.select("a", "b").join(left, "a").join(right, "b").mapInPandas(_checked(similarity), "a long, b long"))
+
+    links = linked(maybe)
+    roots = connected_components(links)
+    # A forest can stand on a pair that is not similar; what it left unconnected is compared pair by pair.
+    failed = stored(maybe.join(links, ["a", "b"], "left_anti").select(*CELL).distinct())
+    if not failed.isEmpty():
+        known = met.join(failed, CELL, "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        roots = connected_components(links.unionByName(linked(gathered(known).mapInPandas(_remaining(similarity), "a long, b long"))))
     placed = found.select("node", "first", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = placed.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("n")).where("n > 1")
     heads = stored(placed.select("node", "root").join(heads, "root").select("node", "head"))
