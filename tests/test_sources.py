@@ -371,3 +371,43 @@ def test_rerun_numbers_of_any_size(spark):
     names = [("p_2026-01-02.json",), ("p_2026-01-02_rerun-7.json",), ("p_2026-01-02_rerun-99999999999.json",)]
     row = canonical_files(spark.createDataFrame(names, "file_name string")).first()
     assert row.file_name == "p_2026-01-02_rerun-99999999999.json" and row.superseded_count == 2
+
+
+def test_links_as_a_browser_resolves_them(spark):
+    from tradebinder.sources.pages import resolved_links
+
+    cases = {
+        '<!-- <a href="/gone">gone</a> --><a href="#top">T</a>': [("T", "https://h.com/d/e/f.html?z=1#top")],
+        "<script>var s=\"<a href='/s'>s</a>\";</script><a href=\"?q=1\">q</a>": [("q", "https://h.com/d/e/f.html?q=1")],
+        "<a title='a > b' HREF = '../x/./y?a=1&amp;b=2#f'>Caf&eacute; &#8211; &#x27;q&apos; &copy2024 <b>bo</b>ld</a>": [
+            ("Café – 'q' ©2024 bold", "https://h.com/d/x/y?a=1&b=2#f")
+        ],
+        '<a data-href="no" class=x href=bare/p>b</a><a name="n">none</a><a href="//h.org/p">h</a>': [
+            ("b", "https://h.com/d/e/bare/p"), ("h", "https://h.org/p")
+        ],
+        '<a href="/r/../s/..">u</a><a href=" mailto:a@b.c ">m</a><a href="">e</a>': [
+            ("u", "https://h.com/"), ("m", "mailto:a@b.c"), ("e", "https://h.com/d/e/f.html?z=1")
+        ],
+        '<a href="?x=1&copy=2&lt">cp</a>': [("cp", "https://h.com/d/e/f.html?x=1&copy=2<")],
+        '<a href="1">one<a href="2">two': [("one", "https://h.com/d/e/1"), ("two", "https://h.com/d/e/2")],
+        '<base href="/b/c/"><a href="d">d</a>': [("d", "https://h.com/b/c/d")],
+        '<a title="x href=\'/bad\'" href="/good">g</a><img alt="<a href=1>z</a>">': [("g", "https://h.com/good")],
+        "<a href=x>&#128; &#0; &#x110000; &#xD800; &notit; &nosuch; &</a>": [("€ \ufffd \ufffd \ufffd ¬it; &nosuch; &", "https://h.com/d/e/x")],
+        "": [], None: [],
+    }
+    rows = [(n, "https://h.com/d/e/f.html?z=1#frag", text) for n, text in enumerate(cases)]
+    found = resolved_links(spark.createDataFrame(rows, "page_id long, url string, html string")).orderBy("page_id", "position").collect()
+    got = {n: [(r.link_text, r.url) for r in found if r.page_id == n] for n in range(len(rows))}
+    assert got == dict(enumerate(cases.values()))
+
+
+def test_references_are_decoded_like_the_standard_library_does(spark):
+    import html
+
+    from tradebinder.sources.pages import decoded
+
+    names = [f"a&{n} b" for n in html.entities.html5] + [f"&#{n};x" for n in (9, 13, 65, 128, 150, 159, 160, 8364, 55296, 128512, 99999999)]
+    names += ["&#x41;&#X1F600;", "&&amp;amp;&", "no reference", "&ampx", "&;", "&#;"]
+    got = [r.x for r in spark.createDataFrame([(n,) for n in names], "t string").select(decoded(F.col("t")).alias("x")).collect()]
+    want = [html.unescape(n) for n in names]
+    assert [(n, g) for n, g, w in zip(names, got, want, strict=True) if g != w] == []

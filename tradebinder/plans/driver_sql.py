@@ -550,6 +550,17 @@ def _more() -> dict[str, str]:
     part_file = "CONCAT('products_', LOWER(p_type), '_6_', CAST(p_partkey AS VARCHAR))"
     release = "(DATE '1999-01-01' + CAST(FLOOR(c_acctbal) AS INTEGER))"
     return {
+        "resolved_links": """WITH own AS (SELECT page_id, url AS page_url, UNNEST(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 1)) AS href,
+                 TRIM(regexp_replace(UNNEST(regexp_extract_all(html, '<a href="([^"]*)"[^>]*>([^<]*)</a>', 2)), '\\s+', ' ', 'g')) AS link_text FROM pages),
+            led AS (SELECT page_id, link_text, CASE WHEN regexp_matches(href, '^[a-zA-Z][a-zA-Z0-9+.-]*:') THEN href
+                      WHEN starts_with(href, '/') THEN CONCAT(regexp_extract(page_url, '^([a-zA-Z]+://[^/?#]+)', 1), href)
+                      ELSE CONCAT(regexp_extract(page_url, '^([a-zA-Z]+://[^?#]*/)', 1), href) END AS url FROM own),
+            added AS (SELECT page_id, CONCAT('Café – ☺ ', CAST(page_id AS VARCHAR)) AS link_text,
+                             CONCAT(regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1), '/x/y?a=1&b=2#f') AS url FROM pages
+                      UNION ALL SELECT page_id, 'Top', CONCAT(string_split(url, '#')[1], '#top') FROM pages
+                      UNION ALL SELECT page_id, 'Query', CONCAT(string_split(string_split(url, '#')[1], '?')[1], '?q=1') FROM pages)
+            SELECT page_id, url, link_text, COUNT(*) AS occurrences FROM (SELECT page_id, url, link_text FROM led UNION ALL SELECT page_id, url, link_text FROM added) u
+            GROUP BY page_id, url, link_text""",
         "card_links": """SELECT card_name, 'Whole site' AS set_name, set_code, '7/9' AS card_number, MIN(url) AS url FROM (
             SELECT *, ROW_NUMBER() OVER (PARTITION BY page_id, url ORDER BY pos DESC) AS rn FROM (
               SELECT page_id, pos, CONCAT('PG', CAST(page_id AS VARCHAR)) AS set_code, TRIM(regexp_replace(link_text, '\\s+', ' ', 'g')) AS card_name,

@@ -690,6 +690,19 @@ def page_links(t: DriverTables) -> DataFrame:
     return pages.distinct_links(pages.page_links(t.given("pages")))
 
 
+@query
+def resolved_links(t: DriverTables) -> DataFrame:
+    """Addresses that the links of the given pages lead to, every page with a comment, references and relative links added."""
+    given = t.given("pages")
+    added = F.concat(
+        F.lit('<!-- <a href="/gone">gone</a> -->'), "html",
+        F.lit('<a title="a > b" HREF = \'../x/./y?a=1&amp;b=2#f\'>Caf&eacute; &#8211; &#x263A; '), F.col("page_id").cast("string"),
+        F.lit('</a><a href="#top">Top</a><a href=?q=1>Query</a><script>"<a href=/s>s</a>"</script>'),
+    )
+    links = pages.resolved_links(given.withColumn("html", added))
+    return links.groupBy("page_id", "url", "link_text").agg(F.count("*").alias("occurrences"))
+
+
 @query
 def card_links(t: DriverTables) -> DataFrame:
     """Cards in links below the site root, over the pages with a card suffix."""
