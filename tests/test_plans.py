@@ -100,6 +100,43 @@ def test_stream_loads_new_files_once(spark, tmp_path):
     assert [(r.id_product, int(r.trend), str(r.created_at)) for r in rows] == [(1, 4, T1), (2, 1, T2)]
 
 
+def test_stream_follows_nested_folders_and_reruns_in_any_order(spark, tmp_path):
+    """The same table as a replay, whatever arrives first; late base files and other folders included."""
+    root, other, folder, mark = str(tmp_path / "tables"), str(tmp_path / "replayed"), tmp_path / "archive", str(tmp_path / "mark")
+    (folder / "2026" / "07").mkdir(parents=True)
+
+    def arrive(name, *rows):
+        (folder / name).write_text(guide(*rows))
+
+    def follow(run_ts, **options):
+        archive_stream.follow_archive(spark, str(folder), root, run_ts, checkpoint=mark, **options).awaitTermination(120)
+
+    arrive("price_guide_6_2026-07-01.json", (1, 1, 1))
+    arrive("2026/07/price_guide_6_2026-07-02.json", (1, 2, 2))
+    arrive("2026/07/price_guide_6_2026-07-03_rerun-02.json", (1, 3, 3), (2, 3, 3))
+    follow(T1, files_per_batch=1)
+    # Behind the rerun that is loaded: a base file and an older rerun; and a rerun in a subfolder.
+    arrive("price_guide_6_2026-07-03.json", (1, 9, 9))
+    arrive("price_guide_6_2026-07-03_rerun-01.json", (1, 8, 8))
+    arrive("2026/07/price_guide_6_2026-07-01_rerun-01.json", (1, 5, 5))
+    follow(T2)
+    got = stored(spark, root, "price_snapshots").select("snapshot_date", "id_product", "trend").collect()
+    assert sorted((r.snapshot_date.day, r.id_product, int(r.trend)) for r in got) == [(1, 1, 5), (2, 1, 2), (3, 1, 3), (3, 2, 3)]
+    daily.replay(spark, other, str(folder), datetime.date(2026, 7, 1), datetime.date(2026, 7, 9), T2)
+    again = stored(spark, other, "price_snapshots").select("snapshot_date", "id_product", "trend").collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, again))
+
+
+def test_replay_reports_files_of_one_name(spark, tmp_path):
+    root, folder = str(tmp_path / "tables"), tmp_path / "archive"
+    for part, price in (("a", 1), ("b", 2)):
+        (folder / part).mkdir(parents=True)
+        (folder / part / "price_guide_6_2026-07-01.json").write_text(guide((1, price, 1)))
+    report = daily.replay(spark, root, str(folder), datetime.date(2026, 7, 1), datetime.date(2026, 7, 1), T1).collect()
+    assert sorted((r.replayed_rows, r.reason.split(":")[0] if r.reason else None) for r in report) == [(0, "same name as another file"), (1, None)]
+    assert [r.reason.endswith("/b/price_guide_6_2026-07-01.json") for r in report if r.reason] == [True]
+
+
 def test_catalog_run(spark, tmp_path):
     root = str(tmp_path)
     first = run_catalog(spark, root, [(1, "A"), (2, "B")], [(3, "Box"), (1, "A")], T1)

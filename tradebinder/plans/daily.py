@@ -106,9 +106,12 @@ def archived_documents(spark: SparkSession, archive: str, prefix: str, day) -> D
 
 
 def _with_paths(files: DataFrame, listing: DataFrame) -> DataFrame:
-    """Add the full path of each file; of files with one name the first path counts."""
-    paths = listing.groupBy("file_name").agg(F.min("path").alias("path"))
-    return files.join(paths, "file_name")
+    """Add the full path of each file; of files with one name the first path counts, the others
+    are listed (unread)."""
+    paths = listing.groupBy("file_name").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    others = F.slice("paths", 2, F.size("paths") - 1)
+    others = F.when(F.size("paths") > 1, others).otherwise(F.array().cast("array<string>"))
+    return files.join(paths.select("file_name", F.get("paths", F.lit(0)).alias("path"), others.alias("unread")), "file_name")
 
 
 def load_archived_day(spark: SparkSession, root: str, archive: str, day, run_ts) -> Row:
@@ -122,7 +125,8 @@ def replay(
     """Load the canonical files of a date range again, many days in one scan.
 
     Days whose file is invalid are left as they are and reported.  Returns one row per day:
-    file, rows found in the file, rows stored before, and the reason if it was skipped.
+    file, rows found in the file, rows stored before, and the reason if it was skipped; and one
+    per file that is not read because another has its name.
     The list of files to read has one entry per calendar day.
     """
     configure(spark)
@@ -131,10 +135,12 @@ def replay(
     in_range = canonical_files(listing, [PRICE_PREFIX]).filter(
         F.col("snapshot_date").between(as_date(first), as_date(last))
     )
-    chosen = _with_paths(in_range, listing).select("snapshot_date", "file_name", "path").collect()
+    chosen = _with_paths(in_range, listing).select("snapshot_date", "file_name", "path", "unread").collect()
     if not chosen:
         return spark.createDataFrame([], REPLAY_REPORT)
-    files = spark.createDataFrame(chosen, "snapshot_date date, file_name string, path string").drop("path")
+    files = spark.createDataFrame(chosen, "snapshot_date date, file_name string, path string, unread array<string>")
+    unread = files.select("snapshot_date", "file_name", F.explode("unread").alias("path"))
+    files = files.select("snapshot_date", "file_name")
     documents = read_documents(spark, [row.path for row in chosen])
     judged = transform_prices(
         parse_archive_names(documents, [PRICE_PREFIX]), F.col("snapshot_date")
@@ -155,6 +161,12 @@ def replay(
             F.coalesce("stored_rows", F.lit(0)).alias("stored_rows"),
             "reason",
         )
+        .unionByName(
+            unread.select(
+                "snapshot_date", "file_name", F.lit(0).alias("replayed_rows"), F.lit(0).alias("stored_rows"),
+                F.concat(F.lit("same name as another file: "), "path").alias("reason"),
+            )
+        )
         .checkpoint()
     )
     judged.unpersist()
