@@ -374,3 +374,58 @@ def test_large_day_is_loaded_like_any_other(spark, tmp_path):
     path.write_text(guide((1, 5, 5))[:-3])
     with pytest.raises(ValidationError):
         daily.load_large_day(spark, root, str(path), "2026-07-04", T1)
+
+
+def test_review_judges_corrected_rows_again_or_changes_nothing(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "tables")
+    run_catalog(spark, root, [(1, "Unique"), (2, "Twin"), (3, "Twin")], [(4, "Box")], T1)
+    rows = [("a", "Unique", "Good", None), ("b", "Twin", "Good", None), ("c", "Nobody", "Good", None), ("d", "Unique", "odd", None)]
+    blank = dict.fromkeys(("external_id", "acquisition_type", "purchase_price", "purchase_date", "is_sealed", "storage_location", "personal_note"))
+    staged = spark.createDataFrame(
+        [{"record_index": ord(i), "import_row_id": i, "import_batch_id": "x", "raw_product_name": n, "condition": c, "provided_id_product": p, "language": "EN", **blank}
+         for i, n, c, p in rows],
+        "record_index long, import_row_id string, import_batch_id string, external_id string, provided_id_product string, raw_product_name string, language string, "
+        "condition string, acquisition_type string, purchase_price string, purchase_date string, is_sealed string, storage_location string, "
+        "personal_note string",
+    )
+    collection.import_collection(spark, root, staged, T1)
+
+    def statuses():
+        found = stored(spark, root, "collection_import_staging").collect()
+        return {r.import_row_id: (r.match_status, r.matched_id_product) for r in found}
+
+    before = statuses()
+    assert {i for i, (status, _) in before.items() if status in ("needs_review", "error")} >= {"b", "c"}
+    fixes = spark.createDataFrame([("b", "3", None), ("c", None, "Unique"), ("a", "2", None)], "import_row_id string, provided_id_product string, raw_product_name string")
+    with monkeypatch.context() as patch:
+        patch.setattr(collection, "write_version", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            collection.review_staging(spark, root, fixes, T2)
+    assert statuses() == before
+    collection.review_staging(spark, root, fixes, T2)
+    after = statuses()
+    assert after["b"] == ("ready_to_import", 3) and after["c"] == ("ready_to_import", 1) and after["a"] == before["a"] and len(after) == 4
+    with pytest.raises(ValueError):
+        collection.review_staging(spark, root, fixes.unionByName(fixes), T2)
+    with pytest.raises(ValueError):
+        collection.review_staging(spark, root, fixes.withColumnRenamed("raw_product_name", "match_status"), T2)
+
+
+def test_of_two_commits_at_once_the_later_fails(spark, tmp_path, monkeypatch):
+    from tradebinder.sources import tables
+
+    root = str(tmp_path / "tables")
+    run_catalog(spark, root, [(1, "A")], [(2, "B")], T1)
+    products = stored(spark, root, "products")
+    first, stale = tables.current_version(spark, root, "products"), tables._last_commit(spark, root, "products")
+    tables.write_version(products, root, "products", T2)
+    second = tables.current_version(spark, root, "products")
+    assert second != first
+    with monkeypatch.context() as patch:
+        # The other run's commit was not there yet when this one looked for the last number.
+        patch.setattr(tables, "_last_commit", lambda *a: stale)
+        with pytest.raises(tables.CommitConflict):
+            tables.write_version(products.limit(0), root, "products", T2)
+    assert tables.current_version(spark, root, "products") == second and stored(spark, root, "products").count() == 2
+    tables.write_version(products.limit(1), root, "products", T2)
+    assert stored(spark, root, "products").count() == 1

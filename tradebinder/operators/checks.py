@@ -120,14 +120,18 @@ def record_count_series(prices: DataFrame, threshold: float = DRIFT_PERCENT) ->
 def daily_counts(prices: DataFrame, products: DataFrame, date, previous_date=None) -> DataFrame:
     """All counts of the daily report in one row.
 
-    A single full outer join of one day's prices with the catalog (both unique by id)
-    feeds every check, instead of one scan and join per check.
+    A single full outer join of one day's prices with the catalog feeds every check, instead
+    of one scan and join per check.  The day is first counted per id, on the join's own
+    partitioning, so that repeated ids and rows without an id are counted and not multiplied.
     """
     day = _on(prices, date).select(
         "id_product", F.col("id_category").alias("price_category"),
         usable_price(F.col("trend"), F.col("avg30")).alias("usable"),
-        F.lit(True).alias("has_price"),
     )
+    day = day.groupBy("id_product").agg(
+        F.max("price_category").alias("price_category"), F.max("usable").alias("usable"),
+        F.count_if(F.coalesce("usable", F.lit(False))).alias("usable_rows"), F.count("*").alias("rows"),
+    ).withColumn("has_price", F.lit(True))
     catalog = products.select(
         "id_product", F.col("id_category").alias("product_category"), "is_active_in_catalog",
         F.lit(True).alias("has_product"),
@@ -137,11 +141,13 @@ def daily_counts(prices: DataFrame, products: DataFrame, date, previous_date=Non
     has_product = F.col("has_product").isNotNull()
     usable = F.coalesce("usable", F.lit(False))
     return both.agg(
-        F.count_if(has_price).alias("rows_loaded"),
-        F.count_if(has_price & ~has_product).alias("missing_products"),
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("rows_loaded"),
+        F.count_if(has_price & F.col("id_product").isNotNull() & ~has_product).alias("missing_products"),
         F.count_if(F.col("is_active_in_catalog") & ~usable).alias("products_without_prices"),
         F.count_if(F.col("price_category") != F.col("product_category")).alias("category_mismatch"),
-        F.count_if(has_price & ~usable).alias("rows_without_value"),
+        F.coalesce(F.sum(F.col("rows") - F.col("usable_rows")), F.lit(0)).alias("rows_without_value"),
+        F.count_if(F.col("id_product").isNotNull() & (F.col("rows") > 1)).alias("duplicate_keys"),
+        F.coalesce(F.sum(F.when(has_price & F.col("id_product").isNull(), F.col("rows"))), F.lit(0)).alias("missing_ids"),
     ).select(
         as_date(date).alias("snapshot_date"),
         "*",

@@ -242,6 +242,9 @@ SELECT DATE '2024-01-20' AS snapshot_date,
   (SELECT COUNT(*) FROM prices s JOIN products p ON p.id_product = s.id_product
    WHERE snapshot_date = DATE '2024-01-20' AND s.id_category <> p.id_category) AS category_mismatch,
   (SELECT COUNT(*) FROM prices WHERE snapshot_date = DATE '2024-01-20' AND trend IS NULL AND avg30 IS NULL) AS rows_without_value,
+  (SELECT COUNT(*) FROM (SELECT id_product FROM prices WHERE snapshot_date = DATE '2024-01-20' AND id_product IS NOT NULL
+     GROUP BY id_product HAVING COUNT(*) > 1) r) AS duplicate_keys,
+  (SELECT COUNT(*) FROM prices WHERE snapshot_date = DATE '2024-01-20' AND id_product IS NULL) AS missing_ids,
   (SELECT COUNT(*) FROM prices WHERE snapshot_date = (SELECT MAX(snapshot_date) FROM prices WHERE snapshot_date < DATE '2024-01-20')) AS previous_rows""",
     "check_rows": """
 SELECT snapshot_date, 'empty_price_snapshot' AS check_name, 'failure' AS severity, CAST(CASE WHEN rows_loaded = 0 THEN 1 ELSE 0 END AS BIGINT) AS violation_count FROM counts
@@ -356,6 +359,10 @@ def oracle() -> dict[str, str]:
               MAX(CASE WHEN check_name = 'category_mismatch' AND violation_count > 0 THEN CONCAT('category_mismatch=', violation_count) END),
               MAX(CASE WHEN check_name = 'record_count_drift' AND violation_count > 0 THEN CONCAT('record_count_drift=', violation_count) END)) AS warnings
               FROM check_rows) w""",
+        "daily_summary_with_defects": """SELECT c.snapshot_date, CAST(c.rows_loaded + d.repeated + d.lost AS BIGINT) AS rows_loaded,
+            d.repeated AS duplicate_keys, d.lost AS missing_ids, c.missing_products, c.category_mismatch, c.products_without_prices
+            FROM counts c CROSS JOIN (SELECT COUNT(*) FILTER (WHERE trend > avg30) AS repeated, COUNT(*) FILTER (WHERE trend < avg30) AS lost
+              FROM prices WHERE snapshot_date = DATE '2024-01-20') d""",
         "collection_issues": """SELECT collection_item_id, 'graded item missing grading_company or grade' AS issue FROM items
             WHERE is_graded AND (grading_company IS NULL OR grade IS NULL)
             UNION ALL SELECT collection_item_id, 'sold item missing sold_price or sold_date' FROM items
@@ -556,7 +563,9 @@ def _more() -> dict[str, str]:
                       WHEN starts_with(href, '/') THEN CONCAT(regexp_extract(page_url, '^([a-zA-Z]+://[^/?#]+)', 1), href)
                       ELSE CONCAT(regexp_extract(page_url, '^([a-zA-Z]+://[^?#]*/)', 1), href) END AS url FROM own),
             added AS (SELECT page_id, CONCAT('Café – ☺ ', CAST(page_id AS VARCHAR)) AS link_text,
-                             CONCAT(regexp_extract(url, '^([a-zA-Z]+://[^/?#]+)', 1), '/x/y?a=1&b=2#f') AS url FROM pages
+                             CONCAT(CASE WHEN regexp_matches(regexp_extract(url, '^([a-zA-Z]+://[^?#]*/)', 1), '^[a-zA-Z]+://[^/]+/$')
+                                         THEN regexp_extract(url, '^([a-zA-Z]+://[^?#]*/)', 1)
+                                         ELSE regexp_replace(regexp_extract(url, '^([a-zA-Z]+://[^?#]*/)', 1), '[^/]+/$', '') END, 'x/y?a=1&b=2#f') AS url FROM pages
                       UNION ALL SELECT page_id, 'Top', CONCAT(string_split(url, '#')[1], '#top') FROM pages
                       UNION ALL SELECT page_id, 'Query', CONCAT(string_split(string_split(url, '#')[1], '?')[1], '?q=1') FROM pages)
             SELECT page_id, url, link_text, COUNT(*) AS occurrences FROM (SELECT page_id, url, link_text FROM led UNION ALL SELECT page_id, url, link_text FROM added) u

@@ -221,6 +221,18 @@ def daily_summary(t: DriverTables) -> DataFrame:
     return checks.daily_summary(checks.daily_counts(t.prices(), t.products(), CHECK_DATE))
 
 
+@query
+def daily_summary_with_defects(t: DriverTables) -> DataFrame:
+    """The report of a day on which rising prices come twice and falling ones again without an id."""
+    prices = t.prices()
+    repeated = prices.where("trend > avg30")
+    lost = prices.where("trend < avg30").withColumn("id_product", F.lit(None).cast("long"))
+    days = prices.unionByName(repeated).unionByName(lost)
+    return checks.daily_summary(checks.daily_counts(days, t.products(), CHECK_DATE)).select(
+        "snapshot_date", "rows_loaded", "duplicate_keys", "missing_ids", "missing_products", "category_mismatch", "products_without_prices"
+    )
+
+
 @query
 def collection_issues(t: DriverTables) -> DataFrame:
     return checks.collection_issues(t.items(), "2001-07-01")

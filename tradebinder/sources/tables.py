@@ -38,8 +38,11 @@ def _last_commit(spark: SparkSession, root: str, name: str) -> Row | None:
         if _absent(problem):
             return None
         raise
+    own = commits.filter(F.col("name") == name)
     order = F.struct(F.coalesce("sequence", F.lit(0)).alias("sequence"), "version")
-    return commits.filter(F.col("name") == name).agg(F.max(order)).first()[0]
+    # A commit that met another of its number was taken back (sequence -1).
+    per_version = own.groupBy("version").agg(F.max("sequence").alias("sequence"), F.min("sequence").alias("least"))
+    return per_version.filter("least IS NULL OR least >= 0").agg(F.max(order)).first()[0]
 
 
 def current_version(spark: SparkSession, root: str, name: str) -> str | None:
@@ -101,11 +104,31 @@ def version_of(run_ts: datetime.datetime | str) -> str:
     return run_ts.strftime("%Y%m%dT%H%M%S%f")
 
 
+class CommitConflict(Exception):
+    """Another run committed the same table at the same time; nothing of this run counts."""
+
+
+def _commit(spark: SparkSession, root: str, name: str, version: str, sequence: int) -> None:
+    commit = spark.createDataFrame([(name, version, sequence)], COMMITS)
+    commit.coalesce(1).write.mode("append").parquet(table_path(root, "commits"))
+
+
 def write_version(df: DataFrame, root: str, name: str, run_ts) -> None:
-    """Write a whole table to a new folder, then commit it as the current version."""
+    """Write a whole table to a new folder, then commit it as the current version.
+
+    Two runs that commit at once take the same number.  Each looks after its own commit, so at
+    least the later one sees the other; who does takes its commit back and fails.
+    """
     version = f"{version_of(run_ts)}-{uuid.uuid4().hex[:12]}"
     path = f"{table_path(root, name)}/version={version}"
     df.select(*TABLES[name].fieldNames()).write.parquet(path)
-    last = _last_commit(df.sparkSession, root, name)
-    commit = df.sparkSession.createDataFrame([(name, version, last.sequence + 1 if last else 1)], COMMITS)
-    commit.coalesce(1).write.mode("append").parquet(table_path(root, "commits"))
+    spark = df.sparkSession
+    last = _last_commit(spark, root, name)
+    sequence = last.sequence + 1 if last else 1
+    _commit(spark, root, name, version, sequence)
+    commits = spark.read.schema(COMMITS).parquet(table_path(root, "commits")).filter(F.col("name") == name)
+    void = commits.filter("sequence < 0").select("version")
+    rivals = commits.filter((F.col("sequence") == sequence) & (F.col("version") != version)).join(void, "version", "left_anti")
+    if not rivals.isEmpty():
+        _commit(spark, root, name, version, -1)
+        raise CommitConflict(f"{name} was committed by another run")
