@@ -6,111 +6,128 @@ nothing; below it both classes back off to one shared distribution, the contexts
 class.  An expression rare in a class thus gets nearly the same probability from both models
 and says little.
 
-The counts cover every labelled row outside the held-out fold and grow with it; words are
-32-bit hashes there.  For scoring, word counts are held in two tables of 2**20 places each,
-whose smaller count is taken (a word has to share both places with another to be mistaken for
-it), pair counts in one of 2**21.  So what travels to the tasks has a proven bound (about
-56 MB) however large the corpus; places that expressions share add up, nothing is dropped.
+The counts cover every labelled row outside the held-out fold; words are 40-bit hashes there.
+Pairs that the corpus holds once are not kept, as usual for such models: their mass stays with
+the lower order.  All that is kept is exact and grows with the corpus.  Where the kept counts are
+few enough (``send_counts``) they go to all tasks; otherwise the different words and pairs of
+each document are joined with them, which gives the same scores.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from zlib import crc32
+from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tradebinder.llm.common import BROADCAST_ROWS, held_out, stored, training_labels
 from tradebinder.llm.trees import fit_forest
+from tradebinder.operators.lookup import spread_join
 
-WORD_PLACES = 1 << 20
-PAIR_PLACES = 1 << 21
+# Counts that may be sent to every task, about 24 bytes each.
+SEND_COUNTS = 8_000_000
+# Pairs that occur fewer times, in both classes together, are left to the lower order.
+LEAST_PAIRS = 2
 DISCOUNT = 0.75
 # Ordinary weight that every context gives to the lower order.
 STRENGTH = 100.0
 WINDOWS = (1, 4, 12)
 MEASURES = ["low_mean", *(f"low_{w}" for w in WINDOWS), "mean", f"worst_{WINDOWS[-1]}"]
 _CUT = bytes(32 if (b < 48 or 57 < b < 65 or 90 < b < 97 or 122 < b < 128) else b for b in range(256))
-_MULTIPLY, _SECOND = 0x9E3779B, 0x5851F43
 _CLASSES = ("toxic", "plain")
 
 
-def word_hashes(text: str | None) -> np.ndarray:
-    """Hash of every word of the lower-cased text; a zero in front stands for the start."""
+def word_ids(text: str | None) -> np.ndarray:
+    """Number of every word of the lower-cased text; a zero in front stands for the start."""
     words = (text or "").lower().encode().translate(_CUT).split()
-    out = np.zeros(len(words) + 1, np.int64)
-    out[1:] = np.fromiter(map(crc32, words), np.int64, len(words))
-    return out
+    out = np.zeros(len(words) + 1, np.uint64)
+    out[1:] = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return (out >> np.uint64(24)).view(np.int64)
 
 
-# The same arithmetic on numpy arrays and Spark columns of hashes below 2**32.
-def _place_one(w, shift):
-    return w % WORD_PLACES
-
-
-def _place_two(w, shift):
-    return shift(w * _MULTIPLY, 20) % WORD_PLACES
-
-
-def _pair_place(v, w, shift):
-    return shift(v * _MULTIPLY + w * _SECOND, 19) % PAIR_PLACES
+def pair_ids(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Positive 63-bit number of each pair of words."""
+    x = v.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + w.astype(np.uint64)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return (x >> np.uint64(1)).view(np.int64)
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Pair counts of each batch, so that the shuffle gets a pair once per batch and class."""
     for batch in batches:
         for label, texts in batch.groupby("label")["text"]:
-            pairs = [np.zeros(0, np.uint64)]
-            for text in texts:
-                p = word_hashes(text).astype(np.uint64)
-                pairs.append(p[:-1] << np.uint64(32) | p[1:])
-            pair, n = np.unique(np.concatenate(pairs), return_counts=True)
-            out = pd.DataFrame({"v": (pair >> np.uint64(32)).astype("int64"), "w": (pair & np.uint64(0xFFFFFFFF)).astype("int64")})
+            ids = [word_ids(t) for t in texts]
+            v, w = (np.concatenate([np.zeros(0, np.int64), *own]) for own in ([i[:-1] for i in ids], [i[1:] for i in ids]))
+            order = np.lexsort((w, v))
+            v, w = v[order], w[order]
+            new = np.ones(len(v), bool)
+            new[1:] = (v[1:] != v[:-1]) | (w[1:] != w[:-1])
+            first = np.flatnonzero(new)
+            out = pd.DataFrame({"v": v[first], "w": w[first]})
+            n = np.diff(np.r_[first, len(v)])
             out["toxic"], out["plain"] = (n, 0) if label else (0, n)
             yield out
 
 
+class Counts:
+    """Counts by number: words (contexts of either class, of each), contexts (total, followers of each class), pairs.
+
+    Each is a sorted array of numbers and a row of counts per class.
+    """
+
+    def __init__(self, words: tuple, contexts: tuple, pairs: tuple) -> None:
+        self.words, self.contexts, self.pairs = words, contexts, pairs
+
+    @staticmethod
+    def of(table: tuple, ids: np.ndarray) -> np.ndarray:
+        """A column of counts per id, zeros where it is not known."""
+        known, values = table
+        if not len(known):
+            return np.zeros((len(values), len(ids)))
+        at = np.minimum(np.searchsorted(known, ids), len(known) - 1)
+        return np.where(known[at] == ids, values[:, at], 0).astype(np.float64)
+
+
+@dataclass
 class Models:
-    """Both models as arrays over places."""
-
-    def __init__(self, first: dict, second: dict, contexts: dict, pairs: dict) -> None:
-        def dense(table: dict, column: str, size: int = WORD_PLACES) -> np.ndarray:
-            out = np.zeros(size, np.float32)
-            out[table["place"]] = table[column]
-            return out
-
-        self.seen = [dense(t, "contexts") for t in (first, second)]
-        self.seen_sum = float(self.seen[0].sum(dtype=np.float64))
-        self.own = [[dense(t, f"{c}_contexts") for t in (first, second)] for c in _CLASSES]
-        self.own_sum = [max(1.0, float(x[0].sum(dtype=np.float64))) for x in self.own]
-        # Mass that the discounts leave to the shared distribution.
-        self.rest = [float(np.minimum(x[0], DISCOUNT).sum(dtype=np.float64)) / n if n > 1 else 1.0 for x, n in zip(self.own, self.own_sum, strict=True)]
-        self.total = [dense(contexts, c) for c in _CLASSES]
-        self.followers = [dense(contexts, f"{c}_followers") for c in _CLASSES]
-        self.pair = [dense(pairs, c, PAIR_PLACES) for c in _CLASSES]
-
-    def ratios(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over all counts, from which both models take their probabilities."""
+
+    words: int
+    seen_sum: float
+    own_sum: list[float]
+    rest: list[float]
+
+    def ratios(self, text: str | None, counts: Counts) -> tuple[np.ndarray, np.ndarray]:
         """Per word the log of toxic over ordinary probability, lower order and whole model."""
-        h = word_hashes(text)
-        one, two = _place_one(h, np.right_shift), _place_two(h, np.right_shift)
-        w1, w2, v = one[1:], two[1:], one[:-1]
-        b = _pair_place(h[:-1], h[1:], np.right_shift)
-        shared = (np.minimum(self.seen[0][w1], self.seen[1][w2]) + 0.5) / (self.seen_sum + 0.5 * WORD_PLACES)
+        ids = word_ids(text)
+        v, w = ids[:-1], ids[1:]
+        # Of equal words and pairs one is looked up.
+        word, word_at = np.unique(w, return_inverse=True)
+        context, context_at = np.unique(v, return_inverse=True)
+        pair, pair_at = np.unique(pair_ids(v, w), return_inverse=True)
+        seen, *own = counts.of(counts.words, word)[:, word_at]
+        totals = counts.of(counts.contexts, context)[:, context_at]
+        pairs = counts.of(counts.pairs, pair)[:, pair_at]
+        # One place more for the words never met.
+        shared = (seen + 0.5) / (self.seen_sum + 0.5 * (self.words + 1))
         low, whole = [], []
         for c in (0, 1):
-            count = np.minimum(self.own[c][0][w1], self.own[c][1][w2])
-            low.append(np.maximum(count - DISCOUNT, 0) / self.own_sum[c] + self.rest[c] * shared)
-            total = self.total[c][v]
-            pair = np.maximum(np.minimum(self.pair[c][b], total) - DISCOUNT, 0)
-            whole.append((pair + (STRENGTH + DISCOUNT * self.followers[c][v]) * low[c]) / (total + STRENGTH))
+            low.append(np.maximum(own[c] - DISCOUNT, 0) / self.own_sum[c] + self.rest[c] * shared)
+            total, kept, held = totals[3 * c], totals[3 * c + 1], totals[3 * c + 2]
+            # What the discounts and the pairs that are not kept leave to the lower order.
+            left = DISCOUNT * kept + (total - held)
+            whole.append((np.maximum(pairs[c] - DISCOUNT, 0) + (STRENGTH + left) * low[c]) / (total + STRENGTH))
         return np.log(low[0] / low[1]), np.log(whole[0] / whole[1])
 
-    def measures(self, text: str | None) -> list[float]:
+    def measures(self, text: str | None, counts: Counts) -> list[float]:
         """Length-normalised log ratios of the whole text and of its most toxic windows."""
-        low, whole = self.ratios(text)
+        low, whole = self.ratios(text, counts)
         if not len(low):
             return [0.0] * len(MEASURES)
 
@@ -122,23 +139,105 @@ class Models:
         return [float(low.mean()), *(worst(low, w) for w in WINDOWS), float(whole.mean()), worst(whole, WINDOWS[-1])]
 
 
-def fit_models(rows: DataFrame) -> Models:
-    """Both models from every row of (text, label)."""
-    counts = rows.mapInPandas(_count, "v long, w long, toxic long, plain long")
-    pairs = stored(counts.groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in _CLASSES]))
+def fit_models(rows: DataFrame) -> tuple[Models, DataFrame]:
+    """Both models from every row of (text, label), and the counts they need.
+
+    The counts are rows of id, kind (0 word, 1 context, 2 pair) and c0 to c5.
+    """
+    counted = rows.mapInPandas(_count, "v long, w long, toxic long, plain long")
+    pairs = stored(counted.groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in _CLASSES]))
     contexts = [F.count_if(F.col(c) > 0).alias(f"{c}_contexts") for c in _CLASSES]
     words = stored(pairs.groupBy("w").agg(F.count("*").alias("contexts"), *contexts))
-    columns = ["contexts", *(f"{c}_contexts" for c in _CLASSES)]
-    first, second = (
-        words.groupBy(place(F.col("w"), F.shiftright).cast("int").alias("place")).agg(*[F.sum(c).alias(c) for c in columns])
-        for place in (_place_one, _place_two)
-    )
-    followers = [F.count_if(F.col(c) > 0).alias(f"{c}_followers") for c in _CLASSES]
-    both = [F.sum(c).alias(c) for c in _CLASSES]
-    before = pairs.groupBy(_place_one(F.col("v"), None).cast("int").alias("place")).agg(*followers, *both)
-    placed = pairs.groupBy(_pair_place(F.col("v"), F.col("w"), F.shiftright).cast("int").alias("place")).agg(*both)
-    tables = (t.toArrow() for t in (first, second, before, placed))
-    return Models(*({c: t[c].to_numpy() for c in t.column_names} for t in tables))
+    least = [F.sum(F.least(F.col(f"{c}_contexts"), F.lit(DISCOUNT))) for c in _CLASSES]
+    sums = words.agg(F.count("*"), F.sum("contexts"), *[F.sum(f"{c}_contexts") for c in _CLASSES], *least).first()
+    own = [max(1.0, float(sums[2 + c] or 0)) for c in (0, 1)]
+    rest = [float(sums[4 + c] or 0) / own[c] if own[c] > 1 else 1.0 for c in (0, 1)]
+    models = Models(int(sums[0]), float(sums[1] or 0), own, rest)
+    kept = F.col("toxic") + F.col("plain") >= LEAST_PAIRS
+    of_class = []
+    for c in _CLASSES:
+        of_class += [F.sum(c), F.count_if(kept & (F.col(c) > 0)), F.coalesce(F.sum(F.when(kept, F.col(c))), F.lit(0))]
+    before = pairs.groupBy("v").agg(*[x.alias(f"c{n}") for n, x in enumerate(of_class)])
+
+    @F.pandas_udf("long")
+    def number(v: pd.Series, w: pd.Series) -> pd.Series:
+        return pd.Series(pair_ids(v.to_numpy(np.int64), w.to_numpy(np.int64)))
+
+    none = [F.lit(0).cast("long").alias(f"c{n}") for n in range(6)]
+    tables = [
+        words.select(F.col("w").alias("id"), F.lit(0).alias("kind"), F.col("contexts").alias("c0"),
+                     F.col("toxic_contexts").alias("c1"), F.col("plain_contexts").alias("c2"), *none[3:]),
+        before.select(F.col("v").alias("id"), F.lit(1).alias("kind"), *[f"c{n}" for n in range(6)]),
+        pairs.where(kept).select(number("v", "w").alias("id"), F.lit(2).alias("kind"), F.col("toxic").alias("c0"), F.col("plain").alias("c1"), *none[2:]),
+    ]
+    return models, stored(reduce(DataFrame.unionByName, tables))
+
+
+SIZES = (3, 6, 2)
+
+
+def counts_of(kind: np.ndarray, ids: np.ndarray, columns: list[np.ndarray]) -> Counts:
+    """Counts from their rows."""
+    parts = []
+    for n, size in enumerate(SIZES):
+        own = np.flatnonzero(kind == n)
+        own = own[np.argsort(ids[own], kind="stable")]
+        parts.append((ids[own], np.stack([c[own] for c in columns[:size]])))
+    return Counts(*parts)
+
+
+def sent_counts(table: DataFrame) -> Counts:
+    """All counts, one kind at a time."""
+    parts = []
+    for n, size in enumerate(SIZES):
+        found = table.where(F.col("kind") == n).select("id", *[f"c{k}" for k in range(size)]).toArrow()
+        ids = found["id"].to_numpy()
+        order = np.argsort(ids)
+        values = np.stack([found[f"c{k}"].to_numpy()[order] for k in range(size)])
+        parts.append((ids[order], values.astype(np.uint32) if values.max(initial=0) < 1 << 32 else values))
+    return Counts(*parts)
+
+
+def _wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The different words, contexts and pairs of every row."""
+    for batch in batches:
+        for row, text in zip(batch["row"], batch["text"], strict=True):
+            ids = word_ids(text)
+            parts = [np.unique(x) for x in (ids[1:], ids[:-1], pair_ids(ids[:-1], ids[1:]))]
+            kind = np.repeat([0, 1, 2], [len(p) for p in parts]).astype(np.int32)
+            yield pd.DataFrame({"row": row, "id": np.concatenate(parts), "kind": kind})
+
+
+def measured(docs: DataFrame, models: Models, table: DataFrame, send_counts: int) -> DataFrame:
+    """``docs`` (with a column text) and their measures in a column m."""
+    spark = docs.sparkSession
+    typed = ", ".join(f"{m} double" for m in MEASURES)
+    if table.count() <= send_counts:
+        sent, known = spark.sparkContext.broadcast(sent_counts(table)), spark.sparkContext.broadcast(models)
+
+        @F.pandas_udf(typed)
+        def measure(texts: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([known.value.measures(t, sent.value) for t in texts], columns=MEASURES, dtype=float)
+
+        return docs.withColumn("m", measure("text"))
+    # Written, so that every row keeps its number.
+    docs = stored(docs.withColumn("row", F.monotonically_increasing_id()))
+    wanted = docs.select("row", "text").mapInPandas(_wanted, "row long, id long, kind int")
+    values = [F.col(f"c{n}") for n in range(max(SIZES))]
+    met = spread_join(wanted, table, ["id", "kind"], "inner", ["row"])
+    met = met.groupBy("row").agg(F.collect_list(F.struct("kind", "id", F.array(*values).alias("c"))).alias("counts"))
+
+    @F.pandas_udf(typed)
+    def measure_own(texts: pd.Series, found: pd.Series) -> pd.DataFrame:
+        out = []
+        for text, rows in zip(texts, found, strict=True):
+            rows = [] if rows is None else rows
+            kind, ids = (np.array([r[c] for r in rows], np.int64) for c in ("kind", "id"))
+            columns = np.array([list(r["c"]) for r in rows], np.int64).reshape(-1, max(SIZES)).T
+            out.append(models.measures(text, counts_of(kind, ids, list(columns))))
+        return pd.DataFrame(out, columns=MEASURES, dtype=float)
+
+    return docs.join(met, "row", "left").withColumn("m", measure_own("text", "counts")).drop("row", "counts")
 
 
 def score_toxicity(
@@ -148,6 +247,7 @@ def score_toxicity(
     divisor: int = 3,
     remainder: int = 1,
     threshold: float = 0.7,
+    send_counts: int = SEND_COUNTS,
 ) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``documents`` (doc_id, text).
 
@@ -166,27 +266,22 @@ def score_toxicity(
     known = stored(known.withColumn("calibrates", F.pmod(F.xxhash64("doc_id"), F.lit(5)) == 0))
     side = F.broadcast if known.count() <= BROADCAST_ROWS else (lambda df: df)
     train = docs.join(side(known.where("not calibrates").select("doc_id", "label")), "doc_id").select("text", "label")
-    models = spark.sparkContext.broadcast(fit_models(train))
-
-    @F.pandas_udf(", ".join(f"{m} double" for m in MEASURES))
-    def measure(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([models.value.measures(t) for t in texts], columns=MEASURES, dtype=float)
-
+    models, table = fit_models(train)
     chosen = known.where("calibrates").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").limit(calibration_rows)
     sample = docs.join(F.broadcast(chosen.select("doc_id", "label")), "doc_id")
     # Equal rows count by weight, so that the rows the driver gets are bounded, not only their ids.
     sample = sample.groupBy("doc_id", "text", "label").agg(F.count("*").alias("weight"))
     sample = sample.orderBy(F.xxhash64("doc_id", "text", F.lit(1)), "doc_id").limit(calibration_rows)
-    sample = sample.select(measure("text").alias("m"), "label", "weight").select("m.*", "label", "weight").toArrow().to_pandas()
+    sample = measured(sample, models, table, send_counts).select("m.*", "label", "weight").toArrow().to_pandas()
     curve = fit_forest(
         sample[MEASURES].to_numpy(float), sample["label"].to_numpy(float), sample["weight"].to_numpy(float), trees=40, depth=2, rate=0.2, bins=32
     )
     curve = spark.sparkContext.broadcast(curve)
 
     @F.pandas_udf("double")
-    def probability(texts: pd.Series) -> pd.Series:
-        rows = np.array([models.value.measures(t) for t in texts], dtype=float).reshape(len(texts), len(MEASURES))
-        return pd.Series(curve.value.probability(rows))
+    def probability(rows: pd.DataFrame) -> pd.Series:
+        return pd.Series(curve.value.probability(rows[MEASURES].to_numpy(float)))
 
-    scored = docs.select("doc_id", fold.alias("held_out"), probability("text").alias("score"))
+    docs = measured(docs.select("doc_id", fold.alias("held_out"), "text"), models, table, send_counts)
+    scored = docs.select("doc_id", "held_out", probability("m").alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
