@@ -4,7 +4,7 @@ A normalised line has a 128-bit SimHash of its byte 8-grams (3-grams where it is
 eight keys, each made of two smallest hashes of such grams (one where it is very short).  Lines
 that share a key meet in a cell; of these, lines of fitting length whose SimHashes are close may
 be similar, under the first key they share only.  In a cell a spanning forest of such pairs is
-compared by edit distance first; only where one of its pairs is not similar, all pairs that are
+compared by edit distance first; only where one of its pairs is not similar, the pairs that are
 not connected by then are compared, too.  So a group of n copies costs about n comparisons.
 
 The keys stand where blocks of the SimHash would: of the pairs with edit similarity 0.8, 90 %
@@ -15,6 +15,7 @@ three bits, which nearly all lines share.
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +29,9 @@ from tradebinder.llm.common import BROADCAST_ROWS, free_name, partitions, stored
 from tradebinder.llm.components import connected_components
 from tradebinder.operators.lookup import spread_join
 
-# SimHash bits (of 128) that lines from so many characters on may differ in and be compared: 99 %
+# SimHash bits (of 128) that lines from so many characters on may differ in and be compared: 98 %
 # of the similar ones differ in fewer, 95 % of the others in more.
-RADIUS = ((0, 128), (32, 54), (64, 45))
+RADIUS = ((0, 128), (32, 54), (64, 38))
 # Pairs that are so many bits closer are the first to connect a group.
 CLOSER = 16
 CHUNK = 2048
@@ -49,6 +50,8 @@ GRAM_BYTES = 1 << 18
 LONG_LINE = 640
 # Pairs that are compared at a time, and how many it takes to be quicker than one by one.
 TOGETHER, FEW = 512, 256
+# Pairs of two groups that are compared before it is seen whether they are one by then.
+AT_ONCE = 4
 _ODD = [np.uint32(xxhash.xxh32_intdigest(b"gram", n) | 1) for n in range(2 * len(KEYS))]
 # The lowest bit of each of eight counters of a byte.
 _ONES = np.uint64(0x0101010101010101)
@@ -402,17 +405,39 @@ def _forest(similarity: float):
     return search
 
 
-def _remaining(similarity: float):
-    def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """The pairs that may be similar and are not connected yet."""
+def _settled(similarity: float):
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Links between rows that are not connected yet; of two groups a few pairs are compared at a time."""
         for batch, starts in whole_cells(batches):
-            nodes, root = batch["node"].to_numpy(), batch["root"].to_numpy()
+            nodes, texts = batch["node"].to_numpy(), [normalized(x) for x in batch["line"]]
+            groups, links, first = Groups(len(batch)), [], {}
+            for n, root in enumerate(batch["root"].to_numpy().tolist()):
+                groups.join(first.setdefault(root, n), n)
+            waiting: list[tuple[int, int]] = []
+
+            def compare() -> None:
+                while waiting:  # noqa: B023
+                    chosen, later, taken = [], [], Counter()
+                    for x, y in waiting:  # noqa: B023
+                        a, b = groups.root(x), groups.root(y)  # noqa: B023
+                        if a != b:
+                            taken[a, b] += 1
+                            (chosen if taken[a, b] <= AT_ONCE else later).append((x, y))
+                    found = similar_pairs([(texts[x], texts[y]) for x, y in chosen], similarity)  # noqa: B023
+                    for (x, y), same in zip(chosen, found.tolist(), strict=True):
+                        if same and groups.join(x, y):  # noqa: B023
+                            links.append((nodes[x], nodes[y]))  # noqa: B023
+                    waiting[:] = later  # noqa: B023
+
             for n, m in sharing_pairs(batch, starts, similarity):
-                apart = root[n] != root[m]
-                if apart.any():
-                    yield pd.DataFrame({"a": nodes[n[apart]], "b": nodes[m[apart]]})
+                waiting += [(x, y) for x, y in zip(n.tolist(), m.tolist(), strict=True) if groups.root(x) != groups.root(y)]
+                if len(waiting) >= 2 * TOGETHER:
+                    compare()
+            compare()
+            if links:
+                yield pd.DataFrame(links, columns=["a", "b"])
 
-    return search
+    return settle
 
 
 def _checked(similarity: float):
@@ -483,7 +508,8 @@ def surplus_lines(documents: DataFrame, similarity: float = 0.8) -> DataFrame:
     failed = stored(maybe.join(links, ["a", "b"], "left_anti").select(*CELL).distinct())
     if not failed.isEmpty():
         known = met.join(failed, CELL, "left_semi").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-        roots = connected_components(links.unionByName(linked(gathered(known).mapInPandas(_remaining(similarity), "a long, b long"))))
+        more = gathered(known.join(lines, "node")).mapInPandas(_settled(similarity), "a long, b long")
+        roots = connected_components(links.unionByName(more))
     placed = found.select("node", "first", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     heads = placed.groupBy("root").agg(F.min("first").alias("head"), F.sum("n").alias("n")).where("n > 1")
     heads = stored(placed.select("node", "root").join(heads, "root").select("node", "head"))
