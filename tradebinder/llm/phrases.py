@@ -187,7 +187,10 @@ def _extended(level: int, frequent, heavy: list):
 
 
 def _dealt(groups: int, frequent, heavy: list):
-    """Every suffix with the length of its prefix and the group of that prefix."""
+    """The suffixes of a portion by group, as sorted columns, which a shuffle compresses well.
+
+    With each suffix goes the length of its prefix; the group is that of the prefix.
+    """
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -199,10 +202,14 @@ def _dealt(groups: int, frequent, heavy: list):
                     length[longer] = shorter + 1
                     prefix = np.where(longer, prefix_hash(paths[:, : shorter + 1]), prefix)
                 mixed = prefix.view(np.uint64) * _MIX >> np.uint64(20)
-                out = pd.DataFrame(paths, columns=W)
-                out["prefix"], out["n"] = length, times
-                out["grp"] = (mixed % np.uint64(groups)).astype(np.int64)
-                yield out
+                group = (mixed % np.uint64(groups)).astype(np.int64)
+                # Equal first words are neighbours already and stay so.
+                order = np.argsort(group, kind="stable")
+                group = group[order]
+                first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+                columns = {c: paths[order, k] for k, c in enumerate(W)} | {"n": times[order].astype("<i4"), "prefix": length[order]}
+                cuts = list(zip(first, np.r_[first[1:], len(group)], strict=True))
+                yield pd.DataFrame({"grp": group[first], **{c: [x[i:j].tobytes() for i, j in cuts] for c, x in columns.items()}})
 
     return deal
 
@@ -210,8 +217,9 @@ def _dealt(groups: int, frequent, heavy: list):
 def _nodes(least: int):
     def build(part: pd.DataFrame) -> pd.DataFrame:
         """Frequent nodes of one group, from its prefixes downwards."""
-        paths, times = part[W].to_numpy(np.int64), part["n"].to_numpy(np.int64)
-        length = part["prefix"].to_numpy()
+        paths = np.stack([np.frombuffer(b"".join(part[c]), "<i8") for c in W], axis=1)
+        times = np.frombuffer(b"".join(part["n"]), "<i4").astype(np.int64)
+        length = np.frombuffer(b"".join(part["prefix"]), np.int8)
         out = []
         for depth, node, total, row in subtree(paths, times):
             kept = (total >= least) & (length[row] <= depth)
@@ -259,7 +267,7 @@ def counted_phrases(documents: DataFrame, least: int, budget: int) -> tuple[Data
         known = _in_bitmap(heavy[-1])
         phrases = phrases.unionByName(longer.where((F.col("f") >= least) & known("id")).select(*W[:level], *none[level:], "f"))
     groups = max(partitions(spark), -(-2 * total // budget))
-    dealt = paths.mapInPandas(_dealt(groups, frequent, heavy), ", ".join(f"{c} long" for c in W) + ", prefix byte, n long, grp long")
+    dealt = paths.mapInPandas(_dealt(groups, frequent, heavy), "grp long, " + ", ".join(f"{c} binary" for c in [*W, "n", "prefix"]))
     columns = ", ".join(f"{c} long" for c in [*W, "f"])
     found = dealt.groupBy("grp").applyInPandas(_nodes(least), columns)
     return common, sizes, stored(phrases.unionByName(found))
