@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tradebinder.llm.common import BROADCAST_ROWS, held_out, stored, training_labels
+from tradebinder.llm.common import BROADCAST_ROWS, held_out, partitions, stored, training_labels
 from tradebinder.llm.trees import fit_forest
 from tradebinder.operators.lookup import spread_join
 
@@ -144,15 +144,12 @@ def fit_models(rows: DataFrame) -> tuple[Models, DataFrame]:
 
     The counts are rows of id, kind (0 word, 1 context, 2 pair) and c0 to c5.
     """
+    spark = rows.sparkSession
     counted = rows.mapInPandas(_count, "v long, w long, toxic long, plain long")
-    pairs = stored(counted.groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in _CLASSES]))
+    # Dealt by the second word: pairs and words come from one shuffle, which the plan reuses.
+    pairs = counted.repartition(partitions(spark), "w").groupBy("v", "w").agg(*[F.sum(c).alias(c) for c in _CLASSES])
     contexts = [F.count_if(F.col(c) > 0).alias(f"{c}_contexts") for c in _CLASSES]
-    words = stored(pairs.groupBy("w").agg(F.count("*").alias("contexts"), *contexts))
-    least = [F.sum(F.least(F.col(f"{c}_contexts"), F.lit(DISCOUNT))) for c in _CLASSES]
-    sums = words.agg(F.count("*"), F.sum("contexts"), *[F.sum(f"{c}_contexts") for c in _CLASSES], *least).first()
-    own = [max(1.0, float(sums[2 + c] or 0)) for c in (0, 1)]
-    rest = [float(sums[4 + c] or 0) / own[c] if own[c] > 1 else 1.0 for c in (0, 1)]
-    models = Models(int(sums[0]), float(sums[1] or 0), own, rest)
+    words = pairs.groupBy("w").agg(F.count("*").alias("contexts"), *contexts)
     kept = F.col("toxic") + F.col("plain") >= LEAST_PAIRS
     of_class = []
     for c in _CLASSES:
@@ -170,7 +167,12 @@ def fit_models(rows: DataFrame) -> tuple[Models, DataFrame]:
         before.select(F.col("v").alias("id"), F.lit(1).alias("kind"), *[f"c{n}" for n in range(6)]),
         pairs.where(kept).select(number("v", "w").alias("id"), F.lit(2).alias("kind"), F.col("toxic").alias("c0"), F.col("plain").alias("c1"), *none[2:]),
     ]
-    return models, stored(reduce(DataFrame.unionByName, tables))
+    table = stored(reduce(DataFrame.unionByName, tables))
+    least = [F.sum(F.least(F.col(c), F.lit(DISCOUNT))) for c in ("c1", "c2")]
+    sums = table.where("kind = 0").agg(F.count("*"), *[F.sum(c) for c in ("c0", "c1", "c2")], *least).first()
+    own = [max(1.0, float(sums[2 + c] or 0)) for c in (0, 1)]
+    rest = [float(sums[4 + c] or 0) / own[c] if own[c] > 1 else 1.0 for c in (0, 1)]
+    return Models(int(sums[0]), float(sums[1] or 0), own, rest), table
 
 
 SIZES = (3, 6, 2)
