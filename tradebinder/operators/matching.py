@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tradebinder.functions.dates import as_instant
 from tradebinder.functions.text import blank_to_null, id_number, surrogate_id
-from tradebinder.operators.lookup import spread_join
+from tradebinder.operators.lookup import by_shuffle, spread_join
 from tradebinder.schemas import (
     ACQUISITION_TYPES,
     COLLECTION_DEFAULTS,
@@ -165,7 +165,7 @@ def match_staging(
     typed = with_typed_fields(staging)
     matched = match_products(typed, products)
     marks = duplicate_marks(staging if batch is None else batch, imported)
-    judged = matched.join(marks, "import_row_id", "left")
+    judged = matched.join(by_shuffle(marks), "import_row_id", "left")
     blocking = F.nullif(F.concat_ws("; ", "field_error", "duplicate_error"), F.lit(""))
     return judged.withColumns(
         {

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tradebinder.functions.dates import archive_name
 from tradebinder.operators.keyed import newest_per_key
+from tradebinder.operators.lookup import by_shuffle
 
 RUN_TS = "2024-02-01 06:00:00"
 FIRST_RUN_TS = "2024-01-25 06:00:00"
@@ -194,7 +195,7 @@ class DriverTables:
         """Import rows as text columns, as read from an uploaded file."""
         nation, segment = F.col("c_nationkey"), F.col("c_mktsegment")
         names = self.products().select(F.col("id_product").alias("c_custkey"), F.col("name").alias("_name"))
-        rows = self.given("customer").join(names, "c_custkey", "left")
+        rows = self.given("customer").join(by_shuffle(names), "c_custkey", "left")
         return rows.select(
             F.col("c_custkey").alias("import_row_id"),
             segment.alias("import_batch_id"),

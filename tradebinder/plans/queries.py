@@ -27,6 +27,7 @@ from tradebinder.operators import (
     valuation,
     views,
 )
+from tradebinder.operators.lookup import by_shuffle
 from tradebinder.plans.catalog import date_added_warnings as date_warnings
 from tradebinder.plans.driver_tables import FIRST_RUN_TS, RUN_TS, DriverTables
 from tradebinder.session import configure
@@ -863,7 +864,8 @@ def set_counts(t: DriverTables) -> DataFrame:
 def staging_re_evaluated(t: DriverTables) -> DataFrame:
     """Open rows after every condition, language and date was corrected."""
     matched = matching.match_staging(t.staging(), t.products(), t.imported())
-    corrected = t.staging().join(matched.select("import_row_id", "match_status"), "import_row_id").withColumns(
+    states = by_shuffle(matched.select("import_row_id", "match_status"))
+    corrected = t.staging().join(states, "import_row_id").withColumns(
         {"condition": F.lit("Good"), "language": F.lit("FR"), "purchase_date": F.lit("2024-02-29")}
     )
     rows = matching.re_evaluate(corrected, t.products(), t.imported())
