@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tradebinder.functions.dates import as_date, months_since
 from tradebinder.functions.money import estimated_market_value, percent_change
 from tradebinder.operators.keyed import newest_per_key
-from tradebinder.operators.lookup import spread_join
+from tradebinder.operators.lookup import by_shuffle, spread_join
 from tradebinder.schemas import TRUSTED_CONFIDENCE
 
 
@@ -134,8 +134,8 @@ def trusted_mappings(mappings: DataFrame, expansions: DataFrame, sets: DataFrame
         "logo_url",
     )
     return (
-        good.join(market, "id_expansion")
-        .join(official, "tcg_set_id")
+        good.join(by_shuffle(market), "id_expansion")
+        .join(by_shuffle(official), "tcg_set_id")
         .select(
             *market.columns,
             *official.columns,
@@ -148,14 +148,8 @@ def trusted_mappings(mappings: DataFrame, expansions: DataFrame, sets: DataFrame
     )
 
 
-def mappings_for_review(mappings: DataFrame, expansions: DataFrame, sets: DataFrame) -> DataFrame:
-    """Mappings a person should look at."""
-    doubtful = mappings.filter(
-        F.col("needs_review")
-        | (F.col("match_status") == "manual_review")
-        | (F.col("match_confidence") < TRUSTED_CONFIDENCE)
-        | F.col("match_confidence").isNull()
-    )
+def review_columns(expansions: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the review list shows of an expansion and of a set."""
     market = expansions.select(
         "id_expansion",
         F.col("name_en").alias("market_name_en"),
@@ -170,19 +164,33 @@ def mappings_for_review(mappings: DataFrame, expansions: DataFrame, sets: DataFr
         F.col("series_en").alias("tcg_series"),
         F.col("release_date").alias("tcg_release_date"),
     )
-    return (
-        doubtful.join(market, "id_expansion", "left")
-        .join(official, "tcg_set_id", "left")
-        .select(
-            *market.columns,
-            *official.columns,
-            "match_status",
-            "match_method",
-            "match_confidence",
-            "is_primary_mapping",
-            "needs_review",
-            "notes",
-        )
+    return market, official
+
+
+def mappings_for_review(mappings: DataFrame, expansions: DataFrame, sets: DataFrame) -> DataFrame:
+    """Mappings a person should look at.  Mappings that carry the review columns of both sides
+    as lists (market, official) are not joined to them again."""
+    doubtful = mappings.filter(
+        F.col("needs_review")
+        | (F.col("match_status") == "manual_review")
+        | (F.col("match_confidence") < TRUSTED_CONFIDENCE)
+        | F.col("match_confidence").isNull()
+    )
+    market, official = review_columns(expansions, sets)
+    for rows, key, name in ((market, "id_expansion", "market"), (official, "tcg_set_id", "official")):
+        if name in doubtful.columns:
+            doubtful = doubtful.select("*", F.inline_outer(name)).drop(name)
+        else:
+            doubtful = doubtful.join(by_shuffle(rows), key, "left")
+    return doubtful.select(
+        *market.columns,
+        *official.columns,
+        "match_status",
+        "match_method",
+        "match_confidence",
+        "is_primary_mapping",
+        "needs_review",
+        "notes",
     )
 
 

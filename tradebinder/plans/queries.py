@@ -386,7 +386,8 @@ def trusted_mappings(t: DriverTables) -> DataFrame:
 
 @query
 def mappings_for_review(t: DriverTables) -> DataFrame:
-    mappings = mapping.mapping_candidates(t.expansions(), t.sets(), RUN_TS)
+    market, official = views.review_columns(t.expansions(), t.sets())
+    mappings = mapping.mapping_candidates(t.expansions(), t.sets(), RUN_TS, market=market, official=official)
     rows = views.mappings_for_review(mappings, t.expansions(), t.sets())
     return _rounded(rows, "match_confidence").drop("notes")
 
