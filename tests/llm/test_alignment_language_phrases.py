@@ -255,3 +255,47 @@ def test_phrases_survive_words_that_share_a_hash(spark, monkeypatch):
     rows = [(n, "a b c", "en") for n in range(40)]
     got = phrases.collocations(frame(spark, rows, extra=False))
     assert seeds == [0, 1] and [r.phrase for r in got.collect()] == ["a b c"]
+
+
+def test_phrases_hold_few_portions_and_no_copies_of_a_group(spark, monkeypatch, tmp_path):
+    import tracemalloc
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    # Portions are written, and handed to Python, a few at a time, however large a task is.
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, held, files, real = spark.conf.get(name), [], [], phrases.stored
+
+    def stored(df, **options):
+        held.append(spark.conf.get(name))
+        out = real(df, **options)
+        if "codes" in out.columns:
+            files.extend(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(phrases, "stored", stored)
+    monkeypatch.setattr(phrases, "PORTION", 1 << 12)
+    monkeypatch.setattr(phrases, "HELD", 1 << 16)
+    rng = random.Random(3)
+    rows = [(n, " ".join(str(rng.randint(1, 5000)) for _ in range(900)), "en") for n in range(120)]
+    phrases.counted_phrases(frame(spark, rows, extra=False).coalesce(1), 5, 40)
+    groups = [pq.ParquetFile(f.removeprefix("file:")).metadata for f in files]
+    assert sum(m.num_rows for m in groups) > 100
+    assert max(m.row_group(k).num_rows for m in groups for k in range(m.num_row_groups)) < 40
+    phrases.collocations(frame(spark, rows, extra=False), least=5)
+    assert str(1 << 16) in held and spark.conf.get(name) == before
+    # A group is built within little more than twice its own bytes.
+    words = np.random.default_rng(1).integers(1, 50, (400_000, 4))
+    columns = {c: [x.astype("<i8").tobytes() for x in np.array_split(words[:, k], 300)] for k, c in enumerate(phrases.W)}
+    columns |= {"n": [np.ones(len(x), "<i4").tobytes() for x in np.array_split(words, 300)], "prefix": [np.ones(len(x), np.int8).tobytes() for x in np.array_split(words, 300)]}
+    part = pa.table({c: pa.array(x, pa.binary()) for c, x in columns.items()})
+    del columns
+    tracemalloc.start()
+    found = phrases._nodes(30)(part)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * part.nbytes
+    counts = Counter(map(tuple, words[:, :2].tolist()))
+    got = {(r["w1"], r["w2"]): r["f"] for r in found.to_pylist() if r["w3"] == 0}
+    assert got == {p: n for p, n in counts.items() if n >= 30}
